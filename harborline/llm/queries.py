@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality, url_filter
+from . import jaccard_join, mixing, packing, quality, url_filter
 from .common import table
 
 
@@ -21,12 +21,16 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op5_mix_sources, op6_url_filters, op8_packing)}
+    return {f.__name__: f for f in (op2_quality_rules, op5_mix_sources, op6_url_filters, op7_ngram_jaccard_join, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
