@@ -147,17 +147,30 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     return both.unionByName(backs).groupBy("lang", "ord", "gram").agg(F.max("logp").alias("logp"), F.min("logb").alias("logb"))
 
 
+def _hash_rows(batches):
+    import pyarrow as pa
+
+    for b in batches:
+        langs = b.column("lang").to_pylist()
+        seeds = {x: lang_seed(x) for x in set(langs)}
+        key = b.column("gram").to_numpy(zero_copy_only=False).astype(np.int64).astype(U)
+        order = b.column("ord").to_numpy(zero_copy_only=False).astype(np.int64).astype(U)
+        h = mix((key + (order << U(56))) ^ np.array([seeds[x] for x in langs], U))
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("logp").fill_null(float("nan")).cast(pa.float32()), b.column("logb").cast(pa.float32())], ["hash", "logp", "logb"])
+
+
 class HashArrays:
     """A model as sorted 64-bit hashes with log probabilities and back-offs beside them."""
 
-    def __init__(self, pdf):
-        seeds = {x: lang_seed(x) for x in pdf["lang"].unique()}
-        seed = pdf["lang"].map(seeds).to_numpy(U) if len(pdf) else np.zeros(0, U)
-        h = mix((pdf["gram"].to_numpy(np.int64).astype(U) + (pdf["ord"].to_numpy(np.int64).astype(U) << U(56))) ^ seed)
-        order = np.argsort(h)
-        self.hashes = h[order]
-        self.logp = pdf["logp"].to_numpy(np.float32)[order]
-        self.logb = pdf["logb"].to_numpy(np.float32)[order]
+    def __init__(self, hashes: np.ndarray, logp: np.ndarray, logb: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.logp, self.logb = hashes[order], logp[order], logb[order]
+
+    @staticmethod
+    def collect(model: DataFrame) -> HashArrays:
+        """Of a model of checked size: 16 bytes an n-gram travel, hashed in tasks."""
+        t = model.mapInArrow(_hash_rows, "hash long, logp float, logb float").toArrow()
+        return HashArrays(t["hash"].to_numpy().astype(U), t["logp"].to_numpy().astype(np.float32), t["logb"].to_numpy().astype(np.float32))
 
     def find(self, h):
         if not len(self.hashes):
@@ -251,14 +264,14 @@ def _grams_of_documents(batches):
                 yield pa.RecordBatch.from_arrays([pa.array([x] * len(keys), pa.int64()), pa.array([lang or ""] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(counts)], ["doc_id", "lang", "gram", "n"])
 
 
-def statistics(docs: DataFrame, broadcast_bytes: int = 256 << 20) -> DataFrame:
+def statistics(docs: DataFrame, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Base statistics and log perplexity per symbol of every document, under a model of all these documents."""
     spark = docs.sparkSession
     counts = written(count_grams(docs), "grams")
     arrays = written(kneser_ney(counts), "model")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     if arrays.count() * 16 <= broadcast_bytes:
-        model = spark.sparkContext.broadcast(HashArrays(arrays.toPandas()))
+        model = spark.sparkContext.broadcast(HashArrays.collect(arrays))
         return d.mapInArrow(_statistics(model), _SCHEMA)
     base = d.mapInArrow(_statistics(None), _SCHEMA).drop("log_ppl")
     # every n-gram of these documents is in their model, so the highest order alone gives their probability
@@ -267,7 +280,7 @@ def statistics(docs: DataFrame, broadcast_bytes: int = 256 << 20) -> DataFrame:
     return base.join(loss, "doc_id", "left")
 
 
-def rules(docs: DataFrame, low: float = 2.0, high: float = 3.0, floor: float = 0.02, short: float = 100.0, min_docs: int = 50, broadcast_bytes: int = 256 << 20) -> DataFrame:
+def rules(docs: DataFrame, low: float = 2.0, high: float = 3.0, floor: float = 0.02, short: float = 100.0, min_docs: int = 50, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """One row for each document: base statistics, base_failed, log_ppl, its band, kept.
 
     Null or empty texts, and texts without words, have zeros, no log_ppl and fail the base rule. A null language is a
