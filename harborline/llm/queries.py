@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, mixing, packing, quality, url_filter
+from . import jaccard_join, mixing, packing, quality, url_filter, vector_neardup
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ppl", "ppl_low", "ppl_high")
 
 
+def op4_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_neardup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -30,7 +34,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op5_mix_sources, op6_url_filters, op7_ngram_jaccard_join, op8_packing)}
+    return {f.__name__: f for f in (op2_quality_rules, op4_vector_near_duplicates, op5_mix_sources, op6_url_filters, op7_ngram_jaccard_join, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
