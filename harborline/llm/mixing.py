@@ -37,7 +37,8 @@ def targets(sizes: DataFrame, cap: int = CAP) -> DataFrame:
     w = w.withColumn("all", F.sum("source_size").over(every).cast("double")).withColumn("all_weight", F.sum("weight").over(every))
     w = w.withColumn("here", (F.col("all") - F.coalesce(F.sum("full").over(order), F.lit(0.0))) / (F.col("all_weight") - F.coalesce(F.sum("weight").over(order), F.lit(0.0))))
     # sources that are full below the level open to them stay full; the first that is not sets the level for the rest
-    w = w.withColumn("rate", F.min(F.when(F.col("level") > F.col("here"), F.col("here"))).over(every))
+    w = w.withColumn("place", F.row_number().over(Window.orderBy("level", F.col("source").asc_nulls_last())))
+    w = w.withColumn("rate", F.min(F.when(F.col("level") > F.col("here"), F.struct("place", "here"))).over(every)["here"])
     target = F.when(F.col("rate").isNull() | (F.col("level") <= F.col("rate")), F.col("full")).otherwise(F.col("rate") * F.col("weight"))
     return w.select("source", "source_size", target.alias("target"))
 
@@ -64,19 +65,19 @@ def take(sized: DataFrame, seed: str, bucket_rows: int, cap: int = CAP) -> DataF
     counts = written(b.groupBy(*key).agg(F.count("*").alias("n"), F.sum("size").alias("words")), "buckets")
     classes = counts.groupBy("source", "class").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
     goal = targets(classes.groupBy("source").agg(F.sum("words").alias("source_size")), cap)
+    goal = goal.withColumn("rate", F.coalesce(F.col("target") / F.expr("nullif(source_size, 0)"), F.lit(0.0)))
+    goal = goal.withColumn("start", md5_int(F.concat(F.lit(seed + ":"), F.coalesce("source", F.lit("")))) / F.lit(4294967296.0))
     before = Window.partitionBy("source").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
     classes = classes.select(F.col("source").alias("s1"), F.col("class").alias("c1"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("class_before"))
     goal = goal.withColumnRenamed("source", "s2")
     inside = Window.partitionBy("source", "class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("bucket_before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     offsets = offsets.join(classes, F.col("source").eqNullSafe(F.col("s1")) & (F.col("class") == F.col("c1"))).join(goal, F.col("source").eqNullSafe(F.col("s2")))
-    offsets = offsets.select(F.col("source").alias("s"), F.col("class").alias("c"), F.col("bucket").alias("k"), (F.col("class_before") + F.col("bucket_before")).alias("before"), "source_size", "target")
+    offsets = offsets.select(F.col("source").alias("s"), F.col("class").alias("c"), F.col("bucket").alias("k"), (F.col("class_before") + F.col("bucket_before")).alias("before"), "source_size", "target", "rate", "start")
     row = F.row_number().over(Window.partitionBy("source", "class", "bucket").orderBy("size", "doc_id"))
     placed = b.withColumn("row", row).join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("class") == F.col("c")) & (F.col("bucket") == F.col("k")))
-    rate = F.coalesce(F.col("target") / F.expr("nullif(source_size, 0)"), F.lit(0.0))
-    start = md5_int(F.concat(F.lit(seed + ":"), F.coalesce("source", F.lit("")))) / F.lit(4294967296.0)
     at = F.col("before") + F.col("row")
-    placed = placed.withColumn("copies", (F.floor(rate * at + start) - F.floor(rate * (at - 1) + start)).cast("long"))
+    placed = placed.withColumn("copies", (F.floor(F.col("rate") * at + F.col("start")) - F.floor(F.col("rate") * (at - 1) + F.col("start"))).cast("long"))
     placed = placed.withColumn("copies", F.least(F.col("copies"), F.lit(cap).cast("long")))
     return placed.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
@@ -89,9 +90,10 @@ b as (select s.*, cast(floor(log2(size + 1e0) * 4) as integer) class, cast('0x'
 src as (select source, cast(sum(size) as bigint) source_size from b group by source),
 w as (select *, cast((row_number() over (order by encode(source) nulls last) - 1) % 3 + 1 as double) weight from src),
 l as (select *, 3e0 * source_size "full", 3e0 * source_size / weight level from w),
-h as (select *, (cast(sum(source_size) over () as double) - coalesce(sum("full") over p, 0)) / (sum(weight) over () - coalesce(sum(weight) over p, 0)) here
+h as (select *, (cast(sum(source_size) over () as double) - coalesce(sum("full") over p, 0)) / (sum(weight) over () - coalesce(sum(weight) over p, 0)) here,
+             row_number() over (order by level, encode(source) nulls last) place
       from l window p as (order by level, encode(source) nulls last rows between unbounded preceding and 1 preceding)),
-r as (select *, min(case when level > here then here end) over () rate from h),
+r as (select *, arg_min(here, place) filter (where level > here) over () rate from h),
 g as (select source, source_size, case when rate is null or level <= rate then "full" else rate * weight end target from r),
 o as (select *, row_number() over (partition by source order by class, bucket, size, doc_id) pos from b),
 c as (select o.doc_id, o.size, g.source_size, g.target, coalesce(g.target / nullif(g.source_size, 0), 0) f, pos,
