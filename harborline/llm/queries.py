@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import html_extract, jaccard_join, licenses, mixing, packing, pii, quality, token_counts, url_filter, vector_neardup
+from .common import shared_dir, table
+
 
-from . import jaccard_join, mixing, packing, quality, url_filter, vector_neardup
-from .common import table
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents enter as one batch, which is then delivered again; the totals by source, language and tokenizer."""
+    ledger = token_counts.Ledger(spark, f"{shared_dir(spark)}/harborline-ledger-{uuid.uuid4().hex}")
+    for _ in range(2):
+        ledger.commit("load", token_counts.counted(table(spark, sf_dir, "documents")).withColumn("op", F.lit("insert")))
+    return ledger.totals()
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +24,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ppl", "ppl_low", "ppl_high")
 
 
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"), least=0.8)
+
+
 def op4_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_neardup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -33,8 +48,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules, op4_vector_near_duplicates, op5_mix_sources, op6_url_filters, op7_ngram_jaccard_join, op8_packing)}
+    every = (op1_token_counts, op2_quality_rules, op3_license_scans, op4_vector_near_duplicates, op5_mix_sources, op6_url_filters, op7_ngram_jaccard_join, op8_packing, op9_personal_data, op10_main_text)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
