@@ -12,7 +12,8 @@ the radius are linked to the pivot, hence joined to each other, without comparin
 copies takes a thousand distances). A region whose members are all joined is done. Others go on: small ones compare all
 pairs not joined yet; larger ones choose several pivots, form their Voronoi cells, copy a member into every cell whose
 pivot is at most 2 x radius farther than its own (triangle inequality: its partners can only lie there), and each cell
-is treated the same way. Cells that stop shrinking are cut into blocks and compared block against block.
+is treated the same way. Cells that would hardly shrink are cut into blocks and compared block against block, but for
+pairs whose distances to a pivot differ by more than the radius.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from .components import components
 
 LEAF = 24  # members whose pairs are all compared
 PIVOTS = 4
-DEPTH = 4
+BLOCK = 64
 
 
 def difference(n: float, percent: int) -> int:
@@ -183,56 +184,59 @@ def _resolve(d: DataFrame, classes: DataFrame, members: DataFrame, k: int, perce
     wanted = _bitmap(needed.select("first_doc"))
     sets = d.mapInArrow(_sets(k, wanted), "class long, shingles array<long>").dropDuplicates(["class"])
     sets = written(sets.join(needed.select("class"), "class", "left_semi"), "sets")
-    measured = None
-    label = none
+    label, measured = none, spark.createDataFrame([], "a long, b long, both long, either long")
     cells = members.select("region", "class")
     pairs = members.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    for depth in range(DEPTH + 2):
-        if measured is not None:
-            pairs = pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti")
-        new = written(similarity(pairs, sets), "measured")
-        measured = new if measured is None else measured.unionByName(new)
-        now = measured.where(f"100 * both >= {percent} * either").select("a", "b")
-        label = written(components(now).toDF("class", "label"), "labels")
-        labelled = cells.join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
-        open_ = labelled.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("region", "n")
-        cells = written(labelled.join(open_, "region"), "cells")
-        if cells.isEmpty() or depth == DEPTH + 1:
-            break
-        pairs, cells = _next(cells, measured, sets, depth, percent)
-    return label
-
-
-def _pairs_inside(cells: DataFrame) -> DataFrame:
-    """All pairs with different labels in regions that are small."""
-    x = cells.select("region", F.col("class").alias("a"), F.col("label").alias("la"))
-    y = cells.select("region", F.col("class").alias("b"), F.col("label").alias("lb"))
-    return x.join(y, "region").where("a < b and la <> lb").select("a", "b").distinct()
-
-
-def _next(cells: DataFrame, measured: DataFrame, sets: DataFrame, depth: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to measure next, and the cells they come from."""
-    small = cells.where(f"n <= {LEAF}")
-    pairs = _pairs_inside(small)
-    large = cells.where(f"n > {LEAF}")
-    if large.isEmpty():
-        return pairs, small.select("region", "class")
-    if depth >= DEPTH:  # what pivots no longer part: blocks of a cell, each against each
-        per = F.ceil(F.col("n") / (LEAF // 2)).cast("int")
-        cut = large.withColumn("block", F.expr("cast(pmod(xxhash64(class, 7), ceil(n / %d)) as int)" % (LEAF // 2)))
-        cut = cut.withColumn("blocks", per).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        tile = F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other"))
-        blocks_ = cut.select(tile.alias("region"), "class", "label").distinct()
-        return pairs.union(_pairs_inside(blocks_)).distinct(), blocks_.select("region", "class").union(small.select("region", "class"))
-    rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("class", F.lit(depth))))
-    pivots = large.withColumn("rank", rank).where(f"rank <= {PIVOTS}").select("region", F.col("class").alias("p"), "rank")
-    to = large.select("region", "class").join(pivots, "region")
-    ends = written(to.select("region", "class", "p", "rank", F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b")), "ends")
-    distance = written(similarity(ends.where("a <> b").select("a", "b").distinct(), sets).select("a", "b", (1 - F.col("both") / F.col("either")).alias("d")), "distances")
-    ends = ends.join(distance, ["a", "b"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
-    own = F.min("d").over(Window.partitionBy("region", "class"))
+    first = True
+    while True:
+        new = written(similarity(pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti"), sets), "measured")
+        measured = measured.unionByName(new)
+        label = written(components(measured.where(f"100 * both >= {percent} * either").select("a", "b")).toDF("class", "label"), "labels")
+        if first:
+            first, block_pairs = False, None
+        else:
+            block_pairs, cells = _split(large, ends, measured, label, percent)
+        cells = written(_open(cells, label), "cells")
+        small, large = cells.where(f"n <= {LEAF}"), cells.where(f"n > {LEAF}")
+        rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("class", "n")))
+        pivots = large.withColumn("rank", rank).where(f"rank <= {PIVOTS}").select("region", F.col("class").alias("p"), "rank")
+        ends = large.select("region", "class").join(pivots, "region").select("region", "class", "p", "rank", F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b"))
+        ends = written(ends, "ends")
+        pairs = _pairs_inside(small).union(ends.where("a <> b").select("a", "b"))
+        pairs = written((pairs if block_pairs is None else pairs.union(block_pairs)).distinct(), "pairs")
+        if pairs.isEmpty():
+            return label
+
+
+def _open(cells: DataFrame, label: DataFrame) -> DataFrame:
+    """(region, class, label, n) of the regions that hold more than one label; of regions with the same members, one."""
+    labelled = cells.join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    by = labelled.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), *[F.expr(f"bit_xor(xxhash64(class, {k}))").alias(f"h{k}") for k in (1, 2)]).where("lo < hi")
+    return labelled.join(by.groupBy("n", "h1", "h2").agg(F.min("region").alias("region")).select("region", "n"), "region")
+
+
+def _pairs_inside(cells: DataFrame, more: str = "true") -> DataFrame:
+    """All pairs with different labels in regions of bounded size."""
+    x, y = cells.alias("x"), cells.alias("y")
+    both = x.join(y, F.expr("x.region = y.region and x.class < y.class and x.label <> y.label")).where(more)
+    return both.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+
+
+def _split(large: DataFrame, ends: DataFrame, measured: DataFrame, label: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of large cells whose distances to pivots are measured: pairs to measure in those that do not part, and the cells of the others."""
     radius = 1 - percent / 100
+    distance = measured.select("a", "b", (1 - F.col("both") / F.col("either")).alias("d"))
+    still = _open(large.select("region", "class"), label)
+    ends = ends.join(distance, ["a", "b"], "left").withColumn("d", F.coalesce("d", F.lit(0.0))).join(still.select("region", "class", "label", "n"), ["region", "class"])
+    own = F.min("d").over(Window.partitionBy("region", "class"))
     inside = ends.withColumn("own", own).where(F.col("d") - F.col("own") <= 2 * radius + 1e-9)
-    deeper = inside.select(F.xxhash64("region", "p").alias("region"), "class")
-    stars = ends.where("a <> b and class <> p").select("a", "b").distinct()
-    return pairs.union(stars).distinct(), deeper.union(small.select("region", "class"))
+    counts = inside.groupBy("region", "p").agg(F.count("*").alias("size"), F.max("n").alias("n"))
+    parted = counts.groupBy("region").agg((F.max(F.col("size") / F.col("n")) <= 0.7).alias("parts"))
+    cells = inside.join(parted.where("parts"), "region").select(F.xxhash64("region", "p").alias("region"), "class")
+    # cells whose copies would be nearly whole: blocks of them, each against each, pairs that distances to pivots do not rule out
+    stuck = ends.join(parted.where("not parts"), "region").groupBy("region", "class", "label", "n").agg(F.sort_array(F.collect_list(F.struct("rank", "d"))).alias("ds"))
+    stuck = stuck.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.expr("cast(pmod(xxhash64(class, 7), blocks) as int)"))
+    tiles = stuck.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.select(F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "class", "label", "ds")
+    near = f"not exists(zip_with(x.ds, y.ds, (s, t) -> abs(s.d - t.d)), v -> v > {radius + 1e-9})"
+    return _pairs_inside(tiles, near), cells
