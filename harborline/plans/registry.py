@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from ..sources import trade
+from . import analysis, concordance, dataframe, quality, relational, tenday
+
+SECTIONS = (relational, concordance, tenday, analysis, quality)
+
 
 def queries() -> dict:
-    return {}
+    out = {}
+    for section in SECTIONS:
+        for name, text in section.SQL.items():
+            out[name] = lambda spark, sf_dir, text=text: trade.run(spark, sf_dir, text)
+    return out | dataframe.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    out = {name: trade.duck_text(text) for section in SECTIONS for name, text in section.SQL.items()}
+    return out | {name: trade.duck_text(text) for name, text in dataframe.ORACLES.items()}
