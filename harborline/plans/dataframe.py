@@ -1,2 +1,106 @@
-QUERIES = {}
-ORACLES = {}
+"""Queries built with DataFrame operators: self joins, concordances, vintages, numeric kernels."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import columns
+from ..operators import core, numeric
+from ..sources.trade import frame, run
+
+VERSION = F.when(F.col("yyyymm") < 199701, 1995).when(F.col("yyyymm") < 199901, 1997).when(F.col("yyyymm") < 200101, 1999).otherwise(2001)
+
+
+def yoy_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return core.year_over_year(frame(spark, sf_dir, "fact_trade"), ["stat_cd", "hs10"], "exp_dlr")
+
+
+def concord_to_2022(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = core.concord(frame(spark, sf_dir, "fact_trade"), frame(spark, sf_dir, "concordance"), ["exp_dlr", "imp_dlr"], VERSION, ["yyyymm"])
+    return out.select("yyyymm", "hs10", F.round("exp_dlr", 4).alias("exp_dlr"), F.round("imp_dlr", 4).alias("imp_dlr"))
+
+
+def dominant_successor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return core.dominant_successor(frame(spark, sf_dir, "concordance")).select("hs_past", "past_version", "hs2022", "weight")
+
+
+def vintage_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = frame(spark, sf_dir, "exp10d")
+    return core.vintage_delta(v.where("fetched_at = 1"), v.where("fetched_at = 2"), ["series", "base_ym", "cutoff", "item"], "amt_kusd").select("series", "base_ym", "cutoff", "item", "amt_kusd")
+
+
+def exp10d_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = core.latest(frame(spark, sf_dir, "exp10d"), ["series", "base_ym", "cutoff", "item"])
+    return core.increments(v, ["series", "base_ym", "item"], "amt_kusd", {20: 10, 99: 20}).select("series", "base_ym", "cutoff", "item", "seg_kusd", "cum_kusd")
+
+
+def elasticity_hac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numeric.elasticities(frame(spark, sf_dir, "lagged"))
+
+
+def beta_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numeric.elasticities(frame(spark, sf_dir, "lagged"), asof=199912)
+
+
+def weighted_beta_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items' elasticities weighted by their shares of the last twelve months against the total's own."""
+    b = numeric.elasticities(frame(spark, sf_dir, "lagged")).select("series", "item", "beta")
+    v = run(spark, sf_dir, "select series, item, sumb(seg_kusd) as v from segments where base_ym > 200011 and item <> 'TOTAL' group by 1, 2")
+    parts = v.join(b, ["series", "item"]).groupBy("series").agg((F.sum(F.col("v") * F.col("beta")) / F.sum("v")).alias("weighted"))
+    return parts.join(b.where("item = 'TOTAL'").select("series", F.col("beta").alias("direct")), "series").withColumn("gap", F.col("weighted") - F.col("direct"))
+
+
+def forecast_expanding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .tenday import SQL
+
+    return numeric.expanding_forecast(run(spark, sf_dir, SQL["nowcast_features"]))
+
+
+def hp_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = frame(spark, sf_dir, "group_month").select(F.col("grp").alias("series"), F.col("midx").cast("int").alias("midx"), F.col("v").cast("double").alias("v"))
+    return numeric.trend(m, "series", "midx", "v")
+
+
+def structural_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = frame(spark, sf_dir, "group_month").where("v > 0").select(F.col("grp").alias("series"), F.col("midx").cast("int").alias("midx"), F.ln(F.col("v").cast("double")).alias("y"))
+    return numeric.breaks(m, "series", "midx", "y")
+
+
+def _ipf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .concordance import SQL
+
+    pairs = run(spark, sf_dir, SQL["licensed_pairs"])
+    names = run(spark, sf_dir, "select hs10, max(name) as name from editions group by 1")
+    pairs = pairs.join(names.select(F.col("hs10").alias("hs_from"), F.col("name").alias("a")), "hs_from").join(names.select(F.col("hs10").alias("hs_to"), F.col("name").alias("b")), "hs_to")
+    near = columns.similarity()("a", "b", "a", "b")
+    prior = F.when(F.col("hs_from") == F.col("hs_to"), F.lit(1 + 1e-6)).otherwise(F.pow(near, F.lit(8.0)) + 1e-6)
+    pairs = pairs.select("hs_from", "hs_to", prior.alias("prior"), F.substring("hs_from", 1, 4).alias("part"))
+    margins = run(spark, sf_dir, SQL["ipf_margins"])
+    return numeric.fitted_weights(pairs, margins, margins)
+
+
+def ipf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ipf(spark, sf_dir).select("hs_from", "hs_to", "weight", "relation")
+
+
+def diagonal_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = F.sum(F.when(F.col("relation") == "identity", F.col("mass")).otherwise(0.0))
+    return _ipf(spark, sf_dir).agg((own / F.sum("mass")).alias("retention"), F.countDistinct("hs_from").alias("n_sources"))
+
+
+def bridge_oos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = """select b.grp as series, cast(b.midx as int) as midx, ln(b.v / (a.v * 1e0)) as y, ln(t1.x / (t0.x * 1e0)) as v from group_month a join group_month b on a.grp = b.grp and b.midx = a.midx + 12
+              join monthly t0 on t0.midx = a.midx join monthly t1 on t1.midx = b.midx where a.v > 0 and b.v > 0 and t0.x > 0 and t1.x > 0"""
+    return numeric.bridge(run(spark, sf_dir, text), "series", start=1999 * 12)
+
+
+QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, exp10d_segments, elasticity_hac, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, diagonal_retention, bridge_oos)}
+
+ORACLES = {
+    "yoy_self_join": "select a.stat_cd, a.hs10, a.yyyymm, a.exp_dlr as cur, b.exp_dlr as prev from fact_trade a join fact_trade b on a.stat_cd = b.stat_cd and a.hs10 = b.hs10 and a.yyyymm = b.yyyymm + 100",
+    "concord_to_2022": "select f.yyyymm, coalesce(c.hs2022, f.hs10) as hs10, round(sum(f.exp_dlr * coalesce(c.weight, 1e0)), 4) as exp_dlr, round(sum(f.imp_dlr * coalesce(c.weight, 1e0)), 4) as imp_dlr from fact_versioned f left join concordance c on f.hs10 = c.hs_past and f.version = c.past_version group by 1, 2",
+    "dominant_successor": "select hs_past, past_version, hs2022, weight from (select *, row_number() over (partition by hs_past, past_version order by weight desc, hs2022) as rn from concordance) x where rn = 1",
+    "vintage_delta": "select n.series, n.base_ym, n.cutoff, n.item, n.amt_kusd from exp10d n left join exp10d o on n.series = o.series and n.base_ym = o.base_ym and n.cutoff = o.cutoff and n.item = o.item and o.fetched_at = 1 where n.fetched_at = 2 and (o.amt_kusd is null or o.amt_kusd <> n.amt_kusd)",
+    "exp10d_segments": "select series, base_ym, cutoff, item, seg_kusd, cum_kusd from segments",
+}
