@@ -37,16 +37,16 @@ def letters(text: Column) -> Column:
 
 def similarity():
     """A vectorised function (leaf, leaf, path, path) -> 0.6 and 0.4 weighted matching-block ratios."""
-    import pandas as pd
+    from difflib import SequenceMatcher
 
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
+    import pandas as pd
 
+    def ratio(a, b, c, d):
         one = lambda x, y: SequenceMatcher(None, x or "", y or "").ratio()
         return pd.Series([0.6 * one(p, q) + 0.4 * one(r, s) for p, q, r, s in zip(a, b, c, d, strict=True)])
 
-    return ratio
+    ratio.__annotations__ = {**dict.fromkeys("abcd", pd.Series), "return": pd.Series}  # postponed annotations are texts, which pandas_udf cannot read
+    return F.pandas_udf(ratio, "double")
 
 
 def holiday_shares(days, windows):

@@ -19,7 +19,7 @@ def elasticities(lagged: DataFrame, asof: int | None = None, lags: int = 12, lea
         import pandas as pd
 
         if len(pdf) < least:
-            return pd.DataFrame({c: [] for c in ("series", "item", "beta", "se", "t", "p", "n", "r2", "resid_sd", "beta_used")})
+            return pdf[["series", "item"]].iloc[:0].assign(**dict.fromkeys(("beta", "se", "t", "p"), 0.0), n=0, r2=0.0, resid_sd=0.0, beta_used=0.0)
         pdf = pdf.sort_values(["cutoff", "base_ym"])
         r = kernels.slope(np.log(pdf.seg_kusd.to_numpy(float) / pdf.p_seg.to_numpy(float)), np.log(pdf.workdays.to_numpy(float) / pdf.p_workdays.to_numpy(float)), lags)
         return pd.DataFrame([{"series": pdf.series.iloc[0], "item": pdf.item.iloc[0], **r, "beta_used": r["beta"] if r["p"] < 0.10 else 0.0}])
@@ -47,7 +47,10 @@ def expanding_forecast(features: DataFrame, least: int = 36) -> DataFrame:
             pred, r = kernels.one_step(train.lr.to_numpy(float), train.lwr.to_numpy(float), (train.base_ym % 100).to_numpy(int), float(row.lwr), int(row.base_ym % 100))
             level = lambda q, row=row, pred=pred, r=r: row.cum_kusd / np.exp(pred + 1.1 * np.quantile(r, q))
             out.append((row.series, row["item"], int(row.cutoff), int(row.base_ym), row.cum_kusd / np.exp(pred), level(0.9), level(0.75), level(0.25), level(0.1), row.act))
-        return pd.DataFrame(out, columns=["series", "item", "cutoff", "base_ym", "fc", "lo80", "lo50", "hi50", "hi80", "act"]).astype({"fc": float, "act": float})
+        names = ["series", "item", "cutoff", "base_ym", "fc", "lo80", "lo50", "hi50", "hi80", "act"]
+        if not out:
+            return pdf[names[:4]].iloc[:0].assign(**dict.fromkeys(names[4:], 0.0))
+        return pd.DataFrame(out, columns=names).astype({"fc": float, "act": float})
 
     return features.groupBy("series", "item", "cutoff").applyInPandas(run, "series string, item string, cutoff int, base_ym int, fc double, lo80 double, lo50 double, hi50 double, hi80 double, act double")
 
@@ -121,7 +124,7 @@ def bridge(panel: DataFrame, key: str, start: int, lags: int = 12) -> DataFrame:
         x1, t, goal = np.column_stack((x0, v[2:])), pdf.midx.to_numpy()[2:], y[2:]
         rows = [(goal[i], x0[i] @ kernels.ols(goal[:i], x0[:i])[0], x1[i] @ kernels.ols(goal[:i], x1[:i])[0]) for i in range(len(goal)) if t[i] >= start and i >= 12]
         if not rows:
-            return pd.DataFrame({c: [] for c in (key, "n", "rmse0", "rmse1", "cw_t")})
+            return pdf[[key]].iloc[:0].assign(n=0, rmse0=0.0, rmse1=0.0, cw_t=0.0)
         a, f0, f1 = map(np.array, zip(*rows, strict=True))
         return pd.DataFrame([{key: pdf[key].iloc[0], "n": len(a), "rmse0": float(np.sqrt(((a - f0) ** 2).mean())), "rmse1": float(np.sqrt(((a - f1) ** 2).mean())), "cw_t": kernels.clark_west(a, f0, f1, lags)}])
 

@@ -9,7 +9,7 @@ from ..functions import columns
 from ..operators import core, numeric
 from ..sources.trade import frame, run
 
-VERSION = F.when(F.col("yyyymm") < 199701, 1995).when(F.col("yyyymm") < 199901, 1997).when(F.col("yyyymm") < 200101, 1999).otherwise(2001)
+VERSION = "case when yyyymm < 199701 then 1995 when yyyymm < 199901 then 1997 when yyyymm < 200101 then 1999 else 2001 end"
 
 
 def yoy_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +17,7 @@ def yoy_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def concord_to_2022(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = core.concord(frame(spark, sf_dir, "fact_trade"), frame(spark, sf_dir, "concordance"), ["exp_dlr", "imp_dlr"], VERSION, ["yyyymm"])
+    out = core.concord(frame(spark, sf_dir, "fact_trade"), frame(spark, sf_dir, "concordance"), ["exp_dlr", "imp_dlr"], F.expr(VERSION), ["yyyymm"])
     return out.select("yyyymm", "hs10", F.round("exp_dlr", 4).alias("exp_dlr"), F.round("imp_dlr", 4).alias("imp_dlr"))
 
 
