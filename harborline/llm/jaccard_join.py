@@ -14,6 +14,10 @@ pairs not joined yet; larger ones choose several pivots, form their Voronoi cell
 pivot is at most 2 x radius farther than its own (triangle inequality: its partners can only lie there), and each cell
 is treated the same way. Cells that would hardly shrink are cut into blocks and compared block against block, but for
 pairs whose distances to a pivot differ by more than the radius.
+
+Sketches. Pairs are first compared by 512 bits: each shingle flips one. Bits that differ are at most the shingles that
+differ, so a pair that differs in more bits than linked sets may differ in shingles is left out, exactly; only the
+others' sets are fetched.
 """
 
 from __future__ import annotations
@@ -25,11 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U, blocks, chain, column_bytes, joined, mix, scan_words, written
-from .components import components
+from .components import joined_forests
 
-LEAF = 24  # members whose pairs are all compared
+LEAF = 128  # members whose pairs are all compared, by sketches first
 PIVOTS = 4
-BLOCK = 64
+BLOCK = 128
+WORDS = 8
+SKETCH = [f"s{w}" for w in range(WORDS)]  # 64 bits of a set's sketch each
 
 
 def difference(n: float, percent: int) -> int:
@@ -67,6 +73,18 @@ def _class(s: np.ndarray) -> int:
     return int(mix(np.add.reduce(x, keepdims=True)).view(np.int64)[0])
 
 
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """Bits flipped an odd number of times when each shingle flips one."""
+    flips = np.bincount((mix(s ^ U(0x3C)) >> U(55)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
+def alike(percent: int, x: str = "x", y: str = "y") -> str:
+    """SQL: whether sketches and sizes of two sets allow a link; true of every linked pair."""
+    differ = " + ".join(f"bit_count({x}.{s} ^ {y}.{s})" for s in SKETCH)
+    return f"100 * least({x}.size, {y}.size) >= {percent} * greatest({x}.size, {y}.size) and {100 + percent} * ({differ}) <= {100 - percent} * ({x}.size + {y}.size)"
+
+
 def _regions(s: np.ndarray, percent: int) -> np.ndarray:
     out, w = [], int(window_of(np.array([len(s)]), percent)[0])
     for window in (w, w - 1):
@@ -112,8 +130,9 @@ def _sets(k: int, wanted):
                 continue
             texts = column_bytes(batch.column("text").take(pa.array(keep)))
             for i in range(0, len(texts), 128):
-                s = [x.view(np.int64) for x in doc_shingles(texts[i : i + 128], k)]
-                yield pa.RecordBatch.from_arrays([pa.array([_class(x.view(U)) for x in s], pa.int64()), pa.array(s, pa.list_(pa.int64()))], ["class", "shingles"])
+                s = list(doc_shingles(texts[i : i + 128], k))
+                sketches = np.array([_sketch(x) for x in s]).reshape(-1, WORDS)
+                yield pa.RecordBatch.from_arrays([pa.array([_class(x) if len(x) else None for x in s], pa.int64()), pa.array([len(x) for x in s], pa.int64()), *[pa.array(sketches[:, w]) for w in range(WORDS)], pa.array([x.view(np.int64) for x in s], pa.list_(pa.int64()))], ["class", "size", *SKETCH, "shingles"])
 
     return run
 
@@ -163,9 +182,8 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     classes = signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_doc"), F.min_by("regions", "doc_id").alias("regions"))
     classes = written(classes, "classes")
     members = classes.select("class", F.explode("regions").alias("region"))
-    pivot = F.min("class").over(Window.partitionBy("region"))
-    last = F.max("class").over(Window.partitionBy("region"))
-    members = written(members.withColumn("pivot", pivot).withColumn("last", last).where("pivot < last").select("region", "class", "pivot"), "regions")
+    shared = members.groupBy("region").agg(F.min("class").alias("pivot"), F.max("class").alias("last")).where("pivot < last").drop("last")
+    members = written(members.join(shared, "region"), "regions")
     label = _resolve(d, classes, members, k, percent)
     named = classes.select("class", "first_doc").join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
     lowest = named.groupBy("label").agg(F.min("first_doc").alias("component_id"))
@@ -182,27 +200,29 @@ def _resolve(d: DataFrame, classes: DataFrame, members: DataFrame, k: int, perce
         return none
     needed = members.select("class").distinct().join(classes.select("class", "first_doc"), "class")
     wanted = _bitmap(needed.select("first_doc"))
-    sets = d.mapInArrow(_sets(k, wanted), "class long, shingles array<long>").dropDuplicates(["class"])
+    sketch = ", ".join(f"{w} long" for w in SKETCH)
+    sets = d.mapInArrow(_sets(k, wanted), f"class long, size long, {sketch}, shingles array<long>").dropDuplicates(["class"])
     sets = written(sets.join(needed.select("class"), "class", "left_semi"), "sets")
+    sketches = sets.drop("shingles")
     label, measured = none, spark.createDataFrame([], "a long, b long, both long, either long")
     cells = members.select("region", "class")
     pairs = members.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    first = True
+    x, y = sketches.alias("x"), sketches.alias("y")
+    pairs = pairs.join(x, F.expr("a = x.class")).join(y, F.expr("b = y.class")).where(alike(percent)).select("a", "b")
+    block_pairs = large = None
     while True:
         new = written(similarity(pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti"), sets), "measured")
         measured = measured.unionByName(new)
-        label = written(components(measured.where(f"100 * both >= {percent} * either").select("a", "b")).toDF("class", "label"), "labels")
-        if first:
-            first, block_pairs = False, None
-        else:
-            block_pairs, cells = _split(large, ends, measured, label, percent)
+        label = written(joined_forests(measured.where(f"100 * both >= {percent} * either").select("a", "b")).toDF("class", "label"), "labels")
+        if large is not None:
+            block_pairs, cells = _split(large, ends, measured, label, sketches, percent)
         cells = written(_open(cells, label), "cells")
         small, large = cells.where(f"n <= {LEAF}"), cells.where(f"n > {LEAF}")
         rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("class", "n")))
         pivots = large.withColumn("rank", rank).where(f"rank <= {PIVOTS}").select("region", F.col("class").alias("p"), "rank")
         ends = large.select("region", "class").join(pivots, "region").select("region", "class", "p", "rank", F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b"))
         ends = written(ends, "ends")
-        pairs = _pairs_inside(small).union(ends.where("a <> b").select("a", "b"))
+        pairs = _pairs_inside(small.join(sketches, "class"), alike(percent)).union(ends.where("a <> b").select("a", "b"))
         pairs = written((pairs if block_pairs is None else pairs.union(block_pairs)).distinct(), "pairs")
         if pairs.isEmpty():
             return label
@@ -215,14 +235,14 @@ def _open(cells: DataFrame, label: DataFrame) -> DataFrame:
     return labelled.join(by.groupBy("n", "h1", "h2").agg(F.min("region").alias("region")).select("region", "n"), "region")
 
 
-def _pairs_inside(cells: DataFrame, more: str = "true") -> DataFrame:
-    """All pairs with different labels in regions of bounded size."""
+def _pairs_inside(cells: DataFrame, more: str) -> DataFrame:
+    """Pairs with different labels in regions of bounded size that meet the condition."""
     x, y = cells.alias("x"), cells.alias("y")
     both = x.join(y, F.expr("x.region = y.region and x.class < y.class and x.label <> y.label")).where(more)
     return both.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
 
 
-def _split(large: DataFrame, ends: DataFrame, measured: DataFrame, label: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _split(large: DataFrame, ends: DataFrame, measured: DataFrame, label: DataFrame, sketches: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Of large cells whose distances to pivots are measured: pairs to measure in those that do not part, and the cells of the others."""
     radius = 1 - percent / 100
     distance = measured.select("a", "b", (1 - F.col("both") / F.col("either")).alias("d"))
@@ -237,6 +257,6 @@ def _split(large: DataFrame, ends: DataFrame, measured: DataFrame, label: DataFr
     stuck = ends.join(parted.where("not parts"), "region").groupBy("region", "class", "label", "n").agg(F.sort_array(F.collect_list(F.struct("rank", "d"))).alias("ds"))
     stuck = stuck.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.expr("cast(pmod(xxhash64(class, 7), blocks) as int)"))
     tiles = stuck.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select(F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "class", "label", "ds")
+    tiles = tiles.select(F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "class", "label", "ds").join(sketches, "class")
     near = f"not exists(zip_with(x.ds, y.ds, (s, t) -> abs(s.d - t.d)), v -> v > {radius + 1e-9})"
-    return _pairs_inside(tiles, near), cells
+    return _pairs_inside(tiles, f"{alike(percent)} and {near}"), cells

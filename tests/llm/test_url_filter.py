@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from harborline.llm import components, url_filter
 
 from ..compare import difference
@@ -45,9 +47,11 @@ def test_blocks_spread_over_redirects_and_canonical_links(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block", 6: "block", 7: "allow", 8: "allow", 9: "allow", 10: "block"}
 
 
-def test_components_equal_union_find(spark):
+@pytest.mark.parametrize("solve", [components.components, components.joined_forests])
+def test_components_equal_union_find(spark, solve):
     r = random.Random(5)
     edges = [(r.randrange(400), r.randrange(400)) for _ in range(330)] + [(1000 + i, 1001 + i) for i in range(60)] + [(2000, 2000 + i) for i in range(300)] + [(5, 5), (None, 3)]
+    r.shuffle(edges)
     root = {}
 
     def find(x):
@@ -59,9 +63,9 @@ def test_components_equal_union_find(spark):
         if a is not None and a != b:
             x, y = find(a), find(b)
             root[max(x, y)] = min(x, y)
-    got = sorted(tuple(x) for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    got = sorted(tuple(x) for x in solve(spark.createDataFrame(edges, "a long, b long").repartition(9)).collect())
     assert got == sorted((x, find(x)) for x in list(root))
-    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+    assert solve(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
 def test_empty_and_sql(spark):
