@@ -58,9 +58,8 @@ def mix(docs: DataFrame, seed: str = "mix-1", bucket_rows: int = 20000, cap: int
 
 
 def take(sized: DataFrame, seed: str, bucket_rows: int, cap: int = CAP) -> DataFrame:
-    buckets = F.expr(f"cast((count(*) + {bucket_rows - 1}) div {bucket_rows} as long)")
-    total = sized.agg(F.greatest(buckets, F.lit(1).cast("long")).alias("n_buckets"))
-    b = sized.crossJoin(F.broadcast(total)).withColumn("bucket", md5_int(F.col("doc_id").cast("string")) % F.col("n_buckets")).drop("n_buckets")  # total is a single row
+    n_buckets = max(1, -(-sized.count() // bucket_rows))
+    b = sized.withColumn("bucket", md5_int(F.col("doc_id").cast("string")) % n_buckets)
     key = ["source", "class", "bucket"]
     counts = written(b.groupBy(*key).agg(F.count("*").alias("n"), F.sum("size").alias("words")), "buckets")
     classes = counts.groupBy("source", "class").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))

@@ -292,8 +292,8 @@ def rules(docs: DataFrame, low: float = 2.0, high: float = 3.0, floor: float = 0
     quart = F.expr("percentile_approx(log_ppl, array(0.25D, 0.75D), 10000)")
     scored = s.where("log_ppl is not null and not base_failed").withColumn("lang", F.coalesce("lang", F.lit("")))
     by = scored.groupBy("lang").agg(F.count("*").alias("docs"), quart.alias("q"))
-    overall = scored.agg(quart.alias("all_q"))
-    bands = by.crossJoin(F.broadcast(overall)).withColumn("q", F.when(F.col("docs") >= min_docs, F.col("q")).otherwise(F.col("all_q")))  # a single row
+    overall = scored.agg(quart.alias("q")).first()["q"] or [0.0, 0.0]
+    bands = by.withColumn("q", F.when(F.col("docs") >= min_docs, F.col("q")).otherwise(F.array(*[F.lit(x) for x in overall])))
     bands = bands.select(F.col("lang").alias("band_lang"), F.expr("q[0]").alias("q1"), F.expr("q[1]").alias("q3"), F.greatest(F.expr("q[1] - q[0]"), F.lit(floor)).alias("spread"))
     out = s.join(bands, F.coalesce(s["lang"], F.lit("")) == bands["band_lang"], "left").drop("band_lang")
     wide = F.col("spread") * F.sqrt(1 + short / F.greatest(F.col("n_words"), F.lit(1)))
