@@ -1,4 +1,5 @@
 import itertools
+from collections import Counter
 
 import pytest
 
@@ -19,7 +20,7 @@ def test_held_out_pages(weights):
         clean = page.replace("\x02", "").replace("\x03", "")
         a = h.extract(clean, weights).split()
         b = h.extract("<main>" + inner + "</main>", weights).split()
-        hit += sum((__import__("collections").Counter(a) & __import__("collections").Counter(b)).values())
+        hit += sum((Counter(a) & Counter(b)).values())
         want += len(b)
         got += len(a)
     assert hit >= 0.97 * want and hit >= 0.97 * got
