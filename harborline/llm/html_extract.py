@@ -5,9 +5,10 @@ scan finds the contiguous run of tokens with the greatest sum, and the text in i
 
 Weights. `labelled_pages` makes pages whose content is known (from templates, by a fixed seed, at most `most` pages).
 From them: the log odds that words under an element lie in the content, by the element's name and by the words of its
-class, id and role; elements whose odds are low (navigation, footers, notices, adverts, forms, comments...) are one
-negative token each, whatever they hold. The odds of words by where they stand (inside an article, outside one on a
-page that has one, on a page without) and of tags give the other tokens' scores.
+class, id and role, added up. Outside articles, elements whose odds are low (navigation, footers, notices, adverts, forms,
+comments...) are one negative token each, whatever they hold; inside an article they are read, and lower the scores of
+their words. The odds of words by where they stand (inside an article, outside one on a page that has one, on a page
+without) and of tags give the other tokens' scores.
 """
 
 from __future__ import annotations
@@ -114,6 +115,7 @@ PART_NAMES = {
     "section": "comments comment reply replies discussion disqus respond reviews",
 }
 CONTENT_NAMES = "content article post entry story body text main page container wrapper column lead intro row inner"
+WRAPPER_NAMES = "page wrapper site layout with has no container outer wrap col row grid main left right body"
 
 
 def labelled_pages(most: int = 300, seed: int = 11) -> list[tuple[str, str]]:
@@ -130,27 +132,57 @@ def labelled_pages(most: int = 300, seed: int = 11) -> list[tuple[str, str]]:
         inner = {"nav": menu, "form": lambda: f"<label>{text(1, 4)}</label><input name=q><button>{word()}</button>"}.get(tag, lambda: r.choice((menu, lambda: f"<p>{text(3, 40)}</p>", lambda: text(2, 30)))())()
         return f"<{shown}{attr}>{inner}</{shown}>"
 
+    parts = sorted({x for names in PART_NAMES.values() for x in names.split()})
+
+    def heading(level, words):
+        k = r.random()
+        attr = "" if k < 0.5 else f' id="{word()}"' if k < 0.75 else f' {r.choice(("class", "id"))}="{r.choice(parts)}"'
+        return f"<{level}{attr}>{words}</{level}>"
+
+    def linked(words):  # with links around some of the words
+        out = words.split()
+        for _ in range(r.randrange(1, 4)):
+            i = r.randrange(len(out))
+            j = min(len(out), i + r.randrange(1, 6))
+            if not any("<" in x for x in out[i:j]):
+                out[i:j] = [f'<a href="/{word()}">{" ".join(out[i:j])}</a>']
+        return " ".join(out)
+
+    def grouped(pieces):  # in sections, or in wrappers whose names are mixed
+        out = []
+        while pieces:
+            n = r.randrange(1, 6)
+            some = "".join(pieces[:n])
+            k = r.random()
+            names = " ".join(r.sample(WRAPPER_NAMES.split(), 2))
+            mixed = r.choice((names, names.replace(" ", "-"), f"{names} {r.choice(parts)}"))
+            out.append(some if k < 0.5 else f"<section>{some}</section>" if k < 0.75 else f'<section class="{r.choice(CONTENT_NAMES.split())}">{some}</section>' if k < 0.9 else f'<div class="{mixed}">{some}</div>')
+            pieces = pieces[n:]
+        return "".join(out)
+
     def content():
-        out = [f"<h1>{text(1, 9)}</h1>"] if r.random() < 0.8 else []
+        out = [heading("h1", text(1, 9))] if r.random() < 0.8 else []
         for _ in range(r.randrange(1, 14)):
             k = r.random()
             p = text(1, 90)
-            out.append(f"<p>{p}</p>" if k < 0.6 else f"<p><b>{text(1, 9)}</b> {p}<br>{text(1, 20)}</p>" if k < 0.7 else f"<h2>{text(1, 6)}</h2>" if k < 0.78 else f"<ul><li>{text(2, 20)}</li><li>{text(2, 20)}</li></ul>" if k < 0.84 else f'<p>{text(4, 40)} <a href="/x">{text(1, 3)}</a> <em>{word()}</em></p>' if k < 0.93 else f"<blockquote><p>{p}</p></blockquote>")
-        return "".join(out)
+            out.append(f"<p>{p}</p>" if k < 0.6 else f"<p><b>{text(1, 9)}</b> {p}<br>{text(1, 20)}</p>" if k < 0.7 else heading(r.choice(("h2", "h3")), text(1, 6)) if k < 0.78 else f"<ul><li>{text(2, 20)}</li><li>{text(2, 20)}</li></ul>" if k < 0.84 else f"<p>{linked(text(8, 60))} <em>{word()}</em></p>" if k < 0.93 else f"<blockquote><p>{p}</p></blockquote>")
+        return grouped(out) if r.random() < 0.5 else "".join(out)
 
     pages = []
     for _ in range(most):
         inner = content()
         kind = r.random()
-        holder = "article" if kind < 0.6 else "main" if kind < 0.75 else "div"
+        holder = "article" if kind < 0.55 else "main" if kind < 0.7 else "section" if kind < 0.8 else "div"
         attr = f' class="{r.choice(CONTENT_NAMES.split())}"' if holder == "div" or r.random() < 0.3 else ""
+        first = part(r.choice(("nav", "div"))) if holder in MAIN and r.random() < 0.2 else ""
+        last = part(r.choice(("aside", "div", "section", "footer"))) if holder in MAIN and r.random() < 0.4 else ""
         before = [part(r.choice(("nav", "header", "div", "aside", "form"))) for _ in range(r.randrange(0, 4))]
         after = [part(r.choice(("aside", "footer", "div", "section", "form"))) for _ in range(r.randrange(0, 4))]
         if r.random() < 0.3:
             before.append(f"<div>{text(1, 12)}</div>")
         if r.random() < 0.3:
             after.insert(0, f"<div>{text(1, 12)}</div>")
-        pages.append((f"<html><head><title>{text(1, 6)}</title></head><body>{''.join(before)}<{holder}{attr}>\x02{inner}\x03</{holder}>{''.join(after)}</body></html>", inner))
+        pages.append((f"<html><head><title>{text(1, 6)}</title></head><body>{''.join(before)}<{holder}{attr}>{first}\x02{inner}\x03{last}</{holder}>{''.join(after)}</body></html>", inner))
     return pages
 
 
@@ -183,6 +215,7 @@ class Weights:
                             del stack[k:]
                             break
         self.element = {f: math.log((inside[f] + 1) / (outside[f] + 1)) for f in inside.keys() | outside.keys()}
+        self.prior = math.log((sum(words_in.values()) + 1) / (sum(words_out.values()) + 1))
         self.word = {k: math.log((words_in[k] + 1) / (words_out[k] + 1)) for k in ("main", "beside", "none")}
         self.tag = {k: min(-0.02, max(-3.0, math.log((tags_in[k] + 1) / (tags_out[k] + 1)))) for k in tags_in.keys() | tags_out.keys()}
 
@@ -190,13 +223,16 @@ class Weights:
     def place(has_main: bool, inside: bool) -> str:
         return "main" if inside else "beside" if has_main else "none"
 
+    def odds(self, name: str, attributes: str) -> float:
+        """Log odds that words under an element are content: the prior, and what each known feature adds to it; 0 for those that hold a whole page or article."""
+        if name in MAIN or name in ("html", "body"):
+            return 0.0
+        known = [self.element[f] for f in features(name, attributes) if f in self.element]
+        return self.prior + sum(x - self.prior for x in known) if known else 0.0
+
     def is_part(self, name: str, attributes: str) -> bool:
-        """Whether an element is one that does not hold content."""
-        if name in RAW:
-            return True
-        if name in MAIN or name in ("html", "body", "head"):
-            return name == "head"
-        return min(self.element.get(f, 0.0) for f in features(name, attributes)) < -2
+        """Whether an element outside articles is one that does not hold content."""
+        return name in RAW or name == "head" or self.odds(name, attributes) < -2
 
 
 def extract(page: str | None, weights: Weights) -> str:
@@ -205,6 +241,8 @@ def extract(page: str | None, weights: Weights) -> str:
         return ""
     scored: list[tuple[float, str | None]] = []  # score and text; None for a block's edge, '' for an inline tag
     skip, depth, main = "", 0, 0
+    under: list[tuple[str, float]] = []  # open elements, and the least odds of each and those around it
+    opened: Counter = Counter()
     low = page.lower()
     has_main = "<article" in low or "<main" in low
     for t in tokens(page):
@@ -222,16 +260,26 @@ def extract(page: str | None, weights: Weights) -> str:
         if kind == "text":
             text = _html.unescape(t[1])
             n = len(_WORD.findall(text))
-            scored.append((n * weights.word[weights.place(has_main, main > 0)], text))
+            scored.append((n * (weights.word[weights.place(has_main, main > 0)] + (under[-1][1] if under else 0.0)), text))
             continue
         name = t[1]
         if name in MAIN:
             main = max(0, main + (1 if kind == "open" else -1))
-        elif kind == "open" and not (name == "header" and main) and weights.is_part(name, t[2]):
+        elif kind == "open" and (name in RAW or not main and weights.is_part(name, t[2])):
             scored.append((weights.tag.get(name, -1.0), None if name not in INLINE else " "))
             if name not in VOID and not t[2].endswith("/"):
                 skip, depth = name, 1
             continue
+        if kind == "close":
+            while opened[name]:  # what was left open inside it is closed with it
+                last = under.pop()[0]
+                opened[last] -= 1
+                if last == name:
+                    break
+        elif name not in VOID and not t[2].endswith("/"):
+            odds = 0.0 if name == "header" and main else weights.odds(name, t[2])
+            under.append((name, 0.0 if name in MAIN else min(under[-1][1] if under else 0.0, odds)))
+            opened[name] += 1
         scored.append((weights.tag.get(name, -0.5), (" " if name in ("br", "wbr") else "") if name in INLINE else None))
     best, total, begin, region = 0.0, 0.0, 0, (0, 0)
     for i, (score, _) in enumerate(scored):

@@ -1,4 +1,6 @@
+import html
 import itertools
+import re
 from collections import Counter
 
 import pytest
@@ -67,3 +69,41 @@ def test_rows(spark, weights):
     by = {x.page_id: x.text for x in got}
     assert by[1] == by[2] == "" and by[3] == "é\U0001f600 text" and by[4].count("\n\n") == 19999
     assert h.main_text(spark.createDataFrame([], SCHEMA), weights).collect() == []
+
+
+def words_of(inner):
+    return html.unescape(re.sub("<[^>]*>", " ", inner)).split()
+
+
+def test_held_out_pages_against_the_known_text(weights):
+    """Sections, links, headings with ids and wrappers stand in the content; its words are known without extract()."""
+    hit = want = got = linked = links = 0
+    pages = h.labelled_pages(300, seed=42)
+    assert all(any(x in inner for _, inner in pages) for x in ("<section", "<a ", ' id="', '<div class="'))
+    for page, inner in pages:
+        a, b = Counter(h.extract(page.replace("\x02", "").replace("\x03", ""), weights).split()), words_of(inner)
+        hit += sum((a & Counter(b)).values())
+        want += len(b)
+        got += sum(a.values())
+        under = Counter(words_of(" ".join(re.findall("<a .*?</a>", inner))))
+        links += sum(under.values())
+        linked += sum((a & under).values())
+    assert hit >= 0.97 * want and hit >= 0.97 * got and links > 500 and linked >= 0.97 * links
+
+
+BODY = "<p>The council met on Monday and agreed a plan for the harbour.</p><p>Read <a href='/x'>the full report</a> and <a href='/y'>its annex</a> for more detail.</p>"
+
+
+@pytest.mark.parametrize("inner", [
+    BODY, f"<section>{BODY}</section>", f"<h2 id='contact'>Who to ask</h2>{BODY}", f"<h2 id='top'>One</h2><section class='intro'>{BODY}</section><section id='related'>{BODY}</section>",
+    f"<div class='page-wrapper search'>{BODY}</div>",
+])
+@pytest.mark.parametrize("holder", ["article", "main"])
+def test_parts_and_links_inside_an_article_are_read(weights, holder, inner):
+    page = f"<html><body><nav><a href='/'>Home</a></nav><{holder}>{inner}</{holder}><footer>me</footer></body></html>"
+    assert h.extract(page, weights).split() == words_of(inner)
+
+
+@pytest.mark.parametrize("inner", [BODY, f"<section>{BODY}</section>", f"<div class='page-wrapper search'>{BODY}</div>"])
+def test_pages_without_an_article(weights, inner):
+    assert h.extract(f"<html><body><nav><a href='/'>Home</a></nav>{inner}</body></html>", weights).split() == words_of(inner)
