@@ -5,8 +5,9 @@ steps on a small labelled table made from templates (`labelled_rows`, at most `m
 numpy, many word sequences at once. A labelled run becomes a span if it does not touch a base span and its form holds
 (digits of a phone, Luhn sum of a card, four parts of an address, a domain of an email).
 
-Words without a digit, an @ or an at/dot word near them are never labelled: the field decodes each such trigger word
-with `REACH` words on either side, and takes the rest as outside.
+Words without a digit, an @ or an at/dot near them (words of their own, or in brackets within a word) are never labelled:
+the field decodes each such trigger word with `REACH` words on either side, and takes the rest as outside. No form that
+holds is without a trigger word.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ LABELS = ("outside", *KINDS)
 REACH = 4
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_TRIGGER_BYTES = re.compile(rb"[0-9@]|[\[({<]\s?at\s?[\])}>]|\sdot\s", re.I)
-_TRIGGER = re.compile(r"[0-9@]|^[\[({<]?(?:at|dot)[\])}>]?$", re.I)
+# All that holds() accepts has a match in one of its words: digits, an @, or an at between brackets or spaces of any kind.
+_TRIGGER = re.compile(r"[\d@]|(?:^|[\[({<\s])(?:at|dot)(?=$|[\])}>\s])", re.I)
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
@@ -331,7 +332,7 @@ def field_spans(texts: list[str | None], bases: list[list], field: Field) -> lis
 
 def find(texts: list[bytes | None], field: Field) -> list[tuple[list, list]]:
     """(base spans, all spans) of each UTF-8 text; spans are (kind, start, end) in code points, by kind and start."""
-    decoded = [t.decode() if t and _TRIGGER_BYTES.search(t) else None for t in texts]
+    decoded = [s if t and _TRIGGER.search(s := t.decode()) else None for t in texts]
     bases = [base_spans(t) if t else [] for t in decoded]
     added = field_spans(decoded, bases, field)
     return [(b, sorted(b + a, key=lambda s: (KINDS.index(s[0]), s[1])) if a else b) for b, a in zip(bases, added, strict=True)]

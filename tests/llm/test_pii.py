@@ -85,3 +85,33 @@ def test_the_field_adds_spans_and_keeps_base_ones(spark, field):
 def test_empty(spark, field):
     assert pii.personal_data(documents(spark, []), field).collect() == []
     assert pii.redacted(documents(spark, []), field).collect() == []
+
+
+FORMS = (("@", "."), (" at ", " dot "), (" [at] ", " [dot] "), (" (at) ", " (dot) "), ("[at]", "[dot]"), ("(at)", "."), (" [at] ", "."), (" at ", "."))
+
+
+@pytest.mark.parametrize("at,dot", FORMS)
+def test_every_form_is_decoded_without_digits_near_by(field, at, dot):
+    """The triggers hide none of the forms: most made addresses are found."""
+    r = random.Random(8)
+    w = lambda: "".join(r.choice("bcdlmnprsaeiou") for _ in range(r.randrange(3, 9)))
+    texts, wants = [], []
+    for _ in range(60):
+        name = r.choice((w(), f"{w()}.{w()}", f"{w()}_{w()}")) + at + r.choice((f"{w()}.com", f"{w()}.example.net", f"mail.{w()}.org")).replace(".", dot)
+        before = " ".join(w() for _ in range(r.randrange(6, 9))) + " email "
+        texts.append(f"{before}{name} {' '.join(w() for _ in range(6))}")
+        wants.append(("email", len(before), len(before) + len(name)))
+    found = [every for _, every in pii.find([t.encode() for t in texts], field)]
+    assert sum(want in f for want, f in zip(wants, found, strict=True)) >= 0.9 * len(texts)
+
+
+def test_what_holds_has_a_trigger():
+    r = random.Random(9)
+    parts = ["a", "B.c", "at", "AT", "dot", "@", ".", "com", " ", "\n", "\xa0", "\x1c", " ", "[", "]", "(", ")", "{", "}", "<", ">", "[at]", "(dot)", " at ", " at ", "x.org", "x.org", "b.com"]
+    held = 0
+    for _ in range(300_000):
+        text = "".join(r.choice(parts) for _ in range(r.randrange(3, 8)))
+        if pii.holds("email", text):
+            held += 1
+            assert any(pii._TRIGGER.search(x) for x in pii._WORD.findall(text)) and pii._TRIGGER.search(text), repr(text)
+    assert held > 100
