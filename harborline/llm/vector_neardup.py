@@ -3,7 +3,8 @@
 Each pass hashes a vector to a 64-bit word of signs of random projections and orders the vectors of a label by it, so
 that alike vectors tend to stand close. Every vector is compared with its next `window` neighbours; verified pairs of
 all passes are united. A partition hands its first and last rows to its neighbours, so windows reach across. A pass is
-one range partitioning by (pass, label, word, row), which splits even a group of equal vectors.
+one range partitioning by (pass, label, word, row). Equal vectors go through the passes as one row, so copies do not fill
+windows; the number of passes follows from the count of the largest label (`passes_for`).
 
 The passes give components. Links inside a component are then counted exactly: members within half the threshold angle
 of the component's mean direction are all linked to each other (triangle inequality of angles), so they are counted, not
@@ -235,6 +236,20 @@ def count_links(members: DataFrame, threshold: float) -> DataFrame:
     return inner.union(tiled).groupBy("row").agg(F.sum("n").alias("n_links"))
 
 
+def passes_for(n: int, threshold: float, window: int, missed: float = 0.001) -> int:
+    """Passes after which a pair at the threshold is missed with that chance, among n vectors without a common direction.
+
+    A pair meets in a pass if it shares the first log2(n / window) signs, each with the chance 1 - angle / pi.
+    """
+    alike = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    meets = alike ** math.log2(max(1.0, n / window))
+    if meets >= 1 - missed:
+        return 1
+    if meets <= 0:
+        raise ValueError("threshold: no pass brings pairs of this angle together")
+    return math.ceil(math.log(missed) / math.log1p(-meets))
+
+
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, passes: int = 20, window: int = 24, seed: int = 7) -> DataFrame:
     """One row for each vector: vec_id, n_links, component_id, kept (it is its component's smallest vec_id).
 
@@ -242,13 +257,20 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, passes: int
     precision). Vectors that are null, empty, zero or hold null or non-finite components link with nothing. Equal vectors
     link like others. A repeated vec_id gives a row each time; its rows link with each other as any two vectors would.
     Pairs of two components the passes did not bring together may be missed: at 0.93, each pass finds about 30 % of the pairs
-    of 17,000 vectors of a label, twenty passes 99.9 %. Empty tables give no rows; further columns are ignored.
+    of 17,000 vectors of a label, twenty passes 99.9 %. passes is the least number; larger labels take as many more as keep
+    those 99.9 %, unless their vectors share a direction. Empty tables give no rows; further columns are ignored.
     """
     e = embeddings.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
     e = written(e, "vectors")
     valid = e.where("label is not null and embedding is not null").select("row", "label", "embedding").mapInArrow(_directions, "row long, label long, dim int, unit binary").where("unit is not null")
     valid = written(valid, "directions")
-    found = components(linked(valid, threshold, passes, window, seed)).toDF("row", "component")
+    keyed = valid.select("row", "label", "dim", F.sha2("unit", 256).alias("key"))
+    first = written(keyed.groupBy("label", "dim", "key").agg(F.min("row").alias("first"), F.count("*").alias("n")), "different")
+    largest = first.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
+    passes = max(passes, passes_for(largest, threshold, window))
+    copies = keyed.join(first.where("n > 1"), ["label", "dim", "key"]).where("row <> first").select(F.col("row").alias("a"), F.col("first").alias("b"))
+    different = written(valid.join(first.select(F.col("first").alias("row")), "row", "left_semi"), "ones")
+    found = components(linked(different, threshold, passes, window, seed).union(copies)).toDF("row", "component")
     found = written(found, "components")
     members = written(found.join(valid.select("row", F.expr("substring(unit, 1, dim * 8)").alias("unit")), "row"), "members")
     n = count_links(members, threshold)

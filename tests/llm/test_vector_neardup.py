@@ -67,3 +67,22 @@ def test_recall_on_one_large_label(spark, dim):
     assert len(linked) > 300
     assert len(set(linked) & set(got)) >= 0.9 * len(linked)
     assert all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
+
+
+def test_copies_do_not_fill_windows(spark):
+    """Twenty different vectors of 40 copies each, fewer than a window: one pass compares all of them."""
+    r = np.random.RandomState(4)
+    base = [v + r.standard_normal(16) * 0.2 for v in r.standard_normal((4, 16)) for _ in range(5)]
+    rows = [(40 * i + k, v.astype(np.float32).tolist(), 0) for i, v in enumerate(base) for k in range(40)]
+    got = sorted(tuple(x) for x in vector_neardup.near_duplicates(table(spark, rows), 0.93, passes=1).collect())
+    assert got == brute(rows, 0.93)
+
+
+def test_passes_grow_with_the_label(spark):
+    assert vector_neardup.passes_for(17_000, 0.93, 24) == 20 and vector_neardup.passes_for(24, 0.93, 24) == 1
+    r = np.random.RandomState(5)
+    base = r.standard_normal((1000, 32))
+    rows = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(np.concatenate((base, base + r.standard_normal((1000, 32)) * 0.36)))]
+    got = {tuple(x) for x in vector_neardup.near_duplicates(table(spark, rows), 0.93, passes=1, window=2).collect()}
+    linked = [w for w in brute(rows, 0.93) if w[1]]
+    assert len(linked) > 200 and sum(w in got for w in linked) >= 0.9 * len(linked)
