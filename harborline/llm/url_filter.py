@@ -36,16 +36,40 @@ def address(url):
     return F.when(F.instr(url, "://") > 0, full)
 
 
+def plain(value):
+    """An attribute's value with the character references of &, quotes, /, = and ? decoded, &amp; last."""
+    for pattern, to in ((r"&(?:#0*47|#x0*2f|sol);", "/"), (r"&(?:#0*61|#x0*3d|equals);", "="), (r"&(?:#0*63|#x0*3f|quest);", "?"), (r"&(?:quot|#0*34|#x0*22);", '"'), (r"&(?:apos|#0*39|#x0*27);", "'"), (r"&(?:amp|#0*38|#x0*26);", "&")):
+        value = F.regexp_replace(value, "(?i)" + pattern, to)
+    return value
+
+
+def resolved(base, to):
+    """A link's target as an absolute url, on the url of its page: RFC 3986 for hierarchical urls; other schemes (no ://) stay as they are."""
+    scheme, host = F.regexp_extract(base, r"(?s)^(.*?://)", 1), host_of(base)
+    target_path, tail = F.regexp_extract(to, r"(?s)^([^?#]*)", 1), F.regexp_extract(to, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.regexp_extract(path_of(base), r"(?s)^(.*/)", 1)
+    merged = F.when(to.startswith("/"), target_path).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), target_path))
+    # segments in order: . stays nowhere, .. takes the last away; a . or .. at the end leaves a folder
+    parts = F.slice(F.split(merged, "/"), 2, 1 << 30)
+    walked = F.aggregate(parts, F.array().cast("array<string>"), lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(x))))
+    path = F.concat(F.lit("/"), F.array_join(walked, "/"))
+    path = F.when(merged.rlike(r"/\.\.?$") & ~path.endswith("/"), F.concat(path, F.lit("/"))).otherwise(path)
+    same = F.when(path_of(base) == "", F.lit("/")).otherwise(path_of(base))
+    query = F.regexp_extract(base, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
+    relative = F.when(to.startswith("?"), F.concat(same, to)).when(to.startswith("#"), F.concat(same, query)).otherwise(F.concat(path, tail))
+    return F.when(to.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), to).when(to.startswith("//"), F.concat(F.lit("http:"), to)).otherwise(F.concat(scheme, host, relative))
+
+
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): addresses tied by a canonical link or an immediate redirect in a page; relative targets on the page's host."""
+    """(a, b): addresses tied by the canonical links and immediate redirects of a page; relative targets resolved on the page's url."""
     h, u = F.col(html), F.col(url)
     attr = r"""(?is)<(?:link)\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
-    move = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*['"]?\s*([^"'\s>;]+)"""
+    move = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*['"]?\s*([^"'\s>;]+(?:;[^"'\s>;]+)*)"""
     named = F.lower(h).contains("canonical") | F.lower(h).contains("refresh")
-    targets = pages.where(named & h.isNotNull() & u.isNotNull()).select(u.alias("from_url"), F.explode(F.array(F.regexp_extract(h, attr, 1), F.regexp_extract(h, move, 1))).alias("to")).where("to <> ''")
-    scheme = F.regexp_extract("from_url", r"^(.*?://)[^/?#]*", 1)
-    absolute = F.when(F.col("to").startswith("//"), F.concat(F.lit("http:"), F.col("to"))).when(F.col("to").startswith("/"), F.concat(scheme, host_of(F.col("from_url")), F.col("to"))).otherwise(F.col("to"))
-    return targets.select(address(F.col("from_url")).alias("a"), address(absolute).alias("b")).where("a is not null and b is not null")
+    every = F.concat(F.regexp_extract_all(h, F.lit(attr), F.lit(1)), F.regexp_extract_all(h, F.lit(move), F.lit(1)))
+    targets = pages.where(named & h.isNotNull() & u.isNotNull()).select(u.alias("from_url"), F.explode(every).alias("to")).where("to <> ''")
+    targets = targets.select("from_url", plain(F.col("to")).alias("to"))
+    return targets.select(address(F.col("from_url")).alias("a"), address(resolved(F.col("from_url"), F.col("to"))).alias("b")).where("a is not null and b is not null")
 
 
 def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:

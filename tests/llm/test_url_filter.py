@@ -74,3 +74,27 @@ def test_empty_and_sql(spark):
     assert url_filter.judge(spark.createDataFrame([], SCHEMA), url_filter.rule_table(spark)).collect() == []
     sf = "/root/testdata/sf0.001"
     assert difference(op6_url_filters(spark, sf), sf, url_filter.ORACLE_SQL) is None
+
+
+BASE = "http://Ex.org/a/b/c.html?q=1#f"
+TARGETS = ["next.html", "../x", "../../../x?p=/../y", "./", "..", ".", "?p=2", "?a=1&amp;b=2", "#top", "/abs/./d/../e", "//net/es/", "https://o.org/z?a=1&#38;b=2", "d/e/", "HTTP://Up.org"]
+
+
+def test_every_link_of_a_page_is_resolved(spark):
+    """Against urllib, for canonical links and redirects; several of them stand in one page."""
+    import html
+    from urllib.parse import urljoin
+
+    head = "".join(f'<link rel="canonical" href="{t}"><meta http-equiv="refresh" content="0; url={t.replace("p=2", "p=3")}">' for t in TARGETS)
+    want = set()
+    for base in (BASE, "http://ex.org", "http://ex.org/d/"):
+        got = {tuple(x) for x in url_filter.links(spark.createDataFrame([(base, head)], "url string, html string")).collect()}
+        for t in [*TARGETS, "?p=3"]:
+            full = urljoin(base.replace("ex.org?", "ex.org/?"), html.unescape(t))
+            scheme, rest = full.split("#")[0].split("://")
+            host, slash, path = rest.partition("/")
+            if "?" in host:
+                host, _, query = host.partition("?")
+                slash, path = "/", "?" + query
+            want.add((next(iter(got))[0], host.lower() + "/" + path))
+        assert got == {w for w in want if w[0] == next(iter(got))[0]}, base
