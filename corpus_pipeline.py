@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 from harborline.llm import jaccard_join, mixing, packing, pii, quality
 from harborline.llm.common import table, written
 
+ROW = "document_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a written row number: ids may be null or repeated, so stages and joins go by rows."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose perplexity lies in their language's band."""
-    kept = quality.rules(docs).where("kept").select("doc_id").distinct()
-    return docs.join(written(kept, "kept"), "doc_id", "left_semi").select(*docs.columns)
+    rows = numbered(docs)
+    kept = quality.rules(rows.withColumn("doc_id", F.col(ROW))).where("kept").select(F.col("doc_id").alias(ROW))
+    return rows.join(written(kept, "kept"), ROW, "left_semi").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +31,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Five-word shingles, Jaccard similarity 0.8 or more.
     """
-    first = jaccard_join.join(docs, k=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(written(first, "first"), "doc_id", "left_semi").select(*docs.columns)
+    rows = numbered(docs)
+    groups = jaccard_join.join(rows.withColumn("doc_id", F.col(ROW)), k=5, percent=80).select(F.col("doc_id").alias(ROW), "component_id")
+    named = written(groups, "groups").join(rows.select(ROW, "doc_id"), ROW)
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
+    return rows.join(written(first, "first"), ROW, "left_semi").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +45,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, none to CAP times."""
-    copies = mixing.mix(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    each = docs.join(written(copies, "copies"), "doc_id")
+    rows = numbered(docs)
+    copies = mixing.mix(rows, carry=(ROW,)).where("copies > 0").select(ROW, "copies")
+    each = rows.join(written(copies, "copies"), ROW)
     return each.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
 
 

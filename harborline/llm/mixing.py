@@ -43,21 +43,21 @@ def targets(sizes: DataFrame, cap: int = CAP) -> DataFrame:
     return w.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, seed: str = "mix-1", bucket_rows: int = 20000, cap: int = CAP) -> DataFrame:
+def mix(docs: DataFrame, seed: str = "mix-1", bucket_rows: int = 20000, cap: int = CAP, carry: tuple = ()) -> DataFrame:
     """One row for each document: doc_id, source, size, source_size, target, copies, taken (size x copies).
 
     size: words of the text (null text: 0). A null source is a source of its own, last in order. A source whose
     documents hold no words has target 0 and no copies. Repeated doc_ids are documents of their own; rows that are
     alike in id and size may swap copies, which leaves the result the same. Empty tables give no rows; further
-    columns are ignored.
+    columns are ignored, but those named in carry are handed on. Null ids make a bucket of their own, last in order.
     """
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
+    sized = docs.select(*carry, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
     sized = sized.withColumn("class", F.floor(F.log2(F.col("size") + 1.0) * 4).cast("int"))
     sized = written(sized, "sizes")
-    return take(sized, seed, bucket_rows, cap)
+    return take(sized, seed, bucket_rows, cap, carry)
 
 
-def take(sized: DataFrame, seed: str, bucket_rows: int, cap: int = CAP) -> DataFrame:
+def take(sized: DataFrame, seed: str, bucket_rows: int, cap: int = CAP, carry: tuple = ()) -> DataFrame:
     n_buckets = max(1, -(-sized.count() // bucket_rows))
     b = sized.withColumn("bucket", md5_int(F.col("doc_id").cast("string")) % n_buckets)
     key = ["source", "class", "bucket"]
@@ -69,16 +69,16 @@ def take(sized: DataFrame, seed: str, bucket_rows: int, cap: int = CAP) -> DataF
     before = Window.partitionBy("source").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
     classes = classes.select(F.col("source").alias("s1"), F.col("class").alias("c1"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("class_before"))
     goal = goal.withColumnRenamed("source", "s2")
-    inside = Window.partitionBy("source", "class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "class").orderBy(F.col("bucket").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("bucket_before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     offsets = offsets.join(classes, F.col("source").eqNullSafe(F.col("s1")) & (F.col("class") == F.col("c1"))).join(goal, F.col("source").eqNullSafe(F.col("s2")))
     offsets = offsets.select(F.col("source").alias("s"), F.col("class").alias("c"), F.col("bucket").alias("k"), (F.col("class_before") + F.col("bucket_before")).alias("before"), "source_size", "target", "rate", "start")
     row = F.row_number().over(Window.partitionBy("source", "class", "bucket").orderBy("size", "doc_id"))
-    placed = b.withColumn("row", row).join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("class") == F.col("c")) & (F.col("bucket") == F.col("k")))
+    placed = b.withColumn("row", row).join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("class") == F.col("c")) & F.col("bucket").eqNullSafe(F.col("k")))
     at = F.col("before") + F.col("row")
     placed = placed.withColumn("copies", (F.floor(F.col("rate") * at + F.col("start")) - F.floor(F.col("rate") * (at - 1) + F.col("start"))).cast("long"))
     placed = placed.withColumn("copies", F.least(F.col("copies"), F.lit(cap).cast("long")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    return placed.select(*carry, "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 ORACLE_SQL = """

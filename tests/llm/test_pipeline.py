@@ -1,7 +1,9 @@
+import random
+
 import corpus_pipeline
 from harborline.llm import mixing, pii, quality
 
-from .helpers import documents, edge_rows
+from .helpers import documents, edge_rows, sentence
 from .test_jaccard_join import brute
 from .test_packing import tokenizer
 
@@ -47,3 +49,18 @@ def test_edges(spark):
         docs = documents(spark, rows).select(*columns)
         for name, stage in corpus_pipeline.STAGES:
             stage(spark, docs, SF).collect()
+
+
+def test_null_and_repeated_ids(spark):
+    """Rows count, not ids: one of each group of near-duplicates stays, and the mix gives each row its own copies."""
+    r = random.Random(12)
+    a, b, c = (sentence(r, 60, 5000) for _ in range(3))
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = [(9, a, "en", "web"), (9, a, "en", "web"), (9, b, "en", "web"), (None, c, "en", "web"), (None, c, "en", "web"), (4, c, "en", "web"), (None, sentence(r, 60, 5000), "en", "books")]
+    by = dict(corpus_pipeline.STAGES)
+    docs = documents(spark, rows).select(*columns)
+    kept = by["near_duplicates"](spark, docs, SF).collect()
+    assert sorted((x.doc_id or 0, x.text) for x in kept) == sorted([(9, a), (9, b), (4, c), (0, rows[-1][1])])
+    mixed = mixing.mix(docs).collect()
+    assert sorted(x.doc_id or 0 for x in mixed) == sorted(x[0] or 0 for x in rows)
+    assert by["mix_sources"](spark, docs, SF).count() == sum(x.copies for x in mixed)
