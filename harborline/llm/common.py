@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 import numpy as np
@@ -27,13 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one is set only where the session has none."""
+    """The shared folder of spark.checkpoint.dir; where the session has none, a local session gets a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = set_dir.get() if set_dir.isDefined() else None
     if not root:
-        root = f"/tmp/checkpoints/{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
@@ -43,7 +46,16 @@ def written(df: DataFrame, what: str = "part") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/harborline-{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._harborline_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what `written` wrote, once nothing that is still to be computed reads it."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._harborline_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

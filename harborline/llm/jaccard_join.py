@@ -1,23 +1,23 @@
-"""N-gram Jaccard join: an exact join in the metric space of shingle sets (distance 1 - Jaccard).
-
-First regions. Nearly all texts lie at distance 1 from nearly any other, so whole documents do not part them as
-pivots. The first pivots are therefore slices of the shingle universe: for sets of up to `hi` shingles, two within the
-distance `radius` differ in fewer than m shingles, so of m hash slices at least one holds the same shingles in both.
-Region (size window, slice, content of the slice) is the cell of points at distance 0 from its pivot; a set stands in
-the window of its own size and in the one below, so a linked pair always shares a region, and texts of no likeness
-hardly ever do.
-
-Inside a region. The smallest member is its pivot, and each member's exact distance to it is measured. Members within
-the radius are linked to the pivot, hence joined to each other, without comparing them (a group of a thousand near
-copies takes a thousand distances). A region whose members are all joined is done. Others go on: small ones compare all
-pairs not joined yet; larger ones choose several pivots, form their Voronoi cells, copy a member into every cell whose
-pivot is at most 2 x radius farther than its own (triangle inequality: its partners can only lie there), and each cell
-is treated the same way. Cells that would hardly shrink are cut into blocks and compared block against block, but for
-pairs whose distances to a pivot differ by more than the radius.
-
-Sketches. Pairs are first compared by 512 bits: each shingle flips one. Bits that differ are at most the shingles that
-differ, so a pair that differs in more bits than linked sets may differ in shingles is left out, exactly; only the
-others' sets are fetched.
+"""N-gram Jaccard join: an exact join in the metric space of shingle sets (distance 1 - Jaccard, radius 1 - percent / 100).
+
+Pruning. Nearly all texts lie at distance 1 from nearly any other. Linked sets differ in at most D shingles, so of
+D + 1 + 2e hash slices of the shingle universe they agree in 2e + 1 at least, and still in one if each drops its e
+lightest. Region (size window, slice, content of the slice): sets that agree there. A set stands in the window of its
+size and in the one below, so linked sets always share a region; a text that nothing resembles shares none and is done.
+
+Regions. The smallest member of a region is its first pivot; members within the radius are linked to it, hence joined
+to each other without comparing them (a thousand near copies take a thousand distances). A region whose members are all
+joined is done. A region of more than LEAF members takes PIVOTS pivots of different groups. Each member's exact distance
+to each is measured; it goes to the Voronoi cell of every pivot at most 2 x radius farther than its nearest one and
+within FAR + radius, and to the far region if its nearest pivot is beyond FAR - radius. By the triangle inequality two
+linked members always meet: if the nearest pivot p of x is within FAR, its partner is at most the radius farther from p,
+and at most 2 x radius farther from p than from its own; if not, both are in the far region. Cells and far regions are
+regions again. LEAF members or fewer compare all pairs not joined yet. Where cells would hardly be smaller than their
+region (their members are about equally far from each other), its members meet in tiles: those outside its largest
+joined group with all others, without pairs whose distances to a pivot differ by more than the radius.
+
+Sketches. 512 bits, each shingle flips one: bits that differ are at most the shingles that differ, so a pair that
+differs in more bits than linked sets may differ in shingles has no link, and only other pairs' sets are fetched.
 """
 
 from __future__ import annotations
@@ -28,11 +28,12 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, blocks, chain, column_bytes, joined, mix, scan_words, written
+from .common import U, blocks, chain, column_bytes, discard, joined, mix, scan_words, written
 from .components import joined_forests
 
-LEAF = 128  # members whose pairs are all compared, by sketches first
+LEAF = 16  # members whose pairs are all compared, by sketches first
 PIVOTS = 4
+FAR = 0.5
 BLOCK = 128
 WORDS = 8
 SKETCH = [f"s{w}" for w in range(WORDS)]  # 64 bits of a set's sketch each
@@ -44,9 +45,19 @@ def difference(n: float, percent: int) -> int:
     return math.floor((1 - t) / t * n + 1e-9)
 
 
-def window_of(n: np.ndarray, percent: int) -> np.ndarray:
-    """Size window of each set size; linked sets lie in the same window or in neighbouring ones."""
-    return np.floor(np.log(np.maximum(n, 1)) / math.log(100 / percent) + 1e-9).astype(np.int64)
+def window_of(n: int, percent: int) -> int:
+    """Size window of a set; linked sets lie in the same window or in neighbouring ones."""
+    return math.floor(math.log(max(n, 1)) / math.log(100 / percent) + 1e-9)
+
+
+def slices_of(window: int, percent: int) -> tuple[int, int]:
+    """Number of slices of a size window and how many a set drops: the empty ones it must expect, and some more."""
+    most = difference((100 / percent) ** (window + 1), percent)
+    if not most:
+        return 0, 0
+    empty = (most + 1) * math.exp(-((100 / percent) ** (window + 0.5)) / (most + 1))
+    drop = max(1, math.ceil(empty + 2 * math.sqrt(empty)))
+    return most + 1 + 2 * drop, drop
 
 
 def doc_shingles(texts: list, k: int):
@@ -86,61 +97,88 @@ def alike(percent: int, x: str = "x", y: str = "y") -> str:
 
 
 def _regions(s: np.ndarray, percent: int) -> np.ndarray:
-    out, w = [], int(window_of(np.array([len(s)]), percent)[0])
-    for window in (w, w - 1):
-        m = difference((100 / percent) ** (window + 1), percent) + 1
+    """Regions of a set: its slices' contents in its own size window and the one below, without the lightest slices."""
+    out, own = [np.zeros(0, U)], window_of(len(s), percent)
+    for window in (own, own - 1):
+        m, drop = slices_of(window, percent)
+        if not m:  # only equal sets can link
+            continue
         slices = (mix(s + U(0x51)) % U(m)).astype(np.int64)
         order = np.argsort(slices, kind="stable")
-        x, at = mix(s[order] ^ U(0xC3)), slices[order]
-        total = np.concatenate((np.zeros(1, U), np.cumsum(x)))
-        ends = np.searchsorted(at, np.arange(m), "right")
-        starts = np.concatenate(([0], ends[:-1]))
+        total = np.concatenate((np.zeros(1, U), np.cumsum(mix(s[order] ^ U(0xC3)))))
+        n = np.bincount(slices, minlength=m)
+        ends = np.cumsum(n)
         tag = U(((window + 9) << 32) & 0xFFFFFFFFFFFFFFFF) + np.arange(m).astype(U)
-        out.append(mix(mix(tag) + (total[ends] - total[starts]) + (ends - starts).astype(U)))
-    return np.concatenate(out).view(np.int64)
+        keys = mix(mix(tag) + (total[ends] - total[ends - n]) + n.astype(U))
+        out.append(keys[np.argsort(n, kind="stable")[drop:]])
+    return np.concatenate(out)
+
 
+def _signed(k: int, percent: int, most_seen: int = 1 << 20):
+    """Rows of two kinds: a document (doc: id, size, sketch; region: any), and a set's regions, once a task for equal sets."""
 
-def _signatures(k: int, percent: int):
     def run(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
 
+        seen, row = set(), (TaskContext.get().partitionId() + 1) << 40  # a task repeated gives the same rows
         for batch in batches:
-            texts = column_bytes(batch.column("text"))
+            ids, texts = batch.column("doc_id").to_pylist(), column_bytes(batch.column("text"))
             for i in range(0, len(texts), 256):
-                ids, ns, classes, regions = batch.column("doc_id").slice(i, 256), [], [], []
-                for s in doc_shingles(texts[i : i + 256], k):
-                    ns.append(len(s))
-                    classes.append(_class(s) if len(s) else None)
-                    regions.append(_regions(s, percent) if len(s) else [])
-                yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(ns, pa.int64()), pa.array(classes, pa.int64()), pa.array(regions, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "class", "regions"])
+                regions, classes, docs = [], [], []
+                for at, s in enumerate(doc_shingles(texts[i : i + 256], k), i):
+                    c = _class(s) if len(s) else None
+                    docs.append((c, [ids[at], len(s), *(_sketch(s).tolist() if c is not None else [])]))
+                    if c is not None and c not in seen:
+                        if len(seen) >= most_seen:
+                            seen.clear()
+                        seen.add(c)
+                        regions.append(_regions(s, percent))
+                        classes.append(np.full(len(regions[-1]), c, np.int64))
+                row += len(docs)
+                spread = mix(np.arange(row - len(docs), row).astype(U)).view(np.int64)
+                names = ["region", "class", "doc"]
+                yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array([c for c, _ in docs], pa.int64()), pa.array([d for _, d in docs], pa.list_(pa.int64()))], names)
+                if classes:
+                    r = np.concatenate(regions).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(r), pa.array(np.concatenate(classes)), pa.nulls(len(r), pa.list_(pa.int64()))], names)
 
     return run
 
 
-def _sets(k: int, wanted):
+def _sets(k: int, docs_bits, class_bits, most_seen: int = 1 << 20):
+    """(class, shingles) of the sets in the bitmaps, once a task; texts are cut only where the first has their id."""
+
     def run(batches):
         import pyarrow as pa
 
-        bits = wanted.value
+        seen: set = set()
         for batch in batches:
-            doc = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            h = mix(doc.astype(U)) % U(len(bits) * 64)
-            keep = np.flatnonzero((bits[(h >> U(6)).astype(np.int64)] >> (h & U(63))) & U(1))
-            if not len(keep):
-                continue
+            column = batch.column("doc_id")
+            known = ~column.is_null().to_numpy(zero_copy_only=False)
+            keep = np.flatnonzero(_in_bits(docs_bits.value, column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) | ~known)
             texts = column_bytes(batch.column("text").take(pa.array(keep)))
             for i in range(0, len(texts), 128):
-                s = list(doc_shingles(texts[i : i + 128], k))
-                sketches = np.array([_sketch(x) for x in s]).reshape(-1, WORDS)
-                yield pa.RecordBatch.from_arrays([pa.array([_class(x) if len(x) else None for x in s], pa.int64()), pa.array([len(x) for x in s], pa.int64()), *[pa.array(sketches[:, w]) for w in range(WORDS)], pa.array([x.view(np.int64) for x in s], pa.list_(pa.int64()))], ["class", "size", *SKETCH, "shingles"])
+                s = [x for x in doc_shingles(texts[i : i + 128], k) if len(x)]
+                c = np.array([_class(x) for x in s], np.int64)
+                wanted = np.flatnonzero(_in_bits(class_bits.value, c))
+                new = [at for at in wanted.tolist() if (x := int(c[at])) not in seen and not seen.add(x)]
+                if len(seen) > most_seen:
+                    seen.clear()
+                if new:
+                    yield pa.RecordBatch.from_arrays([pa.array(c[new]), pa.array([s[at].view(np.int64) for at in new], pa.list_(pa.int64()))], ["class", "shingles"])
 
     return run
 
 
-def _bitmap(ids: DataFrame, most_bits: int = 1 << 26):
-    """A bitmap of hashed ids: a fixed number of bits, at most `most_bits`, so its size has a bound; extra hits cost time only."""
+def _in_bits(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
+    h = mix(x.astype(U)) % U(len(bits) * 64)
+    return ((bits[(h >> U(6)).astype(np.int64)] >> (h & U(63))) & U(1)).astype(bool)
+
+
+def _bitmap(ids: DataFrame, n: int, most_bits: int = 1 << 26):
+    """A bitmap of n hashed ids: at most `most_bits`, so its size has a bound; extra hits cost time only."""
     spark = ids.sparkSession
-    n = ids.count()
     size = min(most_bits, max(1 << 12, 1 << (16 * max(n, 1)).bit_length()))
 
     def run(batches):
@@ -148,7 +186,7 @@ def _bitmap(ids: DataFrame, most_bits: int = 1 << 26):
 
         bits = np.zeros(size // 64, U)
         for batch in batches:
-            h = mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).astype(U)) % U(size)
+            h = mix(batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64).astype(U)) % U(size)
             np.bitwise_or.at(bits, (h >> U(6)).astype(np.int64), U(1) << (h & U(63)))
         at = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits[at].view(np.int64))], ["word", "bits"])
@@ -159,73 +197,80 @@ def _bitmap(ids: DataFrame, most_bits: int = 1 << 26):
     return spark.sparkContext.broadcast(bits)
 
 
-def similarity(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact (a, b, both, either): sizes of intersection and union for each pair of classes."""
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("both"), (F.size("x") + F.size("y")).cast("long").alias("sum"))
-    return both.select("a", "b", "both", (F.col("sum") - F.col("both")).alias("either"))
+def similarity(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """Exact (a, b, both, either): sizes of intersection and union for each pair of classes.
 
-
-def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
+    The pairs' sets, and only theirs, are cut from the texts again and written without a shuffle; each goes to its pairs.
+    """
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class").select("class", "first_doc"), "wanted")
+    n = wanted.count()
+    sets = written(docs.mapInArrow(_sets(k, _bitmap(wanted.select("first_doc"), n), _bitmap(wanted.select("class"), n)), "class long, shingles array<long>"), "sets")
+    x, y = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
+    both = pairs.join(y, "b").join(x, "a").select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("both"), (F.size("x") + F.size("y")).cast("long").alias("sum"))
+    # a set stands in `sets` more than once where tasks share a doc_id
+    out = written(both.distinct().select("a", "b", "both", (F.col("sum") - F.col("both")).alias("either")), "measured")
+    discard(wanted, sets)
+    return out
+
+
+def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = None) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id.
 
     Words are cut at ASCII white space, A-Z lower-cased; a set holds the distinct k-word shingles of the whole text, or
-    the whole word sequence where it is shorter. Sets link when 100 x intersection >= percent x union. component_id is the
-    smallest doc_id reachable by links. Null or empty texts and texts without words have no set and link with nothing.
-    Equal texts are one class, however many. A repeated doc_id gives a row each time it occurs; rows that share an id
-    share a component only through their texts. Empty tables give no rows; further columns are ignored. Shingles and sets
-    are known by 64-bit hashes.
+    the whole word sequence where it is shorter. Sets link when 100 x intersection >= percent x union; pairs at the
+    threshold link. component_id is the smallest doc_id reachable by links. Null or empty texts and texts without words
+    have no set and link with nothing. Equal texts are one class, however many. A repeated doc_id gives a row each time it
+    occurs; rows that share an id share a component only through their texts; null ids take their group's smallest id, if
+    any has one. Very long texts are read whole, one at a time. Empty tables give no rows; further columns are ignored.
+    Shingles and sets are known by 64-bit hashes. counts: a list that takes the numbers of each round, for tests.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = written(d.mapInArrow(_signatures(k, percent), "doc_id long, n_shingles long, class long, regions array<long>"), "signatures")
-    classes = signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_doc"), F.min_by("regions", "doc_id").alias("regions"))
-    classes = written(classes, "classes")
-    members = classes.select("class", F.explode("regions").alias("region"))
-    shared = members.groupBy("region").agg(F.min("class").alias("pivot"), F.max("class").alias("last")).where("pivot < last").drop("last")
-    members = written(members.join(shared, "region"), "regions")
-    label = _resolve(d, classes, members, k, percent)
-    named = classes.select("class", "first_doc").join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    rows = d.mapInArrow(_signed(k, percent), "region long, class long, doc array<long>").repartition("region")
+    region = Window.partitionBy("region")
+    ends = [F.min("class").over(region).alias("pivot"), F.max("class").over(region).alias("last"), F.min(F.xxhash64("class")).over(region).alias("lo"), F.max(F.xxhash64("class")).over(region).alias("hi")]
+    found = written(rows.select("*", *ends).where("doc is not null or pivot < last"), "signatures")
+    signed = found.where("doc is not null").select(F.expr("doc[0]").alias("doc_id"), F.expr("doc[1]").alias("n_shingles"), "class", *[F.expr(f"doc[{2 + i}]").alias(w) for i, w in enumerate(SKETCH)])
+    # regions whose least and greatest members are the same, by two orders, have the same members nearly always: they are one
+    members = written(found.where("doc is null").select(F.xxhash64("pivot", "last", "lo", "hi").alias("region"), "class", "pivot").distinct(), "regions")
+    first = signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_doc"), F.min("n_shingles").alias("size"), *[F.min(w).alias(w) for w in SKETCH])
+    label = _resolve(d, first, members, k, percent, counts)
+    named = signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_doc")).join(label, "class")
     lowest = named.groupBy("label").agg(F.min("first_doc").alias("component_id"))
-    named = named.join(lowest, "label").select(F.col("class").alias("c"), "component_id")
-    out = signed.select("doc_id", "n_shingles", "class").join(named, F.col("class") == F.col("c"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    alone = signed.groupBy("class").agg(F.min("doc_id").alias("component_id"))
+    named = written(named.join(lowest, "label").select("class", "component_id"), "components")
+    one = alone.join(named, "class", "left_anti").union(named).where("class is not null").select(F.col("class").alias("c"), "component_id")
+    out = signed.select("doc_id", "n_shingles", "class").join(one, F.col("class") == F.col("c"), "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _resolve(d: DataFrame, classes: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
+def _resolve(d: DataFrame, first: DataFrame, members: DataFrame, k: int, percent: int, counts: list | None) -> DataFrame:
     """(class, label) once no region holds two classes that are unjoined and unmeasured."""
     spark = d.sparkSession
-    none = spark.createDataFrame([], "class long, label long")
-    if members.isEmpty():
-        return none
-    needed = members.select("class").distinct().join(classes.select("class", "first_doc"), "class")
-    wanted = _bitmap(needed.select("first_doc"))
-    sketch = ", ".join(f"{w} long" for w in SKETCH)
-    sets = d.mapInArrow(_sets(k, wanted), f"class long, size long, {sketch}, shingles array<long>").dropDuplicates(["class"])
-    sets = written(sets.join(needed.select("class"), "class", "left_semi"), "sets")
-    sketches = sets.drop("shingles")
-    label, measured = none, spark.createDataFrame([], "a long, b long, both long, either long")
-    cells = members.select("region", "class")
-    pairs = members.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
+    label = spark.createDataFrame([], "class long, label long")
+    classes = written(first.join(members.select("class").distinct(), "class", "left_semi"), "classes")
+    ids, sketches = classes.select("class", "first_doc"), classes.drop("first_doc")
     x, y = sketches.alias("x"), sketches.alias("y")
-    pairs = pairs.join(x, F.expr("a = x.class")).join(y, F.expr("b = y.class")).where(alike(percent)).select("a", "b")
-    block_pairs = large = None
-    while True:
-        new = written(similarity(pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti"), sets), "measured")
-        measured = measured.unionByName(new)
+    pairs = members.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
+    pairs = written(pairs.join(x, F.expr("a = x.class")).join(y, F.expr("b = y.class")).where(alike(percent)).select("a", "b"), "pairs")
+    cells, ends, measured = members.select("region", "class"), None, None
+    while not pairs.isEmpty() or ends is not None:
+        new = similarity(pairs, d, ids, k)
+        measured = new if measured is None else measured.unionByName(new)
         label = written(joined_forests(measured.where(f"100 * both >= {percent} * either").select("a", "b")).toDF("class", "label"), "labels")
-        if large is not None:
-            block_pairs, cells = _split(large, ends, measured, label, sketches, percent)
+        tiles = None
+        if ends is not None:
+            tiles, cells = _split(ends, measured, label, sketches, percent)
         cells = written(_open(cells, label), "cells")
         small, large = cells.where(f"n <= {LEAF}"), cells.where(f"n > {LEAF}")
-        rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("class", "n")))
-        pivots = large.withColumn("rank", rank).where(f"rank <= {PIVOTS}").select("region", F.col("class").alias("p"), "rank")
-        ends = large.select("region", "class").join(pivots, "region").select("region", "class", "p", "rank", F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b"))
-        ends = written(ends, "ends")
-        pairs = _pairs_inside(small.join(sketches, "class"), alike(percent)).union(ends.where("a <> b").select("a", "b"))
-        pairs = written((pairs if block_pairs is None else pairs.union(block_pairs)).distinct(), "pairs")
-        if pairs.isEmpty():
-            return label
+        ends = None if large.isEmpty() else written(_ends(large), "ends")
+        pairs = _pairs_inside(small.join(sketches, "class"), f"x.label <> y.label and {alike(percent)}")
+        pairs = pairs if ends is None else pairs.union(ends.where("a <> b").select("a", "b"))
+        pairs = pairs if tiles is None else pairs.union(tiles)
+        pairs = written(pairs.distinct().join(measured.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        if counts is not None:
+            counts.append({"leaves": small.select("region").distinct().count(), "voronoi": large.select("region").distinct().count(), "pairs": pairs.count()})
+        cells = large.select("region", "class")
+    return label
 
 
 def _open(cells: DataFrame, label: DataFrame) -> DataFrame:
@@ -235,28 +280,45 @@ def _open(cells: DataFrame, label: DataFrame) -> DataFrame:
     return labelled.join(by.groupBy("n", "h1", "h2").agg(F.min("region").alias("region")).select("region", "n"), "region")
 
 
+def _ends(large: DataFrame) -> DataFrame:
+    """(region, class, label, n, p, a, b): every member of a region with each of its pivots; a, b: the pair in order."""
+    drawn = [F.min(F.struct(F.xxhash64("label", F.lit(i)), F.xxhash64("class"), "class")).getField("class") for i in range(PIVOTS)]
+    pivots = large.groupBy("region").agg(F.array_distinct(F.array(*drawn)).alias("p")).select("region", F.explode("p").alias("p"))
+    return large.join(pivots, "region").select("region", "class", "label", "n", "p", F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b"))
+
+
 def _pairs_inside(cells: DataFrame, more: str) -> DataFrame:
-    """Pairs with different labels in regions of bounded size that meet the condition."""
+    """Pairs in regions of bounded size that meet the condition."""
     x, y = cells.alias("x"), cells.alias("y")
-    both = x.join(y, F.expr("x.region = y.region and x.class < y.class and x.label <> y.label")).where(more)
+    both = x.join(y, F.expr("x.region = y.region and x.class < y.class")).where(more)
     return both.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
 
 
-def _split(large: DataFrame, ends: DataFrame, measured: DataFrame, label: DataFrame, sketches: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Of large cells whose distances to pivots are measured: pairs to measure in those that do not part, and the cells of the others."""
-    radius = 1 - percent / 100
+def _split(ends: DataFrame, measured: DataFrame, label: DataFrame, sketches: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of regions whose distances to pivots are measured: pairs to measure where cells would not part, and the cells of the others."""
+    radius, close = 1 - percent / 100, 1e-9
     distance = measured.select("a", "b", (1 - F.col("both") / F.col("either")).alias("d"))
-    still = _open(large.select("region", "class"), label)
-    ends = ends.join(distance, ["a", "b"], "left").withColumn("d", F.coalesce("d", F.lit(0.0))).join(still.select("region", "class", "label", "n"), ["region", "class"])
-    own = F.min("d").over(Window.partitionBy("region", "class"))
-    inside = ends.withColumn("own", own).where(F.col("d") - F.col("own") <= 2 * radius + 1e-9)
+    at = ends.drop("label").join(distance, ["a", "b"], "left").groupBy("region", "class", "n").agg(F.collect_list(F.struct("p", F.coalesce("d", F.lit(0.0)).alias("d"))).alias("ds"))
+    own = F.array_min(F.transform("ds", lambda v: v["d"]))
+    at = at.join(label, "class", "left").withColumn("label", F.coalesce("label", "class")).withColumn("own", own)
+    reach = F.least(F.lit(FAR + radius), F.col("own") + 2 * radius) + close
+    to = F.concat(F.transform(F.filter("ds", lambda v: v["d"] <= reach), lambda v: v["p"]), F.when(F.col("own") > FAR - radius - close, F.array(F.lit(None).cast("long"))).otherwise(F.array().cast("array<long>")))
+    at = written(at.withColumn("to", to), "distances")
+    inside = at.select("region", "class", "n", F.explode("to").alias("p"))
     counts = inside.groupBy("region", "p").agg(F.count("*").alias("size"), F.max("n").alias("n"))
-    parted = counts.groupBy("region").agg((F.max(F.col("size") / F.col("n")) <= 0.7).alias("parts"))
-    cells = inside.join(parted.where("parts"), "region").select(F.xxhash64("region", "p").alias("region"), "class")
-    # cells whose copies would be nearly whole: blocks of them, each against each, pairs that distances to pivots do not rule out
-    stuck = ends.join(parted.where("not parts"), "region").groupBy("region", "class", "label", "n").agg(F.sort_array(F.collect_list(F.struct("rank", "d"))).alias("ds"))
-    stuck = stuck.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.expr("cast(pmod(xxhash64(class, 7), blocks) as int)"))
-    tiles = stuck.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select(F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "class", "label", "ds").join(sketches, "class")
-    near = f"not exists(zip_with(x.ds, y.ds, (s, t) -> abs(s.d - t.d)), v -> v > {radius + 1e-9})"
-    return _pairs_inside(tiles, f"{alike(percent)} and {near}"), cells
+    parted = written(counts.groupBy("region").agg((F.max(F.col("size") / F.col("n")) <= 0.7).alias("parts")), "parted")
+    cells = inside.join(parted.where("parts"), "region").select(F.xxhash64("region", F.coalesce("p", F.lit(0)), F.col("p").isNull()).alias("region"), "class")
+    # members about equally far from each other: those outside the largest joined group meet all others in tiles
+    stuck = at.join(parted.where("not parts"), "region").select("region", "class", "label", "ds")
+    size = stuck.groupBy("region", "label").agg(F.count("*").alias("size"))
+    size = size.groupBy("region").agg(F.max_by("label", F.struct("size", "label")).alias("most"), F.sum("size").alias("n"), F.max("size").alias("joined"))
+    stuck = stuck.join(size.where("joined < n"), "region").withColumn("rest", F.col("label") != F.col("most"))
+    stuck = stuck.withColumn("rows", F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("joined")) / BLOCK)).cast("int")).withColumn("columns", F.ceil(F.col("n") / BLOCK).cast("int"))
+    row, column = F.expr("cast(pmod(xxhash64(class, 7), rows) as int)"), F.expr("cast(pmod(xxhash64(class, 8), columns) as int)")
+    stuck = stuck.select("region", "class", "label", "rest", "ds", "rows", "columns", row.alias("row"), column.alias("column")).join(sketches, "class")
+    x = stuck.where("rest").withColumn("column", F.explode(F.sequence(F.lit(0), F.col("columns") - 1))).alias("x")
+    y = stuck.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).alias("y")
+    near = f"not exists(x.ds, v -> exists(y.ds, w -> w.p = v.p and abs(v.d - w.d) > {radius + close}))"
+    both = x.join(y, F.expr("x.region = y.region and x.row = y.row and x.column = y.column and x.label <> y.label and (x.class < y.class or not y.rest)"))
+    both = both.where(f"{alike(percent)} and {near}")
+    return both.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")), cells

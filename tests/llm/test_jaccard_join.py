@@ -79,3 +79,20 @@ def test_pairs_at_the_threshold_link(spark):
 
 def test_empty_table(spark):
     assert jaccard_join.join(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
+def test_voronoi_cells_with_production_parameters(spark, k, percent):
+    r = random.Random(5)
+    rows = chained(r, 160, 2 if percent == 90 else 3, 1000) + near_copies(r, sentence(r, 120, 10**6), 60, 5, 2000)
+    counts: list = []
+    got = sorted(tuple(x) for x in jaccard_join.join(documents(spark, rows), k, percent, counts).collect())
+    assert got == brute(rows, k, percent)
+    assert sum(c["voronoi"] for c in counts) > 0 and len(counts) > 1
+
+
+def test_null_and_repeated_ids(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(None, a, "en", "x"), (7, a, "en", "x"), (7, b, "en", "x"), (None, b, "en", "x"), (None, "only one", "en", "x"), (None, None, "en", "x")]
+    got = sorted((str(x), n, str(c)) for x, n, c in jaccard_join.join(documents(spark, rows), 3, 90).collect())
+    assert got == sorted([("None", 38, "7"), ("7", 38, "7"), ("7", 38, "7"), ("None", 38, "7"), ("None", 1, "None"), ("None", 0, "None")])
