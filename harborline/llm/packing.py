@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 END = 0  # id after each document
+SPECIAL = {"<|endoftext|>": 50256}  # the vocabulary's special token
 SEQUENCE = 1024
+BROADCAST_PARTS = 1_000_000  # offsets of 16 bytes, one for each partition; more are joined by a shuffle
 
 
 class Encoder:
@@ -25,10 +27,11 @@ class Encoder:
     A text is cut before every space that stands between two other characters, where the vocabulary's own splitting
     pattern cuts as well, and the pieces' ids are remembered. New pieces are encoded together, in one call, by the same
     vocabulary in rank form, and told apart by their bytes. Memory: at most `most` pieces, then it starts anew. A text
-    with other runs of white space is encoded whole.
+    with other runs of white space is encoded whole. Strings of special tokens in a text stand for their ids, as in the
+    library's plain call; `special` maps them to ids, an empty one makes them ordinary text.
     """
 
-    def __init__(self, vocabulary: str, most: int = 400_000):
+    def __init__(self, vocabulary: str, most: int = 400_000, special: dict | None = None):
         import base64
         import re
 
@@ -41,6 +44,9 @@ class Encoder:
         self.size = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.size[rank] = len(token)
+        self.special = SPECIAL if special is None else special
+        self.parts = re.compile("|".join(map(re.escape, self.special)) or r"(?!)").split
+        self.names = re.compile("|".join(map(re.escape, self.special)) or r"(?!)").findall
         self.odd = re.compile(r" (?:\s|\Z)").search
         self.pieces: dict[str, bytes] = {}
         self.most = most
@@ -59,6 +65,14 @@ class Encoder:
 
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text as little-endian 16-bit numbers; none for null."""
+        marked = [i for i, t in enumerate(texts) if t and any(x in t for x in self.special)]
+        if marked:
+            found = set(marked)
+            out = self.encode([None if i in found else t for i, t in enumerate(texts)])
+            for i in marked:
+                between = [np.array([self.special[x]], "<u2").tobytes() for x in self.names(texts[i])]
+                out[i] = b"".join(x + y for x, y in zip(self.encode(self.parts(texts[i])), [*between, b""], strict=True))
+            return out
         whole = lambda t: np.array(self.encode_ordinary(t), "<u2").tobytes()
         cut = [t.split(" ") if t and not self.odd(t) else None for t in texts]
         if len(self.pieces) > self.most:
@@ -130,7 +144,9 @@ def pack(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENC
     there. Empty tables give no rows; further columns are ignored.
     """
     e = encoded(docs, vocabulary)
-    totals = e.groupBy("part").agg(F.sum("n").alias("total"))  # a row for each partition
+    totals = e.groupBy("part").agg(F.sum("n").alias("total"))  # a row for each partition; one task adds them up
     offsets = totals.select(F.col("part").alias("of_part"), F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    placed = e.join(F.broadcast(offsets), F.col("part") == F.col("of_part")).select("doc_id", (F.col("before") + F.col("offset")).alias("at"), "ids")
+    offsets = written(offsets, "offsets")
+    few = F.broadcast(offsets) if offsets.count() <= BROADCAST_PARTS else offsets
+    placed = e.join(few, F.col("part") == F.col("of_part")).select("doc_id", (F.col("before") + F.col("offset")).alias("at"), "ids")
     return placed.mapInArrow(_cut(sequence), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

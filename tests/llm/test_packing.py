@@ -8,13 +8,11 @@ from harborline.llm import packing
 
 from .helpers import documents, edge_rows
 
-TEXTS = ["a  b", " lead", "trail ", "tab\tand\nline\r\n\r\n  x", "it's we'll 3,000 <|endoftext|> !!", "é\u00a0\u2003 z", "\U0001f600 \U0001f600  ", "  ", "\n", "x y z " * 400, "   three", "a \n b", "a\x0bb \x1c c", "中文 字 符"]
+TEXTS = ["a  b", " lead", "trail ", "tab\tand\nline\r\n\r\n  x", "it's we'll 3,000 <|endoftext|> !!", "a <|endoftext|> b", "<|endoftext|>", "x <|endoftext|><|endoftext|>  y", " <|endoftext|>\n", "é\u00a0\u2003 z", "\U0001f600 \U0001f600  ", "  ", "\n", "x y z " * 400, "   three", "a \n b", "a\x0bb \x1c c", "中文 字 符"]
 
 
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_equal_the_tokenizers_library():
@@ -22,6 +20,13 @@ def test_ids_equal_the_tokenizers_library():
     texts = TEXTS + [x[1] for x in edge_rows() if x[1] and len(x[1]) < 100_000]
     assert [np.frombuffer(x, "<u2").tolist() for x in e.encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
     assert e.encode([None, ""]) == [b"", b""]
+    assert np.frombuffer(e.encode(["a <|endoftext|> b"])[0], "<u2").tolist() == [64, 220, 50256, 275]
+
+
+def test_special_strings_may_be_ordinary_text():
+    t, e = tokenizer(), packing.Encoder(packing.vocabulary_path(), special={})
+    t.encode_special_tokens = True
+    assert [np.frombuffer(x, "<u2").tolist() for x in e.encode(TEXTS)] == [t.encode(x, add_special_tokens=False).ids for x in TEXTS]
 
 
 def test_pieces_give_the_documents_back(spark):
