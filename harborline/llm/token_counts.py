@@ -3,7 +3,7 @@
 A ledger is a folder with one part for each committed batch. A batch holds changes of documents - insert, revise, delete -
 turned into signed rows: what a document counted before is taken away, what it counts now is added. A batch's rollup is the
 sum of its signed rows by source, language and tokenizer version; totals are sums of the batches' rollups. Counts are
-additive, so totals never need the documents again.
+additive, so totals never need the documents again. `compact` merges batches when they have become many.
 
 Commits are idempotent: a batch is written under its own name, as one folder that counts once its success marker is
 there. Committing a name again changes nothing; a batch that broke off is overwritten.
@@ -15,6 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import discard, written
 from .packing import Encoder, vocabulary_path
 
 KEYS = ("source", "lang", "tokenizer_version")
@@ -54,21 +55,35 @@ class Ledger:
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
-    def batches(self) -> list[str]:
-        """Names of the committed batches."""
+    def _folders(self) -> tuple[list[str], set[str]]:
+        """Names of the complete folders, and of the batches that merged ones among them stand for."""
         fs, path = self._fs()
         if not fs.exists(path(self.path)):
-            return []
+            return [], set()
         names = [x.getPath().getName() for x in fs.listStatus(path(self.path))]
-        return sorted(n[6:] for n in names if n.startswith("batch=") and fs.exists(path(f"{self.path}/{n}/totals/_SUCCESS")))
+        whole = [n[6:] for n in names if n.startswith("batch=") and fs.exists(path(f"{self.path}/{n}/totals/_SUCCESS"))]
+        covers = [c for n in whole if fs.exists(path(c := f"{self.path}/batch={n}/covers"))]
+        covered = {r.name for r in self.spark.read.schema("name string").parquet(*covers).collect()} if covers else set()
+        return whole, covered
+
+    def batches(self) -> list[str]:
+        """Names of the committed batches."""
+        whole, covered = self._folders()
+        return sorted({*whole, *covered})
 
     def _read(self, what: str, schema: str) -> DataFrame:
-        paths = [f"{self.path}/batch={b}/{what}" for b in self.batches()]
+        whole, covered = self._folders()
+        paths = [f"{self.path}/batch={b}/{what}" for b in sorted(set(whole) - covered)]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def current(self) -> DataFrame:
-        """What each document counts now: one row for each document and tokenizer version that is not deleted."""
+    def current(self, ids: DataFrame | None = None) -> DataFrame:
+        """What each document counts now: one row for each document and tokenizer version that is not deleted.
+
+        ids: a frame of doc_id; only their history is grouped.
+        """
         rows = self._read("rows", self.SCHEMA)
+        if ids is not None:
+            rows = rows.join(ids, "doc_id", "left_semi")
         return rows.groupBy("doc_id", *KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
@@ -83,7 +98,8 @@ class Ledger:
         if batch in self.batches():
             return False
         c = changes.where("doc_id is not null and op in ('insert', 'revise', 'delete')").select("op", F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", "tokenizer_version", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
-        before = self.current()
+        c = changed = written(c, "changes")  # changes are counted once
+        before = self.current(c.select("doc_id").distinct()) if self.batches() else self.spark.createDataFrame([], self.SCHEMA)
         every = c.where("op = 'delete' and tokenizer_version is null").select("doc_id").distinct().join(before.select("doc_id", "tokenizer_version").distinct(), "doc_id")
         c = c.where("tokenizer_version is not null").unionByName(every.select(F.lit("delete").alias("op"), "doc_id", F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("lang"), "tokenizer_version", F.lit(0).cast("long").alias("tokens")))
         w = Window.partitionBy("doc_id", "tokenizer_version").orderBy(F.col("op") == "delete", "tokens", F.col("source").asc_nulls_first(), F.col("lang").asc_nulls_first())
@@ -92,11 +108,33 @@ class Ledger:
         added = c.where("op <> 'delete'").select("doc_id", *KEYS, F.lit(1).cast("long").alias("docs"), "tokens")
         old = before.join(c.select("doc_id", "tokenizer_version"), ["doc_id", "tokenizer_version"], "left_semi")
         taken = old.select("doc_id", *KEYS, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
-        rows, totals = f"{self.path}/batch={batch}/rows", f"{self.path}/batch={batch}/totals"
-        added.unionByName(taken).write.mode("overwrite").parquet(rows)
-        self.spark.read.schema(self.SCHEMA).parquet(rows).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).write.mode("overwrite").parquet(totals)
+        self._write(batch, added.unionByName(taken))
+        discard(changed)
         return True
 
+    def _write(self, batch: str, rows: DataFrame) -> None:
+        """A batch's signed rows, then its rollup, whose success marker makes it count."""
+        at, totals = f"{self.path}/batch={batch}/rows", f"{self.path}/batch={batch}/totals"
+        rows.write.mode("overwrite").parquet(at)
+        self.spark.read.schema(self.SCHEMA).parquet(at).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).write.mode("overwrite").parquet(totals)
+
+    def compact(self, batch: str) -> None:
+        """Merge the committed batches into one of this new name: what each document counts now.
+
+        The merged folder names the batches it stands for, so those delivered again still change nothing; readers take it
+        in their place as soon as it is complete, and their folders go after that. Called again after a failure, it
+        finishes; no other commit may run meanwhile.
+        """
+        whole, covered = self._folders()
+        if batch not in whole:
+            names = self.spark.createDataFrame([(x,) for x in {*whole, *covered}], "name string")
+            names.write.mode("overwrite").parquet(f"{self.path}/batch={batch}/covers")
+            self._write(batch, self.current().select("doc_id", *KEYS, "docs", "tokens"))
+        fs, path = self._fs()
+        whole, covered = self._folders()
+        for old in set(whole) & covered:
+            fs.delete(path(f"{self.path}/batch={old}"), True)
+
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer_version, n_docs, n_tokens): sums of the batches' rollups; keys without documents are left out."""
         t = self._read("totals", "source string, lang string, tokenizer_version string, docs long, tokens long")

@@ -78,3 +78,32 @@ def test_empty(spark, tmp_path):
     assert ledger.commit("none", spark.createDataFrame([], SCHEMA))
     assert ledger.totals().collect() == []
     assert token_counts.counted(documents(spark, [])).collect() == []
+
+
+def test_compaction_keeps_totals_names_and_later_changes(spark, tmp_path):
+    ledger = token_counts.Ledger(spark, str(tmp_path / "ledger"))
+    first = spark.createDataFrame([("insert", 1, "web", "en", "v1", 5), ("insert", 2, None, None, "v1", 7)], SCHEMA)
+    second = spark.createDataFrame([("revise", 1, "books", "en", "v1", 9), ("delete", 2, None, None, None, 0)], SCHEMA)
+    ledger.commit("a", first)
+    ledger.commit("b", second)
+    for name in ("m1", "m2"):
+        ledger.compact(name)
+        assert [tuple(x) for x in ledger.totals().collect()] == [("books", "en", "v1", 1, 9)]
+        assert not ledger.commit("a", first) and not ledger.commit("b", second)
+    assert [x.name for x in (tmp_path / "ledger").iterdir()] == ["batch=m2"]
+    assert ledger.commit("c", spark.createDataFrame([("delete", 1, None, None, "v1", 0)], SCHEMA))
+    assert ledger.totals().collect() == []
+
+
+def test_documents_are_counted_once_in_a_commit(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    schema = SCHEMA
+    changes = spark.createDataFrame([("insert", i, "web", "en", "v1", i) for i in range(50)], schema).mapInArrow(count, schema)
+    token_counts.Ledger(spark, str(tmp_path / "ledger")).commit("a", changes)
+    assert seen.value == 50
