@@ -4,13 +4,16 @@ A text and a template are word sequences (runs of letters and digits, lower case
 both; the longest increasing subsequence of their places is kept, and the gaps between anchors are aligned the same way,
 after equal words at a gap's ends are matched. Coverage is the share of the template's words matched.
 
-A long text is read in windows around the places where the template's words are dense, so that a notice that stands
-there twice is found each time. Templates whose coverage cannot reach the threshold by the words a text holds are passed
-over; that bound is exact.
+A text is read in overlapping windows, so that a notice that stands there twice is found each time: windows of 1.5
+template sizes, a third apart, and of 4 sizes, half apart. A notice whose words spread over at most 2 template sizes lies
+whole in a window, however long a gap inside it is; one spread wider, by what was put between its lines, is by definition
+none. Templates and windows whose words cannot reach the threshold, whatever their order, are passed over; these bounds
+are exact.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -83,24 +86,33 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def needed(size: int, least: float) -> int:
+    """Words of a template of this size that a notice matches at least."""
+    return max(1, math.ceil(least * size - 1e-9))
+
+
+def windows(n: int, size: int) -> list[tuple[int, int]]:
+    """(first word, last word + 1) of the windows over a text of n words for a template of this size."""
+    out = []
+    for span, step in ((size + (size + 1) // 2, max(1, size // 2)), (4 * size, 2 * size)):
+        out += [(at, min(n, at + span)) for at in range(0, max(1, n - span + step), step)]
+    return out
+
+
 def scan(text: list[bytes], template: list[bytes], least: float) -> list[tuple[float, int, int]]:
-    """(coverage, first word, last word + 1) of each window that covers the template enough; windows that overlap count once."""
-    vocabulary, size = set(template), len(template)
-    hits = [i for i, w in enumerate(text) if w in vocabulary]
-    found, k = [], 0
-    reach = max(8, size // 4)
-    while k < len(hits):
-        end = k
-        while end + 1 < len(hits) and hits[end + 1] - hits[end] <= reach:
-            end += 1
-        begin, stop = hits[k], hits[end] + 1
-        if end - k + 1 >= least * size:
-            span = size + size // 2
-            for at in range(begin, max(begin + 1, stop - size // 2), max(1, size // 2)):
-                match = align(text[at : min(stop, at + span)], template)
-                if len(match) >= least * size:
-                    found.append((len(match) / size, at + match[0][0], at + match[-1][0] + 1))
-        k = end + 1
+    """(coverage, first word, last word + 1) of each window that covers the template enough; of windows whose notices
+    overlap, the one that covers most, then the first."""
+    have, size = Counter(template), len(template)
+    need = needed(size, least)
+    hits = [i for i, w in enumerate(text) if w in have]
+    found = []
+    for begin, stop in windows(len(text), size):
+        i, j = bisect_left(hits, begin), bisect_left(hits, stop)
+        if j - i < need or sum((Counter(text[x] for x in hits[i:j]) & have).values()) < need:
+            continue
+        match = align(text[begin:stop], template)
+        if len(match) >= need:
+            found.append((len(match) / size, begin + match[0][0], begin + match[-1][0] + 1))
     found.sort(key=lambda x: (-x[0], x[1]))
     kept: list[tuple[float, int, int]] = []
     for f in found:
@@ -114,8 +126,8 @@ def _scan_batches(templates: dict[str, str], least: float):
         import pyarrow as pa
 
         known = {name: words(t.encode()) for name, t in templates.items()}
-        # matching least x size words takes this many different ones at least
-        needs = {name: (frozenset(t), max(1, len(set(t)) - int((1 - least) * len(t)))) for name, t in known.items()}
+        # matching so many words takes this many different ones at least
+        needs = {name: (frozenset(t), max(1, len(set(t)) - (len(t) - needed(len(t), least)))) for name, t in known.items()}
         every = frozenset(w for t in known.values() for w in t)
         for b in batches:
             for i in range(0, len(b), 512):
@@ -145,8 +157,10 @@ def _scan_batches(templates: dict[str, str], least: float):
 def licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:
     """One row for each document: doc_id, n_words, n_notices, license (of the notice with most words; null if none), coverage, notices.
 
-    notices lists name:first word:end word of each notice found. Null and empty texts hold none. Repeated documents give
-    a row each. Empty tables give no rows; further columns are ignored.
+    notices lists name:first word:end word of each notice found; of notices that overlap, the one with more words matched
+    stands, then the earlier one, then the first name. A coverage of exactly `least` counts. Null and empty texts hold none;
+    very long texts are read whole, a window at a time. Repeated documents and null ids give a row each. Empty tables give
+    no rows; further columns are ignored.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return d.mapInArrow(_scan_batches(templates or TEMPLATES, least), "doc_id long, n_words long, n_notices long, license string, coverage double, notices string")

@@ -56,3 +56,51 @@ def test_notices_are_found(spark):
     assert got[54].license is None and got[55].license is None and got[54].coverage == 0
     assert all(got[i].n_notices == 0 for i, *_ in edge_rows())
     assert licenses.licenses(documents(spark, [])).collect() == []
+
+
+def test_coverage_at_the_threshold_counts(spark):
+    rows = [(1, "Released under the MIT Licence today", "en", "x"), (2, "Released under a MIT Licence today", "en", "x")]
+    got = {x.doc_id: (x.license, x.coverage) for x in licenses.licenses(documents(spark, rows), least=0.8).collect()}
+    assert got == {1: ("mit-line", 0.8), 2: (None, 0.0)}
+    assert [licenses.needed(n, 0.8) for n in (5, 10, 80, 81)] == [4, 8, 64, 65]
+
+
+def test_notices_with_something_between_their_lines(spark):
+    r = random.Random(6)
+    words = licenses.TEMPLATES["mit"].split()
+    rows = [(i, " ".join([sentence(r, 40), *words[:at], sentence(r, gap), *words[at:], sentence(r, 40)]), "en", "x") for i, (at, gap) in enumerate([(40, 30), (40, 70), (10, 60), (70, 60)])]
+    got = {x.doc_id: (x.license, x.coverage) for x in licenses.licenses(documents(spark, rows)).collect()}
+    assert got == {i: ("mit", 1.0) for i in range(4)}
+
+
+def test_same_as_every_window_without_bounds(spark):
+    """The query's rule by brute force: every window is aligned, no word bound spares one."""
+    r = random.Random(8)
+    templates = {"a": "one two three four five six seven eight nine ten", "b": "two one three five four"}
+    rows = [(i, " ".join(r.choice(templates["a"].split() + ["x", "y"]) for _ in range(r.randrange(60))), "en", "x") for i in range(60)]
+    rows += [(100 + i, " ".join(w for w in templates["a"].split() * 3 if r.random() < 0.85), "en", "x") for i in range(40)]
+    for least in (0.5, 0.8):
+        want = {}
+        for i, text, *_ in rows:
+            w, found = licenses.words(text.encode()), []
+            for name, t in templates.items():
+                t = t.encode().split()
+                mine = []
+                for begin, stop in licenses.windows(len(w), len(t)):
+                    m = licenses.align(w[begin:stop], t)
+                    if 100 * len(m) >= round(100 * least) * len(t):
+                        mine.append((-len(m) / len(t), begin + m[0][0], begin + m[-1][0] + 1))
+                for c, s, e in apart(sorted(mine, key=lambda x: (x[0], x[1]))):
+                    found.append((c * len(t), s, e, name))
+            kept = apart(sorted(found, key=lambda x: (round(x[0], 9), x[1], x[3])))
+            want[i] = ",".join(f"{n}:{s}:{e}" for _, s, e, n in sorted(kept, key=lambda x: x[1]))
+        got = {x.doc_id: x.notices for x in licenses.licenses(documents(spark, rows), templates, least).collect()}
+        assert got == want and any(want.values())
+
+
+def apart(found):
+    kept = []
+    for f in found:
+        if all(k[2] <= f[1] or f[2] <= k[1] for k in kept):
+            kept.append(f)
+    return kept
