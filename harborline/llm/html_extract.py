@@ -5,10 +5,10 @@ scan finds the contiguous run of tokens with the greatest sum, and the text in i
 
 Weights. `labelled_pages` makes pages whose content is known (from templates, by a fixed seed, at most `most` pages).
 From them: the log odds that words under an element lie in the content, by the element's name and by the words of its
-class, id and role, added up. Outside articles, elements whose odds are low (navigation, footers, notices, adverts, forms,
-comments...) are one negative token each, whatever they hold; inside an article they are read, and lower the scores of
-their words. The odds of words by where they stand (inside an article, outside one on a page that has one, on a page
-without) and of tags give the other tokens' scores.
+class, id and role, added up; one table from elements inside articles, one from all, as many names of parts mean
+little inside an article. Elements whose odds are low (navigation, footers, notices, adverts, forms, comments...) are one
+negative token each, whatever they hold; an article whose class says comment is one, too. The odds of words by where they
+stand (inside an article, outside one on a page that has one, on a page without) and of tags give the other tokens' scores.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 # Fixed values of HTML: names of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select button xmp noembed noframes object canvas audio video".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select button xmp noembed noframes object canvas audio video".split())
 MAIN = frozenset(("article", "main"))
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr img br font picture source".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math mi mn mo mrow ms msub msup mtext nobr q s samp small span strike strong sub sup time tt u var wbr img br font picture source".split())
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -115,11 +115,12 @@ PART_NAMES = {
     "section": "comments comment reply replies discussion disqus respond reviews",
 }
 CONTENT_NAMES = "content article post entry story body text main page container wrapper column lead intro row inner"
+INNER_PARTS = "nav menu breadcrumbs pager sidebar aside ad ads advert advertisement adsense sponsored promo cookie cookies newsletter subscribe signup share sharing comments comment reply replies disqus form"
 WRAPPER_NAMES = "page wrapper site layout with has no container outer wrap col row grid main left right body"
 
 
-def labelled_pages(most: int = 300, seed: int = 11) -> list[tuple[str, str]]:
-    """(html, content html) of made pages; the content occurs in its page once, between two marks that are cut out."""
+def labelled_pages(most: int = 800, seed: int = 11) -> list[tuple[str, str]]:
+    """(html, content html) of made pages; content stands between two marks, once or in pieces with parts in between."""
     r = random.Random(seed)
     word = lambda: "".join(r.choice("aeioubcdlmnprst") for _ in range(r.randrange(2, 9)))
     text = lambda a, b: " ".join(word() for _ in range(r.randrange(a, b)))
@@ -134,9 +135,11 @@ def labelled_pages(most: int = 300, seed: int = 11) -> list[tuple[str, str]]:
 
     parts = sorted({x for names in PART_NAMES.values() for x in names.split()})
 
+    plain = sorted(set(parts) - set(INNER_PARTS.split()))  # names of parts that blocks of an article have as well
+
     def heading(level, words):
         k = r.random()
-        attr = "" if k < 0.5 else f' id="{word()}"' if k < 0.75 else f' {r.choice(("class", "id"))}="{r.choice(parts)}"'
+        attr = "" if k < 0.5 else f' id="{word()}"' if k < 0.75 else f' {r.choice(("class", "id"))}="{r.choice(plain)}"'
         return f"<{level}{attr}>{words}</{level}>"
 
     def linked(words):  # with links around some of the words
@@ -148,30 +151,43 @@ def labelled_pages(most: int = 300, seed: int = 11) -> list[tuple[str, str]]:
                 out[i:j] = [f'<a href="/{word()}">{" ".join(out[i:j])}</a>']
         return " ".join(out)
 
-    def grouped(pieces):  # in sections, or in wrappers whose names are mixed
+    def inner_part():  # what an article holds that is not its text
+        tag, name = r.choice(("nav", "aside", "form", "footer", "div", "section", "ul", "article")), r.choice(INNER_PARTS.split())
+        if tag == "article":
+            name = r.choice(("comment", "reply"))
+        attr = "" if tag in ("nav", "aside", "form", "footer") and r.random() < 0.6 else f' {r.choice(("class", "id"))}="{name}"'
+        return f"\x03<{tag}{attr}>{r.choice((menu(), f'<p>{text(3, 40)}</p>', text(2, 30)))}</{tag}>\x02"
+
+    def grouped(pieces, named):  # in sections, or in wrappers whose names are mixed
         out = []
         while pieces:
             n = r.randrange(1, 6)
             some = "".join(pieces[:n])
             k = r.random()
             names = " ".join(r.sample(WRAPPER_NAMES.split(), 2))
-            mixed = r.choice((names, names.replace(" ", "-"), f"{names} {r.choice(parts)}"))
+            mixed = r.choice((names, names.replace(" ", "-"), f"{names} {r.choice(named)}"))
             out.append(some if k < 0.5 else f"<section>{some}</section>" if k < 0.75 else f'<section class="{r.choice(CONTENT_NAMES.split())}">{some}</section>' if k < 0.9 else f'<div class="{mixed}">{some}</div>')
             pieces = pieces[n:]
         return "".join(out)
 
-    def content():
+    def content(article):
         out = [heading("h1", text(1, 9))] if r.random() < 0.8 else []
         for _ in range(r.randrange(1, 14)):
             k = r.random()
             p = text(1, 90)
             out.append(f"<p>{p}</p>" if k < 0.6 else f"<p><b>{text(1, 9)}</b> {p}<br>{text(1, 20)}</p>" if k < 0.7 else heading(r.choice(("h2", "h3")), text(1, 6)) if k < 0.78 else f"<ul><li>{text(2, 20)}</li><li>{text(2, 20)}</li></ul>" if k < 0.84 else f"<p>{linked(text(8, 60))} <em>{word()}</em></p>" if k < 0.93 else f"<blockquote><p>{p}</p></blockquote>")
-        return grouped(out) if r.random() < 0.5 else "".join(out)
+            if article and r.random() < 0.15:
+                out[-1] = f'<div class="{r.choice(plain)}">{out[-1]}</div>'
+            if article and r.random() < 0.25:
+                out.append(inner_part())
+        if article and r.random() < 0.2:
+            out[0] = f"<header>{out[0]}</header>"
+        return grouped(out, plain if article else parts) if r.random() < 0.5 else "".join(out)
 
     pages = []
     for _ in range(most):
-        inner = content()
         kind = r.random()
+        inner = content(kind < 0.7)
         holder = "article" if kind < 0.55 else "main" if kind < 0.7 else "section" if kind < 0.8 else "div"
         attr = f' class="{r.choice(CONTENT_NAMES.split())}"' if holder == "div" or r.random() < 0.3 else ""
         first = part(r.choice(("nav", "div"))) if holder in MAIN and r.random() < 0.2 else ""
@@ -182,7 +198,7 @@ def labelled_pages(most: int = 300, seed: int = 11) -> list[tuple[str, str]]:
             before.append(f"<div>{text(1, 12)}</div>")
         if r.random() < 0.3:
             after.insert(0, f"<div>{text(1, 12)}</div>")
-        pages.append((f"<html><head><title>{text(1, 6)}</title></head><body>{''.join(before)}<{holder}{attr}>{first}\x02{inner}\x03{last}</{holder}>{''.join(after)}</body></html>", inner))
+        pages.append((f"<html><head><title>{text(1, 6)}</title></head><body>{''.join(before)}<{holder}{attr}>{first}\x02{inner}\x03{last}</{holder}>{''.join(after)}</body></html>", re.sub("\x03[^\x02]*\x02", "", inner)))
     return pages
 
 
@@ -190,7 +206,7 @@ class Weights:
     """Scores of elements, words and tags from labelled pages."""
 
     def __init__(self, pages: list[tuple[str, str]] | None = None):
-        inside, outside = Counter(), Counter()
+        counts = {place: (Counter(), Counter()) for place in (True, False)}  # inside articles, anywhere: words in the content and beside it
         words_in, words_out, tags_in, tags_out = Counter(), Counter(), Counter(), Counter()
         for page, _ in pages if pages is not None else labelled_pages():
             content, stack, has_main = False, [], any(f"<{m}" in page for m in MAIN)
@@ -201,21 +217,25 @@ class Weights:
                             content = piece == "\x02"
                             continue
                         n = len(_WORD.findall(piece))
-                        for f in {f for s in stack for f in s[1]}:
-                            (inside if content else outside)[f] += n
+                        main = max((k for k, s in enumerate(stack) if s[0] in MAIN), default=-1)
+                        for under_main, some in ((True, stack[main + 1 :] if main >= 0 else []), (False, [s for k, s in enumerate(stack) if k > main >= 0 and s[0] != "header" or main < 0 or k <= main])):  # an article's header is not a page's
+                            for f in {f for s in some for f in s[1]}:
+                                counts[under_main][not content][f] += n
                         place = self.place(has_main, any(s[0] in MAIN for s in stack))
                         (words_in if content else words_out)[place] += n
                     continue
                 (tags_in if content else tags_out)[t[1]] += 1
                 if t[0] == "open" and t[1] not in VOID:
-                    stack.append((t[1], features(t[1], t[2])))
+                    known = features(t[1], t[2])
+                    # an article inside another is judged by what its class says, as any element there
+                    stack.append(("in-" + t[1] if t[1] in MAIN and any(s[0] in MAIN for s in stack) else t[1], known[1:] if t[1] in MAIN else known))
                 elif t[0] == "close":
                     for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] == t[1]:
+                        if stack[k][0].removeprefix("in-") == t[1]:
                             del stack[k:]
                             break
-        self.element = {f: math.log((inside[f] + 1) / (outside[f] + 1)) for f in inside.keys() | outside.keys()}
-        self.prior = math.log((sum(words_in.values()) + 1) / (sum(words_out.values()) + 1))
+        self.element = {place: {f: math.log((a[f] + 1) / (b[f] + 1)) for f in a.keys() | b.keys()} for place, (a, b) in counts.items()}
+        self.prior = {False: math.log((sum(words_in.values()) + 1) / (sum(words_out.values()) + 1)), True: math.log((words_in["main"] + 1) / (words_out["main"] + 1))}
         self.word = {k: math.log((words_in[k] + 1) / (words_out[k] + 1)) for k in ("main", "beside", "none")}
         self.tag = {k: min(-0.02, max(-3.0, math.log((tags_in[k] + 1) / (tags_out[k] + 1)))) for k in tags_in.keys() | tags_out.keys()}
 
@@ -223,16 +243,24 @@ class Weights:
     def place(has_main: bool, inside: bool) -> str:
         return "main" if inside else "beside" if has_main else "none"
 
-    def odds(self, name: str, attributes: str) -> float:
-        """Log odds that words under an element are content: the prior, and what each known feature adds to it; 0 for those that hold a whole page or article."""
-        if name in MAIN or name in ("html", "body"):
+    def odds(self, name: str, attributes: str, main: bool = False) -> float:
+        """Log odds that words under an element are content: the prior, and what each known feature adds to it.
+
+        main: the element stands inside an article. Elements that hold a whole page or article have 0, but for articles
+        whose class says more.
+        """
+        if name in ("html", "body"):
             return 0.0
-        known = [self.element[f] for f in features(name, attributes) if f in self.element]
-        return self.prior + sum(x - self.prior for x in known) if known else 0.0
+        table, prior = self.element[main], self.prior[main]
+        known = [table[f] for f in features(name, attributes)[1 if name in MAIN else 0 :] if f in table]
+        return prior + sum(x - prior for x in known) if known else 0.0
 
-    def is_part(self, name: str, attributes: str) -> bool:
-        """Whether an element outside articles is one that does not hold content."""
-        return name in RAW or name == "head" or self.odds(name, attributes) < -2
+    def is_part(self, name: str, attributes: str, main: bool = False) -> bool:
+        """Whether an element is one that does not hold content."""
+        if name in MAIN:
+            table = self.element[True]
+            return any(table.get(f, 0.0) < -2 for f in features(name, attributes)[1:])
+        return name in RAW or name == "head" or self.odds(name, attributes, main) < -2
 
 
 def extract(page: str | None, weights: Weights) -> str:
@@ -248,7 +276,7 @@ def extract(page: str | None, weights: Weights) -> str:
     for t in tokens(page):
         kind = t[0]
         if skip:
-            if kind == "open" and t[1] in MAIN:
+            if kind == "open" and t[1] in MAIN and not main and not weights.is_part(t[1], t[2]):
                 skip = ""  # content begins: what was open before is taken as closed
             elif kind != "text" and t[1] == skip:
                 depth += 1 if kind == "open" else -1
@@ -263,13 +291,13 @@ def extract(page: str | None, weights: Weights) -> str:
             scored.append((n * (weights.word[weights.place(has_main, main > 0)] + (under[-1][1] if under else 0.0)), text))
             continue
         name = t[1]
-        if name in MAIN:
-            main = max(0, main + (1 if kind == "open" else -1))
-        elif kind == "open" and (name in RAW or not main and weights.is_part(name, t[2])):
+        if kind == "open" and weights.is_part(name, t[2], main > 0):
             scored.append((weights.tag.get(name, -1.0), None if name not in INLINE else " "))
             if name not in VOID and not t[2].endswith("/"):
                 skip, depth = name, 1
             continue
+        if name in MAIN:
+            main = max(0, main + (1 if kind == "open" else -1))
         if kind == "close":
             while opened[name]:  # what was left open inside it is closed with it
                 last = under.pop()[0]
@@ -277,8 +305,8 @@ def extract(page: str | None, weights: Weights) -> str:
                 if last == name:
                     break
         elif name not in VOID and not t[2].endswith("/"):
-            odds = 0.0 if name == "header" and main else weights.odds(name, t[2])
-            under.append((name, 0.0 if name in MAIN else min(under[-1][1] if under else 0.0, odds)))
+            odds = 0.0 if main else weights.odds(name, t[2])
+            under.append((name, 0.0 if main else min(under[-1][1] if under else 0.0, odds)))
             opened[name] += 1
         scored.append((weights.tag.get(name, -0.5), (" " if name in ("br", "wbr") else "") if name in INLINE else None))
     best, total, begin, region = 0.0, 0.0, 0, (0, 0)
@@ -318,7 +346,9 @@ def main_text(pages: DataFrame, weights: Weights | None = None) -> DataFrame:
     """One row for each page: page_id, url, text, n_chars (code points).
 
     Null or empty html, and pages without content, have text ''. Character references are decoded; broken or cut markup
-    is read as far as it goes. Repeated pages give a row each. Empty tables give no rows; further columns are ignored.
+    is read as far as it goes. Several articles, and articles in articles, are read in page order, if the best run holds
+    them; of runs with equal sums the first stands. Very long pages take linear time. Repeated pages and null ids give a
+    row each. Empty tables give no rows; further columns are ignored.
     """
     w = pages.sparkSession.sparkContext.broadcast(weights or Weights())
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))

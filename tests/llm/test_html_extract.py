@@ -107,3 +107,37 @@ def test_parts_and_links_inside_an_article_are_read(weights, holder, inner):
 @pytest.mark.parametrize("inner", [BODY, f"<section>{BODY}</section>", f"<div class='page-wrapper search'>{BODY}</div>"])
 def test_pages_without_an_article(weights, inner):
     assert h.extract(f"<html><body><nav><a href='/'>Home</a></nav>{inner}</body></html>", weights).split() == words_of(inner)
+
+
+TWO = "<p>The council met on Monday and agreed a plan for the harbour.</p><p>More of it here and there in the city.</p>"
+
+
+@pytest.mark.parametrize("part", [
+    "<aside><p>see other news items</p></aside>", "<nav><a href='/'>Home</a></nav>", "<form><label>Mail</label><input></form>", "<div class='ad'><p>Buy this now</p></div>",
+    "<section class='comments'><article class='comment'><p>I like this a lot, thanks</p></article></section>", "<div id='newsletter'>Sign up for mail</div>", "<footer>By the desk</footer>",
+])
+@pytest.mark.parametrize("at", ["before", "between", "after"])
+def test_parts_inside_an_article_are_left_out(weights, part, at):
+    inner = {"before": part + TWO, "between": TWO + part + TWO, "after": TWO + part}[at]
+    want = TWO * (2 if at == "between" else 1)
+    assert h.extract(f"<html><body><nav><a href='/'>Home</a></nav><article>{inner}</article><footer>me</footer></body></html>", weights).split() == words_of(want)
+
+
+def test_comments_as_articles_beside_the_article(weights):
+    comment = "<section class='comments'><article class='comment'><p>I like this a lot, thanks</p></article></section>"
+    for page in (f"<article>{TWO}</article>{comment}", f"<main><article>{TWO}</article>{comment}</main>", f"{comment}<article>{TWO}</article>"):
+        assert h.extract(f"<html><body>{page}</body></html>", weights).split() == words_of(TWO)
+
+
+@pytest.mark.parametrize("name", ["top", "alert", "popular", "search", "tags", "contact", "legal", "lead", "x1"])
+@pytest.mark.parametrize("at", ["before", "between", "after"])
+def test_blocks_of_an_article_stay_whatever_their_class(weights, name, at):
+    block = f"<div class='{name}'><p>lead paragraph of it</p></div>"
+    inner = {"before": block + TWO, "between": TWO + block + TWO, "after": TWO + block}[at]
+    assert h.extract(f"<html><body><nav><a href='/'>Home</a></nav><article>{inner}</article></body></html>", weights).split() == words_of(inner)
+
+
+def test_formulas_headers_and_articles_in_articles(weights):
+    inner = f"<header><h1>Name</h1></header><p>x <math><mi>a</mi><mo>+</mo><mn>1</mn></math> y</p><article>{TWO}</article>{TWO}"
+    assert h.extract(f"<main>{inner}</main>", weights).startswith("Name\n\nx a+1 y\n\nThe council")
+    assert h.extract(f"<main>{inner}</main>", weights).count("council") == 2
