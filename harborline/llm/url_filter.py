@@ -16,6 +16,8 @@ from .components import components
 #: (host, path, verdict) of the production rules.
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 
+HOT = 1000
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -61,13 +63,18 @@ def resolved(base, to):
 
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): addresses tied by the canonical links and immediate redirects of a page; relative targets resolved on the page's url."""
+    """(a, b): addresses tied by the canonical links and immediate redirects of a page; relative targets resolved on the page's url.
+
+    Links inside comments, scripts and styles are none.
+    """
     h, u = F.col(html), F.col(url)
     attr = r"""(?is)<(?:link)\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
     move = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*['"]?\s*([^"'\s>;]+(?:;[^"'\s>;]+)*)"""
     named = F.lower(h).contains("canonical") | F.lower(h).contains("refresh")
-    every = F.concat(F.regexp_extract_all(h, F.lit(attr), F.lit(1)), F.regexp_extract_all(h, F.lit(move), F.lit(1)))
-    targets = pages.where(named & h.isNotNull() & u.isNotNull()).select(u.alias("from_url"), F.explode(every).alias("to")).where("to <> ''")
+    hidden = r"""(?is)<!--(?:>|->|.*?(?:-->|\z))|<(script|style)\b[^>]*>.*?(?:</\1\b|\z)"""
+    shown = F.regexp_replace(h, hidden, " ")
+    every = F.concat(F.regexp_extract_all("shown", F.lit(attr), F.lit(1)), F.regexp_extract_all("shown", F.lit(move), F.lit(1)))
+    targets = pages.where(named & h.isNotNull() & u.isNotNull()).select(u.alias("from_url"), shown.alias("shown")).select("from_url", F.explode(every).alias("to")).where("to <> ''")
     targets = targets.select("from_url", plain(F.col("to")).alias("to"))
     return targets.select(address(F.col("from_url")).alias("a"), address(resolved(F.col("from_url"), F.col("to"))).alias("b")).where("a is not null and b is not null")
 
@@ -75,10 +82,12 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Of (host, path): the longest rule that fits, and its verdict; null where none does.
 
-    Every host is expanded to its parent domains, which meet rules by equality; rules of a host travel as one array.
+    Every host is expanded to its parent domains, which meet rules by equality; rules of a host travel as one array. Hosts
+    with more than 1 / HOT of all rows, so fewer than HOT of them, meet their rules by a broadcast, the others by a shuffle.
     """
     by_host = rules.groupBy(F.col("host").alias("rule_host")).agg(F.collect_set(F.struct(F.col("path").alias("rule_path"), F.col("verdict").alias("rule_verdict"))).alias("rules"))
-    hosts = urls.select("host").distinct()
+    hosts = written(urls.groupBy("host").agg(F.count("*").alias("n")), "hosts")
+    rows = hosts.agg(F.sum("n")).first()[0] or 0
     labels = F.split("host", r"\.")
     parents = F.expr("transform(sequence(1, size(labels)), i -> array_join(slice(labels, i, size(labels) - i + 1), '.'))")
     fits = hosts.withColumn("labels", labels).select("host", F.explode(parents).alias("rule_host")).join(by_host, "rule_host")
@@ -86,7 +95,9 @@ def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
     rule = F.concat("rule_host", "r.rule_path")
     fits = fits.select("host", F.struct(F.length(rule).alias("size"), F.col("r.rule_path").alias("rule_path"), rule.alias("rule"), F.col("r.rule_verdict").alias("verdict")).alias("r"))
     fits = fits.groupBy("host").agg(F.sort_array(F.collect_list("r"), asc=False).alias("fits"))
-    found = urls.join(fits, "host", "left").withColumn("best", F.expr("try_element_at(filter(fits, f -> startswith(path, f.rule_path)), 1)"))
+    fits = written(hosts.join(fits, "host", "left"), "fits")
+    hot = F.broadcast(fits.where(F.col("n") * HOT > rows).drop("n"))
+    found = urls.join(hot, "host").unionByName(urls.join(hot, "host", "left_anti").join(fits.drop("n"), "host", "left")).withColumn("best", F.expr("try_element_at(filter(fits, f -> startswith(path, f.rule_path)), 1)"))
     return found.withColumn("rule", F.col("best.rule")).withColumn("rule_verdict", F.col("best.verdict")).drop("fits", "best")
 
 
@@ -94,7 +105,9 @@ def judge(pages: DataFrame, rules: DataFrame, more_links: DataFrame | None = Non
     """One row for each page: page_id, host, path, rule, verdict.
 
     more_links: further (a, b) addresses, such as a redirect log. Urls that are null or hold no :// have empty host and
-    path; no rule fits, and they are allowed. Repeated pages are judged alike, a row each. Empty tables give no rows.
+    path; no rule fits, and they are allowed. Of rules of equal length that fit, the one whose path, then verdict is greater
+    stands. Repeated pages and null ids are judged like others, a row each; very long urls and pages are read whole. Empty
+    tables give no rows; further columns are ignored.
     """
     p = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     edges = links(p)
@@ -115,7 +128,8 @@ def judge(pages: DataFrame, rules: DataFrame, more_links: DataFrame | None = Non
 
 
 def rule_table(spark, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "host string, path string, verdict string")
+    rows = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(r, ("host", "path", "verdict"), strict=True)]) for r in rules])
+    return spark.range(1).select(F.explode(rows).alias("r")).select("r.*")
 
 
 # The tables' pages hold no links, so the rules alone decide there; with links, tests compare against brute force.

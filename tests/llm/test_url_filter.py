@@ -98,3 +98,57 @@ def test_every_link_of_a_page_is_resolved(spark):
                 slash, path = "/", "?" + query
             want.add((next(iter(got))[0], host.lower() + "/" + path))
         assert got == {w for w in want if w[0] == next(iter(got))[0]}, base
+
+
+def test_links_in_comments_scripts_and_styles_are_none(spark):
+    link = '<link rel="canonical" href="http://x.net/es/bad">'
+    for hidden in (f"<!-- {link} -->", f"<script>var t = '{link}';</script>", f"<style>/* {link} */</style>", f"<!-- open {link}"):
+        pages = spark.createDataFrame([("http://a.org/", f"<head>{hidden}</head>")], "url string, html string")
+        assert url_filter.links(pages).collect() == []
+    both = spark.createDataFrame([("http://a.org/", f"<!-- x -->{link}<!-- {link} --><script>1</script>")], "url string, html string")
+    assert [tuple(x) for x in url_filter.links(both).collect()] == [("a.org/", "x.net/es/bad")]
+
+
+def test_rules_of_equal_length(spark):
+    rules = url_filter.rule_table(spark, (("a.com", "/x", "allow"), ("a.com", "/x", "block"), ("b.a.com", "/", "allow")))
+    rows = [(1, "http://b.a.com/x", None, *["x"] * 5), (2, "http://a.com/x", None, *["x"] * 5)]
+    got = {x.page_id: (x.rule, x.verdict) for x in url_filter.judge(spark.createDataFrame(rows, SCHEMA), rules).collect()}
+    assert got == {1: ("b.a.com/", "allow"), 2: ("a.com/x", "block")}
+
+
+def test_query_on_pages_with_links(spark, tmp_path):
+    """The registered query over a pages table with links, against union-find and rules in plain Python; one host holds half."""
+    from harborline.llm.queries import op6_url_filters
+
+    r = random.Random(9)
+    hosts = ["hub.org"] * 5 + ["x.net", "example.com", "www.example.com", "b.org", "c.org"]
+    urls = [f"http://{r.choice(hosts)}/{r.choice(['en', 'es', 'fr', 'q'])}/{i}" for i in range(120)]
+    pages, edges = [], []
+    for i, u in enumerate(urls):
+        to = r.choice(urls) if r.random() < 0.5 else None
+        link = f'<link href="{to}" rel=canonical>' if to and r.random() < 0.5 else f'<meta http-equiv="refresh" content="0;url={to}">' if to else "<p>x</p>"
+        if r.random() < 0.2:
+            link = f"<!-- {link} -->"
+        elif to:
+            edges.append((u, to))
+        pages.append((i, u, f"<head>{link}</head>"))
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    root = {u: u for u in urls}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        root[find(a)] = find(b)
+    said = {}
+    for u in urls:
+        said.setdefault(find(u), set()).add(own_rule(*split(u))[1])
+    want = []
+    for i, u, _ in pages:
+        rule, verdict = own_rule(*split(u))
+        alias = "block" if "block" in said[find(u)] and "allow" not in said[find(u)] else "allow"
+        want.append((i, *split(u), rule, verdict or alias))
+    assert sorted(tuple(x) for x in op6_url_filters(spark, str(tmp_path)).collect()) == want
+    assert {w[4] for w in want if w[3] is None} == {"allow", "block"}
