@@ -1,25 +1,25 @@
 """Quality rules: base text statistics and perplexity bands of a byte n-gram model.
 
 Model. Modified Kneser-Ney over bytes inside words: a word is its bytes between white-space symbols, so a document's
-perplexity says how usual its word forms are for its language. Order 5, all words of all documents counted by
-Spark; lower orders count distinct left neighbours. An n-gram is stored as a 64-bit hash of (language, order,
-bytes); hashes lie in one sorted array beside log probability and log back-off, searched by numpy.
-
-Size. A model within `broadcast_bytes` is broadcast. A larger one is joined instead: words' n-grams of each document
-are shuffled to it, so nothing grows on one machine.
-
-Bands. For each language, the log perplexity of all its documents gives quartiles; documents below q1 - low x spread
-or above q3 + high x spread are rejected (spread: the quartile distance, at least `floor`, times sqrt(1 + short /
-words), for a short text's perplexity varies more). A language with fewer than `min_docs` documents takes the
-quartiles of all documents.
+perplexity says how usual its word forms are for its language. Order 5; all words of all documents are counted by Spark;
+lower orders count distinct left neighbours. The documents judged are the ones the model is fitted on, so each of their
+5-grams is in it with its interpolated probability, and no back-off is left to do when they are scored.
+
+Store. A 5-gram is a 64-bit hash of (language, bytes) with its log probability as a whole number of 2 ** -24. The most
+frequent 5-grams, at most `head`, are one sorted hash array in every task, searched by numpy: a fixed number, whatever the
+corpus. Rarer ones of a document, few as they are, travel with its row and meet their probabilities by a join. Sums of whole
+numbers do not depend on the split, so the result is the same, bit for bit, for any `head`.
+
+Bands. For each language, the log perplexity of all its documents (in steps of 1e-4) gives quartiles; documents below
+q1 - low x spread or above q3 + high x spread are rejected (spread: the quartile distance, at least `floor`, times
+sqrt(1 + short / words), for a short text's perplexity varies more). A language with fewer than `min_docs` documents takes
+the quartiles of all documents.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U, blocks, chain, column_bytes, joined, mix, scan_words, written
@@ -27,18 +27,21 @@ from .common import U, blocks, chain, column_bytes, joined, mix, scan_words, wri
 ORDER = 5
 PAD = 32  # the white space before and after a word
 SYMBOLS = 256
+UNIT = 1 << 24  # log probabilities are whole numbers of 1 / UNIT
+LANG = "lang_key"  # '' for a null language, else = and the language
 MIN_WORDS, REPEAT_PERCENT = 10, 20
+HEAD = 2_000_000  # n-grams in the arrays, 12 bytes each
 
 
-def lang_seed(lang: str | None) -> int:
+def lang_seed(lang: str) -> int:
     import hashlib
 
-    return int.from_bytes(hashlib.md5((lang or "").encode()).digest()[:8], "little")
+    return int.from_bytes(hashlib.md5(lang.encode()).digest()[:8], "little")
 
 
-def hashed(seed, order: int, key):
-    """Hash of n-gram `key` (its bytes as an integer) of one order and language."""
-    return mix((key + (U(order) << U(56))) ^ seed)
+def hashed(seed, key):
+    """Hash of an ORDER-gram (its bytes as an integer) of a language."""
+    return mix((key + (U(ORDER) << U(56))) ^ seed)
 
 
 class Words:
@@ -48,10 +51,10 @@ class Words:
         self.buf, self.begins = joined(texts)
         self.starts, self.ends, self.chars, self.hashes = scan_words(self.buf)
         self.doc = np.searchsorted(self.begins, self.starts, "right") - 1
-        names = sorted({x or "" for x in langs})
+        names = sorted(set(langs))
         seeds = np.array([lang_seed(x) for x in names], U)
         self.names = names
-        self.lang = np.searchsorted(np.array(names), np.array([x or "" for x in langs])) if names else np.zeros(0, int)
+        self.lang = np.searchsorted(np.array(names), np.array(langs)) if names else np.zeros(0, int)
         of_word = self.lang[self.doc]
         _, self.first, self.inverse, self.counts = np.unique(self.hashes ^ seeds[of_word] if len(of_word) else self.hashes, return_index=True, return_inverse=True, return_counts=True)
         self.word_lang = of_word[self.first]
@@ -91,7 +94,7 @@ def _count_batches(batches):
 
     waiting = 0
     for batch in batches:
-        texts, langs = column_bytes(batch.column("text")), batch.column("lang").to_pylist()
+        texts, langs = column_bytes(batch.column("text")), batch.column(LANG).to_pylist()
         for i, j in blocks(texts):
             w = Words(texts[i:j], langs[i:j])
             if not len(w.first):
@@ -113,15 +116,15 @@ def _count_batches(batches):
 
 def count_grams(docs: DataFrame) -> DataFrame:
     """(lang, gram, n): ORDER-byte n-grams of all words of all texts, a language at a time; summed in each task first."""
-    parts = docs.select("text", "lang").where("text is not null").mapInArrow(_count_batches, "lang string, gram long, n long")
+    parts = docs.select("text", LANG).where("text is not null").mapInArrow(_count_batches, "lang string, gram long, n long")
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
-    """(lang, ord, gram, logp, logb) of counts (lang, gram, n): interpolated modified Kneser-Ney, all orders.
+    """(lang, gram, n, logp) of counts (lang, gram, n): interpolated modified Kneser-Ney.
 
-    logp: log probability of the n-gram's last byte after the others. logb: log back-off weight of the n-gram as a
-    context, 0 where it is none. All work is grouped sums and equi-joins.
+    logp: log probability of an ORDER-gram's last byte after the others. All work is grouped sums and equi-joins; the
+    discounts, five rows a language, are broadcast if they are at most 100,000.
     """
     level = counts.select("lang", "gram", F.col("n").cast("double").alias("c"))
     adjusted = level.withColumn("ord", F.lit(ORDER))
@@ -132,19 +135,16 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     by = t.groupBy("lang", "ord").agg(*[F.sum(F.when(F.col("c") == k, 1.0).otherwise(0.0)).alias(f"t{k}") for k in (1, 2, 3, 4)])
     y = F.expr("coalesce(t1 / nullif(t1 + 2 * t2, 0), 0.5D)")
     steps = by.select("lang", "ord", *[F.greatest(F.lit(0.05 * k), F.least(F.lit(0.95 * k), F.coalesce(F.expr(f"{k}D") - (k + 1) * y * F.expr(f"t{k + 1} / nullif(t{k}, 0)"), F.lit(0.5 * k)))).alias(f"d{k}") for k in (1, 2, 3)])
-    t = t.join(steps, ["lang", "ord"]).withColumn("cut", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
+    steps = written(steps, "steps")
+    t = t.join(F.broadcast(steps) if steps.count() <= 100_000 else steps, ["lang", "ord"]).withColumn("cut", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
     contexts = t.groupBy("lang", "ord", "context").agg(F.sum("c").alias("total"), (F.sum("cut") / F.sum("c")).alias("back"))
-    t = t.join(contexts, ["lang", "ord", "context"]).select("lang", "ord", "gram", "context", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own"), "back")
+    t = t.join(contexts, ["lang", "ord", "context"]).select("lang", "ord", "gram", "c", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own"), "back")
     t = written(t, "discounted")
     p = t.where("ord = 1").select("lang", "gram", (F.col("own") + F.col("back") / SYMBOLS).alias("p"))
-    every = p.withColumn("ord", F.lit(1))
     for o in range(2, ORDER + 1):
         mine = t.where(f"ord = {o}").withColumn("suffix", F.expr(f"gram & {(1 << 8 * (o - 1)) - 1}L"))
-        p = mine.join(p.select("lang", F.col("gram").alias("suffix"), "p"), ["lang", "suffix"]).select("lang", "gram", (F.col("own") + F.col("back") * F.col("p")).alias("p"))
-        every = every.unionByName(p.withColumn("ord", F.lit(o)))
-    both = every.select("lang", "ord", "gram", F.ln("p").alias("logp"), F.lit(0.0).alias("logb"))
-    backs = t.groupBy("lang", (F.col("ord") - 1).alias("ord"), F.col("context").alias("gram")).agg(F.lit(None).cast("double").alias("logp"), F.ln(F.max("back")).alias("logb"))
-    return both.unionByName(backs).groupBy("lang", "ord", "gram").agg(F.max("logp").alias("logp"), F.min("logb").alias("logb"))
+        p = mine.join(p.select("lang", F.col("gram").alias("suffix"), "p"), ["lang", "suffix"]).select("lang", "gram", "c", (F.col("own") + F.col("back") * F.col("p")).alias("p"))
+    return p.select("lang", "gram", F.col("c").cast("long").alias("n"), F.ln("p").alias("logp"))
 
 
 def _hash_rows(batches):
@@ -154,45 +154,42 @@ def _hash_rows(batches):
         langs = b.column("lang").to_pylist()
         seeds = {x: lang_seed(x) for x in set(langs)}
         key = b.column("gram").to_numpy(zero_copy_only=False).astype(np.int64).astype(U)
-        order = b.column("ord").to_numpy(zero_copy_only=False).astype(np.int64).astype(U)
-        h = mix((key + (order << U(56))) ^ np.array([seeds[x] for x in langs], U))
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("logp").fill_null(float("nan")).cast(pa.float32()), b.column("logb").cast(pa.float32())], ["hash", "logp", "logb"])
+        h = hashed(np.array([seeds[x] for x in langs], U), key)
+        score = np.rint(b.column("logp").to_numpy(zero_copy_only=False) * UNIT).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("n"), pa.array(score)], ["hash", "n", "score"])
 
 
 class HashArrays:
-    """A model as sorted 64-bit hashes with log probabilities and back-offs beside them."""
+    """The most frequent ORDER-grams: a sorted array of 64-bit hashes, and one of their log probabilities."""
 
-    def __init__(self, hashes: np.ndarray, logp: np.ndarray, logb: np.ndarray):
+    def __init__(self, hashes: np.ndarray, scores: np.ndarray):
         order = np.argsort(hashes)
-        self.hashes, self.logp, self.logb = hashes[order], logp[order], logb[order]
+        self.hashes, self.scores = hashes[order], scores[order].astype(np.int32)
 
     @staticmethod
     def collect(model: DataFrame) -> HashArrays:
-        """Of a model of checked size: 16 bytes an n-gram travel, hashed in tasks."""
-        t = model.mapInArrow(_hash_rows, "hash long, logp float, logb float").toArrow()
-        return HashArrays(t["hash"].to_numpy().astype(U), t["logp"].to_numpy().astype(np.float32), t["logb"].to_numpy().astype(np.float32))
+        """Of rows whose number has a bound: 12 bytes an n-gram travel."""
+        t = model.select("hash", F.col("score").cast("int").alias("score")).toArrow()
+        return HashArrays(t["hash"].to_numpy().astype(U), t["score"].to_numpy())
 
-    def find(self, h):
+    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log probabilities in 1 / UNIT, 0 where a hash is not held, and which are held."""
         if not len(self.hashes):
-            return np.zeros(len(h), int), np.zeros(len(h), bool)
+            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return at, self.hashes[at] == h
-
-    def score(self, keys: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-        """Log probability of the last byte of each ORDER-gram, backing off to shorter ones where it is unseen."""
-        out, back, todo = np.zeros(len(keys)), np.zeros(len(keys)), np.arange(len(keys))
-        for o in range(ORDER, 0, -1):
-            k = keys[todo] & U((1 << 8 * o) - 1)
-            at, found = self.find(hashed(seeds[todo], o, k))
-            found &= ~np.isnan(self.logp[at]) if len(self.logp) else found
-            out[todo[found]] = self.logp[at[found]] + back[todo[found]]
-            todo, k = todo[~found], k[~found]
-            if not len(todo):
-                return out
-            at, found = self.find(hashed(seeds[todo], o - 1, k >> U(8)))
-            back[todo[found]] += self.logb[at[found]]
-        out[todo] = back[todo] - math.log(SYMBOLS)
-        return out
+        held = self.hashes[at] == h
+        return np.where(held, self.scores[at], 0).astype(np.int64), held
+
+
+def split_model(model: DataFrame, head: int) -> tuple[HashArrays, DataFrame | None]:
+    """The n-grams from some count on, at most `head`, as arrays; the others as a frame (hash, score), None if there are none."""
+    total = model.count()
+    least = 0
+    if total > head:
+        by = model.groupBy("n").count().orderBy(F.desc("n")).limit(head + 1)  # so many different counts cannot all fit
+        run = by.withColumn("so_far", F.sum("count").over(Window.orderBy(F.desc("n"))))
+        least = (run.where(F.col("so_far") <= head).agg(F.min("n")).first()[0]) or (1 << 62)
+    return HashArrays.collect(model.where(F.col("n") >= least)), model.where(F.col("n") < least).select("hash", "score") if total > head else None
 
 
 def repeated_words(hashes: np.ndarray, doc: np.ndarray, width: int = 5) -> np.ndarray:
@@ -216,87 +213,98 @@ def repeated_words(hashes: np.ndarray, doc: np.ndarray, width: int = 5) -> np.nd
 def _statistics(model):
     def run(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
 
-        m = model.value if model is not None else None
+        m, row = model.value, TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, texts, langs = batch.column("doc_id").to_pylist(), column_bytes(batch.column("text")), batch.column("lang").to_pylist()
+            ids, texts, langs = batch.column("doc_id").to_pylist(), column_bytes(batch.column("text")), batch.column(LANG).to_pylist()
             for i, j in blocks(texts):
                 w, size = Words(texts[i:j], langs[i:j]), j - i
                 n = np.bincount(w.doc, minlength=size)
                 lines = [[x for x in t.split(b"\n") if x.strip()] if t and b"\n" in t else () for t in texts[i:j]]
+                total, rare = np.zeros(size, np.int64), [None] * size
+                if len(w.first):
+                    keys, at, k = w.grams()
+                    h = hashed(np.repeat(w.seeds[w.word_lang], k), keys)
+                    score, held = m.look_up(h)
+                    words = np.add.reduceat(score, at)
+                    np.add.at(total, w.doc, words[w.inverse])
+                    if not held.all():
+                        rare = _rare_of(size, w, h, held, at, k)
                 cols = {
-                    "doc_id": pa.array(ids[i:j], pa.int64()), "lang": pa.array(langs[i:j], pa.string()), "n_words": pa.array(n.astype(np.int64)),
+                    "row": pa.array(np.arange(row, row + size)), "doc_id": pa.array(ids[i:j], pa.int64()), LANG: pa.array(langs[i:j], pa.string()), "n_words": pa.array(n.astype(np.int64)),
                     "word_chars": pa.array(np.bincount(w.doc, weights=w.chars, minlength=size).astype(np.int64)),
                     "n_symbols": pa.array([len(t) - len(t.translate(None, b"#*$%&|<>")) if t else 0 for t in texts[i:j]], pa.int64()),
                     "n_dup_lines": pa.array([len(x) - len(set(x)) for x in lines], pa.int64()),
                     "n_repeat_words": pa.array(np.bincount(w.doc, weights=repeated_words(w.hashes, w.doc), minlength=size).astype(np.int64)),
+                    "n_grams": pa.array(np.bincount(w.doc, weights=w.ends - w.starts + 1, minlength=size).astype(np.int64)),
+                    "score": pa.array(total), "rare": pa.array(rare, pa.list_(pa.int64())),
                 }
-                grams = np.bincount(w.doc, weights=w.ends - w.starts + 1, minlength=size)
-                if m is not None:
-                    total = np.zeros(size)
-                    if len(w.first):
-                        keys, at, k = w.grams()
-                        words = np.add.reduceat(m.score(keys, np.repeat(w.seeds[w.word_lang], k)), at)
-                        total = np.bincount(w.doc, weights=words[w.inverse], minlength=size)
-                    loss = -total / np.maximum(grams, 1)
-                    cols["log_ppl"] = pa.array(loss, mask=grams == 0)
-                else:
-                    cols["log_ppl"] = pa.nulls(size, pa.float64())
+                row += size
                 yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
     return run
 
 
-_SCHEMA = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_ppl double"
-
+def _rare_of(size: int, w: Words, h: np.ndarray, held: np.ndarray, at: np.ndarray, k: np.ndarray) -> list:
+    """For each document, the hashes of its n-grams that the arrays do not hold, as often as they stand there; None if none."""
+    missing = np.flatnonzero(~held)
+    of_word = np.repeat(np.arange(len(k)), k)[missing]  # distinct words, in order
+    n = np.bincount(of_word, minlength=len(k))
+    begin = np.cumsum(n) - n
+    times = n[w.inverse]  # of each word as it stands
+    out = h[missing[np.repeat(begin[w.inverse], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]].view(np.int64)
+    each = np.bincount(w.doc, weights=times, minlength=size).astype(np.int64)
+    return [x if len(x) else None for x in np.split(out, np.cumsum(each)[:-1])]
 
-def _grams_of_documents(batches):
-    """(doc_id, lang, gram, n) of each document; for a model too large to broadcast."""
-    import pyarrow as pa
 
-    for batch in batches:
-        ids, texts, langs = batch.column("doc_id").to_pylist(), column_bytes(batch.column("text")), batch.column("lang").to_pylist()
-        for x, t, lang in zip(ids, texts, langs, strict=True):
-            w = Words([t], [lang])
-            if len(w.first):
-                keys, _, n = w.grams()
-                keys, counts = _summed(keys, np.repeat(w.counts, n))
-                yield pa.RecordBatch.from_arrays([pa.array([x] * len(keys), pa.int64()), pa.array([lang or ""] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(counts)], ["doc_id", "lang", "gram", "n"])
+_SCHEMA = f"row long, doc_id long, {LANG} string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, score long, rare array<long>"
 
 
-def statistics(docs: DataFrame, broadcast_bytes: int = 64 << 20) -> DataFrame:
+def statistics(docs: DataFrame, head: int = HEAD) -> DataFrame:
     """Base statistics and log perplexity per symbol of every document, under a model of all these documents."""
     spark = docs.sparkSession
-    counts = written(count_grams(docs), "grams")
-    arrays = written(kneser_ney(counts), "model")
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    if arrays.count() * 16 <= broadcast_bytes:
-        model = spark.sparkContext.broadcast(HashArrays.collect(arrays))
-        return d.mapInArrow(_statistics(model), _SCHEMA)
-    base = d.mapInArrow(_statistics(None), _SCHEMA).drop("log_ppl")
-    # every n-gram of these documents is in their model, so the highest order alone gives their probability
-    grams = d.mapInArrow(_grams_of_documents, "doc_id long, lang string, gram long, n long").join(arrays.where(f"ord = {ORDER}").select("lang", "gram", "logp"), ["lang", "gram"])
-    loss = grams.groupBy("doc_id").agg((-F.sum(F.col("n") * F.col("logp")) / F.sum("n")).alias("log_ppl"))
-    return base.join(loss, "doc_id", "left")
-
-
-def rules(docs: DataFrame, low: float = 2.0, high: float = 3.0, floor: float = 0.02, short: float = 100.0, min_docs: int = 50, broadcast_bytes: int = 64 << 20) -> DataFrame:
+    key = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), key.alias(LANG))
+    counts = written(count_grams(d), "grams")
+    model = written(kneser_ney(counts).mapInArrow(_hash_rows, "hash long, n long, score long"), "model")
+    arrays, others = split_model(model, head)
+    s = written(d.mapInArrow(_statistics(spark.sparkContext.broadcast(arrays)), _SCHEMA), "statistics")
+    total = F.col("score")
+    if others is not None:
+        rare = s.where("rare is not null").select("row", F.explode("rare").alias("hash")).groupBy("row", "hash").agg(F.count("*").alias("times"))
+        more = rare.join(others, "hash").groupBy("row").agg(F.sum(F.expr("times * score")).alias("more"))
+        s = s.join(more, "row", "left")
+        total = total + F.coalesce("more", F.lit(0))
+    return s.withColumn("log_ppl", F.when(F.col("n_grams") > 0, -total / F.lit(float(UNIT)) / F.col("n_grams"))).drop("row", "score", "rare", "more", "n_grams")
+
+
+def quartiles(scored: DataFrame, step: float = 1e-4) -> DataFrame:
+    """(LANG, docs, q1, q3) of each language's log_ppl, in steps; exact whatever the partitions, from counts of steps."""
+    steps = scored.groupBy(LANG, F.round(F.col("log_ppl") / step).cast("long").alias("at")).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(LANG).orderBy("at"))
+    steps = steps.withColumn("upto", upto).withColumn("docs", F.sum("n").over(Window.partitionBy(LANG)))
+    q = [F.min(F.when(F.col("upto") >= F.ceil(F.col("docs") * share), F.col("at") * step)).alias(name) for name, share in (("q1", 0.25), ("q3", 0.75))]
+    return steps.groupBy(LANG).agg(F.max("docs").alias("docs"), *q)
+
+
+def rules(docs: DataFrame, low: float = 2.0, high: float = 3.0, floor: float = 0.02, short: float = 100.0, min_docs: int = 50, head: int = HEAD) -> DataFrame:
     """One row for each document: base statistics, base_failed, log_ppl, its band, kept.
 
-    Null or empty texts, and texts without words, have zeros, no log_ppl and fail the base rule. A null language is a
-    language of its own. Repeated doc_ids give a row each. Empty tables give no rows. Other columns are ignored.
+    Model and bands are fitted on these very documents. Null or empty texts, and texts without words, have zeros, no
+    log_ppl and fail the base rule. A null language is a language of its own. A document on the edge of its band is kept;
+    equal texts of a language have equal results. Very long texts are read whole, one at a time. Repeated and null doc_ids
+    give a row each. Empty tables give no rows. Other columns are ignored.
     """
-    s = written(statistics(docs, broadcast_bytes), "quality")
-    failed = F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {REPEAT_PERCENT} * n_words")
-    s = s.withColumn("base_failed", failed)
-    quart = F.expr("percentile_approx(log_ppl, array(0.25D, 0.75D), 10000)")
-    scored = s.where("log_ppl is not null and not base_failed").withColumn("lang", F.coalesce("lang", F.lit("")))
-    by = scored.groupBy("lang").agg(F.count("*").alias("docs"), quart.alias("q"))
-    overall = scored.agg(quart.alias("q")).first()["q"] or [0.0, 0.0]
-    bands = by.withColumn("q", F.when(F.col("docs") >= min_docs, F.col("q")).otherwise(F.array(*[F.lit(x) for x in overall])))
-    bands = bands.select(F.col("lang").alias("band_lang"), F.expr("q[0]").alias("q1"), F.expr("q[1]").alias("q3"), F.greatest(F.expr("q[1] - q[0]"), F.lit(floor)).alias("spread"))
-    out = s.join(bands, F.coalesce(s["lang"], F.lit("")) == bands["band_lang"], "left").drop("band_lang")
-    wide = F.col("spread") * F.sqrt(1 + short / F.greatest(F.col("n_words"), F.lit(1)))
-    out = out.withColumn("ppl_low", F.col("q1") - low * wide).withColumn("ppl_high", F.col("q3") + high * wide).drop("q1", "q3", "spread")
+    s = statistics(docs, head).withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {REPEAT_PERCENT} * n_words"))
+    s = written(s, "quality")
+    scored = s.where("log_ppl is not null and not base_failed")
+    overall = quartiles(scored.withColumn(LANG, F.lit("all"))).first()
+    every = [F.lit(float(overall[x] if overall else 0.0)) for x in ("q1", "q3")]
+    few = F.col("docs") < min_docs
+    bands = quartiles(scored).select(F.col(LANG).alias("band_lang"), F.when(few, every[0]).otherwise(F.col("q1")).alias("q1"), F.when(few, every[1]).otherwise(F.col("q3")).alias("q3"))
+    out = s.join(bands, s[LANG] == bands["band_lang"], "left").drop("band_lang", LANG)
+    wide = F.greatest(F.col("q3") - F.col("q1"), F.lit(floor)) * F.sqrt(1 + short / F.greatest(F.col("n_words"), F.lit(1)))
+    out = out.withColumn("ppl_low", F.col("q1") - low * wide).withColumn("ppl_high", F.col("q3") + high * wide).drop("q1", "q3")
     inside = F.coalesce((F.col("log_ppl") >= F.col("ppl_low")) & (F.col("log_ppl") <= F.col("ppl_high")), F.lit(True))
     return out.withColumn("kept", ~F.col("base_failed") & inside)

@@ -24,8 +24,8 @@ def base(text):
 def perplexities(rows, order=5, symbols=256):
     """Interpolated modified Kneser-Ney by its definition, a language at a time, words one by one."""
     out = {}
-    for lang in {x or "" for _, _, x, _ in rows}:
-        mine = [(i, t) for i, t, x, _ in rows if (x or "") == lang and t]
+    for lang in {x for _, _, x, _ in rows}:
+        mine = [(i, t) for i, t, x, _ in rows if x == lang and t]
         seqs = {i: [b" " * (order - 1) + w.encode() + b" " for w in re.findall(r"[^\x20\x09-\x0D]+", t)] for i, t in mine}
         counts = {order: Counter(s[j : j + order] for ws in seqs.values() for s in ws for j in range(len(s) - order + 1))}
         for o in range(order - 1, 0, -1):
@@ -73,18 +73,31 @@ def test_base_statistics_and_perplexity(spark, rows):
         assert x.base_failed == (x.n_words < 10 or 100 * x.n_repeat_words > 20 * x.n_words)
         assert (x.log_ppl is None) == (i not in want)
         if i in want:
-            assert math.isclose(x.log_ppl, want[i], rel_tol=1e-4)
+            assert math.isclose(x.log_ppl, want[i], rel_tol=1e-6)
         assert not (x.base_failed and x.kept)
     assert not got[501].kept and not got[501].base_failed  # words unlike the language's
     good = [x for i, x in got.items() if 100 <= i < 500 and not x.base_failed]
     assert sum(x.kept for x in good) >= 0.97 * len(good)
 
 
-def test_joined_model_gives_the_same(spark, rows):
-    a = sorted((x.doc_id, x.kept, x.log_ppl and round(x.log_ppl, 4)) for x in quality.rules(documents(spark, rows)).collect())
-    b = sorted((x.doc_id, x.kept, x.log_ppl and round(x.log_ppl, 4)) for x in quality.rules(documents(spark, rows), broadcast_bytes=0).collect())
-    assert [x[:2] for x in a] == [x[:2] for x in b]
-    assert all(x[2] == y[2] or abs(x[2] - y[2]) < 1e-3 for x, y in zip(a, b, strict=True))
+def test_same_bits_for_any_head(spark, rows):
+    """All n-grams in the arrays, some, and none."""
+    results = [sorted(tuple(x) for x in quality.rules(documents(spark, rows), head=head).collect()) for head in (quality.HEAD, 700, 0)]
+    assert results[0] == results[1] == results[2]
+
+
+def test_head_has_a_bound(spark, rows):
+    model = spark.createDataFrame([(i, n, -i) for i, n in enumerate([9, 7, 7, 7, 5, 1, 1, 1, 1])], "hash long, n long, score long")
+    for head, held in ((9, 9), (8, 5), (5, 5), (4, 4), (3, 1), (1, 1), (0, 0)):
+        arrays, others = quality.split_model(model, head)
+        assert len(arrays.hashes) == held and (0 if others is None else others.count()) == 9 - held
+
+
+def test_null_language_is_its_own(spark):
+    r = random.Random(4)
+    rows = [(i, " ".join(r.choice(["abc", "abd", "bcd", "cde"]) for _ in range(30)), "", "x") for i in range(20)] + [(100 + i, " ".join(r.choice(["xyz", "yzx"]) for _ in range(30)), None, "x") for i in range(20)]
+    got = {x.doc_id: x.log_ppl for x in quality.rules(documents(spark, rows)).collect()}
+    assert all(math.isclose(got[i], v, rel_tol=1e-6) for i, v in perplexities(rows).items())
 
 
 def test_edges(spark):
