@@ -1,10 +1,15 @@
 """Embedding near-duplicates by sorted projection passes.
 
 Each pass hashes a vector to a 64-bit word of signs of random projections and orders the vectors of a label by it, so
-that alike vectors tend to stand close. Every vector is compared with its next `window` neighbours; verified pairs of
-all passes are united. A partition hands its first and last rows to its neighbours, so windows reach across. A pass is
-one range partitioning by (pass, label, word, row). Equal vectors go through the passes as one row, so copies do not fill
-windows; the number of passes follows from the count of the largest label (`passes_for`).
+that alike vectors tend to stand close. Every vector is compared with its `window` neighbours before it; verified pairs of
+all passes are united. A partition hands its first rows, and its last ones, to the seams between partitions, as far as a
+window reaches, so windows do not end with partitions. A pass is one range partitioning by (pass, label, dim, word, row).
+Equal vectors go through the passes as one row, so copies do not fill windows. Projections of large labels are taken from
+their mean, as a direction that all vectors share would part nothing; the number of passes follows from the size and the
+spread of the largest labels (`passes_for`).
+
+Passes carry a byte for each component, with the exact bound of what that rounding can change a cosine by. Pairs that
+the bound puts on one side of the threshold are decided; the others' vectors are fetched and compared in double precision.
 
 The passes give components. Links inside a component are then counted exactly: members within half the threshold angle
 of the component's mean direction are all linked to each other (triangle inequality of angles), so they are counted, not
@@ -20,9 +25,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .components import components
+from .components import components, roots
 
 TILE = 512
+STEP = 1024  # rows compared with a window at once
+HOT = 1000
+BROADCAST_ROWS = 1_000_000  # row numbers, 8 bytes each
+BROADCAST_PARTS = 100_000  # partitions' sizes and seams
 
 
 def _unit(arrow) -> tuple[np.ndarray, np.ndarray]:
@@ -47,50 +56,84 @@ def _unit(arrow) -> tuple[np.ndarray, np.ndarray]:
     return x / np.where(norm > 0, norm, 1)[:, None], ok
 
 
-def _directions(batches):
+def _keys(batches):
+    """(row, label, dim, key): a hash of each vector's direction."""
+    import hashlib
+
     import pyarrow as pa
 
     for b in batches:
         u, ok = _unit(b.column("embedding"))
-        size = pa.array((np.diff(b.column("embedding").offsets.to_numpy())).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("label"), size, pa.array([x.tobytes() if k else None for x, k in zip(u, ok, strict=True)], pa.binary())], ["row", "label", "dim", "unit"])
+        at = np.flatnonzero(ok)
+        dims = np.diff(b.column("embedding").offsets.to_numpy())[at]
+        keys = [hashlib.blake2b((u[i] + 0.0).tobytes(), digest_size=16).digest() for i in at]  # + 0.0: -0 as 0
+        part = b.take(pa.array(at))
+        yield pa.RecordBatch.from_arrays([part.column("row"), part.column("label"), pa.array(dims, pa.int32()), pa.array(keys, pa.binary())], ["row", "label", "dim", "key"])
+
+
+def _label_sums(batches, most: int = 10_000):
+    import pyarrow as pa
+
+    held: dict = {}
 
+    def rows():
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in held], pa.int64()), pa.array([k[1] for k in held], pa.int32()), pa.array([n for n, _ in held.values()], pa.int64()), pa.array([x.tolist() for _, x in held.values()], pa.list_(pa.float64()))], ["label", "dim", "n", "sum"])
 
-def _projected(passes: int, seed: int):
+    for b in batches:
+        u, ok = _unit(b.column("embedding"))
+        dims, labels = np.diff(b.column("embedding").offsets.to_numpy()), b.column("label").to_numpy(zero_copy_only=False)
+        for label, dim in {(int(x), int(y)) for x, y in zip(labels[ok], dims[ok], strict=True)}:
+            mine = ok & (labels == label) & (dims == dim)
+            n, x = held.get((label, dim), (0, np.zeros(dim)))
+            held[label, dim] = (n + int(mine.sum()), x + u[mine, :dim].sum(axis=0))
+        if len(held) >= most:
+            yield rows()
+            held.clear()
+    yield rows()
+
+
+def label_means(vectors: DataFrame, largest: DataFrame) -> dict:
+    """{(label, dim): (n, mean direction)} of the labels in `largest`, of which there are fewer than HOT."""
+    hot = vectors.join(F.broadcast(largest.select("label")), "label", "left_semi")
+    sums = hot.mapInArrow(_label_sums, "label long, dim int, n long, sum array<double>")
+    by = sums.select("label", "dim", "n", F.posexplode("sum").alias("at", "x")).groupBy("label", "dim", "at").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
+    out: dict = {}
+    for r in by.groupBy("label", "dim").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("at", "x"))).alias("m")).collect():
+        out[r.label, r.dim] = (r.n, np.array([x.x for x in r.m]) / r.n)
+    return out
+
+
+def _projected(passes: int, seed: int, means):
     def run(batches):
         import pyarrow as pa
 
         planes: dict[int, np.ndarray] = {}
-        for b in batches:
-            dims = b.column("dim").to_numpy()
-            for dim in np.unique(dims):
-                if dim not in planes:
-                    planes[dim] = np.random.RandomState(seed).standard_normal((dim, passes * 64))
-                at = np.flatnonzero(dims == dim)
-                part = b.take(pa.array(at))
-                u = np.frombuffer(b"".join(x[: 8 * dim] for x in part.column("unit").to_pylist())).reshape(len(at), dim)
-                bits = (u @ planes[dim] >= 0).reshape(len(at), passes, 64)
-                words = np.packbits(bits, axis=2).view(">u8")[:, :, 0].astype(np.uint64) ^ np.uint64(1 << 63)  # so that signed order is lexicographic
-                for p in range(passes):
-                    yield pa.RecordBatch.from_arrays([pa.array([p] * len(at), pa.int32()), pa.array(words[:, p].view(np.int64)), *[part.column(c) for c in ("row", "label", "dim", "unit")]], ["pass", "word", "row", "label", "dim", "unit"])
+        for whole in batches:
+            for i in range(0, len(whole), 4096):
+                b = whole.slice(i, 4096)
+                u, ok = _unit(b.column("embedding"))
+                dims, labels = np.diff(b.column("embedding").offsets.to_numpy()), b.column("label").to_numpy(zero_copy_only=False)
+                for label, dim in sorted({(int(x), int(y)) for x, y in zip(labels[ok], dims[ok], strict=True)}):
+                    at = np.flatnonzero(ok & (labels == label) & (dims == dim))
+                    if dim not in planes:
+                        planes[dim] = np.random.RandomState(seed).standard_normal((dim, passes * 64))
+                    x = u[at, :dim]
+                    bits = ((x - means.value.get((label, dim), (0, 0.0))[1]) @ planes[dim] >= 0).reshape(len(at), passes, 64)
+                    words = np.packbits(bits, axis=2).view(">u8")[:, :, 0].astype(np.uint64) ^ np.uint64(1 << 63)  # so that signed order is lexicographic
+                    small = pa.array(_rounded(x), pa.binary())
+                    part = b.take(pa.array(at))
+                    for p in range(passes):
+                        yield pa.RecordBatch.from_arrays([pa.array([p] * len(at), pa.int32()), part.column("label"), pa.array([dim] * len(at), pa.int32()), pa.array(words[:, p].view(np.int64)), part.column("row"), small], ["pass", "label", "dim", "word", "row", "small"])
 
     return run
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest index each of n points reaches by edges (a, b)."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
+def _rounded(x: np.ndarray) -> list[bytes]:
+    """A byte for each component, behind the scale and the length of what rounding took away (a little more, for safety)."""
+    scale = (np.abs(x).max(axis=1) / 127).astype(np.float32)
+    q = np.rint(x / scale[:, None].astype(float)).clip(-127, 127).astype(np.int8)
+    lost = np.sqrt(((x - q * scale[:, None].astype(float)) ** 2).sum(axis=1)) * 1.001 + 2e-6
+    return [a.tobytes() + b.tobytes() + c.tobytes() for a, b, c in zip(scale, lost.astype(np.float32), q, strict=True)]
 
 
 class Rows:
@@ -99,90 +142,148 @@ class Rows:
     def __init__(self, b):
         self.row = b.column("row").to_numpy(zero_copy_only=False)
         self.group = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("pass", "label", "dim")], axis=1)
-        units = b.column("unit").to_pylist()
-        width = max((len(x) for x in units), default=0)
-        self.unit = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in units)).reshape(len(units), width // 8)
-
-    def links(self, window: int, threshold: float, before: int = 0) -> list[tuple[int, int]]:
-        """Edges that span what is linked within the window; only pairs whose later row is `before` or after."""
-        a, b = [], []
-        for d in range(1, min(window, len(self.row) - 1) + 1):
-            same = (self.group[d:] == self.group[:-d]).all(axis=1)
-            same[: max(0, before - d)] = False
-            at = np.flatnonzero(same)
-            hit = at[np.einsum("ij,ij->i", self.unit[at], self.unit[at + d]) >= threshold]
-            a.append(hit)
-            b.append(hit + d)
-        if not a:
-            return []
-        root = _roots(len(self.row), np.concatenate(a), np.concatenate(b))
-        moved = np.flatnonzero(root != np.arange(len(root)))
-        return [(int(self.row[x]), int(self.row[root[x]])) for x in moved]
+        small = b.column("small").to_pylist()
+        width = max((len(x) for x in small), default=8)
+        raw = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in small), np.uint8).reshape(len(small), width)
+        self.lost = raw[:, 4:8].copy().view(np.float32)[:, 0]
+        self.x = raw[:, 8:].view(np.int8).astype(np.float32) * raw[:, :4].copy().view(np.float32)
+
+    def links(self, window: int, threshold: float, before: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Edges that span what is surely linked, and pairs that rounding leaves open; the later row of each is `before` or after."""
+        sure, open_ = [np.zeros((0, 2), np.int64)], [np.zeros((0, 2), np.int64)]
+        for c in range(before, len(self.row), STEP):
+            to, start = min(c + STEP, len(self.row)), max(0, c - window)
+            dots = self.x[start:to] @ self.x[c:to].T
+            margin = self.lost[start:to, None] * (1 + self.lost[None, c:to]) + self.lost[None, c:to]
+            ok = dots + margin >= threshold
+            ok &= np.arange(start, to)[:, None] < np.arange(c, to)[None, :]
+            i, j = np.nonzero(ok)
+            same = (self.group[start + i] == self.group[c + j]).all(axis=1)
+            i, j = i[same], j[same]
+            certain = dots[i, j] - margin[i, j] >= threshold
+            root = roots(to - start, i[certain], j[certain] + c - start)
+            moved = np.flatnonzero(root != np.arange(len(root)))
+            sure.append(np.stack([self.row[start + moved], self.row[start + root[moved]]], axis=1))
+            i, j = i[~certain], j[~certain] + c - start
+            apart = root[i] != root[j]
+            open_.append(np.stack([self.row[start + i[apart]], self.row[start + j[apart]]], axis=1))
+        return np.concatenate(sure), np.concatenate(open_)
+
+
+_FOUND = "a long, b long, sure boolean, part int, at long, rows long, pass int, label long, dim int, row long, small binary"
+
+
+def _pairs_batch(sure: np.ndarray, open_: np.ndarray):
+    import pyarrow as pa
+
+    x, n = np.concatenate((sure, open_)), len(sure) + len(open_)
+    none = [pa.nulls(n, t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())]
+    return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(np.arange(n) < len(sure)), *none], [c.split()[0] for c in _FOUND.split(", ")])
 
 
 def _windows(window: int, threshold: float):
+    """Pairs inside a partition, its first and last rows (at: place in it), and how many rows it has."""
+
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, tail, head = TaskContext.get().partitionId(), None, 0
-        names = ["a", "b", "edge", "pass", "row", "label", "dim", "unit"]
+        part, tail, n = TaskContext.get().partitionId(), None, 0
+        names = [c.split()[0] for c in _FOUND.split(", ")]
 
         def edge(t, at):
-            n = len(t)
-            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([at] * n, pa.int64()), *[t.column(c).combine_chunks() if isinstance(t.column(c), pa.ChunkedArray) else t.column(c) for c in names[3:]]], names)
+            k = len(t)
+            shown = [c.combine_chunks() if isinstance(c := t.column(x), pa.ChunkedArray) else c for x in names[6:]]
+            return pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), pa.array([part] * k, pa.int32()), pa.array(np.arange(at, at + k)), pa.nulls(k, pa.int64()), *shown], names)
 
         for batch in batches:
             for i in range(0, len(batch), 4096):
                 b = pa.Table.from_batches([batch.slice(i, 4096)])
-                if head < window:
-                    yield edge(b.slice(0, window - head), 2 * part)
-                    head += min(window - head, len(b))
+                if n < window:
+                    yield edge(b.slice(0, window - n), n)
+                n += len(b)
                 b = b if tail is None else pa.concat_tables([tail, b])
-                pairs = Rows(b.combine_chunks().to_batches()[0]).links(window, threshold, 0 if tail is None else len(tail))
+                yield _pairs_batch(*Rows(b.combine_chunks().to_batches()[0]).links(window, threshold, 0 if tail is None else len(tail)))
                 tail = b.slice(max(0, len(b) - window))
-                if pairs:
-                    x = np.array(pairs, np.int64)
-                    n = len(x)
-                    yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         if tail is not None:
-            yield edge(tail, 2 * part + 1)
+            yield edge(tail, n - len(tail))
+            one = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*one, pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.array([n], pa.int64()), *[pa.nulls(1, t) for t in (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())]], names)
 
     return run
 
 
 def _seam(window: int, threshold: float):
-    def run(pdf):
-        import pandas as pd
+    def run(table):
+        """Of one seam: the first rows of its partition against the last ones of those before it."""
         import pyarrow as pa
 
-        pdf = pdf.sort_values(["edge", "place"], kind="stable")
-        pairs = Rows(pa.RecordBatch.from_pandas(pdf[["pass", "row", "label", "dim", "unit"]], preserve_index=False)).links(window, threshold)
-        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+        t = table.sort_by([("part", "ascending"), ("at", "ascending")]).combine_chunks()
+        before = int(np.count_nonzero(t.column("part").to_numpy() < t.column("seam").to_numpy()))
+        return pa.Table.from_batches([_pairs_batch(*Rows(t.to_batches()[0]).links(window, threshold, before)).select(["a", "b", "sure"])])
 
     return run
 
 
-def linked(vectors: DataFrame, threshold: float, passes: int, window: int, seed: int) -> DataFrame:
+def linked(vectors: DataFrame, threshold: float, passes: int, window: int, seed: int, means: dict) -> DataFrame:
     """(a, b) rows whose verified pairs, over all passes, span the components found."""
-    p = vectors.mapInArrow(_projected(passes, seed), "pass int, word long, row long, label long, dim int, unit binary")
-    ordered = p.repartitionByRange("pass", "label", "dim", "word", "row").sortWithinPartitions("pass", "label", "dim", "word", "row").select("pass", "row", "label", "dim", "unit")
-    found = written(ordered.mapInArrow(_windows(window, threshold), "a long, b long, edge long, pass int, row long, label long, dim int, unit binary"), "windows")
-    # seams: the last rows of a partition with the first ones of the next; at most 2 x window rows each
-    seams = found.where("edge is not null").withColumn("seam", F.expr("(edge + 1) div 2")).withColumn("place", F.monotonically_increasing_id())
-    over = seams.groupBy("seam").applyInPandas(_seam(window, threshold), "a long, b long")
-    return found.where("edge is null").select("a", "b").union(over).distinct()
+    spark = vectors.sparkSession
+    p = vectors.mapInArrow(_projected(passes, seed, spark.sparkContext.broadcast(means)), "pass int, label long, dim int, word long, row long, small binary")
+    ordered = p.repartitionByRange("pass", "label", "dim", "word", "row").sortWithinPartitions("pass", "label", "dim", "word", "row").select("pass", "label", "dim", "row", "small")
+    found = written(ordered.mapInArrow(_windows(window, threshold), _FOUND), "windows")
+    # a partition's last rows reach the partitions after it, as far as fewer than a window of rows stand between
+    sizes = sorted((r.part, r.rows) for r in found.where("rows is not null").select("part", "rows").collect())  # a row a partition
+    parts, upto = np.array([x for x, _ in sizes], np.int64), np.cumsum([n for _, n in sizes])
+    last = np.searchsorted(np.concatenate(([0], upto[:-1])), upto + window) if sizes else []
+    ends = [(x, n, parts[k + 1 : to].tolist()) for k, ((x, n), to) in enumerate(zip(sizes, last, strict=True))]
+    ends = spark.createDataFrame(ends, "part int, n long, seams array<int>")
+    edges = found.where("at is not null")
+    tails = edges.join(F.broadcast(ends) if len(sizes) <= BROADCAST_PARTS else ends, "part").where(f"at >= n - {window}")
+    columns = ["part", "at", "pass", "label", "dim", "row", "small"]
+    tails = tails.select(F.explode("seams").alias("seam"), *columns)
+    heads = edges.where(f"at < {window}").select(F.col("part").alias("seam"), *columns)
+    over = tails.union(heads).dropDuplicates(["seam", "part", "at"]).groupBy("seam").applyInArrow(_seam(window, threshold), "a long, b long, sure boolean")
+    pairs = written(found.where("a is not null").select("a", "b", "sure").union(over).distinct(), "pairs")
+    x = vectors.select(F.col("row").alias("a"), F.col("embedding").alias("x"))
+    y = vectors.select(F.col("row").alias("b"), F.col("embedding").alias("y"))
+    exact = pairs.where("not sure").join(x, "a").join(y, "b").mapInArrow(_cosine(threshold), "a long, b long")
+    return pairs.where("sure").select("a", "b").union(exact)
+
+
+def _cosine(threshold: float):
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            x, y = _unit(b.column("x"))[0], _unit(b.column("y"))[0]
+            ok = pa.array((x * y).sum(axis=1) >= threshold)
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(ok) for c in ("a", "b")], ["a", "b"])
+
+    return run
 
 
-def _sums(batches):
+def _sums(batches, most: int = 10_000):
+    """A row for each component of a task: the sum of its directions there; sent on when there are many."""
     import pyarrow as pa
 
+    held: dict[int, np.ndarray] = {}
+
+    def rows():
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["component", "sum"])
+
     for b in batches:
-        component = b.column("component").to_numpy(zero_copy_only=False)
-        units = b.column("unit").to_pylist()
-        for c in np.unique(component):
-            x = np.sum([np.frombuffer(units[i]) for i in np.flatnonzero(component == c)], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([x.tobytes()], pa.binary())], ["component", "sum"])
+        for c, u in zip(b.column("component").to_pylist(), b.column("unit").to_pylist(), strict=True):
+            held[c] = held[c] + np.frombuffer(u) if c in held else np.frombuffer(u)
+        if len(held) >= most:
+            yield rows()
+            held.clear()
+    yield rows()
+
+
+def _total(pdf):
+    import pandas as pd
+
+    return pd.DataFrame({"component": [pdf["component"].iloc[0]], "sum": [np.sum([np.frombuffer(s) for s in pdf["sum"]], axis=0).tobytes()]})
 
 
 def _mean(pdf):
@@ -222,7 +323,8 @@ def _tile(threshold: float):
 def count_links(members: DataFrame, threshold: float) -> DataFrame:
     """(row, n_links): links of each member (row, component, unit) inside its component, exactly."""
     sums = members.select("component", "unit").mapInArrow(_sums, "component long, sum binary")
-    middles = sums.groupBy("component").applyInPandas(_mean, "component long, middle binary")  # a row a task and component
+    sums = sums.groupBy("component", (F.spark_partition_id() % 16).alias("salt")).applyInPandas(_total, "component long, sum binary")
+    middles = sums.groupBy("component").applyInPandas(_mean, "component long, middle binary")  # 16 rows at most for each component
     limit = math.cos(math.acos(threshold) / 2) + 1e-9
     m = written(members.join(middles, "component").select("row", "component", "unit", "middle").mapInArrow(_near_middle(limit), "row long, component long, unit binary, core boolean"), "cores")
     sizes = m.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.col("core").cast("long")).alias("n_core")).withColumn("n_rest", F.col("n") - F.col("n_core"))
@@ -236,43 +338,56 @@ def count_links(members: DataFrame, threshold: float) -> DataFrame:
     return inner.union(tiled).groupBy("row").agg(F.sum("n").alias("n_links"))
 
 
-def passes_for(n: int, threshold: float, window: int, missed: float = 0.001) -> int:
-    """Passes after which a pair at the threshold is missed with that chance, among n vectors without a common direction.
+def passes_for(n: int, threshold: float, window: int, spread: float = 1.0, missed: float = 0.001) -> int:
+    """Passes after which a pair at the threshold is missed with that chance, among n vectors of a label.
 
-    A pair meets in a pass if it shares the first log2(n / window) signs, each with the chance 1 - angle / pi.
+    spread: root mean square distance of the vectors from the point projections are taken from. A pair meets in a pass if it
+    shares the first log2(n / window) signs, each with the chance 1 - angle / pi, its angle as seen from that point.
     """
-    alike = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    apart = math.sqrt(max(0.0, 2 - 2 * threshold))
+    alike = max(0.5, 1 - 2 * math.asin(min(1.0, apart / (2 * max(spread, 1e-9)))) / math.pi)
     meets = alike ** math.log2(max(1.0, n / window))
-    if meets >= 1 - missed:
-        return 1
-    if meets <= 0:
-        raise ValueError("threshold: no pass brings pairs of this angle together")
-    return math.ceil(math.log(missed) / math.log1p(-meets))
+    return 1 if meets >= 1 - missed else math.ceil(math.log(missed) / math.log1p(-meets))
+
+
+def _units(batches):
+    import pyarrow as pa
+
+    for b in batches:
+        u, _ = _unit(b.column("embedding"))
+        dims = np.diff(b.column("embedding").offsets.to_numpy())
+        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("component"), pa.array([x[:n].tobytes() for x, n in zip(u, dims, strict=True)], pa.binary())], ["row", "component", "unit"])
 
 
-def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, passes: int = 20, window: int = 24, seed: int = 7) -> DataFrame:
+def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, passes: int = 1, window: int = 2048, seed: int = 7) -> DataFrame:
     """One row for each vector: vec_id, n_links, component_id, kept (it is its component's smallest vec_id).
 
     Vectors link when their labels and lengths are equal, the labels are not null and cosine >= threshold (double
     precision). Vectors that are null, empty, zero or hold null or non-finite components link with nothing. Equal vectors
-    link like others. A repeated vec_id gives a row each time; its rows link with each other as any two vectors would.
-    Pairs of two components the passes did not bring together may be missed: at 0.93, each pass finds about 30 % of the pairs
-    of 17,000 vectors of a label, twenty passes 99.9 %. passes is the least number; larger labels take as many more as keep
-    those 99.9 %, unless their vectors share a direction. Empty tables give no rows; further columns are ignored.
+    link like others. A repeated vec_id gives a row each time; its rows link with each other as any two vectors would; a
+    null vec_id takes its component's smallest id. Pairs of two components the passes did not bring together are missed;
+    passes is the least number, and labels take as many as keep 99.9 % of the pairs at the threshold by `passes_for` (7 for
+    17,000 vectors of a label, 18 for a million). Empty tables give no rows; further columns are ignored.
     """
-    e = embeddings.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
+    exact = embeddings.schema["embedding"].dataType.simpleString() == "array<float>"
+    e = embeddings.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<float>" if exact else "array<double>").alias("embedding"))
     e = written(e, "vectors")
-    valid = e.where("label is not null and embedding is not null").select("row", "label", "embedding").mapInArrow(_directions, "row long, label long, dim int, unit binary").where("unit is not null")
-    valid = written(valid, "directions")
-    keyed = valid.select("row", "label", "dim", F.sha2("unit", 256).alias("key"))
+    valid = e.where("label is not null and embedding is not null").select("row", "label", "embedding")
+    keyed = written(valid.mapInArrow(_keys, "row long, label long, dim int, key binary"), "keys")
     first = written(keyed.groupBy("label", "dim", "key").agg(F.min("row").alias("first"), F.count("*").alias("n")), "different")
-    largest = first.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    passes = max(passes, passes_for(largest, threshold, window))
-    copies = keyed.join(first.where("n > 1"), ["label", "dim", "key"]).where("row <> first").select(F.col("row").alias("a"), F.col("first").alias("b"))
-    different = written(valid.join(first.select(F.col("first").alias("row")), "row", "left_semi"), "ones")
-    found = components(linked(different, threshold, passes, window, seed).union(copies)).toDF("row", "component")
+    sizes = written(first.groupBy("label", "dim").count(), "labels")
+    rows = sizes.agg(F.sum("count")).first()[0] or 0
+    largest = sizes.where(F.col("count") * HOT > rows).where(F.col("count") > window)
+    means = label_means(valid, largest.select("label").distinct())
+    for r in largest.collect():  # fewer than HOT
+        n, mean = means.get((r.label, r.dim), (0, np.zeros(1)))
+        passes = max(passes, passes_for(r["count"], threshold, window, math.sqrt(max(0.0, 1 - float(mean @ mean)))))
+    copies = written(keyed.join(first.where("n > 1"), ["label", "dim", "key"]).where("row <> first").select(F.col("row").alias("a"), F.col("first").alias("b")), "copies")
+    again = copies.select(F.col("a").alias("row"))
+    again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
+    found = components(linked(valid.join(again, "row", "left_anti"), threshold, passes, window, seed, means).union(copies)).toDF("row", "component")
     found = written(found, "components")
-    members = written(found.join(valid.select("row", F.expr("substring(unit, 1, dim * 8)").alias("unit")), "row"), "members")
+    members = written(found.join(valid.select("row", "embedding"), "row").mapInArrow(_units, "row long, component long, unit binary"), "members")
     n = count_links(members, threshold)
     ids = found.join(e.select("row", "vec_id"), "row")
     lowest = ids.groupBy("component").agg(F.min("vec_id").alias("component_id"))

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -74,15 +76,81 @@ def test_copies_do_not_fill_windows(spark):
     r = np.random.RandomState(4)
     base = [v + r.standard_normal(16) * 0.2 for v in r.standard_normal((4, 16)) for _ in range(5)]
     rows = [(40 * i + k, v.astype(np.float32).tolist(), 0) for i, v in enumerate(base) for k in range(40)]
-    got = sorted(tuple(x) for x in vector_neardup.near_duplicates(table(spark, rows), 0.93, passes=1).collect())
+    got = sorted(tuple(x) for x in vector_neardup.near_duplicates(table(spark, rows), 0.93, window=24).collect())
     assert got == brute(rows, 0.93)
 
 
-def test_passes_grow_with_the_label(spark):
-    assert vector_neardup.passes_for(17_000, 0.93, 24) == 20 and vector_neardup.passes_for(24, 0.93, 24) == 1
+def test_passes_grow_with_the_label_and_its_spread(spark):
+    p = vector_neardup.passes_for
+    assert p(17_000, 0.93, 24) == 20 and p(24, 0.93, 24) == 1 and p(17_000, 0.93, 2048) == 7 and p(10**6, 0.93, 2048, 0.5) > p(10**6, 0.93, 2048) == 18
     r = np.random.RandomState(5)
     base = r.standard_normal((1000, 32))
     rows = [(i, v.astype(np.float32).tolist(), 0) for i, v in enumerate(np.concatenate((base, base + r.standard_normal((1000, 32)) * 0.36)))]
-    got = {tuple(x) for x in vector_neardup.near_duplicates(table(spark, rows), 0.93, passes=1, window=2).collect()}
+    got = {tuple(x) for x in vector_neardup.near_duplicates(table(spark, rows), 0.93, window=4).collect()}
     linked = [w for w in brute(rows, 0.93) if w[1]]
     assert len(linked) > 200 and sum(w in got for w in linked) >= 0.9 * len(linked)
+
+
+def test_short_partitions_do_not_part_windows(spark):
+    """Partitions of a few rows: windows reach over several of them, as many pairs are found as in one partition."""
+    r = np.random.RandomState(6)
+    base = r.standard_normal((60, 16))
+    rows = [(i, v.astype(np.float32).tolist(), i % 2) for i, v in enumerate(np.concatenate((base, base + r.standard_normal((60, 16)) * 0.2)))]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for n in ("1", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(n == "1").lower())
+            found.append(sorted(tuple(x) for x in vector_neardup.near_duplicates(table(spark, rows), 0.93).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found[0] == found[1] == brute(rows, 0.93)
+
+
+def test_rounding_bounds_hold():
+    r = np.random.RandomState(7)
+    x = r.standard_normal((300, 64)) * np.exp(r.standard_normal((300, 64)))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    import pyarrow as pa
+
+    n = len(x)
+    b = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), *[pa.array(np.zeros(n, np.int64))] * 3, pa.array(vector_neardup._rounded(x), pa.binary())], ["row", "pass", "label", "dim", "small"])
+    rows = vector_neardup.Rows(b)
+    margin = rows.lost[:, None] * (1 + rows.lost[None]) + rows.lost[None]
+    assert (np.abs(x @ x.T - rows.x @ rows.x.T) <= margin).all() and margin.max() < 0.1
+
+
+def test_double_vectors_keep_their_precision(spark):
+    """Cosine just under the threshold in double, at it in float."""
+    a, c = [1.0, 0.0], 0.93 - 1e-9
+    rows = [(1, a, 0), (2, [c, math.sqrt(1 - c * c)], 0)]
+    schema = "vec_id long, embedding array<double>, label long"
+    assert [x.n_links for x in vector_neardup.near_duplicates(spark.createDataFrame(rows, schema), 0.93).collect()] == [0, 0]
+    rows[1] = (2, [0.93 + 1e-9, math.sqrt(1 - (0.93 + 1e-9) ** 2)], 0)
+    assert [x.n_links for x in vector_neardup.near_duplicates(spark.createDataFrame(rows, schema), 0.93).collect()] == [1, 1]
+
+
+@pytest.mark.parametrize("shared", [1.2])
+def test_recall_on_a_large_clustered_label(spark, shared):
+    """100,000 vectors of one label, in clusters that share a direction: queries are every 100th id against all."""
+    import pyarrow as pa
+
+    r = np.random.RandomState(8)
+    centres = r.standard_normal((4000, 64)) + shared * np.ones(64)
+    v = np.repeat(centres, 25, axis=0) + r.standard_normal((100_000, 64)) * 0.45
+    base = np.flatnonzero(np.arange(100_000) % 10 == 0)
+    v[base + 1] = v[base] + r.standard_normal((len(base), 64)) * 0.3
+    v = v[r.permutation(len(v))].astype(np.float32)
+    embedding = pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, 64), pa.int32()), pa.array(v.ravel()))
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(v)), "embedding": embedding, "label": np.zeros(len(v), np.int64)})).repartition(8)
+    got = vector_neardup.near_duplicates(df, 0.93).toPandas().set_index("vec_id").sort_index()
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    hit = want = 0
+    for q in range(0, len(v), 100):
+        near = np.flatnonzero(u @ u[q] >= 0.93)
+        want += len(near) - 1
+        hit += int((got.component_id.to_numpy()[near] == got.component_id[q]).sum()) - 1
+        assert got.n_links[q] <= len(near) - 1
+    assert want > 50 and hit >= 0.9 * want
