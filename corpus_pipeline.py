@@ -1,6 +1,8 @@
 """The corpus pipeline: quality rules, near-duplicate removal, personal data, source mixing, packing.
 
-Each stage takes the documents its predecessor kept and returns documents; the last returns the packed pieces.
+Each stage takes the documents its predecessor kept and returns documents; the last returns the packed pieces. Rows, not
+ids, are what stages keep: null and repeated ids are separate documents. Empty tables give empty tables; further columns
+stay as they are, whatever their names; very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -11,7 +13,11 @@ from pyspark.sql import functions as F
 from harborline.llm import jaccard_join, mixing, packing, pii, quality
 from harborline.llm.common import table, written
 
-ROW = "document_row"
+ROW, TIMES, TIME = "__row__", "__times__", "__time__"  # names that no table of documents has
+
+
+def columns_of(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -20,35 +26,35 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and whose perplexity lies in their language's band."""
+    """Documents that pass the base rules and whose perplexity lies in their language's band; null and empty texts fail."""
     rows = numbered(docs)
     kept = quality.rules(rows.withColumn("doc_id", F.col(ROW))).where("kept").select(F.col("doc_id").alias(ROW))
-    return rows.join(written(kept, "kept"), ROW, "left_semi").select(*docs.columns)
+    return rows.join(written(kept, "kept"), ROW, "left_semi").select(*columns_of(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked texts: the one with the smallest id.
+    """One document of each group of linked texts: the one with the smallest id; of equal ids, one row; null ids come last.
 
-    Five-word shingles, Jaccard similarity 0.8 or more.
+    Five-word shingles, Jaccard similarity 0.8 or more. Texts without words link with nothing and stay.
     """
     rows = numbered(docs)
     groups = jaccard_join.join(rows.withColumn("doc_id", F.col(ROW)), k=5, percent=80).select(F.col("doc_id").alias(ROW), "component_id")
     named = written(groups, "groups").join(rows.select(ROW, "doc_id"), ROW)
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
-    return rows.join(written(first, "first"), ROW, "left_semi").select(*docs.columns)
+    return rows.join(written(first, "first"), ROW, "left_semi").select(*columns_of(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every personal span replaced by its kind; n_chars follows the text."""
-    return pii.redacted(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Every personal span replaced by its kind; n_chars follows the text; null texts stay null."""
+    return pii.redacted(docs).withColumn("n_chars", F.length("text").cast("long")).select(*columns_of(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, none to CAP times."""
     rows = numbered(docs)
-    copies = mixing.mix(rows, carry=(ROW,)).where("copies > 0").select(ROW, "copies")
+    copies = mixing.mix(rows, carry=(ROW,)).where("copies > 0").select(ROW, F.col("copies").cast("int").alias(TIMES))
     each = rows.join(written(copies, "copies"), ROW)
-    return each.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    return each.withColumn(TIME, F.explode(F.sequence(F.lit(1), F.col(TIMES)))).select(*columns_of(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

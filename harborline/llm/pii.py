@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import functools
 import re
 from functools import lru_cache
 
@@ -384,12 +385,22 @@ def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
     Null and empty texts have no spans. Repeated documents give a row each. Empty tables give no rows; further columns
     are ignored.
     """
-    f = docs.sparkSession.sparkContext.broadcast(field or train())
+    f = docs.sparkSession.sparkContext.broadcast(field or trained())
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return d.mapInArrow(_rows(f, False), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
+@functools.cache
+def trained() -> Field:
+    """The field of the labelled rows, fitted once a session: the same rows give the same weights."""
+    return train()
+
+
 def redacted(docs: DataFrame, field: Field | None = None) -> DataFrame:
-    """The documents with every span replaced by <EMAIL>, <IP>, <CARD> or <PHONE>; other columns as they are."""
-    f = docs.sparkSession.sparkContext.broadcast(field or train())
+    """The documents with every span replaced by <EMAIL>, <IP>, <CARD> or <PHONE>; other columns as they are.
+
+    Null texts stay null, empty ones empty; very long texts are read whole. Repeated documents and null ids give a row each.
+    Empty tables give no rows.
+    """
+    f = docs.sparkSession.sparkContext.broadcast(field or trained())
     return docs.mapInArrow(_rows(f, True), docs.schema)

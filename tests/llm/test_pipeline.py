@@ -44,11 +44,27 @@ def test_run(spark):
 
 
 def test_edges(spark):
-    columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    for rows in ([], edge_rows()):
-        docs = documents(spark, rows).select(*columns)
-        for name, stage in corpus_pipeline.STAGES:
-            stage(spark, docs, SF).collect()
+    """Edge rows and columns of clashing names through every stage, each on the edge rows themselves."""
+    rows = edge_rows() + [(50 + i, sentence(random.Random(i), 40, 4000), "en", "web") for i in range(5)]
+    docs = documents(spark, rows)
+    more = docs.select("*", *[docs.n_chars.alias(c) for c in ("copies", "copy", "component_id", "kept", "first", "spans")])
+    got = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, more, SF)
+        assert name == "packing" or out.columns == more.columns
+        got[name] = out.collect()
+        assert stage(spark, more.limit(0), SF).collect() == []
+    key = lambda xs: sorted((x.doc_id, x.text or "") for x in xs)
+    whole = sorted((i, t or "") for i, t, *_ in rows)
+    kept = [x.kept for x in quality.rules(docs).collect()]
+    assert len(got["quality_rules"]) == sum(kept) and not {1, 2, 3, 4, 5, 8, 9} & {x.doc_id for x in got["quality_rules"]}
+    # 7 is a copy of 6, 5 of 4, 9 stands there twice
+    assert key(got["near_duplicates"]) == sorted({x for x in whole if x[0] not in (5, 7)})
+    assert key(got["personal_data"]) == whole and all(x.n_chars == (None if x.text is None else len(x.text)) for x in got["personal_data"])
+    assert len(got["mix_sources"]) == sum(x.copies for x in mixing.mix(docs).collect())
+    assert all(x.copy == x.n_chars for x in got["mix_sources"] if x.text is not None)
+    t = tokenizer()
+    assert sum(x.length for x in got["packing"]) == sum(len(t.encode(text, add_special_tokens=False).ids) + 1 for _, text in whole)
 
 
 def test_null_and_repeated_ids(spark):
