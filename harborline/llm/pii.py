@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import hashlib
 import random
-import functools
 import re
 from functools import lru_cache
 
@@ -390,7 +389,7 @@ def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
     return d.mapInArrow(_rows(f, False), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
-@functools.cache
+@lru_cache
 def trained() -> Field:
     """The field of the labelled rows, fitted once a session: the same rows give the same weights."""
     return train()
