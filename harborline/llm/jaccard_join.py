@@ -7,8 +7,8 @@ size and in the one below, so linked sets always share a region; a text that not
 
 Regions. The smallest member of a region is its first pivot; members within the radius are linked to it, hence joined
 to each other without comparing them (a thousand near copies take a thousand distances). A region whose members are all
-joined is done. A region of more than LEAF members takes PIVOTS pivots of different groups. Each member's exact distance
-to each is measured; it goes to the Voronoi cell of every pivot at most 2 x radius farther than its nearest one and
+joined is done. A region of more than LEAF members takes PIVOTS pivots of different groups. Each member's distance to
+each is found; it goes to the Voronoi cell of every pivot at most 2 x radius farther than its nearest one and
 within FAR + radius, and to the far region if its nearest pivot is beyond FAR - radius. By the triangle inequality two
 linked members always meet: if the nearest pivot p of x is within FAR, its partner is at most the radius farther from p,
 and at most 2 x radius farther from p than from its own; if not, both are in the far region. Cells and far regions are
@@ -16,8 +16,10 @@ regions again. LEAF members or fewer compare all pairs not joined yet. Where cel
 region (their members are about equally far from each other), its members meet in tiles: those outside its largest
 joined group with all others, without pairs whose distances to a pivot differ by more than the radius.
 
-Sketches. 512 bits, each shingle flips one: bits that differ are at most the shingles that differ, so a pair that
-differs in more bits than linked sets may differ in shingles has no link, and only other pairs' sets are fetched.
+Sketches. Each shingle flips one of 512 bits, and one of at least four times as many bits as a set has shingles: bits
+that differ are at most the shingles that differ, so sketches give a least distance. A pair beyond the radius by that has
+no link; the sets of the others, and only theirs, are fetched and compared exactly. A pivot's distance that is not measured
+stands as the interval from its least distance to 1, and the rules above hold with the ends of intervals.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from .components import joined_forests
 LEAF = 16  # members whose pairs are all compared, by sketches first
 PIVOTS = 4
 FAR = 0.5
+CLOSE = 1e-9
 BLOCK = 128
 WORDS = 8
 SKETCH = [f"s{w}" for w in range(WORDS)]  # 64 bits of a set's sketch each
@@ -84,10 +87,18 @@ def _class(s: np.ndarray) -> int:
     return int(mix(np.add.reduce(x, keepdims=True)).view(np.int64)[0])
 
 
-def _sketch(s: np.ndarray) -> np.ndarray:
-    """Bits flipped an odd number of times when each shingle flips one."""
-    flips = np.bincount((mix(s ^ U(0x3C)) >> U(55)).astype(np.int64), minlength=64 * WORDS) & 1
-    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+def _sketch(s: np.ndarray) -> list[int]:
+    """WORDS words, and for larger sets more words behind them: bits flipped an odd number of times when each shingle flips one.
+
+    The words behind are a power of two, at least four bits a shingle; half as many are the two halves' exclusive or.
+    """
+    more = 1 << (4 * len(s) - 1).bit_length()
+    h = mix(s ^ U(0x3C)).astype(np.int64)
+    out = []
+    for bits in (64 * WORDS, more) if more > 64 * WORDS else (64 * WORDS,):
+        flips = np.bincount(h & (bits - 1), minlength=bits).astype(np.uint8) & 1
+        out += np.packbits(flips, bitorder="little").view(np.int64).tolist()
+    return out
 
 
 def alike(percent: int, x: str = "x", y: str = "y") -> str:
@@ -96,6 +107,18 @@ def alike(percent: int, x: str = "x", y: str = "y") -> str:
     return f"100 * least({x}.size, {y}.size) >= {percent} * greatest({x}.size, {y}.size) and {100 + percent} * ({differ}) <= {100 - percent} * ({x}.size + {y}.size)"
 
 
+def least_distance(x: str = "x", y: str = "y") -> str:
+    """SQL: a bound the distance of two sets is not below, by their sizes and wide sketches."""
+    fold = "zip_with(slice({0}.wide, 1, size({1}.wide)), slice({0}.wide, size({1}.wide) + 1, size({1}.wide)), (p, q) -> p ^ q)"
+    left = f"if(size({x}.wide) > size({y}.wide), {fold.format(x, y)}, {x}.wide)"
+    right = f"if(size({y}.wide) > size({x}.wide), {fold.format(y, x)}, {y}.wide)"
+    differ = f"aggregate(zip_with({left}, {right}, (p, q) -> bit_count(p ^ q)), 0, (n, v) -> n + v)"
+    # sketches of sizes apart by more than two say nothing
+    differ = f"if(greatest(size({x}.wide), size({y}.wide)) > 2 * least(size({x}.wide), size({y}.wide)), 0, {differ})"
+    sizes = f"1 - least({x}.size, {y}.size) / greatest({x}.size, {y}.size)"
+    return f"greatest({sizes}, transform(array({differ}), v -> 2 * v / ({x}.size + {y}.size + v))[0])"
+
+
 def _regions(s: np.ndarray, percent: int) -> np.ndarray:
     """Regions of a set: its slices' contents in its own size window and the one below, without the lightest slices."""
     out, own = [np.zeros(0, U)], window_of(len(s), percent)
@@ -128,7 +151,7 @@ def _signed(k: int, percent: int, most_seen: int = 1 << 20):
                 regions, classes, docs = [], [], []
                 for at, s in enumerate(doc_shingles(texts[i : i + 256], k), i):
                     c = _class(s) if len(s) else None
-                    docs.append((c, [ids[at], len(s), *(_sketch(s).tolist() if c is not None else [])]))
+                    docs.append((c, [ids[at], len(s), *(_sketch(s) if c is not None else [])]))
                     if c is not None and c not in seen:
                         if len(seen) >= most_seen:
                             seen.clear()
@@ -229,11 +252,12 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = N
     region = Window.partitionBy("region")
     ends = [F.min("class").over(region).alias("pivot"), F.max("class").over(region).alias("last"), F.min(F.xxhash64("class")).over(region).alias("lo"), F.max(F.xxhash64("class")).over(region).alias("hi")]
     found = written(rows.select("*", *ends).where("doc is not null or pivot < last"), "signatures")
-    signed = found.where("doc is not null").select(F.expr("doc[0]").alias("doc_id"), F.expr("doc[1]").alias("n_shingles"), "class", *[F.expr(f"doc[{2 + i}]").alias(w) for i, w in enumerate(SKETCH)])
+    signed = found.where("doc is not null").select(F.expr("doc[0]").alias("doc_id"), F.expr("doc[1]").alias("n_shingles"), "class", *[F.expr(f"doc[{2 + i}]").alias(w) for i, w in enumerate(SKETCH)], F.expr(f"if(size(doc) > {2 + WORDS}, slice(doc, {3 + WORDS}, size(doc)), slice(doc, 3, {WORDS}))").alias("wide"))
     # regions whose least and greatest members are the same, by two orders, have the same members nearly always: they are one
     members = written(found.where("doc is null").select(F.xxhash64("pivot", "last", "lo", "hi").alias("region"), "class", "pivot").distinct(), "regions")
     first = signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_doc"), F.min("n_shingles").alias("size"), *[F.min(w).alias(w) for w in SKETCH])
-    label = _resolve(d, first, members, k, percent, counts)
+    wide = signed.select("class", "wide")
+    label = _resolve(d, first, wide, members, k, percent, counts)
     named = signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_doc")).join(label, "class")
     lowest = named.groupBy("label").agg(F.min("first_doc").alias("component_id"))
     alone = signed.groupBy("class").agg(F.min("doc_id").alias("component_id"))
@@ -243,15 +267,18 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = N
     return out.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _resolve(d: DataFrame, first: DataFrame, members: DataFrame, k: int, percent: int, counts: list | None) -> DataFrame:
+def _resolve(d: DataFrame, first: DataFrame, wide: DataFrame, members: DataFrame, k: int, percent: int, counts: list | None) -> DataFrame:
     """(class, label) once no region holds two classes that are unjoined and unmeasured."""
     spark = d.sparkSession
     label = spark.createDataFrame([], "class long, label long")
-    classes = written(first.join(members.select("class").distinct(), "class", "left_semi"), "classes")
+    needed = members.select("class").distinct()
+    classes = written(first.join(needed, "class", "left_semi"), "classes")
     ids, sketches = classes.select("class", "first_doc"), classes.drop("first_doc")
+    wides = written(wide.join(needed, "class", "left_semi").dropDuplicates(["class"]).join(sketches.select("class", "size"), "class"), "wides")
     x, y = sketches.alias("x"), sketches.alias("y")
     pairs = members.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    pairs = written(pairs.join(x, F.expr("a = x.class")).join(y, F.expr("b = y.class")).where(alike(percent)).select("a", "b"), "pairs")
+    pairs = pairs.join(x, F.expr("a = x.class")).join(y, F.expr("b = y.class")).where(alike(percent)).select("a", "b")
+    pairs = written(_bounded(pairs, wides).where(f"low <= {1 - percent / 100 + CLOSE}").select("a", "b"), "pairs")
     cells, ends, measured = members.select("region", "class"), None, None
     while not pairs.isEmpty() or ends is not None:
         new = similarity(pairs, d, ids, k)
@@ -262,17 +289,27 @@ def _resolve(d: DataFrame, first: DataFrame, members: DataFrame, k: int, percent
             tiles, cells = _split(ends, measured, label, sketches, percent)
         cells = written(_open(cells, label), "cells")
         small, large = cells.where(f"n <= {LEAF}"), cells.where(f"n > {LEAF}")
-        ends = None if large.isEmpty() else written(_ends(large), "ends")
         pairs = _pairs_inside(small.join(sketches, "class"), f"x.label <> y.label and {alike(percent)}")
-        pairs = pairs if ends is None else pairs.union(ends.where("a <> b").select("a", "b"))
-        pairs = pairs if tiles is None else pairs.union(tiles)
-        pairs = written(pairs.distinct().join(measured.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        pairs = _bounded((pairs if tiles is None else pairs.union(tiles)).distinct(), wides)
+        ends = None if large.isEmpty() else _ends(large)
+        if ends is not None:
+            to_pivots = written(_bounded(ends.where("a <> b").select("a", "b").distinct(), wides), "bounds")
+            ends = written(ends.join(to_pivots, ["a", "b"], "left"), "ends")
+            pairs = pairs.union(to_pivots).distinct()
+        pairs = pairs.where(f"low <= {1 - percent / 100 + CLOSE}").select("a", "b")
+        pairs = written(pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if counts is not None:
             counts.append({"leaves": small.select("region").distinct().count(), "voronoi": large.select("region").distinct().count(), "pairs": pairs.count()})
         cells = large.select("region", "class")
     return label
 
 
+def _bounded(pairs: DataFrame, wides: DataFrame) -> DataFrame:
+    """(a, b, low): the least distance of each pair by its wide sketches."""
+    x, y = wides.alias("x"), wides.alias("y")
+    return pairs.join(x, F.expr("a = x.class")).join(y, F.expr("b = y.class")).select("a", "b", F.expr(least_distance()).alias("low"))
+
+
 def _open(cells: DataFrame, label: DataFrame) -> DataFrame:
     """(region, class, label, n) of the regions that hold more than one label; of regions with the same members, one."""
     labelled = cells.join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
@@ -295,14 +332,16 @@ def _pairs_inside(cells: DataFrame, more: str) -> DataFrame:
 
 
 def _split(ends: DataFrame, measured: DataFrame, label: DataFrame, sketches: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Of regions whose distances to pivots are measured: pairs to measure where cells would not part, and the cells of the others."""
-    radius, close = 1 - percent / 100, 1e-9
+    """Of regions whose distances to pivots are known: pairs to measure where cells would not part, and the cells of the others."""
+    radius = 1 - percent / 100
     distance = measured.select("a", "b", (1 - F.col("both") / F.col("either")).alias("d"))
-    at = ends.drop("label").join(distance, ["a", "b"], "left").groupBy("region", "class", "n").agg(F.collect_list(F.struct("p", F.coalesce("d", F.lit(0.0)).alias("d"))).alias("ds"))
-    own = F.array_min(F.transform("ds", lambda v: v["d"]))
+    known = F.coalesce("d", F.when(F.col("a") == F.col("b"), 0.0))
+    d = F.struct("p", F.coalesce(known, "low").alias("low"), F.coalesce(known, F.lit(1.0)).alias("up"))
+    at = ends.drop("label").join(distance, ["a", "b"], "left").groupBy("region", "class", "n").agg(F.collect_list(d).alias("ds"))
+    own = F.array_min(F.transform("ds", lambda v: v["up"]))
     at = at.join(label, "class", "left").withColumn("label", F.coalesce("label", "class")).withColumn("own", own)
-    reach = F.least(F.lit(FAR + radius), F.col("own") + 2 * radius) + close
-    to = F.concat(F.transform(F.filter("ds", lambda v: v["d"] <= reach), lambda v: v["p"]), F.when(F.col("own") > FAR - radius - close, F.array(F.lit(None).cast("long"))).otherwise(F.array().cast("array<long>")))
+    reach = F.least(F.lit(FAR + radius), F.col("own") + 2 * radius) + CLOSE
+    to = F.concat(F.transform(F.filter("ds", lambda v: v["low"] <= reach), lambda v: v["p"]), F.when(F.col("own") > FAR - radius - CLOSE, F.array(F.lit(None).cast("long"))).otherwise(F.array().cast("array<long>")))
     at = written(at.withColumn("to", to), "distances")
     inside = at.select("region", "class", "n", F.explode("to").alias("p"))
     counts = inside.groupBy("region", "p").agg(F.count("*").alias("size"), F.max("n").alias("n"))
@@ -318,7 +357,7 @@ def _split(ends: DataFrame, measured: DataFrame, label: DataFrame, sketches: Dat
     stuck = stuck.select("region", "class", "label", "rest", "ds", "rows", "columns", row.alias("row"), column.alias("column")).join(sketches, "class")
     x = stuck.where("rest").withColumn("column", F.explode(F.sequence(F.lit(0), F.col("columns") - 1))).alias("x")
     y = stuck.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).alias("y")
-    near = f"not exists(x.ds, v -> exists(y.ds, w -> w.p = v.p and abs(v.d - w.d) > {radius + close}))"
+    near = f"not exists(x.ds, v -> exists(y.ds, w -> w.p = v.p and (v.low - w.up > {radius + CLOSE} or w.low - v.up > {radius + CLOSE})))"
     both = x.join(y, F.expr("x.region = y.region and x.row = y.row and x.column = y.column and x.label <> y.label and (x.class < y.class or not y.rest)"))
     both = both.where(f"{alike(percent)} and {near}")
     return both.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")), cells

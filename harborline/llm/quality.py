@@ -10,7 +10,7 @@ frequent 5-grams, at most `head`, are one sorted hash array in every task, searc
 corpus. Rarer ones of a document, few as they are, travel with its row and meet their probabilities by a join. Sums of whole
 numbers do not depend on the split, so the result is the same, bit for bit, for any `head`.
 
-Bands. For each language, the log perplexity of all its documents (in steps of 1e-4) gives quartiles; documents below
+Bands. For each language, the log perplexity of all its documents (in steps of 1e-3, so a few thousand at most) gives quartiles; documents below
 q1 - low x spread or above q3 + high x spread are rejected (spread: the quartile distance, at least `floor`, times
 sqrt(1 + short / words), for a short text's perplexity varies more). A language with fewer than `min_docs` documents takes
 the quartiles of all documents.
@@ -279,7 +279,7 @@ def statistics(docs: DataFrame, head: int = HEAD) -> DataFrame:
     return s.withColumn("log_ppl", F.when(F.col("n_grams") > 0, -total / F.lit(float(UNIT)) / F.col("n_grams"))).drop("row", "score", "rare", "more", "n_grams")
 
 
-def quartiles(scored: DataFrame, step: float = 1e-4) -> DataFrame:
+def quartiles(scored: DataFrame, step: float = 1e-3) -> DataFrame:
     """(LANG, docs, q1, q3) of each language's log_ppl, in steps; exact whatever the partitions, from counts of steps."""
     steps = scored.groupBy(LANG, F.round(F.col("log_ppl") / step).cast("long").alias("at")).agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.partitionBy(LANG).orderBy("at"))
