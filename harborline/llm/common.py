@@ -6,7 +6,8 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ASCII white space, the word separators of every operator here.
@@ -58,6 +59,28 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def few(rows: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """Rows of a few numbers each, marked for a broadcast if they are counted to be at most `most`; else left to a shuffle."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df with a long column that tells its rows apart and is the same whenever it is read.
+
+    Rows of files are numbered by their file and their place in it, at no cost but for a list of the files; rows that come
+    from elsewhere are written first.
+    """
+    spark = df.sparkSession
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias("__path__"), F.col("_metadata.row_index").alias("__place__"))
+    except AnalysisException:
+        return written(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    paths = placed.select("__path__").distinct().withColumn("__file__", F.row_number().over(Window.orderBy("__path__")).cast("long"))
+    paths = written(paths, "files")  # a row a file
+    rows = placed.join(few(paths, 100_000), "__path__")
+    return rows.withColumn(name, F.expr("shiftleft(__file__, 40) + __place__")).drop("__path__", "__file__", "__place__")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (xor-shift-multiply) on uint64 arrays."""
     x = x ^ (x >> U(30))
@@ -108,7 +131,7 @@ def scan_words(buf: bytes, lower: bool = False, step: int = 1 << 20) -> tuple[np
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def blocks(texts: list, limit: int = 4 << 20):
+def blocks(texts: list, limit: int = 1 << 20):
     """Yield (first, last) ranges of a list of bytes with about `limit` bytes each; a longer text stands alone."""
     first = size = 0
     for i, t in enumerate(texts):

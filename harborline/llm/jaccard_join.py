@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import U, blocks, chain, column_bytes, discard, joined, mix, scan_words, written
 from .components import joined_forests
 
-LEAF = 16  # members whose pairs are all compared, by sketches first
+LEAF = 64  # members whose pairs are all compared, by sketches first
 PIVOTS = 4
 FAR = 0.5
 CLOSE = 1e-9
@@ -264,13 +264,15 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = N
     named = written(named.join(lowest, "label").select("class", "component_id"), "components")
     one = alone.join(named, "class", "left_anti").union(named).where("class is not null").select(F.col("class").alias("c"), "component_id")
     out = signed.select("doc_id", "n_shingles", "class").join(one, F.col("class") == F.col("c"), "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    out = written(out.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")), "joined")
+    discard(found, members, named)
+    return out
 
 
 def _resolve(d: DataFrame, first: DataFrame, wide: DataFrame, members: DataFrame, k: int, percent: int, counts: list | None) -> DataFrame:
     """(class, label) once no region holds two classes that are unjoined and unmeasured."""
     spark = d.sparkSession
-    label = spark.createDataFrame([], "class long, label long")
+    label = None
     needed = members.select("class").distinct()
     classes = written(first.join(needed, "class", "left_semi"), "classes")
     ids, sketches = classes.select("class", "first_doc"), classes.drop("first_doc")
@@ -278,16 +280,22 @@ def _resolve(d: DataFrame, first: DataFrame, wide: DataFrame, members: DataFrame
     x, y = sketches.alias("x"), sketches.alias("y")
     pairs = members.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
     pairs = pairs.join(x, F.expr("a = x.class")).join(y, F.expr("b = y.class")).where(alike(percent)).select("a", "b")
-    pairs = written(_bounded(pairs, wides).where(f"low <= {1 - percent / 100 + CLOSE}").select("a", "b"), "pairs")
-    cells, ends, measured = members.select("region", "class"), None, None
+    pairs = last = written(_bounded(pairs, wides).where(f"low <= {1 - percent / 100 + CLOSE}").select("a", "b"), "pairs")
+    cells, opened, ends, measured, kept = members.select("region", "class"), None, None, None, []
     while not pairs.isEmpty() or ends is not None:
         new = similarity(pairs, d, ids, k)
+        kept.append(new)
         measured = new if measured is None else measured.unionByName(new)
+        past = [] if label is None else [label]
         label = written(joined_forests(measured.where(f"100 * both >= {percent} * either").select("a", "b")).toDF("class", "label"), "labels")
         tiles = None
         if ends is not None:
-            tiles, cells = _split(ends, measured, label, sketches, percent)
-        cells = written(_open(cells, label), "cells")
+            past += [ends, to_pivots]
+            tiles, cells, more = _split(ends, measured, label, sketches, percent)
+            past += more
+        if opened is not None:
+            past.append(opened)
+        cells = opened = written(_open(cells, label), "cells")
         small, large = cells.where(f"n <= {LEAF}"), cells.where(f"n > {LEAF}")
         pairs = _pairs_inside(small.join(sketches, "class"), f"x.label <> y.label and {alike(percent)}")
         pairs = _bounded((pairs if tiles is None else pairs.union(tiles)).distinct(), wides)
@@ -296,12 +304,15 @@ def _resolve(d: DataFrame, first: DataFrame, wide: DataFrame, members: DataFrame
             to_pivots = written(_bounded(ends.where("a <> b").select("a", "b").distinct(), wides), "bounds")
             ends = written(ends.join(to_pivots, ["a", "b"], "left"), "ends")
             pairs = pairs.union(to_pivots).distinct()
+        past.append(last)
         pairs = pairs.where(f"low <= {1 - percent / 100 + CLOSE}").select("a", "b")
-        pairs = written(pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        pairs = last = written(pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if counts is not None:
             counts.append({"leaves": small.select("region").distinct().count(), "voronoi": large.select("region").distinct().count(), "pairs": pairs.count()})
         cells = large.select("region", "class")
-    return label
+        discard(*past)  # what this round has replaced
+    discard(classes, wides, last, *kept, *([] if opened is None else [opened]))
+    return spark.createDataFrame([], "class long, label long") if label is None else label
 
 
 def _bounded(pairs: DataFrame, wides: DataFrame) -> DataFrame:
@@ -331,8 +342,8 @@ def _pairs_inside(cells: DataFrame, more: str) -> DataFrame:
     return both.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
 
 
-def _split(ends: DataFrame, measured: DataFrame, label: DataFrame, sketches: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Of regions whose distances to pivots are known: pairs to measure where cells would not part, and the cells of the others."""
+def _split(ends: DataFrame, measured: DataFrame, label: DataFrame, sketches: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Of regions whose distances to pivots are known: pairs to measure where cells would not part, the cells of the others, and what both read."""
     radius = 1 - percent / 100
     distance = measured.select("a", "b", (1 - F.col("both") / F.col("either")).alias("d"))
     known = F.coalesce("d", F.when(F.col("a") == F.col("b"), 0.0))
@@ -360,4 +371,4 @@ def _split(ends: DataFrame, measured: DataFrame, label: DataFrame, sketches: Dat
     near = f"not exists(x.ds, v -> exists(y.ds, w -> w.p = v.p and (v.low - w.up > {radius + CLOSE} or w.low - v.up > {radius + CLOSE})))"
     both = x.join(y, F.expr("x.region = y.region and x.row = y.row and x.column = y.column and x.label <> y.label and (x.class < y.class or not y.rest)"))
     both = both.where(f"{alike(percent)} and {near}")
-    return both.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")), cells
+    return both.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")), cells, [at, parted]

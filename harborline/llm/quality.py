@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, blocks, chain, column_bytes, joined, mix, scan_words, written
+from .common import U, blocks, chain, column_bytes, discard, few, joined, mix, scan_words, written
 
 ORDER = 5
 PAD = 32  # the white space before and after a word
@@ -136,7 +136,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     y = F.expr("coalesce(t1 / nullif(t1 + 2 * t2, 0), 0.5D)")
     steps = by.select("lang", "ord", *[F.greatest(F.lit(0.05 * k), F.least(F.lit(0.95 * k), F.coalesce(F.expr(f"{k}D") - (k + 1) * y * F.expr(f"t{k + 1} / nullif(t{k}, 0)"), F.lit(0.5 * k)))).alias(f"d{k}") for k in (1, 2, 3)])
     steps = written(steps, "steps")
-    t = t.join(F.broadcast(steps) if steps.count() <= 100_000 else steps, ["lang", "ord"]).withColumn("cut", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
+    t = t.join(few(steps, 100_000), ["lang", "ord"]).withColumn("cut", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
     contexts = t.groupBy("lang", "ord", "context").agg(F.sum("c").alias("total"), (F.sum("cut") / F.sum("c")).alias("back"))
     t = t.join(contexts, ["lang", "ord", "context"]).select("lang", "ord", "gram", "c", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own"), "back")
     t = written(t, "discounted")
@@ -268,6 +268,7 @@ def statistics(docs: DataFrame, head: int = HEAD) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), key.alias(LANG))
     counts = written(count_grams(d), "grams")
     model = written(kneser_ney(counts).mapInArrow(_hash_rows, "hash long, n long, score long"), "model")
+    discard(counts)
     arrays, others = split_model(model, head)
     s = written(d.mapInArrow(_statistics(spark.sparkContext.broadcast(arrays)), _SCHEMA), "statistics")
     total = F.col("score")
@@ -301,8 +302,8 @@ def rules(docs: DataFrame, low: float = 2.0, high: float = 3.0, floor: float = 0
     scored = s.where("log_ppl is not null and not base_failed")
     overall = quartiles(scored.withColumn(LANG, F.lit("all"))).first()
     every = [F.lit(float(overall[x] if overall else 0.0)) for x in ("q1", "q3")]
-    few = F.col("docs") < min_docs
-    bands = quartiles(scored).select(F.col(LANG).alias("band_lang"), F.when(few, every[0]).otherwise(F.col("q1")).alias("q1"), F.when(few, every[1]).otherwise(F.col("q3")).alias("q3"))
+    short_of = F.col("docs") < min_docs
+    bands = quartiles(scored).select(F.col(LANG).alias("band_lang"), F.when(short_of, every[0]).otherwise(F.col("q1")).alias("q1"), F.when(short_of, every[1]).otherwise(F.col("q3")).alias("q3"))
     out = s.join(bands, s[LANG] == bands["band_lang"], "left").drop("band_lang", LANG)
     wide = F.greatest(F.col("q3") - F.col("q1"), F.lit(floor)) * F.sqrt(1 + short / F.greatest(F.col("n_words"), F.lit(1)))
     out = out.withColumn("ppl_low", F.col("q1") - low * wide).withColumn("ppl_high", F.col("q3") + high * wide).drop("q1", "q3")

@@ -84,7 +84,7 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
 def test_voronoi_cells_with_production_parameters(spark, k, percent):
     r = random.Random(5)
-    rows = chained(r, 160, 2 if percent == 90 else 3, 1000) + near_copies(r, sentence(r, 120, 10**6), 60, 5, 2000)
+    rows = chained(r, 60, 2 if percent == 90 else 3, 1000) + near_copies(r, sentence(r, 300, 10**6), 150, 12, 2000)
     counts: list = []
     got = sorted(tuple(x) for x in jaccard_join.join(documents(spark, rows), k, percent, counts).collect())
     assert got == brute(rows, k, percent)
@@ -96,3 +96,21 @@ def test_null_and_repeated_ids(spark):
     rows = [(None, a, "en", "x"), (7, a, "en", "x"), (7, b, "en", "x"), (None, b, "en", "x"), (None, "only one", "en", "x"), (None, None, "en", "x")]
     got = sorted((str(x), n, str(c)) for x, n, c in jaccard_join.join(documents(spark, rows), 3, 90).collect())
     assert got == sorted([("None", 38, "7"), ("7", 38, "7"), ("7", 38, "7"), ("None", 38, "7"), ("None", 1, "None"), ("None", 0, "None")])
+
+
+@pytest.mark.parametrize("percent", [90, 80])
+def test_least_distances_hold(spark, percent):
+    """Wide sketches never say more than the distance, and say much of unrelated sets."""
+    import numpy as np
+
+    r = np.random.RandomState(percent)
+    base = r.randint(1, 1 << 62, 9000).astype(np.uint64)
+    sets = [np.unique(np.concatenate((base[: n - n // m], r.randint(1, 1 << 62, n // m).astype(np.uint64)))) for n in (3, 20, 128, 129, 300, 700, 1500, 4000) for m in (1, 2, 9, 40)]
+    rows = [(i, len(s), (w := jaccard_join._sketch(s))[8:] or w) for i, s in enumerate(sets)]
+    t = spark.createDataFrame(rows, "class long, size long, wide array<long>")
+    got = t.alias("x").join(t.alias("y"), how="cross").selectExpr("x.class", "y.class", f"{jaccard_join.least_distance()}").collect()
+    for i, j, low in got:
+        both = len(np.intersect1d(sets[i], sets[j]))
+        assert low <= 1 - both / (len(sets[i]) + len(sets[j]) - both) + 1e-9
+        if i != j and i % 4 == j % 4 == 0 and 0.6 < len(sets[i]) / len(sets[j]) < 1.6:
+            assert low > 0.6
