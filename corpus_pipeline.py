@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.llm import jaccard_join, mixing, packing, pii, quality
-from harborline.llm.common import table, written
+from harborline.llm.common import few, numbered, table, written
 
 ROW, TIMES, TIME = "__row__", "__times__", "__time__"  # names that no table of documents has
 
@@ -20,16 +20,16 @@ def columns_of(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a written row number: ids may be null or repeated, so stages and joins go by rows."""
-    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows but for the dropped ones; these are few and travel to the rows, texts stay where they are (beyond a count, both are shuffled)."""
+    return rows.join(few(written(dropped, "dropped")), ROW, "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose perplexity lies in their language's band; null and empty texts fail."""
-    rows = numbered(docs)
-    kept = quality.rules(rows.withColumn("doc_id", F.col(ROW))).where("kept").select(F.col("doc_id").alias(ROW))
-    return rows.join(written(kept, "kept"), ROW, "left_semi").select(*columns_of(docs))
+    rows = numbered(docs, ROW)
+    failed = quality.rules(rows.withColumn("doc_id", F.col(ROW))).where("not kept").select(F.col("doc_id").alias(ROW))
+    return without(rows, failed).select(*columns_of(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +37,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Five-word shingles, Jaccard similarity 0.8 or more. Texts without words link with nothing and stay.
     """
-    rows = numbered(docs)
+    rows = numbered(docs, ROW)
     groups = jaccard_join.join(rows.withColumn("doc_id", F.col(ROW)), k=5, percent=80).select(F.col("doc_id").alias(ROW), "component_id")
-    named = written(groups, "groups").join(rows.select(ROW, "doc_id"), ROW)
+    several = groups.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1")
+    named = groups.join(several.select("component_id"), "component_id").join(rows.select(ROW, "doc_id"), ROW)
+    named = written(named, "groups")
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
-    return rows.join(written(first, "first"), ROW, "left_semi").select(*columns_of(docs))
+    return without(rows, named.select(ROW).join(first, ROW, "left_anti")).select(*columns_of(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +53,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, none to CAP times."""
-    rows = numbered(docs)
+    rows = numbered(docs, ROW)
     copies = mixing.mix(rows, carry=(ROW,)).where("copies > 0").select(ROW, F.col("copies").cast("int").alias(TIMES))
-    each = rows.join(written(copies, "copies"), ROW)
+    each = rows.join(few(written(copies, "copies")), ROW)
     return each.withColumn(TIME, F.explode(F.sequence(F.lit(1), F.col(TIMES)))).select(*columns_of(docs))
 
 
