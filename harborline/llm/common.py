@@ -59,6 +59,31 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def tidied(run):
+    """run, for mapInArrow, with what its arrays took given back to the system after each batch: a worker that is used again would keep it."""
+
+    def tidy():
+        import ctypes
+
+        import pyarrow as pa
+
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim is not None:
+            trim(0)
+
+    def each(batches):
+        for b in batches:
+            yield b
+            del b
+            tidy()
+
+    def wrapped(batches):
+        yield from run(each(batches))
+
+    return wrapped
+
+
 def few(rows: DataFrame, most: int = 2_000_000) -> DataFrame:
     """Rows of a few numbers each, marked for a broadcast if they are counted to be at most `most`; else left to a shuffle."""
     return F.broadcast(rows) if rows.count() <= most else rows

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, blocks, chain, column_bytes, discard, joined, mix, scan_words, written
+from .common import U, blocks, chain, column_bytes, discard, joined, mix, scan_words, tidied, written
 from .components import joined_forests
 
 LEAF = 64  # members whose pairs are all compared, by sketches first
@@ -137,7 +137,7 @@ def _regions(s: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _signed(k: int, percent: int, most_seen: int = 1 << 20):
+def _signed(k: int, percent: int, most_seen: int = 1 << 17):
     """Rows of two kinds: a document (doc: id, size, sketch; region: any), and a set's regions, once a task for equal sets."""
 
     def run(batches):
@@ -169,7 +169,7 @@ def _signed(k: int, percent: int, most_seen: int = 1 << 20):
     return run
 
 
-def _sets(k: int, docs_bits, class_bits, most_seen: int = 1 << 20):
+def _sets(k: int, docs_bits, class_bits, most_seen: int = 1 << 17):
     """(class, shingles) of the sets in the bitmaps, once a task; texts are cut only where the first has their id."""
 
     def run(batches):
@@ -227,7 +227,7 @@ def similarity(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
     """
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class").select("class", "first_doc"), "wanted")
     n = wanted.count()
-    sets = written(docs.mapInArrow(_sets(k, _bitmap(wanted.select("first_doc"), n), _bitmap(wanted.select("class"), n)), "class long, shingles array<long>"), "sets")
+    sets = written(docs.mapInArrow(tidied(_sets(k, _bitmap(wanted.select("first_doc"), n), _bitmap(wanted.select("class"), n))), "class long, shingles array<long>"), "sets")
     x, y = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(y, "b").join(x, "a").select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("both"), (F.size("x") + F.size("y")).cast("long").alias("sum"))
     # a set stands in `sets` more than once where tasks share a doc_id
@@ -248,7 +248,7 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = N
     Shingles and sets are known by 64-bit hashes. counts: a list that takes the numbers of each round, for tests.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = d.mapInArrow(_signed(k, percent), "region long, class long, doc array<long>").repartition("region")
+    rows = d.mapInArrow(tidied(_signed(k, percent)), "region long, class long, doc array<long>").repartition("region")
     region = Window.partitionBy("region")
     ends = [F.min("class").over(region).alias("pivot"), F.max("class").over(region).alias("last"), F.min(F.xxhash64("class")).over(region).alias("lo"), F.max(F.xxhash64("class")).over(region).alias("hi")]
     found = written(rows.select("*", *ends).where("doc is not null or pivot < last"), "signatures")

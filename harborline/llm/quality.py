@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, blocks, chain, column_bytes, discard, few, joined, mix, scan_words, written
+from .common import U, blocks, chain, column_bytes, discard, few, joined, mix, scan_words, tidied, written
 
 ORDER = 5
 PAD = 32  # the white space before and after a word
@@ -105,10 +105,10 @@ def _count_batches(batches):
                 if (mine := lang == k).any():
                     held.setdefault(w.names[k], []).append(_summed(keys[mine], count[mine]))
                     waiting += len(held[w.names[k]][-1][0])
-            if waiting > 4_000_000:  # pairs held: merge, and send what does not shrink
+            if waiting > 2_000_000:  # pairs held: merge, and send what does not shrink
                 held = {x: [_summed(*(np.concatenate(y) for y in zip(*v, strict=True)))] for x, v in held.items()}
                 waiting = sum(len(v[0][0]) for v in held.values())
-                if waiting > 2_000_000:
+                if waiting > 1_000_000:
                     yield from (rows(x) for x in held)
                     held, waiting = {}, 0
     yield from (rows(x) for x in held)
@@ -116,7 +116,7 @@ def _count_batches(batches):
 
 def count_grams(docs: DataFrame) -> DataFrame:
     """(lang, gram, n): ORDER-byte n-grams of all words of all texts, a language at a time; summed in each task first."""
-    parts = docs.select("text", LANG).where("text is not null").mapInArrow(_count_batches, "lang string, gram long, n long")
+    parts = docs.select("text", LANG).where("text is not null").mapInArrow(tidied(_count_batches), "lang string, gram long, n long")
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -270,7 +270,7 @@ def statistics(docs: DataFrame, head: int = HEAD) -> DataFrame:
     model = written(kneser_ney(counts).mapInArrow(_hash_rows, "hash long, n long, score long"), "model")
     discard(counts)
     arrays, others = split_model(model, head)
-    s = written(d.mapInArrow(_statistics(spark.sparkContext.broadcast(arrays)), _SCHEMA), "statistics")
+    s = written(d.mapInArrow(tidied(_statistics(spark.sparkContext.broadcast(arrays))), _SCHEMA), "statistics")
     total = F.col("score")
     if others is not None:
         rare = s.where("rare is not null").select("row", F.explode("rare").alias("hash")).groupBy("row", "hash").agg(F.count("*").alias("times"))
