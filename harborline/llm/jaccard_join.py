@@ -1,8 +1,8 @@
 """N-gram Jaccard join: an exact join in the metric space of shingle sets (distance 1 - Jaccard, radius 1 - percent / 100).
 
 Pruning. Nearly all texts lie at distance 1 from nearly any other. Linked sets differ in at most D shingles, so of
-D + 1 + 2e hash slices of the shingle universe they agree in 2e + 1 at least, and still in one if each drops its e
-lightest. Region (size window, slice, content of the slice): sets that agree there. A set stands in the window of its
+D + 1 + 2(e + f) hash slices of the shingle universe they agree in 2(e + f) + 1 at least, and still in one if each drops
+its e lightest, and then up to f of those it shares with more than LEAF sets. Region (size window, slice, content of the slice): sets that agree there. A set stands in the window of its
 size and in the one below, so linked sets always share a region; a text that nothing resembles shares none and is done.
 
 Regions. The smallest member of a region is its first pivot; members within the radius are linked to it, hence joined
@@ -36,6 +36,7 @@ from .components import joined_forests
 LEAF = 64  # members whose pairs are all compared, by sketches first
 PIVOTS = 4
 FAR = 0.5
+COMMON = 0.08  # share of the slices that a set may drop as common
 CLOSE = 1e-9
 BLOCK = 128
 WORDS = 8
@@ -53,14 +54,16 @@ def window_of(n: int, percent: int) -> int:
     return math.floor(math.log(max(n, 1)) / math.log(100 / percent) + 1e-9)
 
 
-def slices_of(window: int, percent: int) -> tuple[int, int]:
-    """Number of slices of a size window and how many a set drops: the empty ones it must expect, and some more."""
+def slices_of(window: int, percent: int) -> tuple[int, int, int]:
+    """Number of slices of a size window; how many a set drops: the empty ones it must expect, and some more; how many
+    common ones it may drop after that."""
     most = difference((100 / percent) ** (window + 1), percent)
     if not most:
-        return 0, 0
+        return 0, 0, 0
     empty = (most + 1) * math.exp(-((100 / percent) ** (window + 0.5)) / (most + 1))
     drop = max(1, math.ceil(empty + 2 * math.sqrt(empty)))
-    return most + 1 + 2 * drop, drop
+    common = int(COMMON * most)
+    return most + 1 + 2 * (drop + common), drop, common
 
 
 def doc_shingles(texts: list, k: int):
@@ -123,7 +126,7 @@ def _regions(s: np.ndarray, percent: int) -> np.ndarray:
     """Regions of a set: its slices' contents in its own size window and the one below, without the lightest slices."""
     out, own = [np.zeros(0, U)], window_of(len(s), percent)
     for window in (own, own - 1):
-        m, drop = slices_of(window, percent)
+        m, drop, _ = slices_of(window, percent)
         if not m:  # only equal sets can link
             continue
         slices = (mix(s + U(0x51)) % U(m)).astype(np.int64)
@@ -250,11 +253,12 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = N
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = d.mapInArrow(tidied(_signed(k, percent)), "region long, class long, doc array<long>").repartition("region")
     region = Window.partitionBy("region")
-    ends = [F.min("class").over(region).alias("pivot"), F.max("class").over(region).alias("last"), F.min(F.xxhash64("class")).over(region).alias("lo"), F.max(F.xxhash64("class")).over(region).alias("hi")]
+    ends = [F.min("class").over(region).alias("pivot"), F.max("class").over(region).alias("last"), F.min(F.xxhash64("class")).over(region).alias("lo"), F.max(F.xxhash64("class")).over(region).alias("hi"), F.count("*").over(region).alias("n")]
     found = written(rows.select("*", *ends).where("doc is not null or pivot < last"), "signatures")
     signed = found.where("doc is not null").select(F.expr("doc[0]").alias("doc_id"), F.expr("doc[1]").alias("n_shingles"), "class", *[F.expr(f"doc[{2 + i}]").alias(w) for i, w in enumerate(SKETCH)], F.expr(f"if(size(doc) > {2 + WORDS}, slice(doc, {3 + WORDS}, size(doc)), slice(doc, 3, {WORDS}))").alias("wide"))
+    shared = _without_common(found.where("doc is null"), signed.select("class", "n_shingles"), percent)
     # regions whose least and greatest members are the same, by two orders, have the same members nearly always: they are one
-    members = written(found.where("doc is null").select(F.xxhash64("pivot", "last", "lo", "hi").alias("region"), "class", "pivot").distinct(), "regions")
+    members = written(shared.select(F.xxhash64("pivot", "last", "lo", "hi").alias("region"), "class", "pivot").distinct(), "regions")
     first = signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_doc"), F.min("n_shingles").alias("size"), *[F.min(w).alias(w) for w in SKETCH])
     wide = signed.select("class", "wide")
     label = _resolve(d, first, wide, members, k, percent, counts)
@@ -269,6 +273,19 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = N
     return out
 
 
+def _without_common(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Rows (region, class, n...) without those of large regions that a set may drop: its largest ones, as many as its windows allow."""
+    largest = sizes.agg(F.max("n_shingles")).first()[0] or 0
+    # a set drops as many in all as the window below its own allows; the windows' bounds, in order
+    steps = [(w, slices_of(w - 1, percent)[2]) for w in range(window_of(largest, percent) + 1)]
+    allowed = F.element_at(F.array(*[F.lit(c) for _, c in steps]), F.floor(F.log("n_shingles") / math.log(100 / percent) + CLOSE).cast("int") + 1)
+    large = rows.where(f"n > {LEAF}").select("region", "class", "n").distinct()
+    may = sizes.where("n_shingles > 0").distinct().withColumn("may", allowed).where("may > 0").select("class", "may")
+    rank = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("n"), "region"))
+    drop = large.join(may, "class").withColumn("rank", rank).where("rank <= may").select("region", "class")
+    return rows.join(drop, ["region", "class"], "left_anti")
+
+
 def _resolve(d: DataFrame, first: DataFrame, wide: DataFrame, members: DataFrame, k: int, percent: int, counts: list | None) -> DataFrame:
     """(class, label) once no region holds two classes that are unjoined and unmeasured."""
     spark = d.sparkSession
