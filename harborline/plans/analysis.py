@@ -3,8 +3,8 @@
 SQL = {
     "seasonal_index": "select mon, round(100 * avg(v) / max(g), 6) as idx from (select yyyymm % 100 as mon, x as v, avg(x) over () as g from monthly where yyyymm <= 200012) s group by mon",
     "bilateral_balance": "select stat_cd, bal, cast(rank() over (order by bal desc) as int) as rk_surplus, cast(rank() over (order by bal) as int) as rk_deficit from (select stat_cd, sumb(bal_payments) as bal from fact_total where yyyymm // 100 = 2000 and stat_cd <> 'N24' group by 1) x",
-    "entry_exit_raw": "with a as (select distinct hs10 from fact_trade where yyyymm // 100 = 1998 and exp_dlr > 0), b as (select distinct hs10 from fact_trade where yyyymm // 100 = 2000 and exp_dlr > 0) select (select count(*) from b where hs10 not in (select hs10 from a)) as n_entry, (select count(*) from a where hs10 not in (select hs10 from b)) as n_exit, (select count(*) from a where hs10 in (select hs10 from b)) as n_stay",
-    "entry_exit_stable": "with s as (select hs_past as hs10 from concordance where relation = 'identity' group by 1 having count(distinct past_version) = 3), a as (select distinct f.hs10 from fact_trade f join s on f.hs10 = s.hs10 where f.yyyymm // 100 = 1998 and f.exp_dlr > 0), b as (select distinct f.hs10 from fact_trade f join s on f.hs10 = s.hs10 where f.yyyymm // 100 = 2000 and f.exp_dlr > 0) select (select count(*) from b where hs10 not in (select hs10 from a)) as n_entry, (select count(*) from a where hs10 not in (select hs10 from b)) as n_exit, (select count(*) from a where hs10 in (select hs10 from b)) as n_stay",
+    "entry_exit_raw": "with a as (select distinct hs10 from fact_trade where yyyymm // 100 = 1998 and exp_dlr > 0), b as (select distinct hs10 from fact_trade where yyyymm // 100 = 2000 and exp_dlr > 0) select (select count(*) from b where not exists (select 1 from a where a.hs10 = b.hs10)) as n_entry, (select count(*) from a where not exists (select 1 from b where b.hs10 = a.hs10)) as n_exit, (select count(*) from a where hs10 in (select hs10 from b)) as n_stay",
+    "entry_exit_stable": "with s as (select hs_past as hs10 from concordance where relation = 'identity' group by 1 having count(distinct past_version) = 3), a as (select distinct f.hs10 from fact_trade f join s on f.hs10 = s.hs10 where f.yyyymm // 100 = 1998 and f.exp_dlr > 0), b as (select distinct f.hs10 from fact_trade f join s on f.hs10 = s.hs10 where f.yyyymm // 100 = 2000 and f.exp_dlr > 0) select (select count(*) from b where not exists (select 1 from a where a.hs10 = b.hs10)) as n_entry, (select count(*) from a where not exists (select 1 from b where b.hs10 = a.hs10)) as n_exit, (select count(*) from a where hs10 in (select hs10 from b)) as n_stay",
     "entry_value_share": "with a as (select distinct hs10 from fact_trade where yyyymm // 100 = 1998 and exp_dlr > 0) select round(sum(case when a.hs10 is null then f.exp_dlr else 0 end) / (sum(f.exp_dlr) * 1e0), 8) as entrant_share, count(distinct case when a.hs10 is null and f.exp_dlr > 0 then f.hs10 end) as n_entrants from fact_trade f left join a on f.hs10 = a.hs10 where f.yyyymm // 100 = 2000",
     "threshold_sensitivity": "select tau, count(*) as n_edges, round(avg(v), 4) as mean_v from (select e.*, t.tau from (select yyyymm, stat_cd, substr(hs10, 1, 2) as hs, sumb(exp_dlr) as v from fact_trade group by 1, 2, 3) e cross join (values (0), (10000), (50000), (100000)) as t(tau) where e.v > t.tau) x group by tau",
     "network_metrics": "select midx, n, c, h, round(n / (c * h * 1e0), 8) as density, round(core_n / (n * 1e0), 8) as core_share_n, round(core_v / (v * 1e0), 8) as core_share_v from (select midx, count(*) as n, count(distinct stat_cd) as c, count(distinct hs) as h, sum(v) as v, sum(case when layer = 'core' then 1 else 0 end) as core_n, sum(case when layer = 'core' then v else 0 end) as core_v from layers group by 1) x",

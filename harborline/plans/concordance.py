@@ -8,11 +8,11 @@ SQL = {
     "licensed_pairs": "select a.hs10 as hs_from, b.hs10 as hs_to, case when a.hs10 = b.hs10 then 'self' else 'candidate' end as kind from (select hs10 from editions where edition = 1999) a join (select hs10 from editions where edition = 2001) b on substr(a.hs10, 1, 4) = substr(b.hs10, 1, 4) left join (select hs10 from editions where edition = 2001) a2 on a2.hs10 = a.hs10 left join (select hs10 from editions where edition = 1999) b2 on b2.hs10 = b.hs10 where a.hs10 = b.hs10 or not (a2.hs10 is not null and b2.hs10 is not null)",
     "ipf_margins": "with r as (select hs10, sum(exp_dlr) as v from fact_trade where yyyymm between 200007 and 200012 group by 1), c as (select hs10, sum(exp_dlr) as v from fact_trade where yyyymm between 200101 and 200106 group by 1), t as (select (select sum(v) from r) as rs, (select sum(v) from c) as cs) select k.hs10, round(coalesce(r.v, 0) + greatest(t.rs, 1) * 1e-9, 6) as row_margin, round((coalesce(c.v, 0) + greatest(t.rs, 1) * 1e-9) * (t.rs / (t.cs * 1e0)), 6) as col_margin from keyed k cross join t left join r on k.hs10 = r.hs10 left join c on k.hs10 = c.hs10",
     "compose_maps": "select a.hs_past, b.hs2022, round(sum(a.weight * b.weight), 10) as weight from concordance a join concordance b on a.hs2022 = b.hs_past where a.past_version = 1995 and b.past_version = 1997 group by 1, 2",
-    "chain_maps": "with m99 as (select hs_past, hs2022, weight, 1999 as past_version from concordance where past_version = 1999), m97 as (select a.hs_past, b.hs2022, sum(a.weight * b.weight) as weight, 1997 as past_version from concordance a join m99 b on a.hs2022 = b.hs_past where a.past_version = 1997 group by a.hs_past, b.hs2022), every as (select * from m97 where hs_past not like '%7' union all select * from m99 where hs_past not in (select hs_past from m97 where hs_past not like '%7')) select hs_past, past_version, hs2022, round(weight / sum(weight) over (partition by hs_past, past_version), 10) as weight from every",
+    "chain_maps": "with m99 as (select hs_past, hs2022, weight, 1999 as past_version from concordance where past_version = 1999), m97 as (select a.hs_past, b.hs2022, sum(a.weight * b.weight) as weight, 1997 as past_version from concordance a join m99 b on a.hs2022 = b.hs_past where a.past_version = 1997 group by a.hs_past, b.hs2022), every as (select * from m97 where hs_past not like '%7' union all select * from m99 where not exists (select 1 from m97 where m97.hs_past = m99.hs_past and m97.hs_past not like '%7')) select hs_past, past_version, hs2022, round(weight / sum(weight) over (partition by hs_past, past_version), 10) as weight from every",
     "hs6_fallback": "with todo as (select distinct v.hs10, v.version from fact_versioned v left join concordance c on c.hs_past = v.hs10 and c.past_version = v.version where v.version <> 2001 and v.exp_dlr + v.imp_dlr > 0 and c.hs_past is null), now as (select d.hs10, coalesce(sum(f.exp_dlr + f.imp_dlr), 0) as v from dim_hs10 d left join fact_trade f on d.hs10 = f.hs10 and f.yyyymm >= 200101 group by 1), cand as (select t.hs10 as hs_past, t.version, n.hs10 as hs2022, n.v, sum(n.v) over (partition by t.hs10, t.version) as tot, count(*) over (partition by t.hs10, t.version) as cnt from todo t join now n on substr(t.hs10, 1, 4) = substr(n.hs10, 1, 4)) select hs_past, version, hs2022, round(case when tot > 0 then v / (tot * 1e0) else 1e0 / cnt end, 10) as weight from cand",
     "weight_audit": "select past_version, round(max(abs(s - 1)), 10) as max_dev, count(*) as n_sources from (select past_version, hs_past, sum(weight) as s from concordance group by 1, 2) x group by 1",
-    "map_direct_chain": "with cls as (select hs10, kind as class from dim_hs10), era as (select hs_past, max(past_version) as v from concordance group by 1) select hs10, class, round(weight, 10) as weight, method from (select hs10, class, 1e0 as weight, 'direct' as method from cls union all select c.hs_past, k.class, sum(c.weight), 'chain' from concordance c join era e on c.hs_past = e.hs_past and c.past_version = e.v join cls k on c.hs2022 = k.hs10 where c.hs_past not in (select hs10 from cls) group by 1, 2) x",
-    "major10_map": "with lab as (select hs10, case when kind in ('PROMO', 'SMALL') then 'consumer' when kind = 'LARGE' then 'capital' else 'material' end as major10 from dim_hs10) select hs10, major10, round(weight, 10) as weight from (select hs10, major10, 1e0 as weight from lab union all select c.hs_past, l.major10, sum(c.weight) from concordance c join lab l on c.hs2022 = l.hs10 where c.past_version = 1999 and c.hs_past not in (select hs10 from lab) group by 1, 2) x",
+    "map_direct_chain": "with cls as (select hs10, kind as class from dim_hs10), era as (select hs_past, max(past_version) as v from concordance group by 1) select hs10, class, round(weight, 10) as weight, method from (select hs10, class, 1e0 as weight, 'direct' as method from cls union all select c.hs_past, k.class, sum(c.weight), 'chain' from concordance c join era e on c.hs_past = e.hs_past and c.past_version = e.v join cls k on c.hs2022 = k.hs10 where not exists (select 1 from cls where cls.hs10 = c.hs_past) group by 1, 2) x",
+    "major10_map": "with lab as (select hs10, case when kind in ('PROMO', 'SMALL') then 'consumer' when kind = 'LARGE' then 'capital' else 'material' end as major10 from dim_hs10) select hs10, major10, round(weight, 10) as weight from (select hs10, major10, 1e0 as weight from lab union all select c.hs_past, l.major10, sum(c.weight) from concordance c join lab l on c.hs2022 = l.hs10 where c.past_version = 1999 and not exists (select 1 from lab where lab.hs10 = c.hs_past) group by 1, 2) x",
     "value_coverage": "select f.version, round(sum(f.exp_dlr * coalesce(c.w, 0)) / (sum(f.exp_dlr) * 1e0), 8) as coverage from fact_versioned f left join (select hs_past, past_version, sum(weight) as w from concordance group by 1, 2) c on c.hs_past = f.hs10 and c.past_version = f.version group by 1",
     "name_change_rate": "select count(*) as n_codes, sumb(case when n > 1 then 1 else 0 end) as n_changed, round(avg(case when n > 1 then 1e0 else 0e0 end), 8) as rate from (select hs10, count(distinct replace(name, ' ', '')) as n from editions group by 1 having count(*) > 1) x",
     "name_agreement": "select a.edition, count(*) as n, round(avg(case when replace(a.name, ' ', '') = replace(k.name, ' ', '') then 1e0 else 0e0 end), 8) as share from editions a join keyed k on a.hs10 = k.hs10 group by 1",

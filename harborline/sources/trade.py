@@ -4,6 +4,9 @@ Each table is one SQL text. `spark_text` and `duck_text` give a query over them
 needs as common table expressions; in Spark they are inlined, so filters and columns reach the Parquet scans.
 
 In texts: @name is a stored table, // integer division, sumb(x) a sum as bigint, pct(x, p) the interpolated percentile.
+
+Tables that many queries share (`KEPT`) are written once for each input (`store`), in order of their months, and read from
+there: a query scans the detail lines at most when it is the first to need them.
 """
 
 from __future__ import annotations
@@ -12,8 +15,18 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import store
+
 STORED = "region nation customer supplier part orders lineitem events".split()
 
+# written once: columns, and the column that orders the files
+KEPT = {
+    "fact_trade": ("yyyymm, stat_cd, hs10, exp_dlr, imp_dlr, exp_wgt, imp_wgt, bal_payments", "yyyymm"),
+    "exp10d": ("series, base_ym, cutoff, item, fetched_at, amt_kusd", "base_ym"),
+    "concordance": ("hs_past, past_version, hs2022, weight, relation", "hs_past"),
+    "keyed": ("hs10, k, name, item, size", "k"),
+}
+
 TABLES: dict[str, str] = {
     # one row per month, country and ten-digit code; money and weight by flow
     "codes": """select p_partkey, p_name, p_type, p_size,
@@ -41,7 +54,10 @@ TABLES: dict[str, str] = {
     # every fourth code is abolished: traded, but not in the current list
     "dim_hs10": "select hs10, max(p_name) as name_ko, max(p_type) as kind from codes where p_partkey % 4 <> 0 group by hs10",
     "keyed": "select hs10, min(p_partkey) as k, max(p_name) as name, max(p_type) as item, max(p_size) as size from codes group by hs10",
-    "chain_of": "select hs10, k, lead(hs10) over (order by k, hs10) as next_code from keyed",
+    # the next code by k: within ranges of k, and from a range's last code to the first of the next, a row a range
+    "range_first": "select k // 4096 as b, min_by(hs10, k) as code from keyed group by 1",
+    "range_next": "select b, lead(code) over (order by b) as code from range_first",
+    "chain_of": "select c.hs10, c.k, coalesce(lead(c.hs10) over (partition by c.k // 4096 order by c.k), n.code) as next_code from keyed c join range_next n on n.b = c.k // 4096",
     "versions": "select * from (values (1995, 199501, 199612, 0), (1997, 199701, 199812, 1), (1999, 199901, 200012, 2)) as v(past_version, from_ym, to_ym, shift)",
     # past codes to current ones: moved, split 0.7 / 0.3, deleted or the same
     "concordance": """select hs_past, past_version, hs2022, weight, case when hs_past = hs2022 and weight = 1 then 'identity' else 'mapped' end as relation from (
@@ -64,9 +80,29 @@ TABLES: dict[str, str] = {
     "segments": """select c.series, c.base_ym, c.cutoff, c.item, c.amt_kusd - coalesce(p.amt_kusd, 0) as seg_kusd, c.amt_kusd as cum_kusd from latest10d c
         left join latest10d p on c.series = p.series and c.base_ym = p.base_ym and c.item = p.item and p.cutoff = case c.cutoff when 20 then 10 when 99 then 20 end""",
     "calendar": "DAYS",
-    "holidays": "select * from (values (101), (301), (505), (606), (815), (1003), (1225)) as h(md)",
-    "workday10d": """select base_ym, cutoff, cast(count(*) as int) as days, cast(sum(case when weekday < 5 and md is null then 1 else 0 end) as int) as workdays from (
-        select c.*, h.md, case when dom <= 10 then 10 when dom <= 20 then 20 else 99 end as cutoff from calendar c left join holidays h on c.monthday = h.md) d where base_ym <= 200111 group by base_ym, cutoff""",
+    # fixed values: days of the solar calendar with the years they hold, lunar days by year, election days
+    "solar_rules": """select * from (values (101, 1990, 2001), (102, 1990, 1998), (301, 1990, 2001), (405, 1990, 2001), (505, 1990, 2001), (606, 1990, 2001),
+        (717, 1990, 2001), (815, 1990, 2001), (1003, 1990, 2001), (1225, 1990, 2001)) as r(md, from_year, to_year)""",
+    "lunar_days": """select feast, cast(d as date) as day from (values ('seol', '1995-01-31'), ('seol', '1996-02-19'), ('seol', '1997-02-08'), ('seol', '1998-01-28'), ('seol', '1999-02-16'),
+        ('seol', '2000-02-05'), ('seol', '2001-01-24'), ('chu', '1995-09-09'), ('chu', '1996-09-27'), ('chu', '1997-09-16'), ('chu', '1998-10-05'), ('chu', '1999-09-24'), ('chu', '2000-09-12'), ('chu', '2001-10-01'),
+        ('buddha', '1995-05-07'), ('buddha', '1996-05-24'), ('buddha', '1997-05-14'), ('buddha', '1998-05-03'), ('buddha', '1999-05-22'), ('buddha', '2000-05-11'), ('buddha', '2001-05-01')) as l(feast, d)""",
+    "election_days": "select cast(d as date) as day from (values ('1995-06-27'), ('1996-04-11'), ('1997-12-18'), ('1998-06-04'), ('2000-04-13')) as e(d)",
+    "feasts": "select l.feast, c.dayn as n from lunar_days l join calendar c on c.day = l.day",
+    # the two lunar feasts take the day before and the day after, also those of another month or year
+    "holiday_days": """select c.day, 'solar' as kind from calendar c join solar_rules r on c.monthday = r.md and c.base_ym // 100 between r.from_year and r.to_year
+        union all select c.day, f.feast from feasts f join (values (-1), (0), (1)) as w(k) on f.feast <> 'buddha' or w.k = 0 join calendar c on c.dayn = f.n + w.k
+        union all select c.day, 'election' from election_days e join calendar c on c.day = e.day""",
+    "workday10d": """select base_ym, cutoff, cast(count(*) as int) as days, cast(sum(case when weekday < 5 and off is null then 1 else 0 end) as int) as workdays from (
+        select c.*, h.day as off, case when dom <= 10 then 10 when dom <= 20 then 20 else 99 end as cutoff from calendar c left join (select distinct day from holiday_days) h on c.day = h.day) d where base_ym <= 200111 group by base_ym, cutoff""",
+    # shares of the days before, during and after a feast that lie in a month; each less its mean over the month of the year
+    "feast_shares": """select base_ym, var, sum(one) as share from (
+        select c.base_ym, f.feast || case when c.dayn < f.n - 1 then '_pre' when c.dayn <= f.n + 1 then '_dur' else '_post' end as var, case when c.dayn < f.n - 1 then 1 / 20e0 when c.dayn <= f.n + 1 then 1 / 3e0 else 1 / 10e0 end as one
+        from feasts f join calendar c on c.dayn between f.n - 21 and f.n + 11 where f.feast <> 'buddha') d group by base_ym, var""",
+    "feast_wide": """select w.base_ym, ln(w.workdays) as ln_wd, coalesce(max(case when var = 'seol_pre' then share end), 0) as seol_pre, coalesce(max(case when var = 'seol_dur' then share end), 0) as seol_dur, coalesce(max(case when var = 'seol_post' then share end), 0) as seol_post,
+        coalesce(max(case when var = 'chu_pre' then share end), 0) as chu_pre, coalesce(max(case when var = 'chu_dur' then share end), 0) as chu_dur, coalesce(max(case when var = 'chu_post' then share end), 0) as chu_post
+        from (select base_ym, sum(workdays) as workdays from workday10d group by 1) w left join feast_shares s on s.base_ym = w.base_ym group by w.base_ym, w.workdays""",
+    "regressors": """select base_ym, ln_wd - avg(ln_wd) over m as ln_wd, seol_pre - avg(seol_pre) over m as seol_pre, seol_dur - avg(seol_dur) over m as seol_dur, seol_post - avg(seol_post) over m as seol_post,
+        chu_pre - avg(chu_pre) over m as chu_pre, chu_dur - avg(chu_dur) over m as chu_dur, chu_post - avg(chu_post) over m as chu_post from feast_wide window m as (partition by base_ym % 100)""",
     "cumdays": "select base_ym, cutoff, days, workdays, cast(sum(workdays) over (partition by base_ym order by cutoff rows between unbounded preceding and current row) as bigint) as cum_workdays, cast(sum(days) over (partition by base_ym order by cutoff rows between unbounded preceding and current row) as bigint) as cum_days from workday10d",
     "monthly": "select yyyymm, yyyymm // 100 * 12 + yyyymm % 100 - 1 as midx, sumb(exp_dlr) as x, sumb(imp_dlr) as m, sumb(exp_wgt) as xw from fact_trade group by yyyymm",
     "edges": "select yyyymm, yyyymm // 100 * 12 + yyyymm % 100 - 1 as midx, stat_cd, substr(hs10, 1, 2) as hs, sumb(exp_dlr) as v from fact_trade group by 1, 2, 3, 4 having sum(exp_dlr) > 20000",
@@ -86,8 +122,8 @@ TABLES: dict[str, str] = {
 }
 
 _DAYS = {
-    "spark": "select d as day, cast(year(d) * 100 + month(d) as int) as base_ym, cast(day(d) as int) as dom, cast(month(d) * 100 + day(d) as int) as monthday, weekday(d) as weekday from (select explode(sequence(date'1995-01-01', date'2001-12-31', interval 1 day)) as d) x",
-    "duck": "select d as day, cast(year(d) * 100 + month(d) as int) as base_ym, cast(day(d) as int) as dom, cast(month(d) * 100 + day(d) as int) as monthday, cast(isodow(d) - 1 as int) as weekday from (select cast(unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as date) as d) x",
+    "spark": "select d as day, cast(year(d) * 100 + month(d) as int) as base_ym, cast(day(d) as int) as dom, cast(month(d) * 100 + day(d) as int) as monthday, weekday(d) as weekday, unix_date(d) as dayn from (select explode(sequence(date'1995-01-01', date'2001-12-31', interval 1 day)) as d) x",
+    "duck": "select d as day, cast(year(d) * 100 + month(d) as int) as base_ym, cast(day(d) as int) as dom, cast(month(d) * 100 + day(d) as int) as monthday, cast(isodow(d) - 1 as int) as weekday, cast(date_diff('day', date '1970-01-01', d) as int) as dayn from (select cast(unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as date) as d) x",
 }
 
 
@@ -102,14 +138,14 @@ def _call(text: str, name: str, make) -> str:
     return text
 
 
-def _needed(text: str) -> list[str]:
-    """Tables a text names, those they need first."""
+def _needed(text: str, kept: dict[str, str]) -> list[str]:
+    """Tables a text names, those they need first; kept ones need none."""
     out: list[str] = []
 
     def visit(t):
         for name in re.findall(r"\b(?:from|join)\s+([a-z_0-9]+)", t):
             if name in TABLES and name not in out:
-                visit(TABLES[name])
+                visit(kept.get(name, TABLES[name]))
                 if name not in out:
                     out.append(name)
 
@@ -117,8 +153,9 @@ def _needed(text: str) -> list[str]:
     return out
 
 
-def _whole(text: str, engine: str) -> str:
-    with_ = ",\n".join(f"{n} as ({_DAYS[engine] if n == 'calendar' else TABLES[n]})" for n in _needed(text))
+def _whole(text: str, engine: str, kept: dict[str, str] | None = None) -> str:
+    texts = TABLES | {"calendar": _DAYS[engine]} | (kept or {})
+    with_ = ",\n".join(f"{n} as ({texts[n]})" for n in _needed(text, kept or {}))
     text = text.strip()
     if with_:
         own = re.match(r"with (recursive )?", text)
@@ -132,14 +169,29 @@ def duck_text(text: str) -> str:
     return _call(text, "pct", lambda x: f"quantile_cont({x})")
 
 
-def spark_text(text: str, sf_dir: str) -> str:
-    text = re.sub(r"@(\w+)", lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", _whole(text, "spark")).replace("//", " div ").replace(": div ", "://")
+def spark_text(text: str, sf_dir: str, kept: dict[str, str] | None = None) -> str:
+    text = re.sub(r"@(\w+)", lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", _whole(text, "spark", kept)).replace("//", " div ").replace(": div ", "://")
     text = _call(text, "sumb", lambda x: f"sum({x})")
     return _call(text, "pct", lambda x: f"percentile({x})")
 
 
-def run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return spark.sql(spark_text(text, sf_dir))
+def _kept(spark: SparkSession, sf_dir: str, text: str) -> dict[str, str]:
+    """The texts that read kept tables, for those that a text needs; what is not there yet is written."""
+    out: dict[str, str] = {}
+    for name in KEPT:
+        if name not in _needed(text, out):
+            continue
+        columns, order = KEPT[name]
+        whole = f"select {columns} from {name}"
+        sources = sorted(set(re.findall(r"@(\w+)", _whole(whole, "spark"))))
+        path = store.kept(spark, name, [f"{sf_dir}/{t}.parquet" for t in sources], lambda whole=whole: spark.sql(spark_text(whole, sf_dir, _kept(spark, sf_dir, TABLES[name]))), order)
+        out[name] = f"select {columns} from parquet.`{path}`"
+    return out
+
+
+def run(spark: SparkSession, sf_dir: str, text: str, **args) -> DataFrame:
+    """The rows of a text; `args` are values of its :named parameters."""
+    return spark.sql(spark_text(text, sf_dir, _kept(spark, sf_dir, text)), args=args or None)
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
