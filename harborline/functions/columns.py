@@ -30,6 +30,28 @@ def rate(text: Column) -> Column:
     return F.struct(adval.alias("adval"), specific.alias("specific"))
 
 
+# Fixed pattern of a rate with the days it holds: `value - (from ~ to)`, the last day open.
+PERIOD = r"([^()~]*?)\s*-\s*\((\d{4}-\d{2}-\d{2})\s*~\s*(\d{4}-\d{2}-\d{2})?\)"
+
+
+def periods(text: Column) -> Column:
+    """(value, valid_from, valid_to) of each period in a text; the whole text without dates where it holds none."""
+    part = lambda n: F.regexp_extract_all(text, F.lit(PERIOD), F.lit(n))
+    split = F.transform(F.arrays_zip(part(1).alias("v"), part(2).alias("a"), part(3).alias("b")), lambda x: F.struct(F.trim(x["v"]).alias("value"), x["a"].try_cast("date").alias("valid_from"), x["b"].try_cast("date").alias("valid_to")))
+    none = F.array(F.struct(text.alias("value"), F.lit(None).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to")))
+    return F.when(F.size(split) > 0, split).otherwise(none)
+
+
+def percent(share: Column) -> Column:
+    """A share as +x.x%."""
+    return F.format_string("%+.1f%%", F.round(share * 100, 1))
+
+
+def month_label(ym: Column) -> Column:
+    """A yyyymm integer as YYYY.MM."""
+    return F.format_string("%04d.%02d", F.floor(ym / 100), ym % 100)
+
+
 def letters(text: Column) -> Column:
     """Letters and digits only."""
     return F.regexp_replace(text, r"[^\p{L}\p{N}]", "")
@@ -47,11 +69,3 @@ def similarity():
 
     ratio.__annotations__ = {**dict.fromkeys("abcd", pd.Series), "return": pd.Series}  # postponed annotations are texts, which pandas_udf cannot read
     return F.pandas_udf(ratio, "double")
-
-
-def holiday_shares(days, windows):
-    """(ym, part, share) of (holiday date) rows: parts pre, dur and post, each day of a window counting one over its length."""
-    spans = {"pre": (-windows[0], -1), "dur": (0, windows[1] - 1), "post": (windows[1], windows[1] + windows[2] - 1)}
-    parts = F.array(*[F.struct(F.lit(k).alias("part"), F.lit(a).alias("a"), F.lit(b).alias("b")) for k, (a, b) in spans.items()])
-    x = days.select("holiday", F.explode(parts).alias("w")).select("w.part", (1.0 / (F.col("w.b") - F.col("w.a") + 1)).alias("one"), F.explode(F.expr("sequence(date_add(holiday, w.a), date_add(holiday, w.b))")).alias("d"))
-    return x.groupBy((F.year("d") * 100 + F.month("d")).alias("ym"), "part").agg(F.sum("one").alias("share"))

@@ -8,10 +8,23 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 
+# Fixed values of the fitting's prior: the power of the name similarity, and what every licensed pair has at least.
+POWER, FLOOR = 8.0, 1e-6
+# Fixed values of the elasticities and forecasts: p of an elasticity in use, widening of forecast bounds.
+USED, WIDEN = 0.10, 1.1
 
-def elasticities(lagged: DataFrame, asof: int | None = None, lags: int = 12, least: int = 24) -> DataFrame:
-    """(series, item, beta, se, t, p, n, r2, resid_sd, beta_used): growth on workday growth over twelve months, cut-offs pooled."""
-    x = lagged.where("seg_kusd > 0 and p_seg > 0 and workdays > 0 and p_workdays > 0")
+
+# Columns of a scope: value, a year earlier, workdays, a year earlier.
+SCOPES = {"seg": ("seg_kusd", "p_seg", "workdays", "p_workdays"), "cum": ("cum_kusd", "p_cum", "cum_workdays", "p_cum_workdays")}
+
+
+def elasticities(lagged: DataFrame, asof: int | None = None, lags: int = 12, least: int = 24, scope: str = "seg") -> DataFrame:
+    """(series, item, beta, se, t, p, n, r2, resid_sd, beta_used): growth on workday growth over twelve months, cut-offs pooled.
+
+    Scope `seg` takes increments, `cum` cumulative values and workdays. A task holds one series' item.
+    """
+    y, p, w, q = SCOPES[scope]
+    x = lagged.select("series", "item", "cutoff", "base_ym", *[F.col(c).alias(n) for c, n in zip((y, p, w, q), ("y", "p", "w", "q"), strict=True)]).where("y > 0 and p > 0 and w > 0 and q > 0")
     if asof is not None:
         x = x.where(F.col("base_ym") <= asof)
 
@@ -21,17 +34,17 @@ def elasticities(lagged: DataFrame, asof: int | None = None, lags: int = 12, lea
         if len(pdf) < least:
             return pdf[["series", "item"]].iloc[:0].assign(**dict.fromkeys(("beta", "se", "t", "p"), 0.0), n=0, r2=0.0, resid_sd=0.0, beta_used=0.0)
         pdf = pdf.sort_values(["cutoff", "base_ym"])
-        r = kernels.slope(np.log(pdf.seg_kusd.to_numpy(float) / pdf.p_seg.to_numpy(float)), np.log(pdf.workdays.to_numpy(float) / pdf.p_workdays.to_numpy(float)), lags)
-        return pd.DataFrame([{"series": pdf.series.iloc[0], "item": pdf.item.iloc[0], **r, "beta_used": r["beta"] if r["p"] < 0.10 else 0.0}])
+        r = kernels.slope(np.log(pdf.y.to_numpy(float) / pdf.p.to_numpy(float)), np.log(pdf.w.to_numpy(float) / pdf.q.to_numpy(float)), lags)
+        return pd.DataFrame([{"series": pdf.series.iloc[0], "item": pdf.item.iloc[0], **r, "beta_used": r["beta"] if r["p"] < USED else 0.0}])
 
-    return x.select("series", "item", "cutoff", "base_ym", "seg_kusd", "p_seg", "workdays", "p_workdays").groupBy("series", "item").applyInPandas(fit, "series string, item string, beta double, se double, t double, p double, n long, r2 double, resid_sd double, beta_used double")
+    return x.groupBy("series", "item").applyInPandas(fit, "series string, item string, beta double, se double, t double, p double, n long, r2 double, resid_sd double, beta_used double")
 
 
 def expanding_forecast(features: DataFrame, least: int = 36) -> DataFrame:
     """One-step forecasts of the month's total from its first days, each from the months before it.
 
-    features: series, item, cutoff, base_ym, cum_kusd, act, lwr, lr. Bounds are of the level, so an upper bound comes from a
-    low quantile of the log ratio.
+    features: series, item, cutoff, base_ym, cum_kusd, act, lwr, lr. A level is cum_kusd over the exponential of a log ratio:
+    a high quantile of the ratio's residuals gives a lower bound.
     """
 
     def run(pdf):
@@ -45,7 +58,7 @@ def expanding_forecast(features: DataFrame, least: int = 36) -> DataFrame:
             if len(train) < least or row.cum_kusd <= 0:
                 continue
             pred, r = kernels.one_step(train.lr.to_numpy(float), train.lwr.to_numpy(float), (train.base_ym % 100).to_numpy(int), float(row.lwr), int(row.base_ym % 100))
-            level = lambda q, row=row, pred=pred, r=r: row.cum_kusd / np.exp(pred + 1.1 * np.quantile(r, q))
+            level = lambda q, row=row, pred=pred, r=r: row.cum_kusd / np.exp(pred + WIDEN * np.quantile(r, q))
             out.append((row.series, row["item"], int(row.cutoff), int(row.base_ym), row.cum_kusd / np.exp(pred), level(0.9), level(0.75), level(0.25), level(0.1), row.act))
         names = ["series", "item", "cutoff", "base_ym", "fc", "lo80", "lo50", "hi50", "hi80", "act"]
         if not out:
@@ -66,23 +79,29 @@ def trend(series: DataFrame, key: str, order: str, value: str, smoothing: float
 
 
 def breaks(series: DataFrame, key: str, order: str, value: str, least: int = 24, most: int = 5) -> DataFrame:
-    """(key, n_bic, n_lwz, sup_f, breaks): shifts of the mean of each series; breaks are values of `order`."""
+    """(key, n_bic, n_lwz, sup_f, breaks, breaks_bic, phases): shifts of the mean of each series.
+
+    Breaks are the values of `order` at which a phase begins, by the modified criterion and by Schwarz's; phases are the
+    means of y between the former.
+    """
 
     def run(pdf):
         import pandas as pd
 
         pdf = pdf.sort_values(order)
         r = kernels.mean_breaks(pdf[value].to_numpy(float), least, most)
-        return pd.DataFrame([{key: pdf[key].iloc[0], "n_bic": r["n_bic"], "n_lwz": r["n_lwz"], "sup_f": r["sup_f"], "breaks": ",".join(str(int(pdf[order].iloc[i])) for i in r["breaks"])}])
+        at = lambda rows: [int(pdf[order].iloc[i]) for i in rows]
+        return pd.DataFrame([{key: pdf[key].iloc[0], "n_bic": r["n_bic"], "n_lwz": r["n_lwz"], "sup_f": r["sup_f"], "breaks": at(r["lwz"]), "breaks_bic": at(r["bic"]), "phases": r["phases"]}])
 
-    return series.select(key, order, value).groupBy(key).applyInPandas(run, f"{key} string, n_bic int, n_lwz int, sup_f double, breaks string")
+    return series.select(key, order, value).groupBy(key).applyInPandas(run, f"{key} string, n_bic int, n_lwz int, sup_f double, breaks array<int>, breaks_bic array<int>, phases array<double>")
 
 
 def fitted_weights(pairs: DataFrame, rows: DataFrame, columns: DataFrame, group: str = "part", steps: int = 400, floor: float = 1e-4) -> DataFrame:
     """Proportional fitting of (hs_from, hs_to, prior, part) to margins (hs10, row_margin), (hs10, col_margin), a part at a time.
 
     A part is a set of codes no pair leaves, so parts fit alone as they would together. Weights are shares of each
-    source; those up to `floor` are dropped and the rest scaled up again.
+    source; those up to `floor` are dropped and the rest scaled up again. score is the similarity the prior came from. A
+    task holds the pairs of one part, which the code system bounds.
     """
     x = pairs.join(rows.select(F.col("hs10").alias("hs_from"), "row_margin"), "hs_from").join(columns.select(F.col("hs10").alias("hs_to"), "col_margin"), "hs_to")
 
@@ -103,10 +122,11 @@ def fitted_weights(pairs: DataFrame, rows: DataFrame, columns: DataFrame, group:
         again = np.bincount(i, weights=share, minlength=len(a))
         share = np.divide(share, again[i], out=np.zeros(len(w)), where=again[i] > 0)
         out = pd.DataFrame({"hs_from": pdf.hs_from, "hs_to": pdf.hs_to, "weight": share, "mass": w})
+        out["score"] = np.maximum(pdf.prior.to_numpy(float) - FLOOR, 0) ** (1 / POWER)
         out["relation"] = np.where(out.hs_from == out.hs_to, "identity", "moved")
         return out[out.weight > 0]
 
-    return x.groupBy(group).applyInPandas(run, "hs_from string, hs_to string, weight double, mass double, relation string")
+    return x.groupBy(group).applyInPandas(run, "hs_from string, hs_to string, weight double, mass double, score double, relation string")
 
 
 def bridge(panel: DataFrame, key: str, start: int, lags: int = 12) -> DataFrame:
@@ -129,3 +149,35 @@ def bridge(panel: DataFrame, key: str, start: int, lags: int = 12) -> DataFrame:
         return pd.DataFrame([{key: pdf[key].iloc[0], "n": len(a), "rmse0": float(np.sqrt(((a - f0) ** 2).mean())), "rmse1": float(np.sqrt(((a - f1) ** 2).mean())), "cw_t": kernels.clark_west(a, f0, f1, lags)}])
 
     return panel.groupBy(key).applyInPandas(run, f"{key} string, n long, rmse0 double, rmse1 double, cw_t double")
+
+
+def residuals(panel: DataFrame, key: str, order: str, y: str, regressors: list[str]) -> DataFrame:
+    """(key, order, y, e): residuals of y on a constant and the regressors, a series at a time.
+
+    Rows with a null in y or a regressor are left out; a series with fewer rows than coefficients gives none.
+    """
+
+    def run(pdf):
+        pdf = pdf.sort_values(order)
+        x = np.column_stack((np.ones(len(pdf)), pdf[regressors].to_numpy(float)))
+        if len(pdf) < x.shape[1]:
+            return pdf.iloc[:0][[key, order, y]].assign(e=0.0)
+        return pdf[[key, order, y]].assign(e=kernels.ols(pdf[y].to_numpy(float), x)[1])
+
+    whole = panel.select(key, order, y, *regressors).dropna()
+    return whole.groupBy(key).applyInPandas(run, f"{key} string, {order} int, {y} double, e double")
+
+
+def seasonal_trend(series: DataFrame, key: str, order: str, value: str, period: int = 12, seasonal: int = 13) -> DataFrame:
+    """(key, order, value, seasonal, trend, remainder) by local regression, robust to outliers, a series at a time.
+
+    Values stand at equal steps of `order`. A series shorter than two periods has its mean as trend and no seasonal part.
+    """
+
+    def run(pdf):
+        pdf = pdf.sort_values(order)
+        y = pdf[value].to_numpy(float)
+        s, t = kernels.stl(y, period, seasonal)
+        return pdf.assign(seasonal=s, trend=t, remainder=y - s - t)
+
+    return series.select(key, order, value).dropna().groupBy(key).applyInPandas(run, f"{key} string, {order} int, {value} double, seasonal double, trend double, remainder double")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import columns
 from ..operators import core, numeric
-from ..sources.trade import frame, run
+from ..sources import files
+from ..sources.trade import STORED, duck_text, frame, run
+from .inference import robust
 
 VERSION = "case when yyyymm < 199701 then 1995 when yyyymm < 199901 then 1997 when yyyymm < 200101 then 1999 else 2001 end"
 
@@ -35,12 +37,21 @@ def exp10d_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return core.increments(v, ["series", "base_ym", "item"], "amt_kusd", {20: 10, 99: 20}).select("series", "base_ym", "cutoff", "item", "seg_kusd", "cum_kusd")
 
 
+def _betas(b: DataFrame) -> DataFrame:
+    return b.select("series", "item", *[F.round(c, 7).alias(c) for c in ("beta", "se", "r2", "resid_sd")], "n")
+
+
 def elasticity_hac(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numeric.elasticities(frame(spark, sf_dir, "lagged"))
+    """Elasticities of increments with robust errors; the operator gives p as well."""
+    return _betas(numeric.elasticities(frame(spark, sf_dir, "lagged")))
+
+
+def elasticity_cum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _betas(numeric.elasticities(frame(spark, sf_dir, "lagged"), scope="cum"))
 
 
 def beta_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numeric.elasticities(frame(spark, sf_dir, "lagged"), asof=199912)
+    return _betas(numeric.elasticities(frame(spark, sf_dir, "lagged"), asof=199912))
 
 
 def weighted_beta_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +59,8 @@ def weighted_beta_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = numeric.elasticities(frame(spark, sf_dir, "lagged")).select("series", "item", "beta")
     v = run(spark, sf_dir, "select series, item, sumb(seg_kusd) as v from segments where base_ym > 200011 and item <> 'TOTAL' group by 1, 2")
     parts = v.join(b, ["series", "item"]).groupBy("series").agg((F.sum(F.col("v") * F.col("beta")) / F.sum("v")).alias("weighted"))
-    return parts.join(b.where("item = 'TOTAL'").select("series", F.col("beta").alias("direct")), "series").withColumn("gap", F.col("weighted") - F.col("direct"))
+    both = parts.join(b.where("item = 'TOTAL'").select("series", F.col("beta").alias("direct")), "series")
+    return both.select("series", F.round("weighted", 7).alias("weighted"), F.round("direct", 7).alias("direct"), F.round(F.col("weighted") - F.col("direct"), 7).alias("gap"))
 
 
 def forecast_expanding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +75,8 @@ def hp_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def structural_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = frame(spark, sf_dir, "group_month").where("v > 0").select(F.col("grp").alias("series"), F.col("midx").cast("int").alias("midx"), F.ln(F.col("v").cast("double")).alias("y"))
+    """Shifts of the mean growth over twelve months."""
+    m = run(spark, sf_dir, "select b.grp as series, cast(b.midx as int) as midx, ln(b.v / (a.v * 1e0)) as y from group_month a join group_month b on a.grp = b.grp and b.midx = a.midx + 12 where a.v > 0 and b.v > 0")
     return numeric.breaks(m, "series", "midx", "y")
 
 
@@ -71,17 +84,22 @@ def _ipf(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .concordance import SQL
 
     pairs = run(spark, sf_dir, SQL["licensed_pairs"])
-    names = run(spark, sf_dir, "select hs10, max(name) as name from editions group by 1")
-    pairs = pairs.join(names.select(F.col("hs10").alias("hs_from"), F.col("name").alias("a")), "hs_from").join(names.select(F.col("hs10").alias("hs_to"), F.col("name").alias("b")), "hs_to")
-    near = columns.similarity()("a", "b", "a", "b")
-    prior = F.when(F.col("hs_from") == F.col("hs_to"), F.lit(1 + 1e-6)).otherwise(F.pow(near, F.lit(8.0)) + 1e-6)
+    names = run(spark, sf_dir, "select e.hs10, max(e.name) as leaf, max(k.item || ' ' || e.name) as path from editions e join keyed k on k.hs10 = e.hs10 group by 1")
+    leaf, path = columns.letters(F.col("leaf")), columns.letters(F.col("path"))
+    for side, a, b in (("hs_from", "a", "pa"), ("hs_to", "b", "pb")):
+        pairs = pairs.join(names.select(F.col("hs10").alias(side), leaf.alias(a), path.alias(b)), side)
+    # a code's own pair needs no similarity; names are letters and digits, each pair of names compared once
+    moved = F.col("hs_from") != F.col("hs_to")
+    names = pairs.where(moved).select("a", "b", "pa", "pb").distinct()
+    pairs = pairs.join(names.withColumn("near", columns.similarity()("a", "b", "pa", "pb")), ["a", "b", "pa", "pb"], "left")
+    prior = F.when(~moved, F.lit(1 + numeric.FLOOR)).otherwise(F.pow(F.coalesce("near", F.lit(0.0)), F.lit(numeric.POWER)) + numeric.FLOOR)
     pairs = pairs.select("hs_from", "hs_to", prior.alias("prior"), F.substring("hs_from", 1, 4).alias("part"))
     margins = run(spark, sf_dir, SQL["ipf_margins"])
     return numeric.fitted_weights(pairs, margins, margins)
 
 
 def ipf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ipf(spark, sf_dir).select("hs_from", "hs_to", "weight", "relation")
+    return _ipf(spark, sf_dir).select("hs_from", "hs_to", "weight", "score", "relation")
 
 
 def diagonal_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,12 +113,77 @@ def bridge_oos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numeric.bridge(run(spark, sf_dir, text), "series", start=1999 * 12)
 
 
-QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, exp10d_segments, elasticity_hac, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, diagonal_retention, bridge_oos)}
+def stl_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seasonal and trend parts of each group's monthly logarithm."""
+    m = frame(spark, sf_dir, "group_month").where("v > 0").select(F.col("grp").alias("series"), F.col("midx").cast("int").alias("midx"), F.ln(F.col("v").cast("double")).alias("y"))
+    return numeric.seasonal_trend(m, "series", "midx", "y")
+
+
+def decalendar_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residuals of each group's growth over twelve months on that of the seven calendar regressors."""
+    names = ["ln_wd", "seol_pre", "seol_dur", "seol_post", "chu_pre", "chu_dur", "chu_post"]
+    text = f"""select b.grp as series, cast(b.midx as int) as midx, ln(b.v / (a.v * 1e0)) as y, {', '.join(f'r.{n} - p.{n} as {n}' for n in names)} from group_month a join group_month b on a.grp = b.grp and b.midx = a.midx + 12
+              join regressors r on r.base_ym = b.yyyymm join regressors p on p.base_ym = a.yyyymm where a.v > 0 and b.v > 0"""
+    return numeric.residuals(run(spark, sf_dir, text), "series", "midx", "y", names)
+
+
+def tariff_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each period of a rate text."""
+    p = F.explode(columns.periods(F.col("txt")))
+    return run(spark, sf_dir, PERIOD_TEXT).select("hs10", p.alias("p")).select("hs10", "p.value", "p.valid_from", "p.valid_to")
+
+
+def growth_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = run(spark, sf_dir, GROWTH)
+    return g.select(columns.month_label(F.col("yyyymm")).alias("month"), columns.percent(F.col("g")).alias("growth"))
+
+
+def param_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values bound to named parameters of a text."""
+    text = "select yyyymm, stat_cd, sumb(exp_dlr) as exp_dlr from fact_trade where yyyymm between :first and :last and stat_cd = :country group by 1, 2"
+    return run(spark, sf_dir, text, first=199901, last=199912, country="N01")
+
+
+def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.columns_of(spark, {t: frame(spark, sf_dir, t) for t in STORED}).select("name", "column", "position")
+
+
+def fact_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail fact against its columns; the status text and rank of responses must not be there."""
+    expected = {"yyyymm": "int", "stat_cd": "string", "hs10": "string"} | dict.fromkeys(("exp_dlr", "imp_dlr", "exp_wgt", "imp_wgt", "bal_payments"), "bigint")
+    return files.schema_check(frame(spark, sf_dir, "fact_trade"), expected, ("result_code", "rn"))
+
+
+GROWTH = "select b.yyyymm, round(b.x / (a.x * 1e0) - 1, 6) as g from monthly a join monthly b on b.midx = a.midx + 12 where a.x > 0"
+PERIOD_TEXT = """select hs10, case k % 3 when 0 then cast(k % 40 as string) || '%' when 1 then cast(k % 30 as string) || '% - (2000-01-01 ~ 2000-06-30) ' || cast(k % 20 as string) || '% - (2000-07-01 ~ )'
+    else cast(k % 10 as string) || '%-(2000-03-01~2000-12-31)' end as txt from keyed"""
+
+QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, diagonal_retention, bridge_oos, stl_parts, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
+
+BETAS = "select series, item, round(beta, 7) as beta, round(se, 7) as se, round(r2, 7) as r2, round(resid_sd, 7) as resid_sd, n from r"
 
 ORACLES = {
     "yoy_self_join": "select a.stat_cd, a.hs10, a.yyyymm, a.exp_dlr as cur, b.exp_dlr as prev from fact_trade a join fact_trade b on a.stat_cd = b.stat_cd and a.hs10 = b.hs10 and a.yyyymm = b.yyyymm + 100",
     "concord_to_2022": "select f.yyyymm, coalesce(c.hs2022, f.hs10) as hs10, round(sum(f.exp_dlr * coalesce(c.weight, 1e0)), 4) as exp_dlr, round(sum(f.imp_dlr * coalesce(c.weight, 1e0)), 4) as imp_dlr from fact_versioned f left join concordance c on f.hs10 = c.hs_past and f.version = c.past_version group by 1, 2",
     "dominant_successor": "select hs_past, past_version, hs2022, weight from (select *, row_number() over (partition by hs_past, past_version order by weight desc, hs2022) as rn from concordance) x where rn = 1",
     "vintage_delta": "select n.series, n.base_ym, n.cutoff, n.item, n.amt_kusd from exp10d n left join exp10d o on n.series = o.series and n.base_ym = o.base_ym and n.cutoff = o.cutoff and n.item = o.item and o.fetched_at = 1 where n.fetched_at = 2 and (o.amt_kusd is null or o.amt_kusd <> n.amt_kusd)",
+    "elasticity_hac": robust(BETAS),
+    "elasticity_cum": robust(BETAS, "cum"),
+    "beta_asof": robust(BETAS, where="base_ym <= 199912"),
+    "weighted_beta_gap": robust("""select w.series, round(w.weighted, 7) as weighted, round(t.beta, 7) as direct, round(w.weighted - t.beta, 7) as gap from (
+        select v.series, sum(v.v * r.beta) / sum(v.v) as weighted from (select series, item, sumb(seg_kusd) as v from segments where base_ym > 200011 and item <> 'TOTAL' group by 1, 2) v
+        join r on r.series = v.series and r.item = v.item group by v.series) w join r t on t.series = w.series and t.item = 'TOTAL'"""),
+    "param_filter": "select yyyymm, stat_cd, sumb(exp_dlr) as exp_dlr from fact_trade where yyyymm between 199901 and 199912 and stat_cd = 'N01' group by 1, 2",
     "exp10d_segments": "select series, base_ym, cutoff, item, seg_kusd, cum_kusd from segments",
 }
+
+_PERIOD = r"([^()~]*?)\s*-\s*\((\d{4}-\d{2}-\d{2})\s*~\s*(\d{4}-\d{2}-\d{2})?\)"
+
+# texts in DuckDB's own functions
+DUCK = {
+    "tariff_periods": f"""select hs10, trim(case when m is null then txt else regexp_extract(m, '{_PERIOD}', 1) end) as value, try_cast(regexp_extract(m, '{_PERIOD}', 2) as date) as valid_from, try_cast(regexp_extract(m, '{_PERIOD}', 3) as date) as valid_to
+        from (select hs10, txt, unnest(case when len(found) > 0 then found else [null] end) as m from (select hs10, txt, regexp_extract_all(txt, '{_PERIOD}') as found from ({duck_text(PERIOD_TEXT)}) t) u) v""",
+    "growth_labels": f"""select printf('%04d.%02d', yyyymm // 100, yyyymm % 100) as month, printf('%+.1f%%', round(g * 100, 1)) as growth from ({duck_text(GROWTH)}) t""",
+    "catalog_columns": f"""select table_name as name, column_name as "column", ordinal_position as position from information_schema.columns where table_name in ({', '.join(f"'{t}'" for t in STORED)})""",
+    "fact_schema": "select * from (values ('yyyymm', 'ok'), ('stat_cd', 'ok'), ('hs10', 'ok'), ('exp_dlr', 'ok'), ('imp_dlr', 'ok'), ('exp_wgt', 'ok'), ('imp_wgt', 'ok'), ('bal_payments', 'ok')) as v(\"column\", status)",
+}

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from ..sources import trade
-from . import analysis, concordance, dataframe, quality, relational, tenday
+from . import analysis, concordance, dataframe, inference, quality, relational, tenday
 
-SECTIONS = (relational, concordance, tenday, analysis, quality)
+SECTIONS = (relational, concordance, tenday, analysis, quality, inference)
 
 
 def queries() -> dict:
@@ -18,4 +18,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     out = {name: trade.duck_text(text) for section in SECTIONS for name, text in section.SQL.items()}
-    return out | {name: trade.duck_text(text) for name, text in dataframe.ORACLES.items()}
+    return out | {name: trade.duck_text(text) for name, text in dataframe.ORACLES.items()} | dataframe.DUCK

@@ -75,3 +75,53 @@ def inventory(tables: dict[str, DataFrame], month: str = "yyyymm") -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def append_by_name(rows: DataFrame, path: str) -> None:
+    """Append rows to a Parquet table by column names: columns the rows lack are null, others the table lacks raise."""
+    table = rows.sparkSession.read.parquet(path)
+    if more := [c for c in rows.columns if c not in table.columns]:
+        raise ValueError(f"columns the table lacks: {', '.join(more)}")
+    rows.select(*[F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields]).write.mode("append").parquet(path)
+
+
+def replace_table(rows: DataFrame, path: str) -> None:
+    """Write rows beside a table, then put them in its place; rows may read the table they replace. A failed write leaves it as it was."""
+    spark = rows.sparkSession
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    target, new, old = jvm_path(path), jvm_path(f"{path}.new"), jvm_path(f"{path}.old")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows.write.mode("overwrite").parquet(f"{path}.new")
+    fs.delete(old, True)
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(new, target):
+        fs.rename(old, target)
+        raise OSError(f"cannot move {path}.new")
+    fs.delete(old, True)
+
+
+def migrate(table: DataFrame, renamed: dict[str, str], added: dict[str, str]) -> DataFrame:
+    """Columns renamed (old -> new) and added as nulls (name -> type); what has been done already stays, so it can run twice."""
+    table = table.withColumnsRenamed({a: b for a, b in renamed.items() if a in table.columns and b not in table.columns})
+    return table.withColumns({c: F.lit(None).cast(t) for c, t in added.items() if c not in table.columns})
+
+
+def export_csv(table: DataFrame, path: str) -> None:
+    """Write CSV files with a header that starts with a byte-order mark, for spreadsheets."""
+    first, *rest = table.columns
+    table.select(F.col(first).alias(f"﻿{first}"), *rest).write.mode("overwrite").csv(path, header=True, encoding="UTF-8", emptyValue="")
+
+
+def columns_of(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, column, type, position) of each table's schema; no data is read."""
+    rows = [(name, f.name, f.dataType.simpleString(), i) for name, t in tables.items() for i, f in enumerate(t.schema.fields, 1)]
+    return spark.createDataFrame(rows, "name string, column string, type string, position int")
+
+
+def schema_check(table: DataFrame, expected: dict[str, str], forbidden: tuple[str, ...] = ()) -> DataFrame:
+    """(column, status): ok, missing, type (another one than expected), forbidden or extra."""
+    found = dict(table.dtypes)
+    rows = [(c, "missing" if c not in found else "ok" if found[c] == t else "type") for c, t in expected.items()]
+    rows += [(c, "forbidden" if c in forbidden else "extra") for c in found if c not in expected]
+    return table.sparkSession.createDataFrame(rows, "column string, status string")
