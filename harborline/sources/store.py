@@ -30,13 +30,14 @@ def _state(spark: SparkSession, path: str) -> tuple:
 
 
 def kept(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame], order: str) -> str:
-    """The path of table `name` built from `inputs`. It is written where it is missing, files and rows in order of a column.
+    """The path of table `name` built from `inputs`. It is written where it is missing, the rows of each file in order of a column.
 
-    Filters on that column skip files and row groups by their bounds. A table is known by its inputs' paths, times and lengths.
+    Filters on that column skip row groups and pages by their bounds; files keep the partitions the table was computed in, so
+    writing takes no further shuffle. A table is known by its inputs' paths, times and lengths.
     """
     key = (spark.sparkContext.applicationId, name, *(_state(spark, p) for p in inputs))
     if key not in _PATHS:
         path = f"{folder(spark)}/harborline-{name}-{uuid.uuid4().hex}"
-        build().repartitionByRange(order).sortWithinPartitions(order).write.parquet(path)
+        build().sortWithinPartitions(order).write.parquet(path)
         _PATHS[key] = path
     return _PATHS[key]

@@ -19,7 +19,7 @@ from . import store
 
 STORED = "region nation customer supplier part orders lineitem events".split()
 
-# written once: columns, and the column that orders the files
+# written once: columns, and the column that orders the rows of files
 KEPT = {
     "fact_trade": ("yyyymm, stat_cd, hs10, exp_dlr, imp_dlr, exp_wgt, imp_wgt, bal_payments", "yyyymm"),
     "exp10d": ("series, base_ym, cutoff, item, fetched_at, amt_kusd", "base_ym"),
