@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and `pipeline`, with production parameters, over whole tables."""
+"""The queries op1 to op13 and `pipeline`, with production parameters, over whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, jaccard_join, licenses, mixing, packing, pii, quality, token_counts, url_filter, vector_neardup
+from . import html_extract, jaccard_join, licenses, merkle, mixing, packing, pii, quality, token_counts, url_filter, vector_neardup
 from .common import shared_dir, table
 
 
@@ -56,10 +56,14 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    every = (op1_token_counts, op2_quality_rules, op3_license_scans, op4_vector_near_duplicates, op5_mix_sources, op6_url_filters, op7_ngram_jaccard_join, op8_packing, op9_personal_data, op10_main_text)
+    every = (op1_token_counts, op2_quality_rules, op3_license_scans, op4_vector_near_duplicates, op5_mix_sources, op6_url_filters, op7_ngram_jaccard_join, op8_packing, op9_personal_data, op10_main_text, op11_merkle_manifest)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_sources": mixing.ORACLE_SQL, "op6_url_filters": url_filter.ORACLE_SQL}
+    return {"op5_mix_sources": mixing.ORACLE_SQL, "op6_url_filters": url_filter.ORACLE_SQL, "op11_merkle_manifest": merkle.ORACLE_SQL}
