@@ -4,8 +4,8 @@ Every row is a leaf; a language's leaves stand in order of their ids, and every
 ranks it covers. A tree is built in bands of `bits` levels: leaves meet in buckets of 2 ** bits ranks, a row each, whose
 nodes follow from their children's intervals; a bucket's top is an item of the next band. Two children differ from their
 parent by an interval: what a parent covers beyond a node is that node's sibling. Ancestors are attached by joins on the
-level's bucket (ranks of one level whose intervals may hold a leaf) and containment of the leaf in the node's interval. A
-leaf's path takes the joins of its own band; what lies above is attached to its bucket once, whatever the number of leaves.
+bucket of a band's levels and containment of the leaf in the node's interval. A leaf's path takes the join of its own
+band; what lies above is attached to its bucket once, whatever the number of leaves.
 
 Texts are hashed where they are read; only ids and digests of 32 bytes travel. No task holds more than one range of leaves
 or one bucket, however many rows a language has.
@@ -94,19 +94,21 @@ def band(items: DataFrame, bits: int) -> DataFrame:
 
 
 def attached(items: DataFrame, nodes: DataFrame, bits: int) -> DataFrame:
-    """(g, rank, path): for each item its siblings below the band's top, from the bottom up.
+    """(g, top, rank, n, kept, path): each item with its siblings below the band's top, from the bottom up.
 
-    A join for all levels at once: an item meets the nodes of its bucket of each level, and those that contain it stay.
+    Items meet the nodes of their bucket of the band's levels, and the nodes that contain them stay: those are their
+    ancestors, whose siblings make the path. One shuffle by the bucket serves the join and what follows it.
     """
-    asked = items.where("n > 1").select("g", "rank", F.col("lo").alias("at"), F.explode(F.sequence(F.lit(0), levels_of(bits) - 1)).alias("level")).withColumn("bucket", F.expr("shiftright(rank, level)"))
-    label = nodes.where("level < depth").select("g", "level", F.col("rank").alias("bucket"), "lo", "hi", F.struct("left", F.col("sibling").alias("digest")).alias("step"))
-    held = asked.join(label, ["g", "level", "bucket"]).where("lo <= at and at < hi")
-    steps = F.transform(F.sort_array(F.collect_list(F.struct("level", "step"))), lambda x: x.step)
-    return held.groupBy("g", "rank").agg(steps.cast(f"array<{STEP}>").alias("path"))
+    at = items.select("g", F.shiftright("rank", bits).alias("top"), "rank", "n", F.col("lo").alias("at"), "kept")
+    label = nodes.where("level < depth").select("g", F.expr(f"shiftright(rank, {bits} - level)").alias("top"), "level", "lo", "hi", F.struct("left", F.col("sibling").alias("digest")).alias("step"))
+    held = at.alias("i").join(label.alias("a"), (F.col("i.g") == F.col("a.g")) & (F.col("i.top") == F.col("a.top")) & F.expr("a.lo <= i.at and i.at < a.hi"), "left")
+    steps = F.sort_array(F.collect_list(F.when(F.col("a.level").isNotNull(), F.struct("a.level", "a.step"))))
+    out = held.groupBy("i.g", "i.top", "i.rank", "i.n").agg(F.first("i.kept").alias("kept"), F.transform(steps, lambda x: x.step).alias("path"))
+    return out.withColumn("path", F.col("path").cast(f"array<{STEP}>"))
 
 
 def tree(items: DataFrame, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
-    """Of items (g, rank, lo, hi, digest, n): (g, rank, path) of all but lone items, and (g, digest) of each group's top.
+    """Of items (g, rank, lo, hi, digest, n, kept): (g, rank, kept, path), and (g, digest) of each group's top.
 
     A path's steps are the siblings from the item to the top, with a null digest where a node has none.
     """
@@ -115,13 +117,13 @@ def tree(items: DataFrame, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     done = nodes.where(f"n <= {1 << bits} and level = depth").select("g", "digest")
     most = nodes.agg(F.max("n")).first()[0] or 0
     if most <= 1 << bits:
-        return own, done
+        return own.select("g", "rank", "kept", "path"), done
     above = nodes.where(f"n > {1 << bits} and level = depth")
-    above = above.select("g", "rank", "lo", "hi", "digest", F.expr(f"shiftright(n + {(1 << bits) - 1}, {bits})").alias("n"))
-    paths, tops = tree(above, bits)
-    paths = paths.select("g", F.col("rank").alias("bucket"), F.col("path").alias("upper"))
-    whole = own.withColumn("bucket", F.shiftright("rank", bits)).join(paths, ["g", "bucket"], "left")
-    return whole.select("g", "rank", F.concat("path", F.coalesce("upper", F.array().cast(f"array<{STEP}>"))).alias("path")), done.union(tops)
+    above = above.select("g", "rank", "lo", "hi", "digest", F.expr(f"shiftright(n + {(1 << bits) - 1}, {bits})").alias("n"), F.lit(None).cast("int").alias("kept"))
+    upper, tops = tree(above, bits)
+    upper = upper.select("g", F.col("rank").alias("top"), F.col("path").alias("upper"))
+    whole = own.join(upper, ["g", "top"], "left")
+    return whole.select("g", "rank", "kept", F.concat("path", F.coalesce("upper", F.array().cast(f"array<{STEP}>"))).alias("path")), done.union(tops)
 
 
 def folded(start: Column, path: Column) -> Column:
@@ -150,17 +152,15 @@ def manifest(docs: DataFrame, claimed: Column | None = None, bits: int = BITS) -
     hashed = written(d, "leaves")
     rows = written(ranked(hashed, "g", ["doc_id", "leaf"]), "ranked")
     discard(hashed)
-    items = lambda r: r.select("g", "rank", F.col("rank").alias("lo"), (F.col("rank") + 1).alias("hi"), "digest", "n")
-    paths, tops = tree(items(rows.withColumn("digest", F.col("leaf"))), bits)
+    items = lambda r, *kept: r.select("g", "rank", F.col("rank").alias("lo"), (F.col("rank") + 1).alias("hi"), "digest", "n", F.struct(*kept).alias("kept"))
+    paths, tops = tree(items(rows.withColumn("digest", F.col("leaf")), "doc_id", "leaf", "shown"), bits)
     tops = written(tops, "subroots")
     langs = written(ranked(tops.withColumn("one", F.lit("")).withColumnRenamed("g", "of"), "one", ["of"]).withColumnRenamed("one", "g"), "languages")
-    upper, top = tree(items(langs), bits)
-    empty = F.array().cast(f"array<{STEP}>")
-    of = langs.join(upper, ["g", "rank"], "left").join(top.withColumnRenamed("digest", "root"), "g")
-    of = written(of.select(F.col("of").alias("g"), F.col("digest").alias("subroot"), "root", F.coalesce("path", empty).alias("above")), "roots")
-    out = rows.join(paths, ["g", "rank"], "left").join(few(of, 10_000), "g")
+    above, top = tree(items(langs, "of", "digest"), bits)
+    of = above.join(top.withColumnRenamed("digest", "root"), "g").select(F.col("kept.of").alias("g"), F.col("kept.digest").alias("subroot"), "root", F.col("path").alias("above"))
+    out = paths.join(few(written(of, "roots"), 10_000), "g")
     lang = F.when(F.col("g") != "", F.expr("substring(g, 2)"))
-    return out.select("doc_id", lang.alias("lang"), "leaf", F.coalesce("shown", "leaf").alias("shown"), "subroot", "root", F.concat(F.coalesce("path", empty), "above").alias("path"))
+    return out.select("kept.doc_id", lang.alias("lang"), "kept.leaf", F.coalesce("kept.shown", "kept.leaf").alias("shown"), "subroot", "root", F.concat("path", "above").alias("path"))
 
 
 def audit(docs: DataFrame, claimed: Column | None = None, bits: int = BITS) -> DataFrame:
