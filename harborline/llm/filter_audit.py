@@ -33,6 +33,9 @@ BITS = 63
 _SHARD = "docs array<struct<doc_id:bigint,part:string,points:bigint,capitals:bigint,symbols:bigint,same:binary>>, indptr array<bigint>, indices array<bigint>, data array<int>"
 _CHECK = np.random.RandomState(77).randint(1, 1 << 62, 256, dtype=np.int64).astype(np.uint64)
 _MULTIPLIER = np.uint64(0xD1342543DE82EF95)
+_POWERS: dict = {}
+_IS_SYMBOL = np.zeros(256, bool)
+_IS_SYMBOL[list(SYMBOLS)] = True
 
 
 def _spread(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,14 +46,25 @@ def _spread(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.repeat(begins, sizes) + place, place, offsets
 
 
-def _checks(b: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A second hash of words (none is empty), of another form than that of scan_words."""
-    out = np.zeros(len(sizes), np.uint64)
-    for i in range(0, len(sizes), 1 << 16):
-        at, place, offsets = _spread(begins[i : i + (1 << 16)], sizes[i : i + (1 << 16)])
-        x = _CHECK[b[at]] ^ (place.astype(np.uint64) + np.uint64(1)) * _MULTIPLIER
-        x = (x ^ (x >> np.uint64(29))) * _MULTIPLIER
-        out[i : i + (1 << 16)] = np.add.reduceat(x ^ (x >> np.uint64(32)), offsets[:-1])
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS.get("p", ())) < n:
+        for name, base in (("p", int(_MULTIPLIER)), ("q", pow(int(_MULTIPLIER), -1, 1 << 64))):
+            x = np.full(max(n, 1 << 20), base, np.uint64)
+            x[0] = 1
+            _POWERS[name] = np.multiply.accumulate(x)
+    return _POWERS["p"], _POWERS["q"]
+
+
+def _checks(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A second hash of words in the order of their bytes, of other values and another base than that of scan_words."""
+    out = np.zeros(len(starts), np.uint64)
+    for i in range(0, len(starts), 1 << 17):
+        s, e = starts[i : i + (1 << 17)], ends[i : i + (1 << 17)]
+        part = b[s[0] : e[-1]]
+        p, q = _powers(len(part))
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_CHECK[part] * p[: len(part)], out=total[1:])
+        out[i : i + (1 << 17)] = (total[e - s[0]] - total[s - s[0]]) * q[s - s[0]]
     return out
 
 
@@ -62,8 +76,7 @@ def _entries(bits: int):
     def run(batches):
         import pyarrow as pa
 
-        kind = np.dtype([("h", np.uint64), ("c", np.uint64)])
-        seen = np.zeros(0, kind)
+        seen = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
         for batch in batches:
             texts = column_bytes(batch.column("text"))
             for a, z in blocks(texts):
@@ -72,14 +85,13 @@ def _entries(bits: int):
                 starts, ends, _, h = scan_words(buf)
                 if not len(h):
                     continue
-                print_ = np.zeros(len(h), kind)
-                print_["h"], print_["c"] = h, _checks(b, starts, ends - starts)
-                found, first = _distinct(print_)
-                new = ~_held(seen, found)
-                found, first = found[new], first[new]
-                if len(seen) < ENTRIES:
-                    seen = np.concatenate((seen, found))
-                    seen = seen[np.lexsort((seen["c"], seen["h"]))]
+                c = _checks(b, starts, ends)
+                first = _distinct(h, c)
+                first = first[~_held(*seen, h[first], c[first])]
+                if len(seen[0]) < ENTRIES:
+                    both = [np.concatenate((x, y[first])) for x, y in zip(seen, (h, c), strict=True)]
+                    order = np.argsort(both[0], kind="stable")  # two sorted runs
+                    seen = (both[0][order], both[1][order])
                 for i in range(0, len(first), 1 << 16):
                     f = first[i : i + (1 << 16)]
                     at, _, offsets = _spread(starts[f], ends[f] - starts[f])
@@ -89,22 +101,23 @@ def _entries(bits: int):
     return run
 
 
-def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct fingerprints in order, and where each stands first."""
-    order = np.lexsort((x["c"], x["h"]))
-    s = x[order]
-    new = np.ones(len(s), bool)
-    new[1:] = (s["h"][1:] != s["h"][:-1]) | (s["c"][1:] != s["c"][:-1])
-    return s[new], order[new]
+def _distinct(h: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Where each fingerprint (h, c) stands once, in order of h."""
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    if (same & (c[order[1:]] != c[order[:-1]])).any():  # one half of a fingerprint shared: sort by both
+        order = np.lexsort((c, h))
+        same = (h[order[1:]] == h[order[:-1]]) & (c[order[1:]] == c[order[:-1]])
+    return order[np.concatenate(([True], ~same))]
 
 
-def _held(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Which of x are in a sorted array; fingerprints that share their first half are looked through one after another."""
-    out = np.zeros(len(x), bool)
-    at, to = np.searchsorted(sorted_["h"], x["h"]), np.searchsorted(sorted_["h"], x["h"], side="right")
-    while (open_ := (at < to) & ~out).any():
-        out[open_] = sorted_["c"][at[open_]] == x["c"][open_]
-        at = at + 1
+def _held(sorted_h: np.ndarray, its_c: np.ndarray, h: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Which fingerprints (h, c) are among others that are sorted by h; those that share h are looked through in turn."""
+    out = np.zeros(len(h), bool)
+    at, to = np.searchsorted(sorted_h, h), np.searchsorted(sorted_h, h, side="right")
+    while (left := np.flatnonzero((at < to) & ~out)).size:
+        out[left] = its_c[at[left]] == c[left]
+        at[left] += 1
     return out
 
 
@@ -138,7 +151,7 @@ def _shards(shared: dict, bits: int):
                 b, begins = np.frombuffer(buf, np.uint8), begins[:-1]  # each text ends with a line feed of its own
                 count = lambda hit: np.add.reduceat(hit, begins[:-1], dtype=np.int64)  # noqa: E731, B023
                 points = count((b & 0xC0) != 0x80) - 1
-                capitals, symbols = count((b >= 65) & (b <= 90)), count(np.isin(b, np.frombuffer(SYMBOLS, np.uint8)))
+                capitals, symbols = count((b >= 65) & (b <= 90)), count(_IS_SYMBOL[b])
                 same = pa.array([hashlib.sha256(t or b"").digest() for t in texts[a:z]], pa.binary())
                 starts, ends, _, h = scan_words(buf)
                 number = _numbers(h, bits)
@@ -146,7 +159,8 @@ def _shards(shared: dict, bits: int):
                     for i in np.flatnonzero(np.isin(number, special)).tolist():
                         number[i] = shared[int(number[i]), buf[starts[i] : ends[i]]]
                 doc = np.searchsorted(begins, starts, side="right") - 1
-                order = np.lexsort((number, doc))
+                order = np.argsort(number)
+                order = order[np.argsort(doc[order].astype(np.uint16 if z - a < 1 << 16 else np.int64), kind="stable")]
                 number, doc = number[order], doc[order]
                 new = np.ones(len(number), bool)
                 new[1:] = (number[1:] != number[:-1]) | (doc[1:] != doc[:-1])
