@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import filter_audit, html_extract, jaccard_join, licenses, merkle, mixing, packing, pii, quality, token_counts, url_filter, vector_neardup
+from . import filter_audit, html_extract, jaccard_join, licenses, merkle, mixing, packing, pii, quality, token_counts, toxicity, url_filter, vector_neardup
 from .common import shared_dir, table
 
 
@@ -64,8 +64,12 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
-    every = (op1_token_counts, op2_quality_rules, op3_license_scans, op4_vector_near_duplicates, op5_mix_sources, op6_url_filters, op7_ngram_jaccard_join, op8_packing, op9_personal_data, op10_main_text, op11_merkle_manifest, op12_filter_audit)
+    every = (op1_token_counts, op2_quality_rules, op3_license_scans, op4_vector_near_duplicates, op5_mix_sources, op6_url_filters, op7_ngram_jaccard_join, op8_packing, op9_personal_data, op10_main_text, op11_merkle_manifest, op12_filter_audit, op13_toxicity)
     return {f.__name__: f for f in every}
 
 
