@@ -423,7 +423,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS, forms: int = FORMS
     folds = {2: grammar(t0, c0, size[0, True], size[0, False]), 0: grammar(t2, c2, size[2, True], size[2, False])}
     whole = grammar(t0 + t2, c0 + c2, size[0, True] + size[2, True], size[0, False] + size[2, False])
     schema = "toxic int, " + ", ".join(f"x{k} double" for k in range(9))
-    fitted = lambda by_fold: sample.mapInArrow(tidied(_features_of(by_fold)), schema).sort(*[f"x{k}" for k in range(9)], "toxic").toPandas()
+    fitted = lambda by_fold: sample.mapInArrow(tidied(_features_of(by_fold)), schema).toPandas().sort_values([*[f"x{k}" for k in range(9)], "toxic"], ignore_index=True)
     f = fitted(folds)
     context = context_weights(f.iloc[:, 1:].to_numpy(float), (f["toxic"] == 1).to_numpy(int))
     f = fitted({k: g._replace(context=context) for k, g in folds.items()})
