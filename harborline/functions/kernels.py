@@ -127,11 +127,14 @@ def stl(y: np.ndarray, period: int = 12, seasonal: int = 13, inner: int = 2, out
 
 
 def ipf(w: np.ndarray, row: np.ndarray, col: np.ndarray, i: np.ndarray, j: np.ndarray, steps: int = 400) -> np.ndarray:
-    """Proportional fitting of sparse weights w at (i, j) to row and column sums: rows, then columns, `steps` times."""
+    """Proportional fitting of sparse weights w at (i, j) to row and column sums: rows, then columns, `steps` times, or until nothing changes."""
     for _ in range(steps):
+        last = w
         for at, goal in ((i, row), (j, col)):
             total = np.bincount(at, weights=w, minlength=len(goal))
             w = w * np.divide(goal, total, out=np.zeros(len(goal)), where=total > 0)[at]
+        if (np.abs(w - last) <= 1e-15 * last).all():
+            break
     return w
 
 

@@ -1,4 +1,4 @@
-"""Regressions, forecasts, trends, breaks and proportional fitting, a group of a series at a time."""
+"""Regressions, forecasts, trends and breaks, a group of a series at a time."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 
-# Fixed values of the fitting's prior: the power of the name similarity, and what every licensed pair has at least.
-POWER, FLOOR = 8.0, 1e-6
 # Fixed values of the elasticities and forecasts: p of an elasticity in use, widening of forecast bounds.
 USED, WIDEN = 0.10, 1.1
 
@@ -96,39 +94,6 @@ def breaks(series: DataFrame, key: str, order: str, value: str, least: int = 24,
     return series.select(key, order, value).groupBy(key).applyInPandas(run, f"{key} string, n_bic int, n_lwz int, sup_f double, breaks array<int>, breaks_bic array<int>, phases array<double>")
 
 
-def fitted_weights(pairs: DataFrame, rows: DataFrame, columns: DataFrame, group: str = "part", steps: int = 400, floor: float = 1e-4) -> DataFrame:
-    """Proportional fitting of (hs_from, hs_to, prior, part) to margins (hs10, row_margin), (hs10, col_margin), a part at a time.
-
-    A part is a set of codes no pair leaves, so parts fit alone as they would together. Weights are shares of each
-    source; those up to `floor` are dropped and the rest scaled up again. score is the similarity the prior came from. A
-    task holds the pairs of one part, which the code system bounds.
-    """
-    x = pairs.join(rows.select(F.col("hs10").alias("hs_from"), "row_margin"), "hs_from").join(columns.select(F.col("hs10").alias("hs_to"), "col_margin"), "hs_to")
-
-    def run(pdf):
-        import pandas as pd
-
-        i, a = pd.factorize(pdf.hs_from, sort=True)
-        j, b = pd.factorize(pdf.hs_to, sort=True)
-        row = np.zeros(len(a))
-        row[i] = pdf.row_margin
-        col = np.zeros(len(b))
-        col[j] = pdf.col_margin
-        col *= row.sum() / col.sum() if col.sum() > 0 else 1.0
-        w = kernels.ipf(pdf.prior.to_numpy(float), row, col, i, j, steps)
-        total = np.bincount(i, weights=w, minlength=len(a))
-        share = np.divide(w, total[i], out=np.zeros(len(w)), where=total[i] > 0)
-        share[share <= floor] = 0
-        again = np.bincount(i, weights=share, minlength=len(a))
-        share = np.divide(share, again[i], out=np.zeros(len(w)), where=again[i] > 0)
-        out = pd.DataFrame({"hs_from": pdf.hs_from, "hs_to": pdf.hs_to, "weight": share, "mass": w})
-        out["score"] = np.maximum(pdf.prior.to_numpy(float) - FLOOR, 0) ** (1 / POWER)
-        out["relation"] = np.where(out.hs_from == out.hs_to, "identity", "moved")
-        return out[out.weight > 0]
-
-    return x.groupBy(group).applyInPandas(run, "hs_from string, hs_to string, weight double, mass double, score double, relation string")
-
-
 def bridge(panel: DataFrame, key: str, start: int, lags: int = 12) -> DataFrame:
     """Nested one-step forecasts of y (its own lags) without and with v, from month index `start` on.
 

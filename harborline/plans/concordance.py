@@ -6,6 +6,10 @@ SQL = {
     "concordance_relation": "select hs_past, past_version, hs2022, case when hs2022 is null then 'deleted' when hs_past is null then 'new' when hs_past = hs2022 then 'identity' else 'mapped' end as relation from (select k.hs10 as hs_past, v.past_version, c.hs2022 from keyed k cross join versions v left join concordance c on c.hs_past = k.hs10 and c.past_version = v.past_version) x",
     "split_merge_counts": "select s.past_version, s.n_split, m.n_merged from (select past_version, count(*) as n_split from (select past_version, hs_past from concordance group by 1, 2 having count(*) > 1) a group by 1) s join (select past_version, count(*) as n_merged from (select past_version, hs2022 from concordance group by 1, 2 having count(*) > 1) b group by 1) m on s.past_version = m.past_version",
     "licensed_pairs": "select a.hs10 as hs_from, b.hs10 as hs_to, case when a.hs10 = b.hs10 then 'self' else 'candidate' end as kind from (select hs10 from editions where edition = 1999) a join (select hs10 from editions where edition = 2001) b on substr(a.hs10, 1, 4) = substr(b.hs10, 1, 4) left join (select hs10 from editions where edition = 2001) a2 on a2.hs10 = a.hs10 left join (select hs10 from editions where edition = 1999) b2 on b2.hs10 = b.hs10 where a.hs10 = b.hs10 or not (a2.hs10 is not null and b2.hs10 is not null)",
+    "hs6_links": "select hs6_past, hs6 from hs6_links",
+    "licensed_links": "select hs_from, hs_to, case when hs_from = hs_to then 'self' else 'candidate' end as kind from licensed",
+    "link_orphans": """select a.hs10, case when b.hs10 is null then 'abolished' else 'alive' end as state from editions a left join (select hs10 from editions where edition = 2001) b on b.hs10 = a.hs10
+        where a.edition = 1999 and not exists (select 1 from licensed l where l.hs_from = a.hs10)""",
     "ipf_margins": "with r as (select hs10, sum(exp_dlr) as v from fact_trade where yyyymm between 200007 and 200012 group by 1), c as (select hs10, sum(exp_dlr) as v from fact_trade where yyyymm between 200101 and 200106 group by 1), t as (select (select sum(v) from r) as rs, (select sum(v) from c) as cs) select k.hs10, round(coalesce(r.v, 0) + greatest(t.rs, 1) * 1e-9, 6) as row_margin, round((coalesce(c.v, 0) + greatest(t.rs, 1) * 1e-9) * (t.rs / (t.cs * 1e0)), 6) as col_margin from keyed k cross join t left join r on k.hs10 = r.hs10 left join c on k.hs10 = c.hs10",
     "compose_maps": "select a.hs_past, b.hs2022, round(sum(a.weight * b.weight), 10) as weight from concordance a join concordance b on a.hs2022 = b.hs_past where a.past_version = 1995 and b.past_version = 1997 group by 1, 2",
     "chain_maps": "with m99 as (select hs_past, hs2022, weight, 1999 as past_version from concordance where past_version = 1999), m97 as (select a.hs_past, b.hs2022, sum(a.weight * b.weight) as weight, 1997 as past_version from concordance a join m99 b on a.hs2022 = b.hs_past where a.past_version = 1997 group by a.hs_past, b.hs2022), every as (select * from m97 where hs_past not like '%7' union all select * from m99 where not exists (select 1 from m97 where m97.hs_past = m99.hs_past and m97.hs_past not like '%7')) select hs_past, past_version, hs2022, round(weight / sum(weight) over (partition by hs_past, past_version), 10) as weight from every",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns
-from ..operators import core, numeric
+from ..operators import core, fitting, numeric
 from ..sources import files
 from ..sources.trade import STORED, duck_text, frame, run
 from .inference import robust
@@ -80,31 +80,30 @@ def structural_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numeric.breaks(m, "series", "midx", "y")
 
 
-def _ipf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .concordance import SQL
-
-    pairs = run(spark, sf_dir, SQL["licensed_pairs"])
-    names = run(spark, sf_dir, "select e.hs10, max(e.name) as leaf, max(k.item || ' ' || e.name) as path from editions e join keyed k on k.hs10 = e.hs10 group by 1")
-    leaf, path = columns.letters(F.col("leaf")), columns.letters(F.col("path"))
-    for side, a, b in (("hs_from", "a", "pa"), ("hs_to", "b", "pb")):
-        pairs = pairs.join(names.select(F.col("hs10").alias(side), leaf.alias(a), path.alias(b)), side)
-    # a code's own pair needs no similarity; names are letters and digits, each pair of names compared once
-    moved = F.col("hs_from") != F.col("hs_to")
-    names = pairs.where(moved).select("a", "b", "pa", "pb").distinct()
-    pairs = pairs.join(names.withColumn("near", columns.similarity()("a", "b", "pa", "pb")), ["a", "b", "pa", "pb"], "left")
-    prior = F.when(~moved, F.lit(1 + numeric.FLOOR)).otherwise(F.pow(F.coalesce("near", F.lit(0.0)), F.lit(numeric.POWER)) + numeric.FLOOR)
-    pairs = pairs.select("hs_from", "hs_to", prior.alias("prior"), F.substring("hs_from", 1, 4).alias("part"))
-    margins = run(spark, sf_dir, SQL["ipf_margins"])
-    return numeric.fitted_weights(pairs, margins, margins)
+def _masses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links from the codes of 1999 to those of 2001 that six-digit successors license, fitted to half a year's exports."""
+    names = "select e.hs10, e.name as leaf, k.item || ' ' || e.name as path from editions e join keyed k on k.hs10 = e.hs10 where e.edition = {}"
+    links = fitting.priors(frame(spark, sf_dir, "licensed"), run(spark, sf_dir, names.format(1999)), run(spark, sf_dir, names.format(2001)))
+    return fitting.masses(links, frame(spark, sf_dir, "before_value"), frame(spark, sf_dir, "after_value"))
 
 
 def ipf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ipf(spark, sf_dir).select("hs_from", "hs_to", "weight", "score", "relation")
+    return fitting.weights(_masses(spark, sf_dir)).select("hs_from", "hs_to", "weight", "score", "relation")
+
+
+def link_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The connected groups of licensed links, which are fitted apart."""
+    return fitting.groups(frame(spark, sf_dir, "licensed"))
+
+
+def fitted_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What fitted links bring to each code: its margin."""
+    return _masses(spark, sf_dir).groupBy("hs_to").agg(F.round(F.sum("mass"), 2).alias("mass"), F.count("*").alias("n_links"))
 
 
 def diagonal_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = F.sum(F.when(F.col("relation") == "identity", F.col("mass")).otherwise(0.0))
-    return _ipf(spark, sf_dir).agg((own / F.sum("mass")).alias("retention"), F.countDistinct("hs_from").alias("n_sources"))
+    own = F.sum(F.when(F.col("hs_from") == F.col("hs_to"), F.col("mass")).otherwise(0.0))
+    return _masses(spark, sf_dir).agg((own / F.sum("mass")).alias("retention"), F.countDistinct("hs_from").alias("n_sources"))
 
 
 def bridge_oos(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +157,7 @@ GROWTH = "select b.yyyymm, round(b.x / (a.x * 1e0) - 1, 6) as g from monthly a j
 PERIOD_TEXT = """select hs10, case k % 3 when 0 then cast(k % 40 as string) || '%' when 1 then cast(k % 30 as string) || '% - (2000-01-01 ~ 2000-06-30) ' || cast(k % 20 as string) || '% - (2000-07-01 ~ )'
     else cast(k % 10 as string) || '%-(2000-03-01~2000-12-31)' end as txt from keyed"""
 
-QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, diagonal_retention, bridge_oos, stl_parts, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
+QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, bridge_oos, stl_parts, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
 
 BETAS = "select series, item, round(beta, 7) as beta, round(se, 7) as se, round(r2, 7) as r2, round(resid_sd, 7) as resid_sd, n from r"
 
@@ -175,6 +174,16 @@ ORACLES = {
         join r on r.series = v.series and r.item = v.item group by v.series) w join r t on t.series = w.series and t.item = 'TOTAL'"""),
     "param_filter": "select yyyymm, stat_cd, sumb(exp_dlr) as exp_dlr from fact_trade where yyyymm between 199901 and 199912 and stat_cd = 'N01' group by 1, 2",
     "exp10d_segments": "select series, base_ym, cutoff, item, seg_kusd, cum_kusd from segments",
+    "link_groups": """with recursive e as (select 'a' || hs_from as a, 'b' || hs_to as b from licensed union select 'b' || hs_to, 'a' || hs_from from licensed),
+        reach(node, part) as (
+          select a, least(a, min(b)) from e group by a
+          union select e.b, r.part from reach r join e on e.a = r.node where r.part < e.b)
+        select substr(node, 1, 1) as side, substr(node, 2) as hs10, substr(min(part), 2) as grp from reach group by node""",
+    "fitted_columns": """with r as (select f.hs_from, coalesce(b.v, 0) * 1e0 as v from (select distinct hs_from from licensed) f left join before_value b on b.hs10 = f.hs_from),
+        c as (select t.hs_to, t.n, coalesce(a.v, 0) * 1e0 as v from (select hs_to, count(*) as n from licensed group by 1) t left join after_value a on a.hs10 = t.hs_to),
+        s as (select (select sum(v) from r) as rs, (select count(*) from r) as n, (select sum(v) from c) as cs, (select count(*) from c) as m),
+        e as (select *, greatest(rs, 1) * 1e-9 as eps from s)
+        select c.hs_to, round((c.v + e.eps) * ((e.rs + e.n * e.eps) / (e.cs + e.m * e.eps)), 2) as mass, c.n as n_links from c cross join e""",
 }
 
 _PERIOD = r"([^()~]*?)\s*-\s*\((\d{4}-\d{2}-\d{2})\s*~\s*(\d{4}-\d{2}-\d{2})?\)"

@@ -41,3 +41,20 @@ def kept(spark: SparkSession, name: str, inputs: list[str], build: Callable[[],
         build().sortWithinPartitions(order).write.parquet(path)
         _PATHS[key] = path
     return _PATHS[key]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table of the shared folder, read back: the lineage is cut, and lost executors cost nothing computed before."""
+    spark = df.sparkSession
+    path = f"{folder(spark)}/harborline-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._harborline_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what `written` wrote, once nothing still to be computed reads it."""
+    for df in frames:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._harborline_path)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)

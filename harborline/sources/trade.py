@@ -68,6 +68,15 @@ TABLES: dict[str, str] = {
     # yearly editions of the code list with names
     "editions": """select e.edition, k.hs10, k.k, case when (k.k + e.edition) % 9 = 0 then k.name || ' (new)' when (k.k + e.edition) % 4 = 0 then replace(k.name, ' ', '  ') else k.name end as name
         from keyed k cross join (values (1995), (1997), (1999), (2001)) as e(edition) where (k.k + e.edition) % 13 <> 0""",
+    # codes of six digits that the successors of past codes lead to, and the links between editions they license: a code may
+    # move to any code below a linked six-digit one, but not if both codes are in both editions
+    "hs6_links": "select distinct substr(hs_past, 1, 6) as hs6_past, substr(hs2022, 1, 6) as hs6 from concordance where past_version = 1999 and relation = 'mapped'",
+    "alive": "select a.hs10 from editions a join editions b on a.hs10 = b.hs10 where a.edition = 1999 and b.edition = 2001",
+    "heads": "select hs6_past, hs6 from hs6_links union select substr(hs10, 1, 6), substr(hs10, 1, 6) from editions where edition = 1999",
+    "licensed": """select a.hs10 as hs_from, b.hs10 as hs_to from editions a join heads h on h.hs6_past = substr(a.hs10, 1, 6) join editions b on substr(b.hs10, 1, 6) = h.hs6
+        left join alive x on x.hs10 = a.hs10 left join alive y on y.hs10 = b.hs10 where a.edition = 1999 and b.edition = 2001 and (a.hs10 = b.hs10 or x.hs10 is null or y.hs10 is null)""",
+    "before_value": "select hs10, sum(exp_dlr) as v from fact_trade where yyyymm between 200007 and 200012 group by 1",
+    "after_value": "select hs10, sum(exp_dlr) as v from fact_trade where yyyymm between 200101 and 200106 group by 1",
     "cutoffs": "select * from (values (10), (20), (99)) as c(cutoff)",
     # cumulative amounts by cut-off in two vintages: the second adds lines finished later
     "exp10d": """select s.series, s.base_ym, s.cutoff, s.item, cast(v.made as int) as fetched_at, sumb(case when v.made = 2 or s.status = 'O' then s.amt else 0 end) as amt_kusd from (

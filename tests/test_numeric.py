@@ -58,14 +58,6 @@ def test_fitting_meets_both_margins_and_one_source_takes_the_targets_shares():
     assert np.allclose(one, col)
 
 
-def test_fitted_weights_of_a_single_source(spark):
-    pairs = spark.createDataFrame([("a", "x", 1.0, "p"), ("a", "y", 0.5, "p"), ("b", "z", 1.0, "q")], "hs_from string, hs_to string, prior double, part string")
-    rows = spark.createDataFrame([("a", 10.0), ("b", 1.0)], "hs10 string, row_margin double")
-    cols = spark.createDataFrame([("x", 2.0), ("y", 8.0), ("z", 1.0)], "hs10 string, col_margin double")
-    got = {(r.hs_from, r.hs_to): round(r.weight, 6) for r in numeric.fitted_weights(pairs, rows, cols).collect()}
-    assert got == {("a", "x"): 0.2, ("a", "y"): 0.8, ("b", "z"): 1.0}
-
-
 def test_seasonal_parts_of_a_made_series():
     n = np.arange(120)
     season = np.tile([3, 1, -2, 0, 4, -1, -3, 2, 0, -4, 1, -1.0], 10)
