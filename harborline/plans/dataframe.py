@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns
 from ..operators import core, fitting, numeric
-from ..sources import files
+from ..sources import files, versions
+from ..sources.store import folder
 from ..sources.trade import STORED, duck_text, frame, run
 from .inference import robust
 
@@ -112,6 +116,23 @@ def bridge_oos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numeric.bridge(run(spark, sf_dir, text), "series", start=1999 * 12)
 
 
+def version_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both facts by year in two versions of one store: as loaded, and after 1998 was loaded again with doubled exports.
+
+    The second version brings both tables' year in one commit; the first can still be read.
+    """
+    store = versions.Versions(spark, f"{folder(spark)}/harborline-facts-{uuid.uuid4().hex}")
+    detail, totals = frame(spark, sf_dir, "fact_trade"), frame(spark, sf_dir, "fact_total")
+    store.replace_years({"detail": detail, "totals": totals})
+    twice = lambda t: t.where("yyyymm div 100 = 1998").withColumn("exp_dlr", 2 * F.col("exp_dlr"))
+    versions.reload_year(store, twice(detail), twice(totals), 1998)
+    sums = [
+        store.read(t, v).groupBy(F.lit(v).alias("version"), F.lit(t).alias("name"), F.expr("cast(yyyymm div 100 as int)").alias("yr")).agg(F.count("*").alias("n"), F.sum("exp_dlr").alias("exp_dlr"))
+        for v in store.numbers() for t in ("detail", "totals")
+    ]
+    return functools.reduce(DataFrame.union, sums)
+
+
 def stl_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seasonal and trend parts of each group's monthly logarithm."""
     m = frame(spark, sf_dir, "group_month").where("v > 0").select(F.col("grp").alias("series"), F.col("midx").cast("int").alias("midx"), F.ln(F.col("v").cast("double")).alias("y"))
@@ -157,7 +178,7 @@ GROWTH = "select b.yyyymm, round(b.x / (a.x * 1e0) - 1, 6) as g from monthly a j
 PERIOD_TEXT = """select hs10, case k % 3 when 0 then cast(k % 40 as string) || '%' when 1 then cast(k % 30 as string) || '% - (2000-01-01 ~ 2000-06-30) ' || cast(k % 20 as string) || '% - (2000-07-01 ~ )'
     else cast(k % 10 as string) || '%-(2000-03-01~2000-12-31)' end as txt from keyed"""
 
-QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, bridge_oos, stl_parts, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
+QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, bridge_oos, version_totals, stl_parts, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
 
 BETAS = "select series, item, round(beta, 7) as beta, round(se, 7) as se, round(r2, 7) as r2, round(resid_sd, 7) as resid_sd, n from r"
 
@@ -174,6 +195,9 @@ ORACLES = {
         join r on r.series = v.series and r.item = v.item group by v.series) w join r t on t.series = w.series and t.item = 'TOTAL'"""),
     "param_filter": "select yyyymm, stat_cd, sumb(exp_dlr) as exp_dlr from fact_trade where yyyymm between 199901 and 199912 and stat_cd = 'N01' group by 1, 2",
     "exp10d_segments": "select series, base_ym, cutoff, item, seg_kusd, cum_kusd from segments",
+    "version_totals": """with f as (select 'detail' as name, yyyymm, exp_dlr from fact_trade union all select 'totals', yyyymm, exp_dlr from fact_total)
+        select v.version, f.name, cast(f.yyyymm // 100 as int) as yr, count(*) as n, sumb(case when v.version = 2 and f.yyyymm // 100 = 1998 then 2 * f.exp_dlr else f.exp_dlr end) as exp_dlr
+        from f cross join (values (1), (2)) as v(version) group by 1, 2, 3""",
     "link_groups": """with recursive e as (select 'a' || hs_from as a, 'b' || hs_to as b from licensed union select 'b' || hs_to, 'a' || hs_from from licensed),
         reach(node, part) as (
           select a, least(a, min(b)) from e group by a

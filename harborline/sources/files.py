@@ -60,14 +60,6 @@ def write_fact(fact: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
 
 
-def reload_year(detail: DataFrame, totals: DataFrame, year: int, detail_path: str, totals_path: str) -> None:
-    """Replace one year of both facts; months of totals without detail are provisional and stay out. Other years are not touched."""
-    mine = F.floor(F.col("yyyymm") / 100) == year
-    months = detail.where(mine).select("yyyymm").distinct()
-    write_fact(detail.where(mine), detail_path)
-    write_fact(totals.where(mine).join(months, "yyyymm", "left_semi").select(*totals.columns), totals_path)
-
-
 def inventory(tables: dict[str, DataFrame], month: str = "yyyymm") -> DataFrame:
     """(name, n, first, last) of each table, in one union."""
     parts = [t.agg(F.count("*").alias("n"), F.min(month).alias("first"), F.max(month).alias("last")).select(F.lit(name).alias("name"), "n", "first", "last") for name, t in tables.items()]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -22,20 +24,27 @@ def folder(spark: SparkSession) -> str:
     return root
 
 
-def _state(spark: SparkSession, path: str) -> tuple:
-    """(path, time of change, length): another state is another input."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    status = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at)
-    return path, status.getModificationTime(), status.getLen()
+def state(spark: SparkSession, path: str) -> str:
+    """A digest of the path, time of change and length of every file under a path: another state is another input.
+
+    Folders are listed one call each; when files were last read does not count.
+    """
+    found, todo = [], [path]
+    while todo:
+        at = spark._jvm.org.apache.hadoop.fs.Path(todo.pop())
+        text = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at))
+        found.append(re.sub(r"access_time=\d+", "", text))
+        todo += re.findall(r"path=([^;]+); isDirectory=true", text)
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
 
 
 def kept(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame], order: str) -> str:
     """The path of table `name` built from `inputs`. It is written where it is missing, the rows of each file in order of a column.
 
     Filters on that column skip row groups and pages by their bounds; files keep the partitions the table was computed in, so
-    writing takes no further shuffle. A table is known by its inputs' paths, times and lengths.
+    writing takes no further shuffle. A table is known by the state of its inputs' files.
     """
-    key = (spark.sparkContext.applicationId, name, *(_state(spark, p) for p in inputs))
+    key = (spark.sparkContext.applicationId, name, *(state(spark, p) for p in inputs))
     if key not in _PATHS:
         path = f"{folder(spark)}/harborline-{name}-{uuid.uuid4().hex}"
         build().sortWithinPartitions(order).write.parquet(path)

@@ -44,14 +44,11 @@ def test_code_rows(spark):
     assert [x.hs10 for x in files.code_rows(sheet).collect()] == ["0101010101"]
 
 
-def test_a_reloaded_year_replaces_itself_only(spark, tmp_path):
-    d, t = str(tmp_path / "d"), str(tmp_path / "t")
-    schema = "yyyymm int, stat_cd string, v long"
+def test_a_fact_by_years(spark, tmp_path):
+    d, schema = str(tmp_path / "d"), "yyyymm int, stat_cd string, v long"
     files.write_fact(spark.createDataFrame([(199912, "A", 1), (200001, "A", 2), (200002, "A", 3)], schema), d)
-    files.write_fact(spark.createDataFrame([(199912, "A", 1), (200001, "A", 2)], schema), t)
-    files.reload_year(spark.createDataFrame([(200001, "B", 9), (199912, "B", 9)], schema), spark.createDataFrame([(200001, "B", 9), (200003, "B", 9)], schema), 2000, d, t)
+    files.write_fact(spark.createDataFrame([(200001, "B", 9)], schema), d)
     assert sorted((x.yyyymm, x.stat_cd, x.v) for x in spark.read.parquet(d).collect()) == [(199912, "A", 1), (200001, "B", 9)]
-    assert sorted((x.yyyymm, x.stat_cd, x.v) for x in spark.read.parquet(t).collect()) == [(199912, "A", 1), (200001, "B", 9)]
     assert [tuple(x) for x in files.inventory({"d": spark.read.parquet(d)}).collect()] == [("d", 2, 199912, 200001)]
 
 
