@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import columns
 from ..operators import core, fitting, numeric
 from ..sources import files, versions
-from ..sources.store import folder
+from ..sources.store import folder, written
 from ..sources.trade import STORED, duck_text, frame, run
+from ..streaming import state
 from .inference import robust
 
 VERSION = "case when yyyymm < 199701 then 1995 when yyyymm < 199901 then 1997 when yyyymm < 200101 then 1999 else 2001 end"
@@ -36,6 +37,15 @@ def vintage_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return core.vintage_delta(v.where("fetched_at = 1"), v.where("fetched_at = 2"), ["series", "base_ym", "cutoff", "item"], "amt_kusd").select("series", "base_ym", "cutoff", "item", "amt_kusd")
 
 
+def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second vintage's new and revised rows, found by a stream of both: latest values are kept in its state."""
+    rows = written(frame(spark, sf_dir, "exp10d").select("series", "base_ym", "cutoff", "item", "fetched_at", "amt_kusd"), "vintages")
+    out = f"{folder(spark)}/harborline-stream-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(rows.schema).parquet(rows._harborline_path)
+    state.keep(stream, f"{out}/table", f"{out}/checkpoint", ["series", "base_ym", "cutoff", "item"], "amt_kusd").awaitTermination()
+    return spark.read.parquet(f"{out}/table").where("fetched_at = 2").select("series", "base_ym", "cutoff", "item", "amt_kusd", "kind")
+
+
 def exp10d_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = core.latest(frame(spark, sf_dir, "exp10d"), ["series", "base_ym", "cutoff", "item"])
     return core.increments(v, ["series", "base_ym", "item"], "amt_kusd", {20: 10, 99: 20}).select("series", "base_ym", "cutoff", "item", "seg_kusd", "cum_kusd")
@@ -178,7 +188,7 @@ GROWTH = "select b.yyyymm, round(b.x / (a.x * 1e0) - 1, 6) as g from monthly a j
 PERIOD_TEXT = """select hs10, case k % 3 when 0 then cast(k % 40 as string) || '%' when 1 then cast(k % 30 as string) || '% - (2000-01-01 ~ 2000-06-30) ' || cast(k % 20 as string) || '% - (2000-07-01 ~ )'
     else cast(k % 10 as string) || '%-(2000-03-01~2000-12-31)' end as txt from keyed"""
 
-QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, bridge_oos, version_totals, stl_parts, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
+QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, bridge_oos, version_totals, stl_parts, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
 
 BETAS = "select series, item, round(beta, 7) as beta, round(se, 7) as se, round(r2, 7) as r2, round(resid_sd, 7) as resid_sd, n from r"
 
@@ -187,6 +197,7 @@ ORACLES = {
     "concord_to_2022": "select f.yyyymm, coalesce(c.hs2022, f.hs10) as hs10, round(sum(f.exp_dlr * coalesce(c.weight, 1e0)), 4) as exp_dlr, round(sum(f.imp_dlr * coalesce(c.weight, 1e0)), 4) as imp_dlr from fact_versioned f left join concordance c on f.hs10 = c.hs_past and f.version = c.past_version group by 1, 2",
     "dominant_successor": "select hs_past, past_version, hs2022, weight from (select *, row_number() over (partition by hs_past, past_version order by weight desc, hs2022) as rn from concordance) x where rn = 1",
     "vintage_delta": "select n.series, n.base_ym, n.cutoff, n.item, n.amt_kusd from exp10d n left join exp10d o on n.series = o.series and n.base_ym = o.base_ym and n.cutoff = o.cutoff and n.item = o.item and o.fetched_at = 1 where n.fetched_at = 2 and (o.amt_kusd is null or o.amt_kusd <> n.amt_kusd)",
+    "stream_delta": "select n.series, n.base_ym, n.cutoff, n.item, n.amt_kusd, case when o.amt_kusd is null then 'new' else 'revised' end as kind from exp10d n left join exp10d o on n.series = o.series and n.base_ym = o.base_ym and n.cutoff = o.cutoff and n.item = o.item and o.fetched_at = 1 where n.fetched_at = 2 and (o.amt_kusd is null or o.amt_kusd <> n.amt_kusd)",
     "elasticity_hac": robust(BETAS),
     "elasticity_cum": robust(BETAS, "cum"),
     "beta_asof": robust(BETAS, where="base_ym <= 199912"),

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 from ..operators import core
 
@@ -14,13 +13,15 @@ from ..operators import core
 def append_changes(batch: DataFrame, path: str, name: str, keys: list[str], value: str, tolerance: float = 0.0, seen: str = "fetched_at") -> None:
     """Append the rows of a batch that are new or differ from the latest vintage of their key, as part `name` of `path`.
 
-    A part written again replaces itself and is not compared with itself, so a repeated batch changes nothing.
+    A part written again replaces itself and is not compared with itself, so a repeated batch changes nothing. `state.changes`
+    does the same with the latest values in a state store, for tables whose history is long.
     """
     spark: SparkSession = batch.sparkSession
-    try:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    known = batch.limit(0)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
         known = spark.read.schema(StructType(list(batch.schema.fields)).add("part", "string")).parquet(path).where(F.col("part") != name).drop("part")
-    except AnalysisException:  # nothing there yet
-        known = batch.limit(0)
+        known = known.join(batch.select(*keys).distinct(), keys, "left_semi")  # only the history of the batch's keys is ranked
     new = core.latest(batch, keys, seen)
     changed = core.vintage_delta(known, new, keys, value, tolerance, seen).select(*batch.columns)
     changed.write.mode("overwrite").parquet(f"{path}/part={name}")
