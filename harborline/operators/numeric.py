@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import kernels
+from ..functions import components, kernels
 
 # Fixed values of the elasticities and forecasts: p of an elasticity in use, widening of forecast bounds.
 USED, WIDEN = 0.10, 1.1
@@ -146,3 +146,51 @@ def seasonal_trend(series: DataFrame, key: str, order: str, value: str, period:
         return pdf.assign(seasonal=s, trend=t, remainder=y - s - t)
 
     return series.select(key, order, value).dropna().groupBy(key).applyInPandas(run, f"{key} string, {order} int, {value} double, seasonal double, trend double, remainder double")
+
+
+def unobserved(series: DataFrame, key: str, order: str, value: str, together: int = 64) -> DataFrame:
+    """(key, order, value, level, slope, cycle, noise, period, loglik): unobserved components by maximum likelihood.
+
+    About `together` series are searched at once in a task, by whole arrays. Steps of `order` are whole numbers; those that
+    lack are months without a value. Rows with a null value are left out.
+    """
+    whole = series.select(key, order, value).dropna()
+    buckets = max(1, -(-whole.select(key).distinct().count() // together))
+
+    def run(pdf):
+        names, at = pdf[key].unique(), pdf[order].min()
+        y = np.full((len(names), int(pdf[order].max() - at) + 1), np.nan)
+        i = pdf[key].map({n: i for i, n in enumerate(names)}).to_numpy()
+        j = (pdf[order] - at).to_numpy(int)
+        y[i, j] = pdf[value]
+        r = components.fit(y)
+        out = pdf[[key, order, value]].assign(**{c: r[c][i, j] for c in ("level", "slope", "cycle")})
+        return out.assign(noise=out[value] - out.level - out.cycle, period=r["period"][i], loglik=r["loglik"][i])
+
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    columns = ("level", "slope", "cycle", "noise", "period", "loglik")
+    return whole.groupBy(bucket.alias("bucket")).applyInPandas(run, f"{key} string, {order} int, {value} double, " + ", ".join(f"{c} double" for c in columns))
+
+
+def trend_methods(series: DataFrame, key: str, order: str, value: str, lag: int = 12) -> DataFrame:
+    """A row for each series: how the growth over `lag` steps of three trends (ucm, hp, stl) agrees.
+
+    Rows: n, corr_ucm_hp, corr_ucm_stl, corr_hp_stl, sd_* of each growth and of the series' own, flips_* (changes of sign).
+    """
+    whole = series.select(key, order, value).dropna()
+
+    def others(pdf):
+        pdf = pdf.sort_values(order)
+        y = pdf[value].to_numpy(float)
+        return pdf.assign(hp=kernels.hp_trend(y), stl=kernels.stl(y)[1])
+
+    both = whole.groupBy(key).applyInPandas(others, f"{key} string, {order} int, {value} double, hp double, stl double")
+    t = both.join(unobserved(whole, key, order, value).select(key, order, F.col("level").alias("ucm")), [key, order])
+    names = {"y": value, "hp": "hp", "stl": "stl", "ucm": "ucm"}
+    past = t.select(key, (F.col(order) + lag).alias(order), *[F.col(c).alias(f"p_{n}") for n, c in names.items()])
+    g = t.join(past, [key, order]).select(key, order, *[(F.col(c) - F.col(f"p_{n}")).alias(f"g_{n}") for n, c in names.items()])
+    w = Window.partitionBy(key).orderBy(order)
+    for n in ("hp", "stl", "ucm"):
+        g = g.withColumn(f"f_{n}", (F.signum(f"g_{n}") != F.lag(F.signum(f"g_{n}")).over(w)).cast("int"))
+    corr = [F.corr(f"g_{a}", f"g_{b}").alias(f"corr_{a}_{b}") for a, b in (("ucm", "hp"), ("ucm", "stl"), ("hp", "stl"))]
+    return g.groupBy(key).agg(F.count("*").alias("n"), *corr, *[F.stddev(f"g_{n}").alias(f"sd_{n}") for n in names], *[F.coalesce(F.sum(f"f_{n}"), F.lit(0)).alias(f"flips_{n}") for n in ("hp", "stl", "ucm")])

@@ -149,6 +149,20 @@ def stl_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numeric.seasonal_trend(m, "series", "midx", "y")
 
 
+def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame(spark, sf_dir, "group_month").where("v > 0").select(F.col("grp").alias("series"), F.col("midx").cast("int").alias("midx"), F.ln(F.col("v").cast("double")).alias("y"))
+
+
+def ucm_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smooth trend and cycle of each group's monthly logarithm, by maximum likelihood."""
+    return numeric.unobserved(_logs(spark, sf_dir), "series", "midx", "y")
+
+
+def trend_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Growth of three trends of each group side by side."""
+    return numeric.trend_methods(_logs(spark, sf_dir), "series", "midx", "y")
+
+
 def decalendar_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Residuals of each group's growth over twelve months on that of the seven calendar regressors."""
     names = ["ln_wd", "seol_pre", "seol_dur", "seol_post", "chu_pre", "chu_dur", "chu_post"]
@@ -188,7 +202,7 @@ GROWTH = "select b.yyyymm, round(b.x / (a.x * 1e0) - 1, 6) as g from monthly a j
 PERIOD_TEXT = """select hs10, case k % 3 when 0 then cast(k % 40 as string) || '%' when 1 then cast(k % 30 as string) || '% - (2000-01-01 ~ 2000-06-30) ' || cast(k % 20 as string) || '% - (2000-07-01 ~ )'
     else cast(k % 10 as string) || '%-(2000-03-01~2000-12-31)' end as txt from keyed"""
 
-QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, bridge_oos, version_totals, stl_parts, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
+QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, bridge_oos, version_totals, stl_parts, ucm_parts, trend_methods, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
 
 BETAS = "select series, item, round(beta, 7) as beta, round(se, 7) as se, round(r2, 7) as r2, round(resid_sd, 7) as resid_sd, n from r"
 
