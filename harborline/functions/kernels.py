@@ -136,22 +136,3 @@ def ipf(w: np.ndarray, row: np.ndarray, col: np.ndarray, i: np.ndarray, j: np.nd
         if (np.abs(w - last) <= 1e-15 * last).all():
             break
     return w
-
-
-# Fixed values of the one-step forecast: least rows of a month's effect, weight and number of the last residuals.
-MONTH_ROWS, CARRY, RECENT = 3, 0.75, 6
-
-
-def one_step(lr: np.ndarray, lwr: np.ndarray, month: np.ndarray, x: float, mon: int) -> tuple[float, np.ndarray]:
-    """Prediction of lr at x in month mon, and each row's residual less its own month's effect."""
-    b, e = ols(lr, np.column_stack((np.ones(len(lwr)), lwr)))
-    effect = {m: e[month == m].mean() if (month == m).sum() >= MONTH_ROWS else 0.0 for m in range(1, 13)}
-    return b[0] + b[1] * x + effect.get(mon, 0.0) + CARRY * e[-RECENT:].mean(), e - np.array([effect[m] for m in month])
-
-
-def clark_west(y: np.ndarray, f0: np.ndarray, f1: np.ndarray, lags: int = 12) -> float:
-    """t of the mean of e0^2 - (e1^2 - (f0 - f1)^2), robust."""
-    f = (y - f0) ** 2 - ((y - f1) ** 2 - (f0 - f1) ** 2)
-    one = np.ones((len(f), 1))
-    v = hac(one, f - f.mean(), lags)[0, 0]
-    return f.mean() / math.sqrt(v) if v > 0 else float("nan")

@@ -10,6 +10,8 @@ from ..functions import components, kernels
 
 # Fixed values of the elasticities and forecasts: p of an elasticity in use, widening of forecast bounds.
 USED, WIDEN = 0.10, 1.1
+# Fixed values of the one-step forecast: least rows of a month's effect, weight and number of the last residuals.
+MONTH_ROWS, CARRY, RECENT = 3, 0.75, 6
 
 
 # Columns of a scope: value, a year earlier, workdays, a year earlier.
@@ -41,29 +43,36 @@ def elasticities(lagged: DataFrame, asof: int | None = None, lags: int = 12, lea
 def expanding_forecast(features: DataFrame, least: int = 36) -> DataFrame:
     """One-step forecasts of the month's total from its first days, each from the months before it.
 
-    features: series, item, cutoff, base_ym, cum_kusd, act, lwr, lr. A level is cum_kusd over the exponential of a log ratio:
-    a high quantile of the ratio's residuals gives a lower bound.
+    features: series, item, cutoff, base_ym, cum_kusd, act, lwr, lr. Slope and constant of every prefix come from running
+    moments, in one pass of a window. The prediction adds the mean residual of the calendar month (of MONTH_ROWS rows at
+    least) and a part of the last residuals' mean. A level is cum_kusd over the exponential of a log ratio: a high quantile
+    of the ratio's residuals, less their months' means, gives a lower bound.
     """
+    before = Window.partitionBy("series", "item", "cutoff").orderBy("base_ym").rowsBetween(Window.unboundedPreceding, -1)
+    known = F.col("lr").isNotNull() & F.col("act").isNotNull()
+    y, x, month = F.when(known, F.col("lr")), F.when(known, F.col("lwr")), (F.col("base_ym") % 100).cast("int")
+    f = features.select("*", month.alias("mon"), F.count(y).over(before).alias("n"), F.regr_slope(y, x).over(before).alias("b"), F.regr_intercept(y, x).over(before).alias("a"),
+                        F.collect_list(F.when(known, F.struct(month.alias("mon"), "lr", "lwr"))).over(before).alias("past"))
+    f = f.where((F.col("n") >= least) & (F.col("cum_kusd") > 0))
+    f = f.withColumn("e", F.transform("past", lambda r: F.struct(r.mon.alias("mon"), (r.lr - F.col("a") - F.col("b") * r.lwr).alias("e"))))
 
-    def run(pdf):
-        import pandas as pd
+    def effect(m):
+        mine = F.filter("e", lambda r: r.mon == m)
+        return F.when(F.size(mine) >= MONTH_ROWS, F.aggregate(mine, F.lit(0.0), lambda s, r: s + r.e) / F.size(mine)).otherwise(0.0)
+
+    f = f.withColumn("effects", F.transform(F.sequence(F.lit(1), F.lit(12)), effect))
+    last = F.slice("e", -RECENT, RECENT)
+    drift = CARRY * F.aggregate(last, F.lit(0.0), lambda s, r: s + r.e) / F.size(last)
+    f = f.withColumn("pred", F.col("a") + F.col("b") * F.col("lwr") + F.get("effects", F.col("mon") - 1) + drift)
+    f = f.withColumn("r", F.array_sort(F.transform("e", lambda r: r.e - F.get("effects", r.mon - 1))))
 
-        pdf = pdf.sort_values("base_ym").reset_index(drop=True)
-        out = []
-        for i in range(len(pdf)):
-            train = pdf.iloc[:i].dropna(subset=["lr", "act"])
-            row = pdf.iloc[i]
-            if len(train) < least or row.cum_kusd <= 0:
-                continue
-            pred, r = kernels.one_step(train.lr.to_numpy(float), train.lwr.to_numpy(float), (train.base_ym % 100).to_numpy(int), float(row.lwr), int(row.base_ym % 100))
-            level = lambda q, row=row, pred=pred, r=r: row.cum_kusd / np.exp(pred + WIDEN * np.quantile(r, q))
-            out.append((row.series, row["item"], int(row.cutoff), int(row.base_ym), row.cum_kusd / np.exp(pred), level(0.9), level(0.75), level(0.25), level(0.1), row.act))
-        names = ["series", "item", "cutoff", "base_ym", "fc", "lo80", "lo50", "hi50", "hi80", "act"]
-        if not out:
-            return pdf[names[:4]].iloc[:0].assign(**dict.fromkeys(names[4:], 0.0))
-        return pd.DataFrame(out, columns=names).astype({"fc": float, "act": float})
+    def level(q):
+        at = (F.col("n") - 1) * q
+        low, high = F.get("r", F.floor(at).cast("int")), F.get("r", F.ceil(at).cast("int"))
+        return F.col("cum_kusd") / F.exp(F.col("pred") + WIDEN * (low + (high - low) * (at - F.floor(at))))
 
-    return features.groupBy("series", "item", "cutoff").applyInPandas(run, "series string, item string, cutoff int, base_ym int, fc double, lo80 double, lo50 double, hi50 double, hi80 double, act double")
+    bounds = {"lo80": 0.9, "lo50": 0.75, "hi50": 0.25, "hi80": 0.1}
+    return f.select("series", "item", "cutoff", "base_ym", (F.col("cum_kusd") / F.exp("pred")).alias("fc"), *[level(q).alias(c) for c, q in bounds.items()], F.col("act").cast("double").alias("act"))
 
 
 def trend(series: DataFrame, key: str, order: str, value: str, smoothing: float = 129600.0) -> DataFrame:
@@ -94,28 +103,6 @@ def breaks(series: DataFrame, key: str, order: str, value: str, least: int = 24,
     return series.select(key, order, value).groupBy(key).applyInPandas(run, f"{key} string, n_bic int, n_lwz int, sup_f double, breaks array<int>, breaks_bic array<int>, phases array<double>")
 
 
-def bridge(panel: DataFrame, key: str, start: int, lags: int = 12) -> DataFrame:
-    """Nested one-step forecasts of y (its own lags) without and with v, from month index `start` on.
-
-    panel: key, midx, y, v. Returns rmse of both models and the robust t of the difference of adjusted squared errors.
-    """
-
-    def run(pdf):
-        import pandas as pd
-
-        pdf = pdf.sort_values("midx").reset_index(drop=True)
-        y, v = pdf.y.to_numpy(float), pdf.v.to_numpy(float)
-        x0 = np.column_stack((np.ones(len(y) - 2), y[1:-1], y[:-2]))
-        x1, t, goal = np.column_stack((x0, v[2:])), pdf.midx.to_numpy()[2:], y[2:]
-        rows = [(goal[i], x0[i] @ kernels.ols(goal[:i], x0[:i])[0], x1[i] @ kernels.ols(goal[:i], x1[:i])[0]) for i in range(len(goal)) if t[i] >= start and i >= 12]
-        if not rows:
-            return pdf[[key]].iloc[:0].assign(n=0, rmse0=0.0, rmse1=0.0, cw_t=0.0)
-        a, f0, f1 = map(np.array, zip(*rows, strict=True))
-        return pd.DataFrame([{key: pdf[key].iloc[0], "n": len(a), "rmse0": float(np.sqrt(((a - f0) ** 2).mean())), "rmse1": float(np.sqrt(((a - f1) ** 2).mean())), "cw_t": kernels.clark_west(a, f0, f1, lags)}])
-
-    return panel.groupBy(key).applyInPandas(run, f"{key} string, n long, rmse0 double, rmse1 double, cw_t double")
-
-
 def residuals(panel: DataFrame, key: str, order: str, y: str, regressors: list[str]) -> DataFrame:
     """(key, order, y, e): residuals of y on a constant and the regressors, a series at a time.
 

@@ -14,6 +14,7 @@ from ..sources import files, versions
 from ..sources.store import folder, written
 from ..sources.trade import STORED, duck_text, frame, run
 from ..streaming import state
+from . import tenday
 from .inference import robust
 
 VERSION = "case when yyyymm < 199701 then 1995 when yyyymm < 199901 then 1997 when yyyymm < 200101 then 1999 else 2001 end"
@@ -78,9 +79,8 @@ def weighted_beta_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forecast_expanding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .tenday import SQL
-
-    return numeric.expanding_forecast(run(spark, sf_dir, SQL["nowcast_features"]))
+    f = numeric.expanding_forecast(run(spark, sf_dir, NOWCAST))
+    return f.select("series", "item", "cutoff", "base_ym", *[F.round(c, 2).alias(c) for c in ("fc", "lo80", "lo50", "hi50", "hi80", "act")])
 
 
 def hp_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,12 +120,6 @@ def diagonal_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _masses(spark, sf_dir).agg((own / F.sum("mass")).alias("retention"), F.countDistinct("hs_from").alias("n_sources"))
 
 
-def bridge_oos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = """select b.grp as series, cast(b.midx as int) as midx, ln(b.v / (a.v * 1e0)) as y, ln(t1.x / (t0.x * 1e0)) as v from group_month a join group_month b on a.grp = b.grp and b.midx = a.midx + 12
-              join monthly t0 on t0.midx = a.midx join monthly t1 on t1.midx = b.midx where a.v > 0 and b.v > 0 and t0.x > 0 and t1.x > 0"""
-    return numeric.bridge(run(spark, sf_dir, text), "series", start=1999 * 12)
-
-
 def version_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both facts by year in two versions of one store: as loaded, and after 1998 was loaded again with doubled exports.
 
@@ -202,8 +196,9 @@ GROWTH = "select b.yyyymm, round(b.x / (a.x * 1e0) - 1, 6) as g from monthly a j
 PERIOD_TEXT = """select hs10, case k % 3 when 0 then cast(k % 40 as string) || '%' when 1 then cast(k % 30 as string) || '% - (2000-01-01 ~ 2000-06-30) ' || cast(k % 20 as string) || '% - (2000-07-01 ~ )'
     else cast(k % 10 as string) || '%-(2000-03-01~2000-12-31)' end as txt from keyed"""
 
-QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, bridge_oos, version_totals, stl_parts, ucm_parts, trend_methods, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
+QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, version_totals, stl_parts, ucm_parts, trend_methods, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
 
+NOWCAST = tenday.SQL["nowcast_features"]
 BETAS = "select series, item, round(beta, 7) as beta, round(se, 7) as se, round(r2, 7) as r2, round(resid_sd, 7) as resid_sd, n from r"
 
 ORACLES = {
@@ -220,6 +215,23 @@ ORACLES = {
         join r on r.series = v.series and r.item = v.item group by v.series) w join r t on t.series = w.series and t.item = 'TOTAL'"""),
     "param_filter": "select yyyymm, stat_cd, sumb(exp_dlr) as exp_dlr from fact_trade where yyyymm between 199901 and 199912 and stat_cd = 'N01' group by 1, 2",
     "exp10d_segments": "select series, base_ym, cutoff, item, seg_kusd, cum_kusd from segments",
+    "forecast_expanding": "with f as (" + NOWCAST + """),
+        g as (select *, base_ym % 100 as mon from f),
+        t as (select * from g where lr is not null and act is not null),
+        o as (
+          select o.series, o.item, o.cutoff, o.base_ym, o.cum_kusd, o.lwr, o.mon, o.act, count(*) as n, regr_slope(t.lr, t.lwr) as b, regr_intercept(t.lr, t.lwr) as a
+          from g o join t on t.series = o.series and t.item = o.item and t.cutoff = o.cutoff and t.base_ym < o.base_ym where o.cum_kusd > 0 group by all having count(*) >= 36),
+        e as (
+          select o.*, t.mon as tmon, t.lr - o.a - o.b * t.lwr as e, row_number() over (partition by o.series, o.item, o.cutoff, o.base_ym order by t.base_ym desc) as back
+          from o join t on t.series = o.series and t.item = o.item and t.cutoff = o.cutoff and t.base_ym < o.base_ym),
+        m as (select series, item, cutoff, base_ym, tmon, case when count(*) >= 3 then avg(e) else 0 end as eff from e group by all),
+        r as (
+          select e.series, e.item, e.cutoff, e.base_ym, e.cum_kusd, e.act, e.a + e.b * e.lwr as fit, avg(e.e) filter (e.back <= 6) as recent, max(m.eff) filter (e.tmon = e.mon) as own,
+            quantile_cont(e.e - m.eff, 0.9) as q90, quantile_cont(e.e - m.eff, 0.75) as q75, quantile_cont(e.e - m.eff, 0.25) as q25, quantile_cont(e.e - m.eff, 0.1) as q10
+          from e join m on m.series = e.series and m.item = e.item and m.cutoff = e.cutoff and m.base_ym = e.base_ym and m.tmon = e.tmon group by all),
+        p as (select *, fit + coalesce(own, 0) + 0.75 * recent as pred from r)
+        select series, item, cutoff, base_ym, round(cum_kusd / exp(pred), 2) as fc, round(cum_kusd / exp(pred + 1.1 * q90), 2) as lo80, round(cum_kusd / exp(pred + 1.1 * q75), 2) as lo50,
+          round(cum_kusd / exp(pred + 1.1 * q25), 2) as hi50, round(cum_kusd / exp(pred + 1.1 * q10), 2) as hi80, cast(act as double) as act from p""",
     "version_totals": """with f as (select 'detail' as name, yyyymm, exp_dlr from fact_trade union all select 'totals', yyyymm, exp_dlr from fact_total)
         select v.version, f.name, cast(f.yyyymm // 100 as int) as yr, count(*) as n, sumb(case when v.version = 2 and f.yyyymm // 100 = 1998 then 2 * f.exp_dlr else f.exp_dlr end) as exp_dlr
         from f cross join (values (1), (2)) as v(version) group by 1, 2, 3""",

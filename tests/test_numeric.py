@@ -79,14 +79,62 @@ def test_residuals_are_orthogonal_to_the_regressors(spark):
     assert abs(got.e.sum()) < 1e-8 and abs(got.e.to_numpy() @ a.x.to_numpy()) < 1e-8 and got.e.std() < 0.2
 
 
-def test_one_step_and_clark_west():
-    month = np.tile(np.arange(1, 13), 4)
-    lwr = RNG.normal(size=48)
-    lr = 1 + 0.5 * lwr
-    pred, e = kernels.one_step(lr, lwr, month, 2.0, 3)
-    assert abs(pred - 2) < 1e-9 and np.abs(e).max() < 1e-9
-    y = RNG.normal(size=50)
-    assert kernels.clark_west(y, np.zeros(50), y) > 2
+def one_step(train, lwr, mon):
+    """Prediction and residuals of a row, refitted from all rows before it."""
+    b, e = kernels.ols(train.lr.to_numpy(), np.column_stack((np.ones(len(train)), train.lwr)))
+    month = train.base_ym.to_numpy() % 100
+    effect = {m: e[month == m].mean() if (month == m).sum() >= 3 else 0.0 for m in range(1, 13)}
+    return b[0] + b[1] * lwr + effect[mon] + 0.75 * e[-6:].mean(), e - np.array([effect[m] for m in month])
+
+
+def test_forecasts_equal_refitting_every_prefix(spark):
+    r = np.random.default_rng(11)
+    ym = [y * 100 + m for y in range(1995, 1999) for m in range(1, 13)]
+    parts = []
+    for item in "ij":
+        pdf = pd.DataFrame({"series": "s", "item": item, "cutoff": 10, "base_ym": ym, "cum_kusd": r.integers(50, 90, 48), "act": r.integers(150, 250, 48).astype(float), "lwr": r.normal(size=48) * 0.1})
+        pdf["lr"] = np.log(pdf.cum_kusd / pdf.act)
+        pdf.loc[[5, 17, 47], ["act", "lr"]] = None
+        parts.append(pdf)
+    spark_df = spark.createDataFrame([tuple(None if x != x else x for x in row) for p in parts for row in p.astype(object).itertuples(index=False)], "series string, item string, cutoff int, base_ym int, cum_kusd long, act double, lwr double, lr double")
+    got = {(x["item"], x.base_ym): x for x in numeric.expanding_forecast(spark_df, least=30).collect()}
+    n = 0
+    for pdf in parts:
+        for i in range(48):
+            train = pdf.iloc[:i].dropna()
+            if len(train) < 30:
+                continue
+            row = pdf.iloc[i]
+            pred, e = one_step(train, row.lwr, row.base_ym % 100)
+            x = got[row["item"], row.base_ym]
+            want = [row.cum_kusd / np.exp(pred)] + [row.cum_kusd / np.exp(pred + 1.1 * np.quantile(e, q)) for q in (0.9, 0.75, 0.25, 0.1)]
+            assert np.allclose([x.fc, x.lo80, x.lo50, x.hi50, x.hi80], want, rtol=1e-9)
+            n += 1
+    assert n == len(got) > 20
+
+
+def test_nested_forecasts_equal_refitting_every_prefix(spark):
+    from harborline.plans import inference
+
+    r = np.random.default_rng(12)
+    rows = []
+    for s, n in (("a", 60), ("b", 45), ("short", 8)):
+        v = r.normal(size=n)
+        y = np.zeros(n)
+        for t in range(2, n):
+            y[t] = 0.5 * y[t - 1] - 0.2 * y[t - 2] + 0.4 * v[t] + 0.3 * r.normal()
+        rows += [(s, t, float(y[t]), 1.0, float(y[t - 1]), float(y[t - 2]), float(v[t])) for t in range(2, n)]
+    spark.createDataFrame(rows, "series string, midx int, y double, c double, y1 double, y2 double, v double").createOrReplaceTempView("nested_panel")
+    got = {x.series: x for x in spark.sql(inference.nested("select * from nested_panel", 20)).collect()}
+    assert set(got) == {"a", "b"}
+    for s in got:
+        mine = [x for x in rows if x[0] == s]
+        x1, y, t = np.array([x[3:] for x in mine]), np.array([x[2] for x in mine]), np.array([x[1] for x in mine])
+        f = [(y[i], x1[i, :3] @ kernels.ols(y[:i], x1[:i, :3])[0], x1[i] @ kernels.ols(y[:i], x1[:i])[0]) for i in range(len(y)) if t[i] >= 20 and i >= 12]
+        a, f0, f1 = map(np.array, zip(*f, strict=True))
+        d = (a - f0) ** 2 - ((a - f1) ** 2 - (f0 - f1) ** 2)
+        cw = d.mean() / np.sqrt(kernels.hac(np.ones((len(d), 1)), d - d.mean(), 12)[0, 0])
+        assert got[s].n == len(a) and np.allclose([got[s].rmse0, got[s].rmse1, got[s].cw_t], [np.sqrt(((a - f0) ** 2).mean()), np.sqrt(((a - f1) ** 2).mean()), cw], atol=2e-6)
 
 
 def test_forecasts_use_earlier_months_only(spark):
