@@ -103,23 +103,6 @@ def breaks(series: DataFrame, key: str, order: str, value: str, least: int = 24,
     return series.select(key, order, value).groupBy(key).applyInPandas(run, f"{key} string, n_bic int, n_lwz int, sup_f double, breaks array<int>, breaks_bic array<int>, phases array<double>")
 
 
-def residuals(panel: DataFrame, key: str, order: str, y: str, regressors: list[str]) -> DataFrame:
-    """(key, order, y, e): residuals of y on a constant and the regressors, a series at a time.
-
-    Rows with a null in y or a regressor are left out; a series with fewer rows than coefficients gives none.
-    """
-
-    def run(pdf):
-        pdf = pdf.sort_values(order)
-        x = np.column_stack((np.ones(len(pdf)), pdf[regressors].to_numpy(float)))
-        if len(pdf) < x.shape[1]:
-            return pdf.iloc[:0][[key, order, y]].assign(e=0.0)
-        return pdf[[key, order, y]].assign(e=kernels.ols(pdf[y].to_numpy(float), x)[1])
-
-    whole = panel.select(key, order, y, *regressors).dropna()
-    return whole.groupBy(key).applyInPandas(run, f"{key} string, {order} int, {y} double, e double")
-
-
 def seasonal_trend(series: DataFrame, key: str, order: str, value: str, period: int = 12, seasonal: int = 13) -> DataFrame:
     """(key, order, value, seasonal, trend, remainder) by local regression, robust to outliers, a series at a time.
 

@@ -157,14 +157,6 @@ def trend_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numeric.trend_methods(_logs(spark, sf_dir), "series", "midx", "y")
 
 
-def decalendar_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Residuals of each group's growth over twelve months on that of the seven calendar regressors."""
-    names = ["ln_wd", "seol_pre", "seol_dur", "seol_post", "chu_pre", "chu_dur", "chu_post"]
-    text = f"""select b.grp as series, cast(b.midx as int) as midx, ln(b.v / (a.v * 1e0)) as y, {', '.join(f'r.{n} - p.{n} as {n}' for n in names)} from group_month a join group_month b on a.grp = b.grp and b.midx = a.midx + 12
-              join regressors r on r.base_ym = b.yyyymm join regressors p on p.base_ym = a.yyyymm where a.v > 0 and b.v > 0"""
-    return numeric.residuals(run(spark, sf_dir, text), "series", "midx", "y", names)
-
-
 def tariff_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each period of a rate text."""
     p = F.explode(columns.periods(F.col("txt")))
@@ -196,7 +188,7 @@ GROWTH = "select b.yyyymm, round(b.x / (a.x * 1e0) - 1, 6) as g from monthly a j
 PERIOD_TEXT = """select hs10, case k % 3 when 0 then cast(k % 40 as string) || '%' when 1 then cast(k % 30 as string) || '% - (2000-01-01 ~ 2000-06-30) ' || cast(k % 20 as string) || '% - (2000-07-01 ~ )'
     else cast(k % 10 as string) || '%-(2000-03-01~2000-12-31)' end as txt from keyed"""
 
-QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, version_totals, stl_parts, ucm_parts, trend_methods, decalendar_residuals, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
+QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, version_totals, stl_parts, ucm_parts, trend_methods, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
 
 NOWCAST = tenday.SQL["nowcast_features"]
 BETAS = "select series, item, round(beta, 7) as beta, round(se, 7) as se, round(r2, 7) as r2, round(resid_sd, 7) as resid_sd, n from r"

@@ -31,30 +31,51 @@ SQL = {
               union all select 'continents', count(distinct continent) from dim_country) g on g.name = a.name""",
 }
 
-def nested(panel: str, start: int, names: tuple[str, ...] = ("c", "y1", "y2", "v"), base: int = 3, least: int = 12, lags: int = 12) -> str:
-    """SQL text: one-step forecasts of y by least squares on names[:base] and on all names, each from the rows before it.
+def eliminated(panel: str, names: tuple[str, ...], rows: str, where: str = "true", kept: dict[int, str] | None = None) -> tuple[list[str], str]:
+    """Common table expressions whose last one has f, the least-squares value of y on names, for each row of panel (series, midx, y, names).
 
-    panel: rows (series, midx, y, names). Sums of products over all earlier rows, a window each, hold every prefix's normal
-    equations; a column is eliminated at a time, from the equations and from the row to be forecast alike, and adds its part
-    to the forecast. Rows: series, n, rmse of both models, t of the adjusted difference of squared errors (robust).
+    `rows` is the window's frame: the rows whose sums of products are the normal equations, a window for each sum. A column is
+    eliminated at a time, from the equations and from the row itself alike, and adds its part to f; a column without anything
+    of its own adds nothing. kept: f after so many columns, under a name.
     """
     k = len(names)
     pair = lambda i, j: f"a{min(i, j)}{max(i, j)}"
-    before = "over (partition by series order by midx rows between unbounded preceding and 1 preceding)"
-    sums = [f"sum({names[i]} * {names[j]}) {before} as {pair(i, j)}" for i in range(k) for j in range(i, k)] + [f"sum({names[i]} * y) {before} as b{i}" for i in range(k)]
-    layers = [f"with panel as ({panel}),\n    l0 as (select series, midx, y, {', '.join(f'{n} as x{i}' for i, n in enumerate(names))}, {', '.join(sums)}, count(*) {before} as n, 0e0 as f from panel)"]
+    sums = [f"sum({names[i]} * {names[j]}) {rows} as {pair(i, j)}" for i in range(k) for j in range(i, k)] + [f"sum({names[i]} * y) {rows} as b{i}" for i in range(k)]
+    layers = [f"panel as ({panel})", f"l0 as (select series, midx, y, {', '.join(f'{n} as x{i}' for i, n in enumerate(names))}, {', '.join(sums)}, count(*) {rows} as n, 0e0 as f from panel)"]
+    done: list[str] = []
     for s in range(k):
-        rest = range(s + 1, k)
-        gone = [f"{pair(i, j)} - {pair(s, i)} * {pair(s, j)} / nullif(a{s}{s}, 0) as {pair(i, j)}" for i in rest for j in range(i, k)]
-        gone += [f"b{i} - {pair(s, i)} * b{s} / nullif(a{s}{s}, 0) as b{i}" for i in rest] + [f"x{i} - {pair(s, i)} * x{s} / nullif(a{s}{s}, 0) as x{i}" for i in rest]
-        held = "f as f0, " if s == base else "f0, " if s > base else ""
-        layers.append(f"l{s + 1} as (select series, midx, y, n, {held}{', '.join([*gone, f'f + b{s} / nullif(a{s}{s}, 0) * x{s} as f'])} from l{s} {'' if s else f'where n >= {least}'})")
-    layers.append(f"w as (select series, row_number() over (partition by series order by midx) as i, (y - f0) * (y - f0) as e0, (y - f) * (y - f) as e1, (f0 - f) * (f0 - f) as d from l{k} where midx >= {start})")
+        over = f"case when a{s}{s} > 1e-14 then {{}} / a{s}{s} else 0 end"
+        columns = ["series", "midx", "y", "n", *done]
+        if kept and s in kept:
+            columns.append(f"f as {kept[s]}")
+            done.append(kept[s])
+        for i in range(s + 1, k):
+            columns += [f"{pair(i, j)} - {pair(s, i)} * {over.format(pair(s, j))} as {pair(i, j)}" for j in range(i, k)]
+            columns += [f"b{i} - {pair(s, i)} * {over.format(f'b{s}')} as b{i}", f"x{i} - {pair(s, i)} * {over.format(f'x{s}')} as x{i}"]
+        columns.append(f"f + x{s} * {over.format(f'b{s}')} as f")
+        layers.append(f"l{s + 1} as (select {', '.join(columns)} from l{s} where {where if s == 0 else 'true'})")
+    return layers, f"l{k}"
+
+
+def nested(panel: str, start: int, names: tuple[str, ...] = ("c", "y1", "y2", "v"), base: int = 3, least: int = 12, lags: int = 12) -> str:
+    """SQL text: one-step forecasts of y by least squares on names[:base] and on all names, each from the rows before it.
+
+    Rows: series, n, rmse of both models, t of the adjusted difference of squared errors (robust).
+    """
+    before = "over (partition by series order by midx rows between unbounded preceding and 1 preceding)"
+    layers, last = eliminated(panel, names, before, f"n >= {least}", {base: "f0"})
+    layers.append(f"w as (select series, row_number() over (partition by series order by midx) as i, (y - f0) * (y - f0) as e0, (y - f) * (y - f) as e1, (f0 - f) * (f0 - f) as d from {last} where midx >= {start})")
     layers.append("s as (select series, count(*) as n, avg(e0) as m0, avg(e1) as m1, avg(e0 - e1 + d) as m from w group by series)")
     layers.append("u as (select w.series, w.i, w.e0 - w.e1 + w.d - s.m as u from w join s on s.series = w.series)")
     weights = ", ".join(f"({j}, {1 if j == 0 else 2 * (1 - j / (lags + 1))!r}e0)" for j in range(lags + 1))
     layers.append(f"h as (select p.series, sum(g.w * p.u * q.u) as v from u p cross join (select cast(j as bigint) as j, w from (values {weights}) as g(j, w)) g join u q on q.series = p.series and q.i = p.i - g.j group by p.series)")
-    return ",\n    ".join(layers) + "\n    select s.series, s.n, round(sqrt(s.m0), 8) as rmse0, round(sqrt(s.m1), 8) as rmse1, round(case when h.v > 0 then s.m * s.n / sqrt(h.v) end, 6) as cw_t from s join h on h.series = s.series"
+    return "with " + ",\n    ".join(layers) + "\n    select s.series, s.n, round(sqrt(s.m0), 8) as rmse0, round(sqrt(s.m1), 8) as rmse1, round(case when h.v > 0 then s.m * s.n / sqrt(h.v) end, 6) as cw_t from s join h on h.series = s.series"
+
+
+def residuals(panel: str, names: tuple[str, ...]) -> str:
+    """SQL text: (series, midx, y, e), what a regression of y on names leaves of each row of its series."""
+    layers, last = eliminated(panel, names, "over (partition by series)", f"n >= {len(names)}")
+    return "with " + ",\n    ".join(layers) + f"\n    select series, midx, round(y, 8) as y, round(y - f, 8) as e from {last}"
 
 
 # growth of each group over twelve months: its own two lags, and the growth of all exports
@@ -63,6 +84,10 @@ PANEL = """select series, midx, y, 1e0 as c, y1, y2, v from (
       from group_month a join group_month b on a.grp = b.grp and b.midx = a.midx + 12 join monthly t0 on t0.midx = a.midx join monthly t1 on t1.midx = b.midx
       where a.v > 0 and b.v > 0 and t0.x > 0 and t1.x > 0 window w as (partition by b.grp order by b.midx)) g where y2 is not null"""
 SQL["bridge_oos"] = nested(PANEL, 1999 * 12)
+# the same growth on that of the seven calendar regressors
+CALENDAR = ("ln_wd", "seol_pre", "seol_dur", "seol_post", "chu_pre", "chu_dur", "chu_post")
+SQL["decalendar_residuals"] = residuals(f"""select b.grp as series, b.midx, ln(b.v / (a.v * 1e0)) as y, 1e0 as c, {', '.join(f'r.{n} - p.{n} as {n}' for n in CALENDAR)} from group_month a join group_month b on a.grp = b.grp and b.midx = a.midx + 12
+      join regressors r on r.base_ym = b.yyyymm join regressors p on p.base_ym = a.yyyymm where a.v > 0 and b.v > 0""", ("c", *CALENDAR))
 
 # slope and robust error of growth on workday growth; $y, $p, $w, $q: columns, $where: rows
 _ROBUST = """with x as (

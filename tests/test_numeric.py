@@ -70,13 +70,18 @@ def test_seasonal_parts_of_a_made_series():
     assert not s.any() and (t == 4.5).all()
 
 
-def test_residuals_are_orthogonal_to_the_regressors(spark):
-    pdf = pd.DataFrame({"k": ["a"] * 40 + ["b"] * 2, "t": [*range(40), 0, 1], "x": RNG.normal(size=42), "z": RNG.normal(size=42)})
-    pdf["y"] = 2 + 3 * pdf.x - pdf.z + 0.1 * RNG.normal(size=42)
-    got = numeric.residuals(spark.createDataFrame(pdf), "k", "t", "y", ["x", "z"]).toPandas().sort_values("t")
-    assert set(got.k) == {"a"} and len(got) == 40
-    a = pdf[pdf.k == "a"]
-    assert abs(got.e.sum()) < 1e-8 and abs(got.e.to_numpy() @ a.x.to_numpy()) < 1e-8 and got.e.std() < 0.2
+def test_residuals_equal_least_squares(spark):
+    from harborline.plans import inference
+
+    r = np.random.default_rng(4)
+    rows = [(s, t, float(r.normal()), 1.0, float(r.normal()), float(r.normal()), 0.0) for s in "ab" for t in range(40)] + [("few", 1, 1.0, 1.0, 1.0, 1.0, 0.0)]
+    spark.createDataFrame(rows, "series string, midx int, y double, c double, p double, q double, z double").createOrReplaceTempView("residual_panel")
+    got = {(x.series, x.midx): x.e for x in spark.sql(inference.residuals("select * from residual_panel", ("c", "p", "q", "z"))).collect()}
+    assert set(got) == {(x[0], x[1]) for x in rows if x[0] != "few"}
+    for s in "ab":
+        mine = [x for x in rows if x[0] == s]
+        e = kernels.ols(np.array([x[2] for x in mine]), np.array([x[3:] for x in mine]))[1]
+        assert np.allclose([got[s, x[1]] for x in mine], e, atol=1e-7)
 
 
 def one_step(train, lwr, mon):
