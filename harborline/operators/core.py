@@ -58,3 +58,16 @@ def carry_forward(df: DataFrame, group: list[str], order: str, columns: list[str
     df = df.withColumn("_part", F.sum(F.when(reset, 1).otherwise(0)).over(w) if reset is not None else F.lit(0))
     inner = Window.partitionBy(*group, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return df.select(*[F.last(c, ignorenulls=True).over(inner).alias(c) if c in columns else F.col(c) for c in df.columns if c != "_part"])
+
+
+def fill_hierarchy(df: DataFrame, group: list[str], order: str, levels: list[str]) -> DataFrame:
+    """Cells of nested levels that are blank (null) take the last value above them in their group, unless an upper level changed since.
+
+    levels: from the upper to the deeper. A row that has an upper level's value forgets the deeper ones of the rows above,
+    its own deeper cells stand. A group is one table's rows.
+    """
+    upper = F.lit(False)
+    for level in levels:
+        df = carry_forward(df.withColumn("_upper", upper), group, order, [level], F.col("_upper")) if level != levels[0] else carry_forward(df.withColumn("_upper", upper).withColumns({f"_own_{c}": F.col(c).isNotNull() for c in levels}), group, order, [level])
+        upper = upper | F.col(f"_own_{level}")
+    return df.drop("_upper", *[f"_own_{c}" for c in levels])

@@ -22,7 +22,7 @@ SQL = {
     "name_agreement": "select a.edition, count(*) as n, round(avg(case when replace(a.name, ' ', '') = replace(k.name, ' ', '') then 1e0 else 0e0 end), 8) as share from editions a join keyed k on a.hs10 = k.hs10 group by 1",
     "revision_events": "select 2001 as rev, hs10, change, reason from (select a.hs10, 'abolished' as change, 'renumbered' as reason from (select hs10 from editions where edition = 1999) a left join (select hs10 from editions where edition = 2001) b on a.hs10 = b.hs10 where b.hs10 is null union all select b.hs10, 'new', c.reason from (select hs10 from editions where edition = 2001) b left join (select hs10 from editions where edition = 1999) a on a.hs10 = b.hs10 left join (select hs2022, max(relation) as reason from concordance where past_version = 1999 group by 1) c on c.hs2022 = b.hs10 where a.hs10 is null) x",
     "abolished_residual": "select count(*) as n_codes, count(*) filter (where dist <= 3) as within_3, count(*) filter (where dist > 12) as beyond_12 from (select a.hs10, max(f.yyyymm // 100 * 12 + f.yyyymm % 100 - (2000 * 12 + 1)) as dist from (select k.hs10 from keyed k left join dim_hs10 d on k.hs10 = d.hs10 where d.hs10 is null) a join fact_trade f on a.hs10 = f.hs10 where f.yyyymm >= 200001 group by 1) x",
-    "workday10d": "select base_ym, cutoff, days, workdays, days - workdays as holidays from workday10d",
+    "workday10d": "select w.base_ym, w.cutoff, w.days, w.workdays, w.days - w.workdays as holidays from workday10d w join months m on m.yyyymm = w.base_ym",
     "tariff_fill": "select hs10, adval, source, 19990101 as valid_from, 19991231 as valid_to from (select hs10, cast(k % 30 as double) as adval, 'table' as source from keyed where k % 4 <> 0 union all select k.hs10, cast(8 as double), 'fill' from keyed k left join (select hs10 from keyed where k % 4 <> 0) t on k.hs10 = t.hs10 where t.hs10 is null) x",
     "tree_levels": "with recursive walk(code, level, path) as (select code, 1, code from tree where parent is null union all select t.code, w.level + 1, w.path || '/' || t.code from tree t join walk w on t.parent = w.code where w.level < 9) select code, level, path from walk",
     "count_dominant_vs_apportion": "with dom as (select hs_past, hs2022 from (select hs_past, hs2022, row_number() over (partition by hs_past order by weight desc, hs2022) as rn from concordance where past_version = 1999) x where rn = 1), f as (select distinct hs10, stat_cd from fact_versioned where version = 1999 and exp_dlr > 0) select (select count(distinct d.hs2022 || f.stat_cd) from f join dom d on f.hs10 = d.hs_past) as n_dominant, (select count(distinct c.hs2022 || f.stat_cd) from f join concordance c on f.hs10 = c.hs_past and c.past_version = 1999) as n_apportioned",

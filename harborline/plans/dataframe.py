@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns
-from ..operators import core, fitting, numeric
+from ..operators import core, fitting, numeric, quantiles
 from ..sources import files, versions
 from ..sources.store import folder, written
 from ..sources.trade import STORED, duck_text, frame, run
@@ -137,6 +137,20 @@ def version_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.union, sums)
 
 
+def unit_value_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quartiles of each year's unit values, without a year's values in one task."""
+    v = run(spark, sf_dir, "select yyyymm // 100 as yr, exp_dlr / (exp_wgt * 1e0) as v from fact_trade where exp_wgt > 0 and exp_dlr > 0")
+    q = quantiles.quantiles(v, "yr", "v", [0.25, 0.5, 0.75])
+    return q.groupBy("yr").agg(*[F.round(F.max(F.when(F.col("share") == s, F.col("q"))), 6).alias(n) for s, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
+
+
+def revision_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-digit codes of a printed list whose upper cells stand once: filled down, forgotten where an upper cell changes."""
+    filled = core.fill_hierarchy(frame(spark, sf_dir, "printed"), ["chapter"], "i", ["l1", "l2", "l3"])
+    code = F.concat("l1", "l2", "l3")
+    return filled.select("chapter", "i", code.alias("code")).where(code.rlike("^[0-9]{10}$"))
+
+
 def stl_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seasonal and trend parts of each group's monthly logarithm."""
     m = frame(spark, sf_dir, "group_month").where("v > 0").select(F.col("grp").alias("series"), F.col("midx").cast("int").alias("midx"), F.ln(F.col("v").cast("double")).alias("y"))
@@ -188,7 +202,7 @@ GROWTH = "select b.yyyymm, round(b.x / (a.x * 1e0) - 1, 6) as g from monthly a j
 PERIOD_TEXT = """select hs10, case k % 3 when 0 then cast(k % 40 as string) || '%' when 1 then cast(k % 30 as string) || '% - (2000-01-01 ~ 2000-06-30) ' || cast(k % 20 as string) || '% - (2000-07-01 ~ )'
     else cast(k % 10 as string) || '%-(2000-03-01~2000-12-31)' end as txt from keyed"""
 
-QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, version_totals, stl_parts, ucm_parts, trend_methods, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
+QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, version_totals, unit_value_quantiles, revision_codes, stl_parts, ucm_parts, trend_methods, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
 
 NOWCAST = tenday.SQL["nowcast_features"]
 BETAS = "select series, item, round(beta, 7) as beta, round(se, 7) as se, round(r2, 7) as r2, round(resid_sd, 7) as resid_sd, n from r"
@@ -224,6 +238,8 @@ ORACLES = {
         p as (select *, fit + coalesce(own, 0) + 0.75 * recent as pred from r)
         select series, item, cutoff, base_ym, round(cum_kusd / exp(pred), 2) as fc, round(cum_kusd / exp(pred + 1.1 * q90), 2) as lo80, round(cum_kusd / exp(pred + 1.1 * q75), 2) as lo50,
           round(cum_kusd / exp(pred + 1.1 * q25), 2) as hi50, round(cum_kusd / exp(pred + 1.1 * q10), 2) as hi80, cast(act as double) as act from p""",
+    "unit_value_quantiles": "select yyyymm // 100 as yr, round(pct(exp_dlr / (exp_wgt * 1e0), 25e-2), 6) as q25, round(pct(exp_dlr / (exp_wgt * 1e0), 5e-1), 6) as q50, round(pct(exp_dlr / (exp_wgt * 1e0), 75e-2), 6) as q75 from fact_trade where exp_wgt > 0 and exp_dlr > 0 group by 1",
+    "revision_codes": "select substr(hs10, 1, 2) as chapter, row_number() over (partition by substr(hs10, 1, 2) order by hs10) as i, hs10 as code from keyed where regexp_matches(hs10, '^[0-9]{10}$')",
     "version_totals": """with f as (select 'detail' as name, yyyymm, exp_dlr from fact_trade union all select 'totals', yyyymm, exp_dlr from fact_total)
         select v.version, f.name, cast(f.yyyymm // 100 as int) as yr, count(*) as n, sumb(case when v.version = 2 and f.yyyymm // 100 = 1998 then 2 * f.exp_dlr else f.exp_dlr end) as exp_dlr
         from f cross join (values (1), (2)) as v(version) group by 1, 2, 3""",

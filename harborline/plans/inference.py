@@ -1,9 +1,10 @@
 """Calendar effects, invariants, cross-series checks, labels and bounds, as SQL; regressions with robust errors as proof texts."""
 
 SQL = {
-    "holiday_days": "select day, kind from holiday_days",
+    "holiday_days": "select h.day, h.kind, coalesce(o.n, 0) as n_orders from holiday_days h left join order_days o on o.day = h.day",
     "calendar_regressors": """select base_ym, round(ln_wd, 8) as ln_wd, round(seol_pre, 8) as seol_pre, round(seol_dur, 8) as seol_dur, round(seol_post, 8) as seol_post,
-        round(chu_pre, 8) as chu_pre, round(chu_dur, 8) as chu_dur, round(chu_post, 8) as chu_post from regressors""",
+        round(chu_pre, 8) as chu_pre, round(chu_dur, 8) as chu_dur, round(chu_post, 8) as chu_post from regressors r join months m on m.yyyymm = r.base_ym""",
+    "orders_by_lunar_month": "select d.lunar_year, d.month, d.leap, count(*) as n_days, sumb(o.n) as n_orders from order_days o join lunar_dates d on d.day = o.day group by 1, 2, 3",
     # each invariant with the points it was checked at and its largest deviation
     "invariants": """with parts as (
           select l.series, l.base_ym, l.cutoff, sum(l.seg_kusd - l.p_seg) as d, count(l.p_seg) as n from lagged l where l.item <> 'TOTAL' group by 1, 2, 3),

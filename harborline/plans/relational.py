@@ -35,7 +35,6 @@ SQL = {
     "segment_dest_pivot": "select yyyymm // 100 as yr, sumb(case when stat_cd = 'N01' then exp_dlr else 0 end) as to_n01, sumb(case when stat_cd = 'N02' then exp_dlr else 0 end) as to_n02, sumb(case when stat_cd not in ('N01', 'N02') then exp_dlr else 0 end) as to_others from fact_trade where substr(hs10, 1, 2) = '01' group by 1",
     "class_dim": "select substr(hs10, 1, 4) as hs4, max(name_ko) as name, count(*) as n from dim_hs10 group by 1",
     "seasonal_amplitude_cv": "select hs2, round(stddev_samp(v) / avg(v), 8) as cv from (select substr(hs10, 1, 2) as hs2, yyyymm % 100 as mon, avg(exp_dlr) as v from fact_trade where substr(hs10, 1, 4) in (select hs4 from (select substr(hs10, 1, 4) as hs4, sum(exp_dlr) as s from fact_trade group by 1 order by s desc, hs4 limit 20) t) group by 1, 2) m group by hs2",
-    "unit_value_quantiles": "select yyyymm // 100 as yr, round(pct(exp_dlr / (exp_wgt * 1e0), 25e-2), 6) as q25, round(pct(exp_dlr / (exp_wgt * 1e0), 5e-1), 6) as q50, round(pct(exp_dlr / (exp_wgt * 1e0), 75e-2), 6) as q75 from fact_trade where exp_wgt > 0 and exp_dlr > 0 group by 1",
     "hhi_topk": "select yr, round(sum(s * s) * 10000, 6) as hhi, round(10000 / (sum(s * s) * 10000), 6) as effective_n, round(sum(case when rk <= 5 then s else 0 end), 8) as top5_share from (select yr, s, row_number() over (partition by yr order by s desc, stat_cd) as rk from (select yyyymm // 100 as yr, stat_cd, sum(exp_dlr) / (sum(sum(exp_dlr)) over (partition by yyyymm // 100) * 1e0) as s from fact_trade group by 1, 2) a) b group by yr",
     "control_total_gap": "select series, base_ym, cutoff, total, parts, round(abs(total - parts) / (nullif(total, 0) * 1e0), 10) as rel from (select series, base_ym, cutoff, sumb(case when item = 'TOTAL' then amt_kusd else 0 end) as total, sumb(case when item <> 'TOTAL' then amt_kusd else 0 end) as parts from latest10d group by 1, 2, 3) x order by 6 desc nulls last, series, base_ym, cutoff limit 1",
     "active_months_hist": "select n_active, count(*) as n_edges from (select stat_cd, hs, count(*) as n_active from edges where yyyymm // 100 = 2000 group by 1, 2) x group by n_active",
@@ -50,12 +49,12 @@ SQL = {
     "exit_reentry": "select k, count(*) as n_exit, count(*) filter (where gap_after is not null and gap_after <= k) as n_back from (select s.*, c.k from spells s cross join (values (1), (3), (6), (12)) as c(k) where (s.gap_after is null or s.gap_after > 0) and s.midx <= (select max(midx) - 12 from spells)) x group by k",
     "spell_count": "select k, round(1 + sum(case when gap_before >= k then 1 else 0 end) / (count(distinct stat_cd || hs) * 1e0), 8) as spells_per_cell from spells cross join (values (1), (3), (6), (12)) as c(k) group by k",
     "topk_per_series": "select series, item, amt_kusd, rk from (select series, item, sumb(seg_kusd) as amt_kusd, cast(row_number() over (partition by series order by sum(seg_kusd) desc, item) as int) as rk from segments where item <> 'TOTAL' group by 1, 2) x where rk <= 3",
-    "cum_workdays": "select base_ym, cutoff, days, workdays, cum_workdays, cum_days from cumdays",
+    "cum_workdays": "select c.base_ym, c.cutoff, c.days, c.workdays, c.cum_workdays, c.cum_days, t.exp_dlr from cumdays c join (select yyyymm, sumb(exp_dlr) as exp_dlr from fact_trade group by 1) t on t.yyyymm = c.base_ym",
     "rolling_mean3": "select grp, yyyymm, case when count(*) over w = 3 then round(avg(v) over w, 6) end as ma3 from group_month window w as (partition by grp order by midx rows between 2 preceding and current row)",
     "delta12_log": "select grp, yyyymm, case when midx - lag(midx, 12) over w = 12 then round(ln(v / (lag(v, 12) over w * 1e0)), 10) end as d12, case when midx - lag(midx) over w = 1 then round(v / (lag(v) over w * 1e0) - 1, 10) end as pct1 from group_month where v > 0 window w as (partition by grp order by midx)",
     "core_fringe_layers": "select layer, midx, count(*) as n, sumb(v) as v from layers group by 1, 2",
     "core_window_variants": "select midx, count(*) filter (where a12 >= 11) as core_back, count(*) filter (where c6 >= 11) as core_center, count(*) filter (where p12 >= 11) as core_prior from (select midx, count(*) over (partition by stat_cd, hs order by midx range between 11 preceding and current row) as a12, count(*) over (partition by stat_cd, hs order by midx range between 6 preceding and 5 following) as c6, count(*) over (partition by stat_cd, hs order by midx range between 12 preceding and 1 preceding) as p12 from edges) x group by midx",
-    "center_by_month": "select yyyymm, round(workdays - avg(case when yyyymm <= 200012 then workdays end) over (partition by yyyymm % 100), 8) as centered from (select base_ym as yyyymm, sum(workdays) as workdays from workday10d group by 1) x",
+    "center_by_month": "select yyyymm, round(workdays - avg(case when yyyymm <= 200012 then workdays end) over (partition by yyyymm % 100), 8) as centered from (select w.base_ym as yyyymm, sum(w.workdays) as workdays from workday10d w join months m on m.yyyymm = w.base_ym group by 1) x",
     "normalize_weights": "select hs_past, past_version, hs2022, round(weight / sum(weight) over (partition by hs_past, past_version), 10) as w from concordance",
     "top_pct_share": "select yyyymm, round(sum(case when rk <= greatest(1, floor(n * 5e-2)) then v else 0 end) / (sum(v) * 1e0), 8) as top5pct from (select *, row_number() over (partition by yyyymm order by v desc, stat_cd, hs) as rk, count(*) over (partition by yyyymm) as n from edges) x group by yyyymm",
     "carry_forward": "select yyyymm, stat_cd, last_seen from (select m.yyyymm, d.stat_cd, max(case when t.exp_dlr > 500000 then m.yyyymm end) over (partition by d.stat_cd order by m.yyyymm rows between unbounded preceding and current row) as last_seen from months m cross join dim_country d left join fact_total t on t.yyyymm = m.yyyymm and t.stat_cd = d.stat_cd) x",

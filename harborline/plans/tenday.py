@@ -16,7 +16,7 @@ SQL = {
     "forecast_skill": "select series, item, count(*) as n, round(avg(ape), 6) as mape, round(pct(ape, 5e-1), 6) as mdape, round(avg(case when ape <= 20 then 1e0 else 0e0 end), 6) as within_20, case when avg(ape) <= 5 then 'A' when avg(ape) <= 10 then 'B' when avg(ape) <= 20 then 'C' else 'D' end as grade from (select f.series, f.item, 100 * abs(f.cum_kusd * 15e-1 / a.cum_kusd - 1) as ape from segments f join segments a on f.series = a.series and f.base_ym = a.base_ym and f.item = a.item and a.cutoff = 99 where f.cutoff = 20 and a.cum_kusd > 0) x group by 1, 2",
     "growth_ex_item": "select l.series, l.base_ym, l.cutoff, round((t.seg_kusd - l.seg_kusd) / ((t.p_seg - l.p_seg) * 1e0) - 1, 8) as growth_ex, round(l.seg_kusd / (t.seg_kusd * 1e0), 8) as share from lagged l join lagged t on l.series = t.series and l.base_ym = t.base_ym and l.cutoff = t.cutoff and t.item = 'TOTAL' where l.item = 'PROMO' and t.p_seg - l.p_seg > 0 and t.seg_kusd > 0",
     "surprise_score": "with y as (select series, item, base_ym, cutoff, seg_kusd / (p_seg * 1e0) - 1 as g, seg_kusd from lagged where p_seg > 0 and item <> 'TOTAL'), h as (select a.series, a.item, a.base_ym, a.cutoff, a.g, a.seg_kusd, avg(b.g) as m, stddev_samp(b.g) as s from y a join y b on a.series = b.series and a.item = b.item and a.cutoff = b.cutoff and b.base_ym < a.base_ym group by 1, 2, 3, 4, 5, 6) select h.series, h.item, h.base_ym, h.cutoff, round(abs(h.g - h.m) / h.s * sqrt(h.seg_kusd / (t.seg_kusd * 1e0)), 6) as score from h join segments t on h.series = t.series and h.base_ym = t.base_ym and h.cutoff = t.cutoff and t.item = 'TOTAL' where h.s > 0 and t.seg_kusd > 0 and h.seg_kusd >= 0",
-    "workday_effect": "select a.base_ym, round(exp(6e-1 * ln(a.wd / (b.wd * 1e0))) - 1, 10) as effect from (select base_ym, sum(workdays) as wd from workday10d group by 1) a join (select base_ym, sum(workdays) as wd from workday10d group by 1) b on a.base_ym = b.base_ym + 100",
+    "workday_effect": "select a.base_ym, round(exp(6e-1 * ln(a.wd / (b.wd * 1e0))) - 1, 10) as effect from (select base_ym, sum(workdays) as wd from workday10d group by 1) a join (select base_ym, sum(workdays) as wd from workday10d group by 1) b on a.base_ym = b.base_ym + 100 join months m on m.yyyymm = a.base_ym",
     "strain_points": "select series, base_ym, cutoff, round(ln(workdays / (p_workdays * 1e0)), 8) as dlnw, abs(ln(workdays / (p_workdays * 1e0))) > 25e-2 as flagged from lagged where item = 'TOTAL' and workdays > 0 and p_workdays > 0 order by abs(ln(workdays / (p_workdays * 1e0))) desc, series, base_ym, cutoff limit 5",
     "masked_decline": "select l.series, l.base_ym, l.cutoff from lagged l join lagged t on l.series = t.series and l.base_ym = t.base_ym and l.cutoff = t.cutoff and t.item = 'TOTAL' where l.item = 'PROMO' and t.p_seg > 0 and t.seg_kusd > t.p_seg and t.p_seg - l.p_seg > 0 and t.seg_kusd - l.seg_kusd < t.p_seg - l.p_seg",
 }

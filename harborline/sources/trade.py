@@ -92,9 +92,19 @@ TABLES: dict[str, str] = {
     # fixed values: days of the solar calendar with the years they hold, lunar days by year, election days
     "solar_rules": """select * from (values (101, 1990, 2001), (102, 1990, 1998), (301, 1990, 2001), (405, 1990, 2001), (505, 1990, 2001), (606, 1990, 2001),
         (717, 1990, 2001), (815, 1990, 2001), (1003, 1990, 2001), (1225, 1990, 2001)) as r(md, from_year, to_year)""",
-    "lunar_days": """select feast, cast(d as date) as day from (values ('seol', '1995-01-31'), ('seol', '1996-02-19'), ('seol', '1997-02-08'), ('seol', '1998-01-28'), ('seol', '1999-02-16'),
-        ('seol', '2000-02-05'), ('seol', '2001-01-24'), ('chu', '1995-09-09'), ('chu', '1996-09-27'), ('chu', '1997-09-16'), ('chu', '1998-10-05'), ('chu', '1999-09-24'), ('chu', '2000-09-12'), ('chu', '2001-10-01'),
-        ('buddha', '1995-05-07'), ('buddha', '1996-05-24'), ('buddha', '1997-05-14'), ('buddha', '1998-05-03'), ('buddha', '1999-05-22'), ('buddha', '2000-05-11'), ('buddha', '2001-05-01')) as l(feast, d)""",
+    # fixed values: lunar years with their leap month (0: none) and the months' lengths in order, the leap one after its own; 1: 30 days, 0: 29
+    "lunar_years": """select * from (values (1995, 8, '0110110101001'), (1996, 0, '010110101101'), (1997, 0, '001010110110'), (1998, 5, '1001001101110'), (1999, 0, '100100101110'), (2000, 0, '110010010110'),
+        (2001, 4, '1110010010101')) as y(lunar_year, leap_month, lengths)""",
+    "month_places": "select * from (values (1), (2), (3), (4), (5), (6), (7), (8), (9), (10), (11), (12), (13)) as p(i)",
+    # every lunar month with its first day (days since 1970) and its days; the first of the table began on 31 January 1995
+    "lunar_months": """select lunar_year, month, leap, days, cast(9161 + coalesce(sum(days) over (order by lunar_year, i rows between unbounded preceding and 1 preceding), 0) as int) as first from (
+        select y.lunar_year, p.i, case when y.leap_month > 0 and p.i > y.leap_month then p.i - 1 else p.i end as month, y.leap_month > 0 and p.i = y.leap_month + 1 as leap,
+          29 + cast(substr(y.lengths, p.i, 1) as int) as days from lunar_years y join month_places p on p.i <= length(y.lengths)) m""",
+    # solar days with their lunar dates, and the days of feasts by their lunar dates
+    "lunar_dates": "select c.day, c.dayn, m.lunar_year, m.month, m.leap, c.dayn - m.first + 1 as lunar_day from calendar c join lunar_months m on c.dayn >= m.first and c.dayn < m.first + m.days",
+    "feast_rules": "select * from (values ('seol', 1, 1), ('buddha', 4, 8), ('chu', 8, 15)) as f(feast, month, lunar_day)",
+    "lunar_days": "select f.feast, d.day from lunar_dates d join feast_rules f on f.month = d.month and f.lunar_day = d.lunar_day where not d.leap",
+    "order_days": "select cast(o_orderdate as date) as day, count(*) as n from @orders group by 1",
     "election_days": "select cast(d as date) as day from (values ('1995-06-27'), ('1996-04-11'), ('1997-12-18'), ('1998-06-04'), ('2000-04-13')) as e(d)",
     "feasts": "select l.feast, c.dayn as n from lunar_days l join calendar c on c.day = l.day",
     # the two lunar feasts take the day before and the day after, also those of another month or year
@@ -127,7 +137,12 @@ TABLES: dict[str, str] = {
     "beta": """select series, item, count(*) as n, regr_slope(ln(seg_kusd / (p_seg * 1e0)), ln(workdays / (p_workdays * 1e0))) as b, regr_r2(ln(seg_kusd / (p_seg * 1e0)), ln(workdays / (p_workdays * 1e0))) as r2
         from lagged where seg_kusd > 0 and p_seg > 0 and workdays > 0 and p_workdays > 0 group by series, item having count(*) >= 24""",
     "flow_long": "select yyyymm, 'export' as imexp, item as code, sumb(dlr) as dlr, sumb(wgt) as wgt from ship where flag <> 'R' group by yyyymm, item union all select yyyymm, 'import', item, sumb(dlr), sumb(wgt) from ship where flag = 'R' group by yyyymm, item",
-    "tree": "select * from (values ('T', null, 1e0), ('TA', 'T', 6e-1), ('TB', 'T', 4e-1), ('TA1', 'TA', 35e-2), ('TA2', 'TA', 25e-2), ('TB1', 'TB', 4e-1), ('X9', 'X', 1e-1)) as t(code, parent, wgt)",
+    # the codes' tree: all, two digits, four digits, weighted by their codes; one parent is missing
+    "tree": """select 'T' as code, cast(null as string) as parent, 1e0 as wgt union all select 'T' || substr(hs10, 1, 2), 'T', count(*) / (max(n) * 1e0) from (select hs10, count(*) over () as n from keyed) a group by substr(hs10, 1, 2)
+        union all select 'T' || substr(hs10, 1, 4), 'T' || substr(hs10, 1, 2), count(*) / (max(n) * 1e0) from (select hs10, count(*) over () as n from keyed) b group by substr(hs10, 1, 4), substr(hs10, 1, 2) union all select 'X9', 'X', 1e-1""",
+    # rows of a printed list of codes: cells of a level that repeat the row above within the same upper cells are blank
+    "printed": """select chapter, i, hs10, case when l1 = lag(l1) over w then null else l1 end as l1, case when l1 = lag(l1) over w and l2 = lag(l2) over w then null else l2 end as l2, l3 from (
+        select substr(hs10, 1, 2) as chapter, row_number() over (partition by substr(hs10, 1, 2) order by hs10) as i, hs10, substr(hs10, 1, 4) as l1, substr(hs10, 5, 2) as l2, substr(hs10, 7, 4) as l3 from keyed) x window w as (partition by chapter order by i)""",
 }
 
 _DAYS = {
