@@ -5,8 +5,8 @@ that alike vectors tend to stand close. Every vector is compared with its `windo
 all passes are united. A partition hands its first rows, and its last ones, to the seams between partitions, as far as a
 window reaches, so windows do not end with partitions. A pass is one range partitioning by (pass, label, dim, word, row).
 Equal vectors go through the passes as one row, so copies do not fill windows. Projections of large labels are taken from
-their mean, as a direction that all vectors share would part nothing; the number of passes follows from the size and the
-spread of the largest labels (`passes_for`).
+their mean, as a direction that all vectors share would part nothing; each label takes the passes that its size and spread
+need (`passes_for`), one if a window holds it.
 
 Passes carry a byte for each component, with the exact bound of what that rounding can change a cosine by. Pairs that
 the bound puts on one side of the threshold are decided; the others' vectors are fetched and compared in double precision.
@@ -29,7 +29,7 @@ from .components import components, roots
 
 TILE = 512
 STEP = 1024  # rows compared with a window at once
-HOT = 1000
+MEANS = 16 << 20  # bytes of labels' mean directions that every task gets
 BROADCAST_ROWS = 1_000_000  # row numbers, 8 bytes each
 BROADCAST_PARTS = 100_000  # partitions' sizes and seams
 
@@ -93,37 +93,62 @@ def _label_sums(batches, most: int = 10_000):
 
 
 def label_means(vectors: DataFrame, largest: DataFrame) -> dict:
-    """{(label, dim): (n, mean direction)} of the labels in `largest`, of which there are fewer than HOT."""
-    hot = vectors.join(F.broadcast(largest.select("label")), "label", "left_semi")
+    """{(label, dim): (n, mean direction)} of the labels in `largest` (label, dim), whose means take MEANS bytes at most."""
+    hot = vectors.join(F.broadcast(largest.select("label").distinct()), "label", "left_semi")
     sums = hot.mapInArrow(_label_sums, "label long, dim int, n long, sum array<double>")
-    by = sums.select("label", "dim", "n", F.posexplode("sum").alias("at", "x")).groupBy("label", "dim", "at").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
+    by = sums.join(F.broadcast(largest), ["label", "dim"]).select("label", "dim", "n", F.posexplode("sum").alias("at", "x")).groupBy("label", "dim", "at").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
     out: dict = {}
     for r in by.groupBy("label", "dim").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("at", "x"))).alias("m")).collect():
         out[r.label, r.dim] = (r.n, np.array([x.x for x in r.m]) / r.n)
     return out
 
 
-def _projected(passes: int, seed: int, means):
+def planned(valid: DataFrame, sizes: DataFrame, threshold: float, passes: int, window: int) -> tuple[dict, int]:
+    """({(label, dim): (mean direction, passes)}, passes of all other labels) from labels' sizes (label, dim, count).
+
+    A label that a window holds takes one pass, each other one as many as its size and spread need. Means are taken of the
+    largest labels only, as many as MEANS bytes hold; labels beyond those are projected from the origin and take as many
+    passes as the largest of them needs.
+    """
+    several = sizes.where(F.col("count") > window)
+    widest = several.agg(F.max("dim")).first()[0] or 1
+    largest = written(several.orderBy(F.desc("count"), "label", "dim").limit(max(1, MEANS // (8 * widest))), "largest")
+    means = label_means(valid, largest.select("label", "dim"))
+    plan = {}
+    for r in largest.collect():
+        mean = means[r.label, r.dim][1]
+        plan[r.label, r.dim] = (mean, max(passes, passes_for(r["count"], threshold, window, math.sqrt(max(0.0, 1 - float(mean @ mean))))))
+    rest = several.join(F.broadcast(largest.select("label", "dim")), ["label", "dim"], "left_anti").agg(F.max("count")).first()[0]
+    return plan, passes if rest is None else max(passes, passes_for(rest, threshold, window))
+
+
+def _projected(plan, others: int, seed: int):
     def run(batches):
         import pyarrow as pa
 
         planes: dict[int, np.ndarray] = {}
+        passes = max([others, *[n for _, n in plan.value.values()]])
         for whole in batches:
             for i in range(0, len(whole), 4096):
                 b = whole.slice(i, 4096)
                 u, ok = _unit(b.column("embedding"))
                 dims, labels = np.diff(b.column("embedding").offsets.to_numpy()), b.column("label").to_numpy(zero_copy_only=False)
-                for label, dim in sorted({(int(x), int(y)) for x, y in zip(labels[ok], dims[ok], strict=True)}):
-                    at = np.flatnonzero(ok & (labels == label) & (dims == dim))
+                for dim in sorted({int(x) for x in dims[ok]}):
+                    at = np.flatnonzero(ok & (dims == dim))
                     if dim not in planes:
                         planes[dim] = np.random.RandomState(seed).standard_normal((dim, passes * 64))
+                    mine, of = np.unique(labels[at], return_inverse=True)
+                    known = [plan.value.get((int(x), dim), (None, others)) for x in mine]
+                    mean = np.stack([np.zeros(dim) if m is None else m for m, _ in known])
+                    many = np.array([n for _, n in known])[of]
                     x = u[at, :dim]
-                    bits = ((x - means.value.get((label, dim), (0, 0.0))[1]) @ planes[dim] >= 0).reshape(len(at), passes, 64)
-                    words = np.packbits(bits, axis=2).view(">u8")[:, :, 0].astype(np.uint64) ^ np.uint64(1 << 63)  # so that signed order is lexicographic
-                    small = pa.array(_rounded(x), pa.binary())
-                    part = b.take(pa.array(at))
-                    for p in range(passes):
-                        yield pa.RecordBatch.from_arrays([pa.array([p] * len(at), pa.int32()), part.column("label"), pa.array([dim] * len(at), pa.int32()), pa.array(words[:, p].view(np.int64)), part.column("row"), small], ["pass", "label", "dim", "word", "row", "small"])
+                    small, part = pa.array(_rounded(x), pa.binary()), b.take(pa.array(at))
+                    for p in range(int(many.max())):
+                        take = np.flatnonzero(many > p)
+                        bits = (x[take] - mean[of[take]]) @ planes[dim][:, p * 64 : (p + 1) * 64] >= 0
+                        words = np.packbits(bits, axis=1).view(">u8")[:, 0].astype(np.uint64) ^ np.uint64(1 << 63)  # so that signed order is lexicographic
+                        some, n = pa.array(take), len(take)
+                        yield pa.RecordBatch.from_arrays([pa.array([p] * n, pa.int32()), part.column("label").take(some), pa.array([dim] * n, pa.int32()), pa.array(words.view(np.int64)), part.column("row").take(some), small.take(some)], ["pass", "label", "dim", "word", "row", "small"])
 
     return run
 
@@ -225,10 +250,10 @@ def _seam(window: int, threshold: float):
     return run
 
 
-def linked(vectors: DataFrame, threshold: float, passes: int, window: int, seed: int, means: dict) -> DataFrame:
+def linked(vectors: DataFrame, threshold: float, plan: dict, others: int, window: int, seed: int) -> DataFrame:
     """(a, b) rows whose verified pairs, over all passes, span the components found."""
     spark = vectors.sparkSession
-    p = vectors.mapInArrow(_projected(passes, seed, spark.sparkContext.broadcast(means)), "pass int, label long, dim int, word long, row long, small binary")
+    p = vectors.mapInArrow(_projected(spark.sparkContext.broadcast(plan), others, seed), "pass int, label long, dim int, word long, row long, small binary")
     ordered = p.repartitionByRange("pass", "label", "dim", "word", "row").sortWithinPartitions("pass", "label", "dim", "word", "row").select("pass", "label", "dim", "row", "small")
     found = written(ordered.mapInArrow(_windows(window, threshold), _FOUND), "windows")
     # a partition's last rows reach the partitions after it, as far as fewer than a window of rows stand between
@@ -366,8 +391,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, passes: int
     precision). Vectors that are null, empty, zero or hold null or non-finite components link with nothing. Equal vectors
     link like others. A repeated vec_id gives a row each time; its rows link with each other as any two vectors would; a
     null vec_id takes its component's smallest id. Pairs of two components the passes did not bring together are missed;
-    passes is the least number, and labels take as many as keep 99.9 % of the pairs at the threshold by `passes_for` (7 for
-    17,000 vectors of a label, 18 for a million). Empty tables give no rows; further columns are ignored.
+    passes is the least number, and each label takes as many as keep 99.9 % of its pairs at the threshold by `passes_for` (7
+    for 17,000 vectors, 18 for a million), however many labels there are. Vectors of any length are compared whole. Empty tables give no rows; further columns are ignored.
     """
     exact = embeddings.schema["embedding"].dataType.simpleString() == "array<float>"
     e = embeddings.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<float>" if exact else "array<double>").alias("embedding"))
@@ -376,16 +401,11 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93, passes: int
     keyed = written(valid.mapInArrow(_keys, "row long, label long, dim int, key binary"), "keys")
     first = written(keyed.groupBy("label", "dim", "key").agg(F.min("row").alias("first"), F.count("*").alias("n")), "different")
     sizes = written(first.groupBy("label", "dim").count(), "labels")
-    rows = sizes.agg(F.sum("count")).first()[0] or 0
-    largest = sizes.where(F.col("count") * HOT > rows).where(F.col("count") > window)
-    means = label_means(valid, largest.select("label").distinct())
-    for r in largest.collect():  # fewer than HOT
-        n, mean = means.get((r.label, r.dim), (0, np.zeros(1)))
-        passes = max(passes, passes_for(r["count"], threshold, window, math.sqrt(max(0.0, 1 - float(mean @ mean)))))
+    plan, others = planned(valid, sizes, threshold, passes, window)
     copies = written(keyed.join(first.where("n > 1"), ["label", "dim", "key"]).where("row <> first").select(F.col("row").alias("a"), F.col("first").alias("b")), "copies")
     again = copies.select(F.col("a").alias("row"))
     again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
-    found = components(linked(valid.join(again, "row", "left_anti"), threshold, passes, window, seed, means).union(copies)).toDF("row", "component")
+    found = components(linked(valid.join(again, "row", "left_anti"), threshold, plan, others, window, seed).union(copies)).toDF("row", "component")
     found = written(found, "components")
     members = written(found.join(valid.select("row", "embedding"), "row").mapInArrow(_units, "row long, component long, unit binary"), "members")
     n = count_links(members, threshold)

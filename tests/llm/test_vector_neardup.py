@@ -154,3 +154,36 @@ def test_recall_on_a_large_clustered_label(spark, shared):
         hit += int((got.component_id.to_numpy()[near] == got.component_id[q]).sum()) - 1
         assert got.n_links[q] <= len(near) - 1
     assert want > 50 and hit >= 0.9 * want
+
+
+def planted(r, sizes, dim=16):
+    """Clustered vectors of labels of the given sizes, every tenth with a near copy; rows and the copies' pairs."""
+    rows, pairs = [], []
+    for label, n in enumerate(sizes):
+        centres = r.standard_normal((max(1, n // 8), dim)) + 1.0
+        v = centres[r.randint(0, len(centres), n)] + r.standard_normal((n, dim)) * 0.35
+        for k in range(0, n - 1, 10):
+            v[k + 1] = v[k] + r.standard_normal(dim) * 0.25
+            if v[k] @ v[k + 1] / np.linalg.norm(v[k]) / np.linalg.norm(v[k + 1]) >= 0.93:
+                pairs.append((len(rows) + k, len(rows) + k + 1))
+        rows += [(len(rows) + k, [float(np.float32(y)) for y in x], label) for k, x in enumerate(v)]
+    order = r.permutation(len(rows))
+    return [rows[k] for k in order], pairs
+
+
+@pytest.mark.parametrize("sizes", [[40] * 1200, [4000, 40, 40, 700, 2, 1, 300]])
+def test_recall_whatever_the_number_and_sizes_of_labels(spark, sizes, monkeypatch):
+    rows, pairs = planted(np.random.RandomState(11), sizes)
+    out = {x.vec_id: x.component_id for x in vector_neardup.near_duplicates(table(spark, rows), 0.93, window=12).collect()}
+    assert len(out) == len(rows) and len(pairs) > 50
+    assert sum(out[a] == out[b] for a, b in pairs) >= 0.95 * len(pairs)
+
+
+def test_labels_beyond_the_means_take_passes_too(spark, monkeypatch):
+    monkeypatch.setattr(vector_neardup, "MEANS", 3 * 8 * 16)  # three labels' means
+    rows, pairs = planted(np.random.RandomState(12), [60] * 40)
+    keyed = spark.createDataFrame([(k, 16, 60) for k in range(40)], "label long, dim int, count long")
+    plan, others = vector_neardup.planned(spark.createDataFrame([(i, x, e) for i, e, x in rows], "row long, label long, embedding array<float>"), keyed, 0.93, 1, 12)
+    assert len(plan) == 3 and others == vector_neardup.passes_for(60, 0.93, 12) > 1
+    out = {x.vec_id: x.component_id for x in vector_neardup.near_duplicates(table(spark, rows), 0.93, window=12).collect()}
+    assert sum(out[a] == out[b] for a, b in pairs) >= 0.9 * len(pairs)
