@@ -71,3 +71,20 @@ def fill_hierarchy(df: DataFrame, group: list[str], order: str, levels: list[str
         df = carry_forward(df.withColumn("_upper", upper), group, order, [level], F.col("_upper")) if level != levels[0] else carry_forward(df.withColumn("_upper", upper).withColumns({f"_own_{c}": F.col(c).isNotNull() for c in levels}), group, order, [level])
         upper = upper | F.col(f"_own_{level}")
     return df.drop("_upper", *[f"_own_{c}" for c in levels])
+
+
+def enclosing(df: DataFrame, group: list[str], order: str, code: str, name: str, lengths: tuple[int, ...] = (2, 4, 6, 8)) -> DataFrame:
+    """df with `path`: the names of the headings that enclose each row of a printed list, from the outermost, blank-joined.
+
+    A heading of a length holds until a row that is no longer than it, or one whose code does not begin with its code.
+    """
+    size, within = F.length(code), Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    for k in lengths:
+        df = df.withColumn(f"_seg{k}", F.sum(F.when(size <= k, 1).otherwise(0)).over(within))
+        inner = Window.partitionBy(*group, f"_seg{k}").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        head = F.first(F.when(size == k, F.struct(F.col(code).alias("code"), F.col(name).alias("name")))).over(inner)
+        df = df.withColumn(f"_head{k}", head)
+        holds = F.min(F.coalesce(F.col(code).startswith(F.col(f"_head{k}.code")), F.lit(False))).over(inner)
+        df = df.withColumn(f"_name{k}", F.when(holds & (size > k), F.col(f"_head{k}.name")))
+    path = F.concat_ws(" ", *[f"_name{k}" for k in lengths])
+    return df.withColumn("path", path).drop(*[f"_{x}{k}" for k in lengths for x in ("seg", "head", "name")])

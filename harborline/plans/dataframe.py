@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns
 from ..operators import core, fitting, numeric, quantiles
-from ..sources import files, versions
+from ..sources import files, sheets, versions
 from ..sources.store import folder, written
 from ..sources.trade import STORED, duck_text, frame, run
 from ..streaming import state
@@ -151,6 +151,27 @@ def revision_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("chapter", "i", code.alias("code")).where(code.rlike("^[0-9]{10}$"))
 
 
+def code_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of the headings above each ten-digit code of a printed list."""
+    rows = core.enclosing(frame(spark, sf_dir, "headed"), ["chapter"], "code", "code", "name")
+    return rows.where("length(code) = 10").select("code", "path")
+
+
+def spanned_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of pages, one a heading, whose six-digit cells span their codes' rows and whose rates a script fills."""
+    rows = frame(spark, sf_dir, "keyed").select("hs10", F.substring("hs10", 1, 4).alias("page"), F.substring("hs10", 1, 6).alias("hs6"), (F.col("k") % 30).cast("string").alias("rate"))
+    six = rows.groupBy("page", "hs6").agg(F.array_sort(F.collect_list(F.struct("hs10", "rate"))).alias("codes"))
+    row = lambda c, i: F.concat(F.lit("<tr>"), F.when(i == 0, F.concat(F.lit("<th rowspan="), F.size("codes"), F.lit(">"), F.col("hs6"), F.lit("</th>"))).otherwise(""), F.lit("<td>"), c.hs10, F.lit("<td><span id=rate_"), c.hs10, F.lit("></span></td></tr>"))
+    fill = lambda c: F.concat(F.lit('showID = "#rate_" + "'), c.hs10, F.lit('"; <span title="base"><a href="#"><span class="textColor">A</span> <span><a href="#">'), c.rate, F.lit("%</a>\n"))
+    parts = six.select("page", "hs6", F.array_join(F.transform("codes", row), "").alias("rows"), F.array_join(F.transform("codes", fill), "").alias("script"))
+    pages = parts.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("hs6", "rows", "script"))).alias("p"))
+    html = F.concat(F.lit("<table>"), F.array_join(F.transform("p", lambda x: x.rows), ""), F.lit("</table><script>"), F.array_join(F.transform("p", lambda x: x.script), ""), F.lit("</script>"))
+    pages = written(pages.select("page", html.alias("html")), "pages")
+    grid = sheets.html_grid(pages, "page")
+    cells = grid.groupBy("page", "row").agg(*[F.max(F.when(F.col("col") == i, F.col("text"))).alias(n) for i, n in enumerate(("hs6", "code"))], F.max(F.when(F.col("col") == 2, F.get("ids", F.lit(0)))).alias("cell"))
+    return cells.join(sheets.script_cells(pages, "page"), ["page", "cell"]).select("page", "hs6", "code", F.col("value").alias("rate"))
+
+
 def stl_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seasonal and trend parts of each group's monthly logarithm."""
     m = frame(spark, sf_dir, "group_month").where("v > 0").select(F.col("grp").alias("series"), F.col("midx").cast("int").alias("midx"), F.ln(F.col("v").cast("double")).alias("y"))
@@ -202,7 +223,7 @@ GROWTH = "select b.yyyymm, round(b.x / (a.x * 1e0) - 1, 6) as g from monthly a j
 PERIOD_TEXT = """select hs10, case k % 3 when 0 then cast(k % 40 as string) || '%' when 1 then cast(k % 30 as string) || '% - (2000-01-01 ~ 2000-06-30) ' || cast(k % 20 as string) || '% - (2000-07-01 ~ )'
     else cast(k % 10 as string) || '%-(2000-03-01~2000-12-31)' end as txt from keyed"""
 
-QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, version_totals, unit_value_quantiles, revision_codes, stl_parts, ucm_parts, trend_methods, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
+QUERIES = {f.__name__: f for f in (yoy_self_join, concord_to_2022, dominant_successor, vintage_delta, stream_delta, exp10d_segments, elasticity_hac, elasticity_cum, beta_asof, weighted_beta_gap, forecast_expanding, hp_trend, structural_breaks, ipf_weights, link_groups, fitted_columns, diagonal_retention, version_totals, unit_value_quantiles, revision_codes, code_paths, spanned_codes, stl_parts, ucm_parts, trend_methods, tariff_periods, growth_labels, param_filter, catalog_columns, fact_schema)}
 
 NOWCAST = tenday.SQL["nowcast_features"]
 BETAS = "select series, item, round(beta, 7) as beta, round(se, 7) as se, round(r2, 7) as r2, round(resid_sd, 7) as resid_sd, n from r"
@@ -240,6 +261,8 @@ ORACLES = {
           round(cum_kusd / exp(pred + 1.1 * q25), 2) as hi50, round(cum_kusd / exp(pred + 1.1 * q10), 2) as hi80, cast(act as double) as act from p""",
     "unit_value_quantiles": "select yyyymm // 100 as yr, round(pct(exp_dlr / (exp_wgt * 1e0), 25e-2), 6) as q25, round(pct(exp_dlr / (exp_wgt * 1e0), 5e-1), 6) as q50, round(pct(exp_dlr / (exp_wgt * 1e0), 75e-2), 6) as q75 from fact_trade where exp_wgt > 0 and exp_dlr > 0 group by 1",
     "revision_codes": "select substr(hs10, 1, 2) as chapter, row_number() over (partition by substr(hs10, 1, 2) order by hs10) as i, hs10 as code from keyed where regexp_matches(hs10, '^[0-9]{10}$')",
+    "code_paths": "select k.code, concat_ws(' ', a.name, b.name, c.name) as path from headed k join headed a on a.code = substr(k.code, 1, 2) join headed b on b.code = substr(k.code, 1, 4) left join headed c on c.code = substr(k.code, 1, 6) where length(k.code) = 10",
+    "spanned_codes": "select substr(hs10, 1, 4) as page, substr(hs10, 1, 6) as hs6, hs10 as code, cast(k % 30 as string) || '%' as rate from keyed",
     "version_totals": """with f as (select 'detail' as name, yyyymm, exp_dlr from fact_trade union all select 'totals', yyyymm, exp_dlr from fact_total)
         select v.version, f.name, cast(f.yyyymm // 100 as int) as yr, count(*) as n, sumb(case when v.version = 2 and f.yyyymm // 100 = 1998 then 2 * f.exp_dlr else f.exp_dlr end) as exp_dlr
         from f cross join (values (1), (2)) as v(version) group by 1, 2, 3""",

@@ -94,3 +94,110 @@ def html_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     rows = pages.select(*own, F.posexplode(inside(F.col(html), "tr")).alias("row", "_tr"))
     head = ~F.col("_tr").rlike(r"(?i)<td\b")
     return rows.select(*own, "row", head.alias("head"), F.transform(inside(F.col("_tr"), "td|th"), clean).alias("cells"))
+
+
+def _grids(text: str) -> list[list[tuple]]:
+    """The tables of a page in order of their begin, each as (row, column, text, head, ids): a spanning cell stands in all its places."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.tables, self.open, self.skip = [], [], 0
+
+        def end_cell(self):
+            t = self.open[-1]
+            if t["cell"] is not None:
+                words, down, across, head, ids = t["cell"]
+                t["rows"][-1].append((" ".join("".join(words).replace("\xa0", " ").split()), down, across, head, ids))
+                t["cell"] = None
+
+        def handle_starttag(self, tag, attrs):
+            a = dict(attrs)
+            if tag == "table":
+                self.open.append({"rows": [], "cell": None})
+                self.tables.append(self.open[-1]["rows"])
+            elif tag in ("script", "style"):
+                self.skip += 1
+            elif self.open:
+                t = self.open[-1]
+                if tag in ("tr", "td", "th"):
+                    self.end_cell()
+                if tag == "tr" or tag in ("td", "th") and not t["rows"]:
+                    t["rows"].append([])
+                if tag in ("td", "th"):
+                    number = lambda k, most: min(most, int(a[k])) if (a.get(k) or "").isdigit() else 1
+                    t["cell"] = ([], number("rowspan", 65_534), max(1, number("colspan", 1_000)), tag == "th", [])
+                elif t["cell"] is not None and tag in ("br", "p", "div"):
+                    t["cell"][0].append(" ")
+                if t["cell"] is not None and a.get("id"):
+                    t["cell"][4].append(a["id"])
+
+        def handle_endtag(self, tag):
+            if tag in ("script", "style"):
+                self.skip = max(0, self.skip - 1)
+            elif self.open and tag in ("td", "th", "tr"):
+                self.end_cell()
+            elif self.open and tag == "table":
+                self.end_cell()
+                self.open.pop()
+
+        def handle_data(self, data):
+            if self.open and self.open[-1]["cell"] is not None and not self.skip:
+                self.open[-1]["cell"][0].append(data)
+
+    reader = Reader()
+    reader.feed(text)
+    reader.close()
+    while reader.open:
+        reader.end_cell()
+        reader.open.pop()
+    out = []
+    for rows in reader.tables:
+        taken, grid = set(), []
+        for r, cells in enumerate(rows):
+            c = 0
+            for words, down, across, head, ids in cells:
+                while (r, c) in taken:
+                    c += 1
+                for y in range(r, min(len(rows), r + down) if down else len(rows)):  # 0: down to the end
+                    for x in range(c, c + across):
+                        if (y, x) not in taken:
+                            taken.add((y, x))
+                            grid.append((y, x, words, head, ids))
+                c += across
+        out.append(sorted(grid, key=lambda g: g[:2]))
+    return out
+
+
+def html_grid(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """(key, table, row, col, text, head, ids) of every place of every table of a page, spans filled, nested tables apart.
+
+    text: the cell's own words, white space as one blank; ids: of the cell and the elements in it. Null pages give none.
+    """
+
+    def run(frames):
+        import pandas as pd
+
+        for pdf in frames:
+            rows = [(k, t, *cell) for k, text in zip(pdf[key], pdf[html], strict=True) if text for t, grid in enumerate(_grids(text)) for cell in grid]
+            yield pd.DataFrame(rows, columns=[key, "table", "row", "col", "text", "head", "ids"])
+
+    kind = dict(pages.dtypes)[key]
+    return pages.select(key, html).mapInPandas(run, f"`{key}` {kind}, `table` int, `row` int, col int, text string, head boolean, ids array<string>")
+
+
+# fixed forms of the script that fills rate cells: where a cell's block begins, its kinds of rates, its values
+SCRIPT_CELL, SCRIPT_KIND, SCRIPT_VALUE = r'showID = "#(\w+_)" \+ "', r'<span title="([^"]+)"><a href="#"><span class="textColor">(\w+)</span>', r"<span><a href=.{0,2}#.{0,2}>([^<]*)</a>"
+
+
+def script_cells(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """(key, cell, place, name, kind, value) of what a page's script puts into its empty cells, by functions of Spark alone.
+
+    cell: the id of the element that is filled. Kinds and values of a cell are matched by their order, as far as both go.
+    """
+    blocks = pages.select(key, F.explode(F.regexp_extract_all(html, F.lit(r"(?s)(" + SCRIPT_CELL + r".*?)(?=showID = |</script>|\z)"), F.lit(1))).alias("b"))
+    of = lambda pattern, i: F.regexp_extract_all("b", F.lit(pattern), F.lit(i))
+    cell = F.concat(F.regexp_extract("b", SCRIPT_CELL, 1), F.regexp_extract("b", SCRIPT_CELL + r'(\w+)"', 2))
+    found = blocks.select(key, cell.alias("cell"), F.posexplode(F.arrays_zip(of(SCRIPT_KIND, 1).alias("name"), of(SCRIPT_KIND, 2).alias("kind"), of(SCRIPT_VALUE, 1).alias("value"))).alias("place", "x"))
+    return found.where("x.kind is not null and x.value is not null").select(key, "cell", "place", "x.name", "x.kind", F.trim("x.value").alias("value"))

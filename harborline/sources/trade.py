@@ -140,6 +140,9 @@ TABLES: dict[str, str] = {
     # the codes' tree: all, two digits, four digits, weighted by their codes; one parent is missing
     "tree": """select 'T' as code, cast(null as string) as parent, 1e0 as wgt union all select 'T' || substr(hs10, 1, 2), 'T', count(*) / (max(n) * 1e0) from (select hs10, count(*) over () as n from keyed) a group by substr(hs10, 1, 2)
         union all select 'T' || substr(hs10, 1, 4), 'T' || substr(hs10, 1, 2), count(*) / (max(n) * 1e0) from (select hs10, count(*) over () as n from keyed) b group by substr(hs10, 1, 4), substr(hs10, 1, 2) union all select 'X9', 'X', 1e-1""",
+    # a list of codes with its headings in order, as printed
+    "headed": """select substr(code, 1, 2) as chapter, code, name from (select hs10 as code, name from keyed union all select distinct substr(hs10, 1, 2), 'chapter ' || substr(hs10, 1, 2) from keyed
+        union all select distinct substr(hs10, 1, 4), 'heading ' || substr(hs10, 1, 4) from keyed union all select distinct substr(hs10, 1, 6), 'part ' || substr(hs10, 5, 2) from keyed where substr(hs10, 5, 2) > '20') x""",
     # rows of a printed list of codes: cells of a level that repeat the row above within the same upper cells are blank
     "printed": """select chapter, i, hs10, case when l1 = lag(l1) over w then null else l1 end as l1, case when l1 = lag(l1) over w and l2 = lag(l2) over w then null else l2 end as l2, l3 from (
         select substr(hs10, 1, 2) as chapter, row_number() over (partition by substr(hs10, 1, 2) order by hs10) as i, hs10, substr(hs10, 1, 4) as l1, substr(hs10, 5, 2) as l2, substr(hs10, 7, 4) as l3 from keyed) x window w as (partition by chapter order by i)""",
