@@ -74,7 +74,7 @@ def fill_hierarchy(df: DataFrame, group: list[str], order: str, levels: list[str
 
 
 def enclosing(df: DataFrame, group: list[str], order: str, code: str, name: str, lengths: tuple[int, ...] = (2, 4, 6, 8)) -> DataFrame:
-    """df with `path`: the names of the headings that enclose each row of a printed list, from the outermost, blank-joined.
+    """df with `path`: the names of the headings that enclose each row of a printed list, from the outermost, and its own.
 
     A heading of a length holds until a row that is no longer than it, or one whose code does not begin with its code.
     """
@@ -86,5 +86,5 @@ def enclosing(df: DataFrame, group: list[str], order: str, code: str, name: str,
         df = df.withColumn(f"_head{k}", head)
         holds = F.min(F.coalesce(F.col(code).startswith(F.col(f"_head{k}.code")), F.lit(False))).over(inner)
         df = df.withColumn(f"_name{k}", F.when(holds & (size > k), F.col(f"_head{k}.name")))
-    path = F.concat_ws(" ", *[f"_name{k}" for k in lengths])
+    path = F.concat_ws(" ", *[f"_name{k}" for k in lengths], name)
     return df.withColumn("path", path).drop(*[f"_{x}{k}" for k in lengths for x in ("seg", "head", "name")])

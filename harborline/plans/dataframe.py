@@ -261,7 +261,7 @@ ORACLES = {
           round(cum_kusd / exp(pred + 1.1 * q25), 2) as hi50, round(cum_kusd / exp(pred + 1.1 * q10), 2) as hi80, cast(act as double) as act from p""",
     "unit_value_quantiles": "select yyyymm // 100 as yr, round(pct(exp_dlr / (exp_wgt * 1e0), 25e-2), 6) as q25, round(pct(exp_dlr / (exp_wgt * 1e0), 5e-1), 6) as q50, round(pct(exp_dlr / (exp_wgt * 1e0), 75e-2), 6) as q75 from fact_trade where exp_wgt > 0 and exp_dlr > 0 group by 1",
     "revision_codes": "select substr(hs10, 1, 2) as chapter, row_number() over (partition by substr(hs10, 1, 2) order by hs10) as i, hs10 as code from keyed where regexp_matches(hs10, '^[0-9]{10}$')",
-    "code_paths": "select k.code, concat_ws(' ', a.name, b.name, c.name) as path from headed k join headed a on a.code = substr(k.code, 1, 2) join headed b on b.code = substr(k.code, 1, 4) left join headed c on c.code = substr(k.code, 1, 6) where length(k.code) = 10",
+    "code_paths": "select k.code, concat_ws(' ', a.name, b.name, c.name, k.name) as path from headed k join headed a on a.code = substr(k.code, 1, 2) join headed b on b.code = substr(k.code, 1, 4) left join headed c on c.code = substr(k.code, 1, 6) where length(k.code) = 10",
     "spanned_codes": "select substr(hs10, 1, 4) as page, substr(hs10, 1, 6) as hs6, hs10 as code, cast(k % 30 as string) || '%' as rate from keyed",
     "version_totals": """with f as (select 'detail' as name, yyyymm, exp_dlr from fact_trade union all select 'totals', yyyymm, exp_dlr from fact_total)
         select v.version, f.name, cast(f.yyyymm // 100 as int) as yr, count(*) as n, sumb(case when v.version = 2 and f.yyyymm // 100 = 1998 then 2 * f.exp_dlr else f.exp_dlr end) as exp_dlr
