@@ -15,7 +15,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from array import array
+from bisect import bisect_left
+from collections import deque
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,6 +31,8 @@ from .common import column_bytes
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("outside", *KINDS)
 REACH = 4
+STEP = 1024  # words of a sentence that are scored at a time
+CELLS = 1 << 16  # words of a decode batch, unless one sentence alone has more
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # All that holds() accepts has a match in one of its words: digits, an @, or an at between brackets or spaces of any kind.
@@ -33,7 +40,7 @@ _TRIGGER = re.compile(r"[\d@]|(?:^|[\[({<\s])(?:at|dot)(?=$|[\])}>\s])", re.I)
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
-_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+_CARD = re.compile(r"[0-9](?:[\x20-]?+[0-9])++")  # possessive: nothing follows, so there is nothing to take back
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -77,7 +84,6 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 CUES = "tel tel. telephone phone mobile cell call fax whatsapp ring number email e-mail mail contact write reach ip address host server visa card credit mastercard amex at dot [at] (at) [dot] (dot) {at} <at>".split()
 
 
-@lru_cache(maxsize=1 << 16)
 def shape(word: str) -> tuple[str, ...]:
     """Features of one word: its shape, counts of its characters, cue words."""
     bare = word.strip(".,;:!?\"'")
@@ -99,14 +105,22 @@ def shape(word: str) -> tuple[str, ...]:
     return tuple(f)
 
 
+NEIGHBOURS = ((-1, "p:"), (1, "n:"), (-2, "pp:"))
+
+
+def neighbour_features(own: tuple[str, ...], name: str) -> list[str]:
+    """What a word's features are called where it stands beside the word that is labelled."""
+    return [name + x for x in own if not x.startswith("has=")]
+
+
 def sentence_features(words: list[str]) -> list[list[str]]:
     """Features of each word: its own, and its neighbours' at distances one and two."""
     own = [shape(w) for w in words]
     out = []
     for i in range(len(words)):
         f = list(own[i])
-        for d, name in ((-1, "p:"), (1, "n:"), (-2, "pp:")):
-            f += [name + x for x in own[i + d] if not x.startswith("has=")] if 0 <= i + d < len(words) else [name + "none"]
+        for d, name in NEIGHBOURS:
+            f += neighbour_features(own[i + d], name) if 0 <= i + d < len(words) else [name + "none"]
         out.append(f)
     return out
 
@@ -172,29 +186,64 @@ class Field:
 
     def __init__(self, index: dict, emit: np.ndarray, move: np.ndarray, start: np.ndarray):
         self.index, self.emit, self.move, self.start = index, emit, move, start
-
-    def scores(self, sentences: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Emission scores (sentence, word, label), padded, and lengths."""
+        self.none = np.array([self._sum([name + "none"]) for _, name in NEIGHBOURS])
+        self.known: dict[str, np.ndarray] = {}
+
+    def _sum(self, features) -> np.ndarray:
+        return self.emit[[x for f in features if (x := self.index.get(f)) is not None]].sum(axis=0)
+
+    def parts(self, word: str) -> np.ndarray:
+        """What a word adds to the scores of itself and, in the order of NEIGHBOURS, of the words it stands beside."""
+        found = self.known.get(word)
+        if found is None:
+            own = shape(word)
+            found = np.array([self._sum(own), *[self._sum(neighbour_features(own, name)) for _, name in NEIGHBOURS]])
+            if len(word) <= 64:
+                if len(self.known) >= 1 << 15:
+                    self.known.clear()
+                self.known[word] = found
+        return found
+
+    def scores(self, sentences: list, lo: int = 0, hi: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Emission scores (sentence, word, label) of words lo to hi, padded, and the sentences' lengths."""
         size = np.array([len(s) for s in sentences])
-        out = np.zeros((len(sentences), size.max(initial=1), len(LABELS)))
-        get = self.index.get
+        hi = int(size.max(initial=1)) if hi is None else hi
+        out = np.zeros((len(sentences), hi - lo, len(LABELS)))
         for i, s in enumerate(sentences):
-            for j, fs in enumerate(sentence_features(s)):
-                out[i, j] = self.emit[[x for f in fs if (x := get(f)) is not None]].sum(axis=0)
+            end = min(hi, len(s))
+            if end <= lo:
+                continue
+            first = max(0, lo - 2)
+            words = np.array([self.parts(w) for w in s[first : min(end + 1, len(s))]])
+            e = out[i, : end - lo]
+            e += words[lo - first : end - first, 0]
+            for k, (d, _) in enumerate(NEIGHBOURS):
+                a, b = max(lo, -d), min(end, len(s) - d)  # the words that have such a neighbour
+                if a < b:
+                    e[a - lo : b - lo] += words[a + d - first : b + d - first, k + 1]
+                e[: max(0, min(end, -d) - lo)] += self.none[k]
+                e[max(0, len(s) - max(0, d) - lo) :] += self.none[k]
         return out, size
 
-    def decode(self, sentences: list[list[str]]) -> list[np.ndarray]:
-        """Most likely labels of each sentence: Viterbi over all sentences of the batch at once."""
+    def decode(self, sentences: list) -> list[np.ndarray]:
+        """Most likely labels of each sentence: Viterbi over all sentences of the batch at once.
+
+        Scores are made `STEP` words at a time; what is held of a whole sentence is a byte a word and label.
+        """
         if not sentences:
             return []
-        e, size = self.scores(sentences)
-        n, t, k = e.shape
-        best, back = self.start + e[:, 0], np.zeros((n, t, k), np.int8)
-        for j in range(1, t):
-            options = best[:, :, None] + self.move
-            back[:, j] = options.argmax(axis=1)
-            new = options.max(axis=1) + e[:, j]
-            best = np.where((j < size)[:, None], new, best)
+        size = np.array([len(s) for s in sentences])
+        n, t, k = len(sentences), int(size.max()), len(LABELS)
+        back = np.zeros((n, t, k), np.int8)
+        for lo in range(0, t, STEP):
+            e, _ = self.scores(sentences, lo, min(t, lo + STEP))
+            if lo == 0:
+                best = self.start + e[:, 0]
+            for j in range(max(1, lo), min(t, lo + STEP)):
+                options = best[:, :, None] + self.move
+                back[:, j] = options.argmax(axis=1)
+                new = options.max(axis=1) + e[:, j - lo]
+                best = np.where((j < size)[:, None], new, best)
         out = np.zeros((n, t), np.int8)
         now = best.argmax(axis=1)
         for j in range(t - 1, -1, -1):
@@ -281,52 +330,91 @@ def holds(kind: str, text: str) -> bool:
     if kind == "ip":
         parts = re.split(r"[/:]", text)[0].split(".")
         return len(parts) == 4 and all(x.isdigit() and len(x) <= 3 and int(x) <= 255 for x in parts)
+    text = re.sub(r"\s+", " ", text)  # long gaps would make the patterns below quadratic
     plain = re.sub(r"\s*[\[({<]\s*at\s*[\])}>]\s*|\s+at\s+", "@", text, flags=re.I)
     plain = re.sub(r"\s*[\[({<]\s*dot\s*[\])}>]\s*|\s+dot\s+", ".", plain, flags=re.I)
     return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", plain))
 
 
+class Run:
+    """Words of a text that are decoded together: their places, and the words themselves where they are asked for."""
+
+    def __init__(self, text: str, row: int, places: array):
+        self.text, self.row, self.places = text, row, places  # starts and ends in turn
+
+    def __len__(self) -> int:
+        return len(self.places) // 2
+
+    def __getitem__(self, at: slice) -> list[str]:
+        lo, hi, _ = at.indices(len(self))
+        flat = self.places[2 * lo : 2 * hi]
+        return [self.text[a:b] for a, b in zip(flat[::2], flat[1::2], strict=True)]
+
+
+def runs(text: str, row: int = 0) -> Iterator[Run]:
+    """The trigger words of a text with REACH words on either side; runs that touch are one."""
+    before: deque = deque(maxlen=REACH)  # words since the last run that may begin the next one
+    places, left = array("q"), 0
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        if _TRIGGER.search(text[a:b]):
+            for x in before:
+                places.extend(x)
+            before.clear()
+            places.extend((a, b))
+            left = REACH
+        elif left:
+            places.extend((a, b))
+            left -= 1
+        else:
+            if len(before) == REACH and places:  # too far on for the open run
+                yield Run(text, row, places)
+                places = array("q")
+            before.append((a, b))
+    if places:
+        yield Run(text, row, places)
+
+
+class Covered:
+    """Whether spans touch any of the given ones, by their starts in order and the furthest end so far."""
+
+    def __init__(self, spans: list):
+        some = sorted((s, e) for _, s, e in spans)
+        self.starts = [s for s, _ in some]
+        self.ends = list(accumulate((e for _, e in some), max))
+
+    def touches(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.ends[k - 1] > start
+
+
 def field_spans(texts: list[str | None], bases: list[list], field: Field) -> list[list[tuple[str, int, int]]]:
     """Spans the field adds to each text."""
-    sentences, places = [], []
-    for i, text in enumerate(texts):
-        if not text:
-            continue
-        words = list(_WORD.finditer(text))
-        near = [j for j, m in enumerate(words) if _TRIGGER.search(m.group())]
-        begin = end = None
-        for j in [*near, None]:
-            if begin is not None and (j is None or j - REACH > end):
-                sentences.append([m.group() for m in words[begin:end]])
-                places.append((i, words[begin:end]))
-                begin = None
-            if j is None:
-                break
-            begin = max(0, j - REACH) if begin is None else begin
-            end = min(len(words), j + REACH + 1)
+    sentences = [r for i, text in enumerate(texts) if text for r in runs(text, i)]
+    covered = {i: Covered(bases[i]) for i in {r.row for r in sentences}}
     out: list[list] = [[] for _ in texts]
-    order = sorted(range(len(sentences)), key=lambda x: len(sentences[x]))
-    for k in range(0, len(order), 256):  # sentences of like length together
-        some = order[k : k + 256]
-        for x, labels in zip(some, field.decode([sentences[x] for x in some]), strict=True):
-            i, words = places[x]
-            j = 0
-            while j < len(labels):
+    sentences.sort(key=len)  # sentences of like length together
+    at = 0
+    while at < len(sentences):
+        to = at + 1
+        while to < min(len(sentences), at + 256) and (to + 1 - at) * len(sentences[to]) <= CELLS:
+            to += 1
+        some = sentences[at:to]
+        at = to
+        for run, labels in zip(some, field.decode(some), strict=True):
+            text = run.text
+            edges = np.flatnonzero(np.diff(labels)) + 1
+            for j, end_word in zip([0, *edges.tolist()], [*edges.tolist(), len(labels)], strict=True):
                 if labels[j] == 0:
-                    j += 1
                     continue
-                to = j
-                while to + 1 < len(labels) and labels[to + 1] == labels[j]:
-                    to += 1
-                start, end = words[j].start(), words[to].end()
-                while start < end and texts[i][start] in "\"'<[{,;:":
+                start, end = run.places[2 * j], run.places[2 * end_word - 1]
+                while start < end and text[start] in "\"'<[{,;:":
                     start += 1
-                while end > start and texts[i][end - 1] in "\"'>]},;:.!?":
+                while end > start and text[end - 1] in "\"'>]},;:.!?":
                     end -= 1
                 kind = LABELS[labels[j]]
-                if start < end and holds(kind, texts[i][start:end]) and not any(s < end and start < e for _, s, e in bases[i]):
-                    out[i].append((kind, start, end))
-                j = to + 1
+                if start < end and holds(kind, text[start:end]) and not covered[run.row].touches(start, end):
+                    out[run.row].append((kind, start, end))
     return out
 
 
@@ -381,8 +469,8 @@ def masked(text: bytes | None, spans: list) -> str | None:
 def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """One row for each document: doc_id, n_email, n_ip, n_card, n_phone (base), base_sha256, spans (base and added).
 
-    Null and empty texts have no spans. Repeated documents give a row each. Empty tables give no rows; further columns
-    are ignored.
+    Null and empty texts have no spans. Very long texts are read whole: decoding holds some twenty bytes a word of them.
+    Repeated documents and null ids give a row each. Empty tables give no rows; further columns are ignored.
     """
     f = docs.sparkSession.sparkContext.broadcast(field or trained())
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

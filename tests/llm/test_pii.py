@@ -115,3 +115,64 @@ def test_what_holds_has_a_trigger():
             held += 1
             assert any(pii._TRIGGER.search(x) for x in pii._WORD.findall(text)) and pii._TRIGGER.search(text), repr(text)
     assert held > 100
+
+
+def test_long_runs_are_decoded_in_steps(field, monkeypatch):
+    """Scores made a few words at a time, and small batches, give the labels and spans of whole sentences."""
+    r = random.Random(4)
+    words = [w for row, _ in pii.labelled_rows(60, seed=3) for w in row]
+    text = " ".join(r.choice(words) if r.random() < 0.9 else "plain" for _ in range(3000))
+    whole = pii.find([text.encode(), b"call 555-010-9999 now"], field)
+    labels = field.decode([text.split()])[0]
+    monkeypatch.setattr(pii, "STEP", 7)
+    monkeypatch.setattr(pii, "CELLS", 16)
+    assert (field.decode([text.split()])[0] == labels).all()
+    assert pii.find([text.encode(), b"call 555-010-9999 now"], field) == whole and whole[0][1] != whole[0][0]
+
+
+def test_scores_are_the_sums_of_the_features(field):
+    import numpy as np
+
+    words = pii.labelled_rows(1, seed=8)[0][0] + "a 12 b@c.org".split()
+    for n in (1, 2, 3, len(words)):
+        want = [field.emit[[field.index[f] for f in fs if f in field.index]].sum(axis=0) for fs in pii.sentence_features(words[:n])]
+        assert np.allclose(field.scores([words[:n]])[0][0], want)
+
+
+def test_runs_hold_triggers_and_their_neighbours():
+    r = random.Random(2)
+    for _ in range(300):
+        words = [r.choice(("a", "b", "c", "d", "7")) if r.random() < 0.5 else "w" for _ in range(r.randrange(0, 60))]
+        near = [any(words[j] == "7" for j in range(max(0, i - pii.REACH), min(len(words), i + pii.REACH + 1))) for i in range(len(words))]
+        want, open_ = [], False
+        for w, x in zip(words, near, strict=True):
+            if x and not open_:
+                want.append([])
+            if x:
+                want[-1].append(w)
+            open_ = x
+        got = [run[:] for run in pii.runs(" ".join(words))]
+        assert [w for run in got for w in run] == [w for run in want for w in run]
+
+
+def test_a_long_text_of_numbers_takes_little_memory(field):
+    import tracemalloc
+
+    r = random.Random(1)
+    text = " ".join(str(r.randrange(10 ** r.randrange(1, 9))) for _ in range(60_000)).encode()
+    tracemalloc.start()
+    pii.find([text], field)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 * len(text) + 30_000_000
+
+
+def test_spans_that_touch_base_ones():
+    r = random.Random(3)
+    for _ in range(300):
+        spans = [("card", s, s + r.randrange(1, 12)) for s in (r.randrange(60) for _ in range(r.randrange(0, 6)))]
+        covered = pii.Covered(spans)
+        for _ in range(20):
+            a = r.randrange(60)
+            b = a + r.randrange(1, 9)
+            assert covered.touches(a, b) == any(s < b and a < e for _, s, e in spans)
