@@ -9,6 +9,7 @@ class, id and role, added up; one table from elements inside articles, one from
 little inside an article. Elements whose odds are low (navigation, footers, notices, adverts, forms, comments...) are one
 negative token each, whatever they hold; an article whose class says comment is one, too. The odds of words by where they
 stand (inside an article, outside one on a page that has one, on a page without) and of tags give the other tokens' scores.
+Inside an article tags and parts cost nothing, so no list of links in it is left out, nor what follows one.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import math
 import random
 import re
 from collections import Counter
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg select button xmp noembed noframes object canvas audio video".split())
 MAIN = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math mi mn mo mrow ms msub msup mtext nobr q s samp small span strike strong sub sup time tt u var wbr img br font picture source".split())
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -97,10 +100,14 @@ def tokens(page: str):
 
 
 def features(name: str, attributes: str) -> list[str]:
-    """An element's name and the words of its class, id and role."""
+    """An element's name, the words of its class, id and role, and the last word of each one that is a single name."""
     out = ["<" + name]
     for m in _ATTR.finditer(attributes):
-        out += ["." + w.lower() for w in _SPLIT.split(m.group(2) or m.group(3) or m.group(4) or "") if w]
+        value = (m.group(2) or m.group(3) or m.group(4) or "").strip()
+        words = [w.lower() for w in _SPLIT.split(value) if w]
+        out += ["." + w for w in words]
+        if words and not _SPACES.search(value):
+            out.append(("heading=" if name in HEADINGS else "=") + words[-1])
     return out
 
 
@@ -115,7 +122,8 @@ PART_NAMES = {
     "section": "comments comment reply replies discussion disqus respond reviews",
 }
 CONTENT_NAMES = "content article post entry story body text main page container wrapper column lead intro row inner"
-INNER_PARTS = "nav menu breadcrumbs pager sidebar aside ad ads advert advertisement adsense sponsored promo cookie cookies newsletter subscribe signup share sharing comments comment reply replies disqus form"
+INNER_PARTS = "nav menu breadcrumbs pager sidebar aside ad ads advert advertisement adsense sponsored promo cookie cookies newsletter subscribe signup share sharing comments comment reply replies respond disqus form"
+QUALIFIERS = "site page main global my"
 WRAPPER_NAMES = "page wrapper site layout with has no container outer wrap col row grid main left right body"
 
 
@@ -129,6 +137,8 @@ def labelled_pages(most: int = 800, seed: int = 11) -> list[tuple[str, str]]:
     def part(tag):
         name = r.choice(PART_NAMES[tag].split())
         shown = tag if r.random() < 0.6 else r.choice(("div", "section", "ul")) if tag != "form" else "form"
+        if r.random() < 0.3:
+            name = f'{r.choice(QUALIFIERS.split())}{r.choice("-_")}{name}'
         attr = f' {r.choice(("class", "id"))}="{name}"' if shown != tag or r.random() < 0.7 or tag == "div" else ""
         inner = {"nav": menu, "form": lambda: f"<label>{text(1, 4)}</label><input name=q><button>{word()}</button>"}.get(tag, lambda: r.choice((menu, lambda: f"<p>{text(3, 40)}</p>", lambda: text(2, 30)))())()
         return f"<{shown}{attr}>{inner}</{shown}>"
@@ -267,12 +277,11 @@ def extract(page: str | None, weights: Weights) -> str:
     """Main text of a page: blocks joined by two line feeds, white space in a block as one space."""
     if not page:
         return ""
-    scored: list[tuple[float, str | None]] = []  # score and text; None for a block's edge, '' for an inline tag
+    read: list[tuple] = []  # (score, None at a block's edge, '' or ' ' at an inline tag), or (words, text, inside an article, odds)
     skip, depth, main = "", 0, 0
     under: list[tuple[str, float]] = []  # open elements, and the least odds of each and those around it
     opened: Counter = Counter()
-    low = page.lower()
-    has_main = "<article" in low or "<main" in low
+    has_main = False
     for t in tokens(page):
         kind = t[0]
         if skip:
@@ -288,16 +297,18 @@ def extract(page: str | None, weights: Weights) -> str:
         if kind == "text":
             text = _html.unescape(t[1])
             n = len(_WORD.findall(text))
-            scored.append((n * (weights.word[weights.place(has_main, main > 0)] + (under[-1][1] if under else 0.0)), text))
+            read.append((n, text, main > 0, under[-1][1] if under else 0.0))
             continue
         name = t[1]
         if kind == "open" and weights.is_part(name, t[2], main > 0):
-            scored.append((weights.tag.get(name, -1.0), None if name not in INLINE else " "))
+            # scripts, buttons and the like stand anywhere, so they say nothing of where the content ends
+            read.append((0.0 if main else -0.02 if name in RAW else weights.tag.get(name, -1.0), None if name not in INLINE else " "))
             if name not in VOID and not t[2].endswith("/"):
                 skip, depth = name, 1
             continue
         if name in MAIN:
             main = max(0, main + (1 if kind == "open" else -1))
+            has_main = has_main or main > 0
         if kind == "close":
             while opened[name]:  # what was left open inside it is closed with it
                 last = under.pop()[0]
@@ -308,7 +319,16 @@ def extract(page: str | None, weights: Weights) -> str:
             odds = 0.0 if main else weights.odds(name, t[2])
             under.append((name, 0.0 if main else min(under[-1][1] if under else 0.0, odds)))
             opened[name] += 1
-        scored.append((weights.tag.get(name, -0.5), (" " if name in ("br", "wbr") else "") if name in INLINE else None))
+        # an article holds its text and parts, which are cut: its other tags, lists of links too, cost nothing
+        read.append((0.0 if main or name in MAIN else weights.tag.get(name, -0.5), (" " if name in ("br", "wbr") else "") if name in INLINE else None))
+    scored: list[tuple[float, str | None]] = []
+    for x in read:
+        if len(x) == 2:
+            scored.append(x)
+            continue
+        n, text, inside, odds = x
+        # between the articles of a run, what stands beside them costs its words and is not read
+        scored.append((n * (weights.word[weights.place(has_main, inside)] + odds), text if inside or not has_main else ""))
     best, total, begin, region = 0.0, 0.0, 0, (0, 0)
     for i, (score, _) in enumerate(scored):
         if total <= 0:
@@ -328,6 +348,12 @@ def extract(page: str | None, weights: Weights) -> str:
     return "\n\n".join(blocks)
 
 
+@lru_cache
+def trained() -> Weights:
+    """The weights of the labelled pages, fitted once a session: the same pages give the same weights."""
+    return Weights()
+
+
 def _pages(weights):
     def run(batches):
         import pyarrow as pa
@@ -346,10 +372,10 @@ def main_text(pages: DataFrame, weights: Weights | None = None) -> DataFrame:
     """One row for each page: page_id, url, text, n_chars (code points).
 
     Null or empty html, and pages without content, have text ''. Character references are decoded; broken or cut markup
-    is read as far as it goes. Several articles, and articles in articles, are read in page order, if the best run holds
-    them; of runs with equal sums the first stands. Very long pages take linear time. Repeated pages and null ids give a
+    is read as far as it goes. Several articles, and articles in articles, are read in page order, without what stands
+    between them, if the best run holds them; of runs with equal sums the first stands. Very long pages take linear time. Repeated pages and null ids give a
     row each. Empty tables give no rows; further columns are ignored.
     """
-    w = pages.sparkSession.sparkContext.broadcast(weights or Weights())
+    w = pages.sparkSession.sparkContext.broadcast(weights or trained())
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return p.mapInArrow(_pages(w), "page_id long, url string, text string, n_chars long")

@@ -141,3 +141,40 @@ def test_formulas_headers_and_articles_in_articles(weights):
     inner = f"<header><h1>Name</h1></header><p>x <math><mi>a</mi><mo>+</mo><mn>1</mn></math> y</p><article>{TWO}</article>{TWO}"
     assert h.extract(f"<main>{inner}</main>", weights).startswith("Name\n\nx a+1 y\n\nThe council")
     assert h.extract(f"<main>{inner}</main>", weights).count("council") == 2
+
+
+LONG = "<p>The council met on Monday and agreed a plan for the harbour that will be built in stages.</p>"
+LINKS = "<ul>" + "".join(f"<li><a href='#{i}'>name{i} two</a></li>" for i in range(30)) + "</ul>"
+
+
+@pytest.mark.parametrize("header,footer", [("class='header'", "class='footer'"), ("id='header'", "id='footer'"), ("class='site-header'", "class='site-footer'"), ("id='nav'", "id='main-nav'")])
+@pytest.mark.parametrize("holder", ["div class='content'", "article"])
+def test_headers_and_footers_that_are_plain_blocks(weights, holder, header, footer):
+    page = f"<html><body><div {header}>Logo of site</div><{holder}>{LONG * 3}</{holder.split()[0]}><div {footer}>foot text</div></body></html>"
+    assert h.extract(page, weights).split() == words_of(LONG * 3)
+
+
+@pytest.mark.parametrize("inner", [LONG * 6 + LINKS + "<p>last paragraph</p>", LINKS + LONG, LONG + LINKS, LINKS, LONG + "<ul class='toc-list'><li><a href='#a'>a</a></li></ul>" + LONG])
+@pytest.mark.parametrize("holder", ["article", "main"])
+def test_lists_of_links_inside_an_article_stay(weights, holder, inner):
+    page = f"<html><body><nav>{LINKS}</nav><{holder}>{inner}</{holder}><footer>me</footer></body></html>"
+    assert h.extract(page, weights).split() == words_of(inner)
+
+
+@pytest.mark.parametrize("one,two", [("<p>one two three</p>", "<p>four five six</p>"), ("<p>a</p>", "<p>b</p>"), (LONG * 3, LONG * 2)])
+def test_several_articles(weights, one, two):
+    assert h.extract(f"<body><article>{one}</article><article>{two}</article></body>", weights).split() == words_of(one + two)
+    if one.startswith(LONG):
+        assert h.extract(f"<body><article>{one}</article><p>text between</p><article>{two}</article></body>", weights).split() == words_of(one + two)
+
+
+def test_buttons_scripts_and_reply_forms(weights):
+    for x in ("<button>b</button>", "<script>b</script>", "<style>b</style>", "<select><option>b</select>"):
+        assert h.extract(f"<p>a</p>{x}<p>c</p>", weights) == "a\n\nc"
+        assert h.extract(f"<article><p>a</p>{x}<p>c</p></article>", weights) == "a\n\nc"
+    assert h.extract(f"<article>{LONG}<section id='respond'><p>Leave a reply</p></section></article>", weights).split() == words_of(LONG)
+
+
+def test_comments_as_articles_beside_content_without_an_article(weights):
+    page = f"<body><div class='content'>{LONG * 2}</div><section class='comments'><article class='comment'><p>so true</p></article></section></body>"
+    assert h.extract(page, weights).split() == words_of(LONG * 2)
