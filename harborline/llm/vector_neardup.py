@@ -345,8 +345,58 @@ def _tile(threshold: float):
     return run
 
 
+def _whole(threshold: float):
+    def run(batches):
+        """Rows in order of components, each wholly in one task: links of every member, a component at a time."""
+        import pyarrow as pa
+
+        names = ["row", "component", "unit"]
+
+        def counted(t):
+            t = t.combine_chunks()
+            component = t.column("component").to_numpy()
+            units = t.column("unit").to_pylist()
+            edges = [0, *(np.flatnonzero(np.diff(component)) + 1).tolist(), len(t)]
+            n = np.zeros(len(t), np.int64)
+            for i, j in zip(edges, edges[1:], strict=False):
+                x = np.frombuffer(b"".join(units[i:j])).reshape(j - i, -1)
+                hit = x @ x.T >= threshold
+                np.fill_diagonal(hit, False)
+                n[i:j] = hit.sum(axis=1)
+            return pa.RecordBatch.from_arrays([t.column("row").combine_chunks(), pa.array(n, pa.int64())], ["row", "n_links"])
+
+        tail = None
+        for batch in batches:
+            for k in range(0, len(batch), 4096):
+                t = pa.Table.from_batches([batch.slice(k, 4096)]).select(names)
+                t = t if tail is None else pa.concat_tables([tail, t])
+                component = t.column("component").to_numpy()
+                last = int(np.searchsorted(component, component[-1]))  # the last component may go on
+                if last:
+                    yield counted(t.slice(0, last))
+                tail = t.slice(last)
+        if tail is not None and len(tail):
+            yield counted(tail)
+
+    return run
+
+
 def count_links(members: DataFrame, threshold: float) -> DataFrame:
-    """(row, n_links): links of each member (row, component, unit) inside its component, exactly."""
+    """(row, n_links): links of each member (row, component, unit) inside its component, exactly.
+
+    Two members of a component of two are linked. Components of at most `TILE` members are sorted together and counted one
+    after the other, many in a task; greater ones are split into tiles.
+    """
+    sized = members.groupBy("component").agg(F.count("*").alias("size"))
+    m = written(members.join(sized, "component"), "sized")
+    few = m.where("size <= 2").select("row", (F.col("size") - 1).alias("n_links"))
+    small = m.where(f"size > 2 and size <= {TILE}").select("row", "component", "unit")
+    small = small.repartition("component").sortWithinPartitions("component").mapInArrow(_whole(threshold), "row long, n_links long")
+    return few.union(small).union(_tiled_links(m.where(f"size > {TILE}").select("row", "component", "unit"), threshold))
+
+
+def _tiled_links(members: DataFrame, threshold: float) -> DataFrame:
+    """(row, n_links) of members of components of any size: those near the middle link with each other, the rest is compared in tiles."""
     sums = members.select("component", "unit").mapInArrow(_sums, "component long, sum binary")
     sums = sums.groupBy("component", (F.spark_partition_id() % 16).alias("salt")).applyInPandas(_total, "component long, sum binary")
     middles = sums.groupBy("component").applyInPandas(_mean, "component long, middle binary")  # 16 rows at most for each component

@@ -187,3 +187,32 @@ def test_labels_beyond_the_means_take_passes_too(spark, monkeypatch):
     assert len(plan) == 3 and others == vector_neardup.passes_for(60, 0.93, 12) > 1
     out = {x.vec_id: x.component_id for x in vector_neardup.near_duplicates(table(spark, rows), 0.93, window=12).collect()}
     assert sum(out[a] == out[b] for a, b in pairs) >= 0.9 * len(pairs)
+
+
+@pytest.mark.parametrize("tile", [6, 512])
+def test_links_of_components_of_every_size(spark, monkeypatch, tile):
+    """Counted as pairs, together in a task, or in tiles: the same numbers, those of brute force."""
+    monkeypatch.setattr(vector_neardup, "TILE", tile)
+    r = np.random.RandomState(7)
+    rows, want = [], {}
+    for c, size in enumerate([2] * 40 + [3, 5, 6, 9, 30] * 3 + [60]):
+        centre = r.standard_normal(12)
+        x = centre + r.standard_normal((size, 12)) * (0.01 if size == 2 else 0.25)
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        for i, n in enumerate(((x @ x.T) >= 0.93).sum(axis=1) - 1):
+            want[len(rows)] = int(n)
+            rows.append((len(rows), c, x[i].tobytes()))
+    order = r.permutation(len(rows))
+    members = spark.createDataFrame([rows[k] for k in order], "row long, component long, unit binary").repartition(7)
+    assert {x.row: x.n_links for x in vector_neardup.count_links(members, 0.93).collect()} == want
+
+
+def test_many_small_components_are_counted_fast(spark):
+    """No Python call a component: twenty thousand of three take seconds."""
+    import time
+
+    one = np.eye(4)[0].tobytes()
+    members = spark.range(60_000).selectExpr("id as row", "id div 3 as component").crossJoin(spark.createDataFrame([(bytearray(one),)], "unit binary"))
+    begin = time.time()
+    got = vector_neardup.count_links(members, 0.93).groupBy("n_links").count().collect()
+    assert [tuple(x) for x in got] == [(2, 60_000)] and time.time() - begin < 15
