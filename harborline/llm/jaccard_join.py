@@ -1,9 +1,12 @@
 """N-gram Jaccard join: an exact join in the metric space of shingle sets (distance 1 - Jaccard, radius 1 - percent / 100).
 
-Pruning. Nearly all texts lie at distance 1 from nearly any other. Linked sets differ in at most D shingles, so of
-D + 1 + 2e hash slices of the shingle universe they agree in 2e + 1 at least, and still in one if each drops its e
-lightest. Region (size window, slice, content of the slice): sets that agree there. A set stands in the window of its
-size and in the one below, so linked sets always share a region; a text that nothing resembles shares none and is done.
+Pruning. Nearly all texts lie at distance 1 from nearly any other. All shingles stand in one order, rare ones first; a set
+of n shingles keeps its first n - ceil(percent x n / 100) + 1. Linked sets share at least ceil(percent x n / 100) of either
+one's shingles, so the first shingle in order that both hold is among those that each keeps. Region (shingle): the sets that
+keep it; linked sets always share a region, and a text that nothing resembles shares none and is done. Any order gives the
+same links. Rarity is a level, the binary logarithm of the documents that a slot of shingle hashes counts, so its table has
+SLOTS bytes whatever the input; each task tells the slots that stand out in its documents. A passage that many texts share
+comes last in them and makes no region unless it is nearly all that they hold.
 
 Regions. The smallest member of a region is its first pivot; members within the radius are linked to it, hence joined
 to each other without comparing them (a thousand near copies take a thousand distances). A region whose members are all
@@ -24,8 +27,6 @@ stands as the interval from its least distance to 1, and the rules above hold wi
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,29 +39,14 @@ PIVOTS = 4
 FAR = 0.5
 CLOSE = 1e-9
 BLOCK = 128
+SLOTS = 1 << 22  # of the table of levels, a byte each
 WORDS = 8
 SKETCH = [f"s{w}" for w in range(WORDS)]  # 64 bits of a set's sketch each
 
 
-def difference(n: float, percent: int) -> int:
-    """Shingles that may differ between two linked sets, the smaller of at most n."""
-    t = percent / 100
-    return math.floor((1 - t) / t * n + 1e-9)
-
-
-def window_of(n: int, percent: int) -> int:
-    """Size window of a set; linked sets lie in the same window or in neighbouring ones."""
-    return math.floor(math.log(max(n, 1)) / math.log(100 / percent) + 1e-9)
-
-
-def slices_of(window: int, percent: int) -> tuple[int, int]:
-    """Number of slices of a size window and how many a set drops: the empty ones it must expect, and some more."""
-    most = difference((100 / percent) ** (window + 1), percent)
-    if not most:
-        return 0, 0
-    empty = (most + 1) * math.exp(-((100 / percent) ** (window + 0.5)) / (most + 1))
-    drop = max(1, math.ceil(empty + 2 * math.sqrt(empty)))
-    return most + 1 + 2 * drop, drop
+def kept_of(n: int, percent: int) -> int:
+    """How many of its first shingles a set of n keeps; none if only equal sets can link with it."""
+    return 0 if n * (100 - percent) < percent else n - (percent * n + 99) // 100 + 1
 
 
 def doc_shingles(texts: list, k: int):
@@ -119,25 +105,45 @@ def least_distance(x: str = "x", y: str = "y") -> str:
     return f"greatest({sizes}, transform(array({differ}), v -> 2 * v / ({x}.size + {y}.size + v))[0])"
 
 
-def _regions(s: np.ndarray, percent: int) -> np.ndarray:
-    """Regions of a set: its slices' contents in its own size window and the one below, without the lightest slices."""
-    out, own = [np.zeros(0, U)], window_of(len(s), percent)
-    for window in (own, own - 1):
-        m, drop = slices_of(window, percent)
-        if not m:  # only equal sets can link
-            continue
-        slices = (mix(s + U(0x51)) % U(m)).astype(np.int64)
-        order = np.argsort(slices, kind="stable")
-        total = np.concatenate((np.zeros(1, U), np.cumsum(mix(s[order] ^ U(0xC3)))))
-        n = np.bincount(slices, minlength=m)
-        ends = np.cumsum(n)
-        tag = U(((window + 9) << 32) & 0xFFFFFFFFFFFFFFFF) + np.arange(m).astype(U)
-        keys = mix(mix(tag) + (total[ends] - total[ends - n]) + n.astype(U))
-        out.append(keys[np.argsort(n, kind="stable")[drop:]])
-    return np.concatenate(out)
-
-
-def _signed(k: int, percent: int, most_seen: int = 1 << 17):
+def _slots(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles' second hashes, one each, and their slots in the table of levels."""
+    h = mix(s ^ U(0x7B))
+    return h, (h % U(SLOTS)).astype(np.int64)
+
+
+def _counted(k: int):
+    """(slot, n): documents of a task that hold a shingle of the slot, where these stand out: two at least, and twice the mean."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        n = np.zeros(SLOTS, np.int32)
+        for batch in batches:
+            texts = column_bytes(batch.column("text"))
+            for i in range(0, len(texts), 256):
+                for s in doc_shingles(texts[i : i + 256], k):
+                    n[_slots(s)[1]] += 1
+        at = np.flatnonzero(n >= max(2, 2 * n.mean()))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at].astype(np.int64))], ["slot", "n"])
+
+    return run
+
+
+def _levels(docs: DataFrame, k: int):
+    """A broadcast of SLOTS bytes: how common the shingles of each slot are, as a binary logarithm."""
+    rows = docs.select("text").mapInArrow(tidied(_counted(k)), "slot int, n long").groupBy("slot").agg(F.ceil(F.log2(F.sum("n"))).cast("tinyint").alias("level")).toArrow()
+    levels = np.zeros(SLOTS, np.uint8)
+    levels[rows["slot"].to_numpy()] = rows["level"].to_numpy()
+    return docs.sparkSession.sparkContext.broadcast(levels)
+
+
+def _regions(s: np.ndarray, percent: int, levels: np.ndarray) -> np.ndarray:
+    """Regions of a set: the first of its shingles by level, then by hash."""
+    h, slots = _slots(s)
+    return h[np.lexsort((h, levels[slots]))[: kept_of(len(s), percent)]]
+
+
+def _signed(k: int, percent: int, levels, most_seen: int = 1 << 17):
     """Rows of two kinds: a document (doc: id, size, sketch; region: any), and a set's regions, once a task for equal sets."""
 
     def run(batches):
@@ -156,7 +162,7 @@ def _signed(k: int, percent: int, most_seen: int = 1 << 17):
                         if len(seen) >= most_seen:
                             seen.clear()
                         seen.add(c)
-                        regions.append(_regions(s, percent))
+                        regions.append(_regions(s, percent, levels.value))
                         classes.append(np.full(len(regions[-1]), c, np.int64))
                 row += len(docs)
                 spread = mix(np.arange(row - len(docs), row).astype(U)).view(np.int64)
@@ -248,7 +254,7 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = N
     Shingles and sets are known by 64-bit hashes. counts: a list that takes the numbers of each round, for tests.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = d.mapInArrow(tidied(_signed(k, percent)), "region long, class long, doc array<long>").repartition("region")
+    rows = d.mapInArrow(tidied(_signed(k, percent, _levels(d, k))), "region long, class long, doc array<long>").repartition("region")
     region = Window.partitionBy("region")
     ends = [F.min("class").over(region).alias("pivot"), F.max("class").over(region).alias("last"), F.min(F.xxhash64("class")).over(region).alias("lo"), F.max(F.xxhash64("class")).over(region).alias("hi")]
     found = written(rows.select("*", *ends).where("doc is not null or pivot < last"), "signatures")

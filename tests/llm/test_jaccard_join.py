@@ -67,6 +67,41 @@ def test_same_components_as_brute_force(spark, monkeypatch, k, percent):
     assert got == brute(rows, k, percent)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90, 99, 100])
+def test_linked_sets_share_a_region_in_any_order(percent):
+    import numpy as np
+
+    r = np.random.RandomState(percent)
+    levels, linked = r.randint(0, 5, jaccard_join.SLOTS).astype(np.uint8), 0
+    for _ in range(3000):
+        common, x, y = r.randint(1, 150), *(r.randint(0, 12, 2) if percent > 50 else r.randint(0, 60, 2))
+        s = r.randint(1, 1 << 62, common + x + y).astype(np.uint64)
+        a, b = np.unique(s[: common + x]), np.unique(np.concatenate((s[:common], s[common + x :])))
+        both = len(np.intersect1d(a, b))
+        if len(a) + len(b) > 2 * both and 100 * both >= percent * (len(a) + len(b) - both):
+            linked += 1
+            assert len(np.intersect1d(jaccard_join._regions(a, percent, levels), jaccard_join._regions(b, percent, levels)))
+    assert linked > 100 or percent >= 99
+
+
+@pytest.mark.parametrize("n,percent,kept", [(1, 80, 0), (3, 80, 0), (4, 80, 1), (5, 80, 2), (100, 80, 21), (8, 90, 0), (9, 90, 1), (10, 90, 2), (7, 100, 0)])
+def test_how_many_shingles_a_set_keeps(n, percent, kept):
+    assert jaccard_join.kept_of(n, percent) == kept
+
+
+def test_shared_passages_come_last(spark):
+    """Texts that share half their words with all others meet nobody: their own words come first."""
+    r = random.Random(8)
+    passage = sentence(r, 100, 10**6)
+    rows = [(i, sentence(r, 100, 10**6) + " " + passage, "en", "web") for i in range(300)]
+    d = documents(spark, rows).select("doc_id", "text").coalesce(2)
+    levels = jaccard_join._levels(d, 5).value
+    sets = list(jaccard_join.doc_shingles([x[1].encode() for x in rows], 5))
+    kept = [set(jaccard_join._regions(s, 80, levels).tolist()) for s in sets]
+    assert sum(len(x) for x in kept) == len(set.union(*kept))
+    assert all(levels[jaccard_join._slots(s)[1]].max() >= 8 for s in sets)
+
+
 def test_pairs_at_the_threshold_link(spark):
     a = [f"a{i}" for i in range(102)]  # 100 shingles
     b = a[:95] + [f"b{i}" for i in range(7)]  # shares 93
