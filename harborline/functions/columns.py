@@ -42,9 +42,15 @@ def periods(text: Column) -> Column:
     return F.when(F.size(split) > 0, split).otherwise(none)
 
 
+def away(number: Column, digits: int) -> Column:
+    """A double rounded by its binary value, halves away from zero, that keeps its sign where nothing is left: -0.0."""
+    size = F.floor(F.abs(number) * 10.0**digits + 0.5) / 10.0**digits
+    return F.when(number > 0, size).when(number < 0, -size).otherwise(number)
+
+
 def percent(share: Column) -> Column:
-    """A share as +x.x%."""
-    return F.format_string("%+.1f%%", F.round(share * 100, 1))
+    """A share as +x.x%; a fall that rounds to nothing is -0.0%."""
+    return F.format_string("%+.1f%%", away(share * 100, 1))
 
 
 def month_label(ym: Column) -> Column:

@@ -199,8 +199,8 @@ def tariff_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def growth_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = run(spark, sf_dir, GROWTH)
-    return g.select(columns.month_label(F.col("yyyymm")).alias("month"), columns.percent(F.col("g")).alias("growth"))
+    g = run(spark, sf_dir, "select b.yyyymm, b.x / (a.x * 1e0) - 1 as g from monthly a join monthly b on b.midx = a.midx + 12 where a.x > 0")
+    return g.select(columns.month_label(F.col("yyyymm")).alias("month"), columns.percent(columns.away(F.col("g"), 6)).alias("growth"))
 
 
 def param_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
