@@ -53,14 +53,16 @@ def margins(links: DataFrame, before: DataFrame, after: DataFrame) -> tuple[Data
 
 
 def _fit_bucket(steps: int):
-    def run(pdf):
-        import pandas as pd
+    def run(table):
+        import pyarrow as pa
 
-        i, a = pd.factorize(pdf.hs_from, sort=True)
-        j, b = pd.factorize(pdf.hs_to, sort=True)
-        row, col = np.zeros(len(a)), np.zeros(len(b))
-        row[i], col[j] = pdf.row_margin, pdf.col_margin
-        return pd.DataFrame({"hs_from": pdf.hs_from, "hs_to": pdf.hs_to, "prior": pdf.prior, "mass": kernels.ipf(pdf.prior.to_numpy(float), row, col, i, j, steps)})
+        table = table.combine_chunks()
+        codes = [table[c].combine_chunks().dictionary_encode() for c in ("hs_from", "hs_to")]
+        i, j = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in codes)
+        row, col = (np.zeros(len(c.dictionary)) for c in codes)
+        row[i], col[j] = table["row_margin"].to_numpy(), table["col_margin"].to_numpy()
+        mass = kernels.ipf(table["prior"].to_numpy(), row, col, i, j, steps)
+        return table.select(["hs_from", "hs_to", "prior", "grp"]).append_column("mass", pa.array(mass))
 
     return run
 
@@ -80,35 +82,37 @@ def _rounds(links: DataFrame, steps: int, every: int = 4, tolerance: float = 1e-
         x = state
         for _ in range(min(every, steps - done)):
             last = F.col("mass").alias("last")
-            x = half(half(x.select("hs_from", "hs_to", "prior", "row_margin", "col_margin", "mass", last), "hs_from", "row_margin"), "hs_to", "col_margin")
+            x = half(half(x.select("hs_from", "hs_to", "prior", "grp", "row_margin", "col_margin", "mass", last), "hs_from", "row_margin"), "hs_to", "col_margin")
             done += 1
         new = written(x.withColumn("change", F.abs(F.col("mass") - F.col("last")) / F.greatest("last", F.lit(1e-300))).drop("last"), "masses")
         discard(state)
         state = new
         if (state.agg(F.max("change")).first()[0] or 0.0) <= tolerance:
             break
-    return state.select("hs_from", "hs_to", "prior", "mass")
+    return state.select("hs_from", "hs_to", "prior", "grp", "mass")
 
 
-def masses(links: DataFrame, before: DataFrame, after: DataFrame, steps: int = STEPS, most: int = 200_000) -> DataFrame:
+def masses(links: DataFrame, before: DataFrame, after: DataFrame, steps: int = STEPS, most: int = 4_000_000, together: int = 200_000, found: DataFrame | None = None) -> DataFrame:
     """(hs_from, hs_to, prior, grp, mass), written: links (hs_from, hs_to, prior) fitted to values (hs10, v) before and after.
 
     Sums of a source's and of a target's masses approach their margins; targets' are met last. Connected groups of up to
-    `most` links are fitted many at a time in a task that holds about `most` links; greater ones in rounds of joins.
+    `most` links, which a task holds as numbers (some 100 bytes a link), are fitted in a task, small ones many at a time, about
+    `together` links; greater ones in rounds of joins. found: the groups as `groups` gives them, if they are known.
     """
     links = written(links, "links")
     rows, cols = margins(links, before, after)
-    of = groups(links).where("side = 'a'").select(F.col("hs10").alias("hs_from"), "grp")
+    of = (groups(links) if found is None else found).where("side = 'a'").select(F.col("hs10").alias("hs_from"), "grp")
     whole = written(links.join(of, "hs_from").join(rows, "hs_from").join(cols, "hs_to"), "linked")
     sizes = written(whole.groupBy("grp").agg(F.count("*").alias("n")), "sizes")
     few = sizes.where(F.col("n") <= most)
-    buckets = int(4 * (few.agg(F.sum("n")).first()[0] or 0) // most) + 1
+    buckets = int(4 * (few.agg(F.sum("n")).first()[0] or 0) // together) + 1
     held = whole.join(few.select("grp"), "grp").withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(buckets)))
-    out = held.groupBy("bucket").applyInPandas(_fit_bucket(steps), "hs_from string, hs_to string, prior double, mass double")
+    columns = ("hs_from", "hs_to", "prior", "grp", "mass")
+    out = held.groupBy("bucket").applyInArrow(_fit_bucket(steps), "hs_from string, hs_to string, prior double, grp string, mass double").select(*columns)
     great = sizes.where(F.col("n") > most)
     if great.limit(1).count():
-        out = out.union(_rounds(whole.join(great.select("grp"), "grp").drop("grp"), steps))
-    return written(out.join(of, "hs_from").select("hs_from", "hs_to", "prior", "grp", "mass"), "fitted")
+        out = out.union(_rounds(whole.join(great.select("grp"), "grp"), steps).select(*columns))
+    return written(out, "fitted")
 
 
 def weights(fitted: DataFrame) -> DataFrame:

@@ -109,8 +109,9 @@ def _kinds(found: DataFrame) -> DataFrame:
 def _masses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links from the codes of 1999 to those of 2001 that six-digit successors license, fitted to half a year's exports."""
     names = "select e.hs10, e.name as leaf, k.item || ' ' || e.name as path from editions e join keyed k on k.hs10 = e.hs10 where e.edition = {}"
-    prior = fitting.priors(links.licensed(*_heads(spark, sf_dir)), run(spark, sf_dir, names.format(1999)), run(spark, sf_dir, names.format(2001)))
-    return fitting.masses(prior, frame(spark, sf_dir, "before_value"), frame(spark, sf_dir, "after_value"))
+    heads = _heads(spark, sf_dir)
+    prior = fitting.priors(links.licensed(*heads), run(spark, sf_dir, names.format(1999)), run(spark, sf_dir, names.format(2001)))
+    return fitting.masses(prior, frame(spark, sf_dir, "before_value"), frame(spark, sf_dir, "after_value"), found=links.groups(*heads))
 
 
 def ipf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
