@@ -8,6 +8,12 @@ same links. Rarity is a level, the binary logarithm of the documents that a slot
 SLOTS bytes whatever the input; each task tells the slots that stand out in its documents. A passage that many texts share
 comes last in them and makes no region unless it is nearly all that they hold.
 
+Slices. The more texts there are, the more single shingles meet by chance, so from SLICED percent on, regions are of several
+shingles each. Linked sets differ in at most D shingles, so of D + 1 + 2e hash slices of the shingle universe they agree in
+2e + 1 at least, and still in one if each drops its e lightest. Region (size window, slice, content of the slice): sets that
+agree there. A set stands in the window of its size and in the one below, so linked sets always share a region. A slice holds
+about percent / (100 - percent) shingles, which unrelated texts do not share; for lower thresholds it would hold too few.
+
 Regions. The smallest member of a region is its first pivot; members within the radius are linked to it, hence joined
 to each other without comparing them (a thousand near copies take a thousand distances). A region whose members are all
 joined is done. A region of more than LEAF members takes PIVOTS pivots of different groups. Each member's distance to
@@ -27,6 +33,8 @@ stands as the interval from its least distance to 1, and the rules above hold wi
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +48,7 @@ FAR = 0.5
 CLOSE = 1e-9
 BLOCK = 128
 SLOTS = 1 << 22  # of the table of levels, a byte each
+SLICED = 89  # percent from which regions are slices, of eight shingles or more
 WORDS = 8
 SKETCH = [f"s{w}" for w in range(WORDS)]  # 64 bits of a set's sketch each
 
@@ -49,6 +58,27 @@ def kept_of(n: int, percent: int) -> int:
     return 0 if n * (100 - percent) < percent else n - (percent * n + 99) // 100 + 1
 
 
+def difference(n: float, percent: int) -> int:
+    """Shingles that may differ between two linked sets, the smaller of at most n."""
+    t = percent / 100
+    return math.floor((1 - t) / t * n + 1e-9)
+
+
+def window_of(n: int, percent: int) -> int:
+    """Size window of a set; linked sets lie in the same window or in neighbouring ones."""
+    return math.floor(math.log(max(n, 1)) / math.log(100 / percent) + 1e-9)
+
+
+def slices_of(window: int, percent: int) -> tuple[int, int]:
+    """Number of slices of a size window and how many a set drops: the empty ones it must expect, and some more."""
+    most = difference((100 / percent) ** (window + 1), percent)
+    if not most:
+        return 0, 0
+    empty = (most + 1) * math.exp(-((100 / percent) ** (window + 0.5)) / (most + 1))
+    drop = max(1, math.ceil(empty + 2 * math.sqrt(empty)))
+    return most + 1 + 2 * drop, drop
+
+
 def doc_shingles(texts: list, k: int):
     """Distinct shingle hashes of each text (bytes or None): sorted uint64 arrays."""
     for i, j in blocks(texts):
@@ -138,11 +168,34 @@ def _levels(docs: DataFrame, k: int):
 
 
 def _regions(s: np.ndarray, percent: int, levels: np.ndarray) -> np.ndarray:
-    """Regions of a set: the first of its shingles by level, then by hash."""
+    """Regions of a set: its slices, or the first of its shingles by level, then by hash."""
+    if percent >= SLICED:
+        return _slices(s, percent)
     h, slots = _slots(s)
     return h[np.lexsort((h, levels[slots]))[: kept_of(len(s), percent)]]
 
 
+def _slices(s: np.ndarray, percent: int) -> np.ndarray:
+    """A set's slices' contents in its own size window and the one below, without the lightest slices."""
+    out = [np.zeros(0, U)]
+    if percent == 100:  # only equal sets link
+        return out[0]
+    own = window_of(len(s), percent)
+    for window in (own, own - 1):
+        m, drop = slices_of(window, percent)
+        if not m:
+            continue
+        slices = (mix(s + U(0x51)) % U(m)).astype(np.int64)
+        order = np.argsort(slices, kind="stable")
+        total = np.concatenate((np.zeros(1, U), np.cumsum(mix(s[order] ^ U(0xC3)))))
+        n = np.bincount(slices, minlength=m)
+        ends = np.cumsum(n)
+        tag = U(((window + 9) << 32) & 0xFFFFFFFFFFFFFFFF) + np.arange(m).astype(U)
+        keys = mix(mix(tag) + (total[ends] - total[ends - n]) + n.astype(U))
+        out.append(keys[np.argsort(n, kind="stable")[drop:]])
+    return np.concatenate(out)
+
+
 def _signed(k: int, percent: int, levels, most_seen: int = 1 << 17):
     """Rows of two kinds: a document (doc: id, size, sketch; region: any), and a set's regions, once a task for equal sets."""
 
@@ -162,7 +215,7 @@ def _signed(k: int, percent: int, levels, most_seen: int = 1 << 17):
                         if len(seen) >= most_seen:
                             seen.clear()
                         seen.add(c)
-                        regions.append(_regions(s, percent, levels.value))
+                        regions.append(_regions(s, percent, levels and levels.value))
                         classes.append(np.full(len(regions[-1]), c, np.int64))
                 row += len(docs)
                 spread = mix(np.arange(row - len(docs), row).astype(U)).view(np.int64)
@@ -254,7 +307,8 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = N
     Shingles and sets are known by 64-bit hashes. counts: a list that takes the numbers of each round, for tests.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = d.mapInArrow(tidied(_signed(k, percent, _levels(d, k))), "region long, class long, doc array<long>").repartition("region")
+    levels = None if percent >= SLICED else _levels(d, k)
+    rows = d.mapInArrow(tidied(_signed(k, percent, levels)), "region long, class long, doc array<long>").repartition("region")
     region = Window.partitionBy("region")
     ends = [F.min("class").over(region).alias("pivot"), F.max("class").over(region).alias("last"), F.min(F.xxhash64("class")).over(region).alias("lo"), F.max(F.xxhash64("class")).over(region).alias("hi")]
     found = written(rows.select("*", *ends).where("doc is not null or pivot < last"), "signatures")

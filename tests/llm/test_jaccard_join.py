@@ -102,6 +102,16 @@ def test_shared_passages_come_last(spark):
     assert all(levels[jaccard_join._slots(s)[1]].max() >= 8 for s in sets)
 
 
+def test_single_shingles_shared_by_chance_make_no_region_at_90(spark):
+    """Texts of few words share most of their shingles with some other text, but are not alike: none meets another."""
+    r = random.Random(9)
+    rows = [(i, sentence(r, 200, 25), "en", "web") for i in range(300)]
+    levels = jaccard_join._levels(documents(spark, rows).select("doc_id", "text").coalesce(2), 3).value
+    sets = list(jaccard_join.doc_shingles([x[1].encode() for x in rows], 3))
+    kept = [set(jaccard_join._regions(s, 90, levels).tolist()) for s in sets]
+    assert min(len(x) for x in kept) > 0 and sum(len(x) for x in kept) == len(set.union(*kept))
+
+
 def test_pairs_at_the_threshold_link(spark):
     a = [f"a{i}" for i in range(102)]  # 100 shingles
     b = a[:95] + [f"b{i}" for i in range(7)]  # shares 93
