@@ -47,6 +47,7 @@ PIVOTS = 4
 FAR = 0.5
 CLOSE = 1e-9
 BLOCK = 128
+SLICE = 1024  # documents whose texts a task copies at once
 SLOTS = 1 << 22  # of the table of levels, a byte each
 SLICED = 89  # percent from which regions are slices, of eight shingles or more
 WORDS = 8
@@ -161,7 +162,7 @@ def _counted(k: int):
 
 def _levels(docs: DataFrame, k: int):
     """A broadcast of SLOTS bytes: how common the shingles of each slot are, as a binary logarithm."""
-    rows = docs.select("text").mapInArrow(tidied(_counted(k)), "slot int, n long").groupBy("slot").agg(F.ceil(F.log2(F.sum("n"))).cast("tinyint").alias("level")).toArrow()
+    rows = docs.select("text").mapInArrow(tidied(_counted(k), SLICE), "slot int, n long").groupBy("slot").agg(F.ceil(F.log2(F.sum("n"))).cast("tinyint").alias("level")).toArrow()
     levels = np.zeros(SLOTS, np.uint8)
     levels[rows["slot"].to_numpy()] = rows["level"].to_numpy()
     return docs.sparkSession.sparkContext.broadcast(levels)
@@ -273,7 +274,7 @@ def _bitmap(ids: DataFrame, n: int, most_bits: int = 1 << 26):
         at = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits[at].view(np.int64))], ["word", "bits"])
 
-    rows = ids.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toPandas()
+    rows = ids.mapInArrow(tidied(run), "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toPandas()
     bits = np.zeros(size // 64, U)
     bits[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(U)
     return spark.sparkContext.broadcast(bits)
@@ -286,7 +287,7 @@ def similarity(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
     """
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class").select("class", "first_doc"), "wanted")
     n = wanted.count()
-    sets = written(docs.mapInArrow(tidied(_sets(k, _bitmap(wanted.select("first_doc"), n), _bitmap(wanted.select("class"), n))), "class long, shingles array<long>"), "sets")
+    sets = written(docs.mapInArrow(tidied(_sets(k, _bitmap(wanted.select("first_doc"), n), _bitmap(wanted.select("class"), n)), SLICE), "class long, shingles array<long>"), "sets")
     x, y = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(y, "b").join(x, "a").select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("both"), (F.size("x") + F.size("y")).cast("long").alias("sum"))
     # a set stands in `sets` more than once where tasks share a doc_id
@@ -308,7 +309,7 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = N
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     levels = None if percent >= SLICED else _levels(d, k)
-    rows = d.mapInArrow(tidied(_signed(k, percent, levels)), "region long, class long, doc array<long>").repartition("region")
+    rows = d.mapInArrow(tidied(_signed(k, percent, levels), SLICE), "region long, class long, doc array<long>").repartition("region")
     region = Window.partitionBy("region")
     ends = [F.min("class").over(region).alias("pivot"), F.max("class").over(region).alias("last"), F.min(F.xxhash64("class")).over(region).alias("lo"), F.max(F.xxhash64("class")).over(region).alias("hi")]
     found = written(rows.select("*", *ends).where("doc is not null or pivot < last"), "signatures")

@@ -149,4 +149,4 @@ def pack(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENC
     offsets = written(offsets, "offsets")
     few = F.broadcast(offsets) if offsets.count() <= BROADCAST_PARTS else offsets
     placed = e.join(few, F.col("part") == F.col("of_part")).select("doc_id", (F.col("before") + F.col("offset")).alias("at"), "ids")
-    return placed.mapInArrow(_cut(sequence), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return placed.mapInArrow(tidied(_cut(sequence)), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes
+from .common import column_bytes, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("outside", *KINDS)
@@ -490,4 +490,4 @@ def redacted(docs: DataFrame, field: Field | None = None) -> DataFrame:
     Empty tables give no rows.
     """
     f = docs.sparkSession.sparkContext.broadcast(field or trained())
-    return docs.mapInArrow(_rows(f, True), docs.schema)
+    return docs.mapInArrow(tidied(_rows(f, True)), docs.schema)

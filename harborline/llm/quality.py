@@ -31,6 +31,7 @@ UNIT = 1 << 24  # log probabilities are whole numbers of 1 / UNIT
 LANG = "lang_key"  # '' for a null language, else = and the language
 MIN_WORDS, REPEAT_PERCENT = 10, 20
 HEAD = 2_000_000  # n-grams in the arrays, 12 bytes each
+SLICE = 1024  # documents whose texts a task copies at once
 
 
 def lang_seed(lang: str) -> int:
@@ -116,7 +117,7 @@ def _count_batches(batches):
 
 def count_grams(docs: DataFrame) -> DataFrame:
     """(lang, gram, n): ORDER-byte n-grams of all words of all texts, a language at a time; summed in each task first."""
-    parts = docs.select("text", LANG).where("text is not null").mapInArrow(tidied(_count_batches), "lang string, gram long, n long")
+    parts = docs.select("text", LANG).where("text is not null").mapInArrow(tidied(_count_batches, SLICE), "lang string, gram long, n long")
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -267,10 +268,10 @@ def statistics(docs: DataFrame, head: int = HEAD) -> DataFrame:
     key = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), key.alias(LANG))
     counts = written(count_grams(d), "grams")
-    model = written(kneser_ney(counts).mapInArrow(_hash_rows, "hash long, n long, score long"), "model")
+    model = written(kneser_ney(counts).mapInArrow(tidied(_hash_rows), "hash long, n long, score long"), "model")
     discard(counts)
     arrays, others = split_model(model, head)
-    s = written(d.mapInArrow(tidied(_statistics(spark.sparkContext.broadcast(arrays))), _SCHEMA), "statistics")
+    s = written(d.mapInArrow(tidied(_statistics(spark.sparkContext.broadcast(arrays)), SLICE), _SCHEMA), "statistics")
     total = F.col("score")
     if others is not None:
         rare = s.where("rare is not null").select("row", F.explode("rare").alias("hash")).groupBy("row", "hash").agg(F.count("*").alias("times"))
