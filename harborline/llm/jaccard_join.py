@@ -13,6 +13,9 @@ shingles each. Linked sets differ in at most D shingles, so of D + 1 + 2e hash s
 2e + 1 at least, and still in one if each drops its e lightest. Region (size window, slice, content of the slice): sets that
 agree there. A set stands in the window of its size and in the one below, so linked sets always share a region. A slice holds
 about percent / (100 - percent) shingles, which unrelated texts do not share; for lower thresholds it would hold too few.
+Near copies of one text share most slices, linked or not, so the members of all large regions meet again, once, by the first
+shingles that they keep, rare ones first as counted among these members alone: what a copy does not share with the others
+comes first, and copies with more of it than links allow meet nobody.
 
 Regions. The smallest member of a region is its first pivot; members within the radius are linked to it, hence joined
 to each other without comparing them (a thousand near copies take a thousand distances). A region whose members are all
@@ -142,6 +145,18 @@ def _slots(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h, (h % U(SLOTS)).astype(np.int64)
 
 
+def _batch_sets(batch, k: int):
+    """The sets of a batch's texts, or those in its column of shingles."""
+    if "shingles" in batch.schema.names:
+        column = batch.column("shingles")
+        for i in range(len(column)):
+            yield column[i].values.to_numpy().view(U)
+    else:
+        texts = column_bytes(batch.column("text"))
+        for i in range(0, len(texts), 256):
+            yield from doc_shingles(texts[i : i + 256], k)
+
+
 def _counted(k: int):
     """(slot, n): documents of a task that hold a shingle of the slot, where these stand out: two at least, and twice the mean."""
 
@@ -150,19 +165,17 @@ def _counted(k: int):
 
         n = np.zeros(SLOTS, np.int32)
         for batch in batches:
-            texts = column_bytes(batch.column("text"))
-            for i in range(0, len(texts), 256):
-                for s in doc_shingles(texts[i : i + 256], k):
-                    n[_slots(s)[1]] += 1
+            for s in _batch_sets(batch, k):
+                n[_slots(s)[1]] += 1
         at = np.flatnonzero(n >= max(2, 2 * n.mean()))
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at].astype(np.int64))], ["slot", "n"])
 
     return run
 
 
-def _levels(docs: DataFrame, k: int):
+def _levels(docs: DataFrame, k: int, column: str = "text"):
     """A broadcast of SLOTS bytes: how common the shingles of each slot are, as a binary logarithm."""
-    rows = docs.select("text").mapInArrow(tidied(_counted(k), SLICE), "slot int, n long").groupBy("slot").agg(F.ceil(F.log2(F.sum("n"))).cast("tinyint").alias("level")).toArrow()
+    rows = docs.select(column).mapInArrow(tidied(_counted(k), SLICE), "slot int, n long").groupBy("slot").agg(F.ceil(F.log2(F.sum("n"))).cast("tinyint").alias("level")).toArrow()
     levels = np.zeros(SLOTS, np.uint8)
     levels[rows["slot"].to_numpy()] = rows["level"].to_numpy()
     return docs.sparkSession.sparkContext.broadcast(levels)
@@ -172,6 +185,11 @@ def _regions(s: np.ndarray, percent: int, levels: np.ndarray) -> np.ndarray:
     """Regions of a set: its slices, or the first of its shingles by level, then by hash."""
     if percent >= SLICED:
         return _slices(s, percent)
+    return _rarest(s, percent, levels)
+
+
+def _rarest(s: np.ndarray, percent: int, levels: np.ndarray) -> np.ndarray:
+    """The shingles that a set keeps: the first by level, then by hash."""
     h, slots = _slots(s)
     return h[np.lexsort((h, levels[slots]))[: kept_of(len(s), percent)]]
 
@@ -280,14 +298,45 @@ def _bitmap(ids: DataFrame, n: int, most_bits: int = 1 << 26):
     return spark.sparkContext.broadcast(bits)
 
 
+def _fetched(wanted: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(class, shingles) of the wanted (class, first_doc), cut from the texts again and written without a shuffle; a few others, and some twice."""
+    n = wanted.count()
+    return written(docs.mapInArrow(tidied(_sets(k, _bitmap(wanted.select("first_doc"), n), _bitmap(wanted.select("class"), n)), SLICE), "class long, shingles array<long>"), "sets")
+
+
+def _finer(large: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(region, class): the members of all large regions by the shingles that they keep, rare ones first among them alone.
+
+    Any two that link share one of these regions, whichever they shared before.
+    """
+    wanted = written(large.select("class").distinct().join(classes, "class").select("class", "first_doc"), "wanted")
+    sets = _fetched(wanted, docs, k)
+    levels = _levels(sets, k, "shingles")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            kept = [_rarest(s, percent, levels.value) for s in _batch_sets(batch, k)]
+            if kept:
+                c = np.repeat(batch.column("class").to_numpy(zero_copy_only=False), [len(x) for x in kept])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept).view(np.int64)), pa.array(c)], ["region", "class"])
+
+    out = sets.mapInArrow(tidied(run, SLICE), "region long, class long").join(wanted.select("class"), "class", "left_semi")
+    region = Window.partitionBy("region")
+    out = out.select("region", "class").distinct().withColumn("lo", F.min("class").over(region)).withColumn("hi", F.max("class").over(region))
+    out = written(out.where("lo < hi").select("region", "class"), "finer")
+    discard(wanted, sets)
+    return out
+
+
 def similarity(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     """Exact (a, b, both, either): sizes of intersection and union for each pair of classes.
 
     The pairs' sets, and only theirs, are cut from the texts again and written without a shuffle; each goes to its pairs.
     """
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class").select("class", "first_doc"), "wanted")
-    n = wanted.count()
-    sets = written(docs.mapInArrow(tidied(_sets(k, _bitmap(wanted.select("first_doc"), n), _bitmap(wanted.select("class"), n)), SLICE), "class long, shingles array<long>"), "sets")
+    sets = _fetched(wanted, docs, k)
     x, y = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(y, "b").join(x, "a").select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("both"), (F.size("x") + F.size("y")).cast("long").alias("sum"))
     # a set stands in `sets` more than once where tasks share a doc_id
@@ -342,7 +391,8 @@ def _resolve(d: DataFrame, first: DataFrame, wide: DataFrame, members: DataFrame
     pairs = members.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
     pairs = pairs.join(x, F.expr("a = x.class")).join(y, F.expr("b = y.class")).where(alike(percent)).select("a", "b")
     pairs = last = written(_bounded(pairs, wides).where(f"low <= {1 - percent / 100 + CLOSE}").select("a", "b"), "pairs")
-    cells, opened, ends, measured, kept = members.select("region", "class"), None, None, None, []
+    cells, opened, ends, measured, kept = members.select("region", "class"), [], None, None, []
+    coarse = percent >= SLICED
     while not pairs.isEmpty() or ends is not None:
         new = similarity(pairs, d, ids, k)
         kept.append(new)
@@ -354,10 +404,16 @@ def _resolve(d: DataFrame, first: DataFrame, wide: DataFrame, members: DataFrame
             past += [ends, to_pivots]
             tiles, cells, more = _split(ends, measured, label, sketches, percent)
             past += more
-        if opened is not None:
-            past.append(opened)
-        cells = opened = written(_open(cells, label), "cells")
+        past += opened
+        cells = written(_open(cells, label), "cells")
+        opened = [cells]
         small, large = cells.where(f"n <= {LEAF}"), cells.where(f"n > {LEAF}")
+        if coarse and not large.isEmpty():
+            finer = _finer(large, d, ids, k, percent)
+            cells = written(_open(finer, label), "cells")
+            opened, past = [*opened, cells], [*past, finer]
+            small, large = small.union(cells.where(f"n <= {LEAF}")), cells.where(f"n > {LEAF}")
+        coarse = False
         pairs = _pairs_inside(small.join(sketches, "class"), f"x.label <> y.label and {alike(percent)}")
         pairs = _bounded((pairs if tiles is None else pairs.union(tiles)).distinct(), wides)
         ends = None if large.isEmpty() else _ends(large)
@@ -372,7 +428,7 @@ def _resolve(d: DataFrame, first: DataFrame, wide: DataFrame, members: DataFrame
             counts.append({"leaves": small.select("region").distinct().count(), "voronoi": large.select("region").distinct().count(), "pairs": pairs.count()})
         cells = large.select("region", "class")
         discard(*past)  # what this round has replaced
-    discard(classes, wides, last, *kept, *([] if opened is None else [opened]))
+    discard(classes, wides, last, *kept, *opened)
     return spark.createDataFrame([], "class long, label long") if label is None else label
 
 

@@ -126,6 +126,45 @@ def test_empty_table(spark):
     assert jaccard_join.join(documents(spark, [])).collect() == []
 
 
+def test_copies_too_far_apart_to_link_meet_nobody(spark):
+    """Copies of one text with own words in many places agree in most slices; they part without distances to pivots, and links among them stay."""
+    r = random.Random(12)
+    base, rows = sentence(r, 100, 10**6).split(), []
+    for i in range(300):
+        own = list(base)
+        for at in r.sample(range(2, 98, 3), 4):  # 12 of 98 shingles, and a set keeps 10
+            own[at] = f"o{i}x{at}"
+        rows.append((i, " ".join(own), "en", "web"))
+        if i % 10 == 0:
+            own[r.randrange(100)] = f"p{i}"
+            rows.append((1000 + i, " ".join(own), "en", "web"))
+    seen: dict = {}
+    for s in jaccard_join.doc_shingles([x[1].encode() for x in rows], 3):
+        for x in jaccard_join._slices(s, 90).tolist():
+            seen[x] = seen.get(x, 0) + 1
+    assert max(seen.values()) > jaccard_join.LEAF  # slices alone make large regions of them
+    counts: list = []
+    got = sorted(tuple(x) for x in jaccard_join.join(documents(spark, rows), 3, 90, counts).collect())
+    assert got == brute(rows, 3, 90)
+    assert sum(c["voronoi"] for c in counts) == 0
+
+
+@pytest.mark.parametrize("n,window", [(20, 5), (150, 40)])
+def test_linked_sets_share_a_shingle_that_both_keep(n, window):
+    """Whatever the levels say, so also when they are counted among few sets."""
+    import numpy as np
+
+    r = np.random.RandomState(n)
+    for _ in range(500):
+        levels = r.randint(0, 4, jaccard_join.SLOTS >> 6).astype(np.uint8).repeat(64)
+        s = r.randint(1, 1 << 62, n + window).astype(np.uint64)
+        cut = r.randint(0, window // 5 + 1, 2)
+        a, b = np.unique(s[cut[0] : n]), np.unique(s[: n - cut[1]])
+        both = len(np.intersect1d(a, b))
+        if len(a) + len(b) > 2 * both and 100 * both >= 90 * (len(a) + len(b) - both):
+            assert len(np.intersect1d(jaccard_join._rarest(a, 90, levels), jaccard_join._rarest(b, 90, levels)))
+
+
 @pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
 def test_voronoi_cells_with_production_parameters(spark, k, percent):
     r = random.Random(5)
