@@ -42,7 +42,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, blocks, chain, column_bytes, discard, joined, mix, scan_words, tidied, written
+from .common import U, blocks, chain, column_bytes, discard, joined, mapped, mix, scan_words, written
 from .components import joined_forests
 
 LEAF = 64  # members whose pairs are all compared, by sketches first
@@ -175,7 +175,7 @@ def _counted(k: int):
 
 def _levels(docs: DataFrame, k: int, column: str = "text"):
     """A broadcast of SLOTS bytes: how common the shingles of each slot are, as a binary logarithm."""
-    rows = docs.select(column).mapInArrow(tidied(_counted(k), SLICE), "slot int, n long").groupBy("slot").agg(F.ceil(F.log2(F.sum("n"))).cast("tinyint").alias("level")).toArrow()
+    rows = mapped(docs.select(column), _counted(k), "slot int, n long", SLICE).groupBy("slot").agg(F.ceil(F.log2(F.sum("n"))).cast("tinyint").alias("level")).toArrow()
     levels = np.zeros(SLOTS, np.uint8)
     levels[rows["slot"].to_numpy()] = rows["level"].to_numpy()
     return docs.sparkSession.sparkContext.broadcast(levels)
@@ -292,7 +292,7 @@ def _bitmap(ids: DataFrame, n: int, most_bits: int = 1 << 26):
         at = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits[at].view(np.int64))], ["word", "bits"])
 
-    rows = ids.mapInArrow(tidied(run), "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toPandas()
+    rows = mapped(ids, run, "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toPandas()
     bits = np.zeros(size // 64, U)
     bits[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(U)
     return spark.sparkContext.broadcast(bits)
@@ -301,7 +301,7 @@ def _bitmap(ids: DataFrame, n: int, most_bits: int = 1 << 26):
 def _fetched(wanted: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """(class, shingles) of the wanted (class, first_doc), cut from the texts again and written without a shuffle; a few others, and some twice."""
     n = wanted.count()
-    return written(docs.mapInArrow(tidied(_sets(k, _bitmap(wanted.select("first_doc"), n), _bitmap(wanted.select("class"), n)), SLICE), "class long, shingles array<long>"), "sets")
+    return written(mapped(docs, _sets(k, _bitmap(wanted.select("first_doc"), n), _bitmap(wanted.select("class"), n)), "class long, shingles array<long>", SLICE), "sets")
 
 
 def _finer(large: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -322,7 +322,7 @@ def _finer(large: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percen
                 c = np.repeat(batch.column("class").to_numpy(zero_copy_only=False), [len(x) for x in kept])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept).view(np.int64)), pa.array(c)], ["region", "class"])
 
-    out = sets.mapInArrow(tidied(run, SLICE), "region long, class long").join(wanted.select("class"), "class", "left_semi")
+    out = mapped(sets, run, "region long, class long", SLICE).join(wanted.select("class"), "class", "left_semi")
     region = Window.partitionBy("region")
     out = out.select("region", "class").distinct().withColumn("lo", F.min("class").over(region)).withColumn("hi", F.max("class").over(region))
     out = written(out.where("lo < hi").select("region", "class"), "finer")
@@ -358,7 +358,7 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, counts: list | None = N
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     levels = None if percent >= SLICED else _levels(d, k)
-    rows = d.mapInArrow(tidied(_signed(k, percent, levels), SLICE), "region long, class long, doc array<long>").repartition("region")
+    rows = mapped(d, _signed(k, percent, levels), "region long, class long, doc array<long>", SLICE).repartition("region")
     region = Window.partitionBy("region")
     ends = [F.min("class").over(region).alias("pivot"), F.max("class").over(region).alias("last"), F.min(F.xxhash64("class")).over(region).alias("lo"), F.max(F.xxhash64("class")).over(region).alias("hi")]
     found = written(rows.select("*", *ends).where("doc is not null or pivot < last"), "signatures")

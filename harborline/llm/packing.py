@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import tidied, written
+from .common import mapped, written
 
 END = 0  # id after each document
 SPECIAL = {"<|endoftext|>": 50256}  # the vocabulary's special token
@@ -110,7 +110,7 @@ def _encode(vocabulary: str | None):
 def encoded(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, part, before, n, ids), written: ids as 16-bit numbers with END, `before` ids earlier in the partition."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return written(d.mapInArrow(tidied(_encode(vocabulary)), "doc_id long, part int, before long, n long, ids binary"), "ids")
+    return written(mapped(d, _encode(vocabulary), "doc_id long, part int, before long, n long, ids binary"), "ids")
 
 
 def _cut(sequence: int):
@@ -149,4 +149,4 @@ def pack(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENC
     offsets = written(offsets, "offsets")
     few = F.broadcast(offsets) if offsets.count() <= BROADCAST_PARTS else offsets
     placed = e.join(few, F.col("part") == F.col("of_part")).select("doc_id", (F.col("before") + F.col("offset")).alias("at"), "ids")
-    return placed.mapInArrow(tidied(_cut(sequence)), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return mapped(placed, _cut(sequence), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

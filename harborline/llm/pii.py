@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, tidied
+from .common import column_bytes, mapped
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("outside", *KINDS)
@@ -474,7 +474,7 @@ def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """
     f = docs.sparkSession.sparkContext.broadcast(field or trained())
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(_rows(f, False), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return mapped(d, _rows(f, False), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 @lru_cache
@@ -490,4 +490,4 @@ def redacted(docs: DataFrame, field: Field | None = None) -> DataFrame:
     Empty tables give no rows.
     """
     f = docs.sparkSession.sparkContext.broadcast(field or trained())
-    return docs.mapInArrow(tidied(_rows(f, True)), docs.schema)
+    return mapped(docs, _rows(f, True), docs.schema)

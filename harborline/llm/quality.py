@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, blocks, chain, column_bytes, discard, few, joined, mix, scan_words, tidied, written
+from .common import U, blocks, chain, column_bytes, discard, few, joined, mapped, mix, scan_words, written
 
 ORDER = 5
 PAD = 32  # the white space before and after a word
@@ -32,6 +32,7 @@ LANG = "lang_key"  # '' for a null language, else = and the language
 MIN_WORDS, REPEAT_PERCENT = 10, 20
 HEAD = 2_000_000  # n-grams in the arrays, 12 bytes each
 SLICE = 1024  # documents whose texts a task copies at once
+ROWS = 1 << 16  # n-grams that a task sends at once
 
 
 def lang_seed(lang: str) -> int:
@@ -90,8 +91,10 @@ def _count_batches(batches):
     held: dict[str, list] = {}
 
     def rows(lang):
-        keys, counts = _summed(*(np.concatenate(x) for x in zip(*held[lang], strict=True)))
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(counts)], ["lang", "gram", "n"])
+        keys, counts = _summed(*(np.concatenate(x) for x in zip(*held.pop(lang), strict=True)))
+        for i in range(0, len(keys), ROWS):
+            n = len(keys[i : i + ROWS])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(keys[i : i + n].view(np.int64)), pa.array(counts[i : i + n])], ["lang", "gram", "n"])
 
     waiting = 0
     for batch in batches:
@@ -107,17 +110,20 @@ def _count_batches(batches):
                     held.setdefault(w.names[k], []).append(_summed(keys[mine], count[mine]))
                     waiting += len(held[w.names[k]][-1][0])
             if waiting > 2_000_000:  # pairs held: merge, and send what does not shrink
-                held = {x: [_summed(*(np.concatenate(y) for y in zip(*v, strict=True)))] for x, v in held.items()}
+                for x in held:
+                    held[x] = [_summed(*(np.concatenate(y) for y in zip(*held[x], strict=True)))]
                 waiting = sum(len(v[0][0]) for v in held.values())
                 if waiting > 1_000_000:
-                    yield from (rows(x) for x in held)
-                    held, waiting = {}, 0
-    yield from (rows(x) for x in held)
+                    for x in list(held):
+                        yield from rows(x)
+                    waiting = 0
+    for x in list(held):
+        yield from rows(x)
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
     """(lang, gram, n): ORDER-byte n-grams of all words of all texts, a language at a time; summed in each task first."""
-    parts = docs.select("text", LANG).where("text is not null").mapInArrow(tidied(_count_batches, SLICE), "lang string, gram long, n long")
+    parts = mapped(docs.select("text", LANG).where("text is not null"), _count_batches, "lang string, gram long, n long", SLICE)
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -268,10 +274,10 @@ def statistics(docs: DataFrame, head: int = HEAD) -> DataFrame:
     key = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), key.alias(LANG))
     counts = written(count_grams(d), "grams")
-    model = written(kneser_ney(counts).mapInArrow(tidied(_hash_rows), "hash long, n long, score long"), "model")
+    model = written(mapped(kneser_ney(counts), _hash_rows, "hash long, n long, score long"), "model")
     discard(counts)
     arrays, others = split_model(model, head)
-    s = written(d.mapInArrow(tidied(_statistics(spark.sparkContext.broadcast(arrays)), SLICE), _SCHEMA), "statistics")
+    s = written(mapped(d, _statistics(spark.sparkContext.broadcast(arrays)), _SCHEMA, SLICE), "statistics")
     total = F.col("score")
     if others is not None:
         rare = s.where("rare is not null").select("row", F.explode("rare").alias("hash")).groupBy("row", "hash").agg(F.count("*").alias("times"))
