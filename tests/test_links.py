@@ -45,6 +45,16 @@ def test_a_large_group_of_a_join_is_dealt_over_tasks(spark, monkeypatch):
     assert len(sizes) > 5 and max(sizes) <= 8000
 
 
+def test_pieces_of_a_large_group_are_not_repeated_for_every_task(spark, monkeypatch):
+    monkeypatch.setattr(links, "PAIRS", 100)
+    left, right = (spark.range(k).select(F.when(F.col("id") < k - 50, "a").otherwise("b").alias("key"), F.col("id").alias(c)) for k, c in ((250, "x"), (150, "y")))
+    sent = []
+    repartition = type(left).repartition
+    monkeypatch.setattr(type(left), "repartition", lambda x, *a: sent.append(x.count()) or repartition(x, *a))
+    assert links.pairs(left, right, "key").count() == 200 * 100 + 50 * 50
+    assert sum(sent) < 8000  # each row of the right for 200 pieces of the left: 30,250
+
+
 def test_one_group_beyond_the_old_bound_is_fitted_without_rounds_of_joins(spark, monkeypatch):
     monkeypatch.setattr(fitting, "_rounds", lambda *a, **k: pytest.fail("rounds of joins"))
     v = lambda n, k: spark.range(n).select(F.col("id").cast("string").alias("hs10"), (F.col("id") % k + 1).cast("double").alias("v"))
