@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns
-from ..operators import core, fitting, links, numeric, quantiles
+from ..operators import core, factors, fitting, links, numeric, quantiles
 from ..sources import files, sheets, versions
 from ..sources.store import folder, written
 from ..sources.trade import STORED, duck_text, frame, run
@@ -106,16 +106,24 @@ def _kinds(found: DataFrame) -> DataFrame:
     return found.select("hs_from", "hs_to", F.when(F.col("hs_from") == F.col("hs_to"), "self").otherwise("candidate").alias("kind"))
 
 
-def _masses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links from the codes of 1999 to those of 2001 that six-digit successors license, fitted to half a year's exports."""
+def _fitted(spark: SparkSession, sf_dir: str, by_factors, by_links) -> DataFrame:
+    """Links from the codes of 1999 to those of 2001 that six-digit successors license, fitted to half a year's exports.
+
+    by_factors takes them fitted as factors of codes, by_links as rows, which they are if they are fewer than the pairs of names.
+    """
     names = "select e.hs10, e.name as leaf, k.item || ' ' || e.name as path from editions e join keyed k on k.hs10 = e.hs10 where e.edition = {}"
     heads = _heads(spark, sf_dir)
-    prior = fitting.priors(links.licensed(*heads), run(spark, sf_dir, names.format(1999)), run(spark, sf_dir, names.format(2001)))
-    return fitting.masses(prior, frame(spark, sf_dir, "before_value"), frame(spark, sf_dir, "after_value"), found=links.groups(*heads))
+    names = tuple(run(spark, sf_dir, names.format(edition)) for edition in (1999, 2001))
+    values = tuple(frame(spark, sf_dir, name) for name in ("before_value", "after_value"))
+    found = factors.fit(*heads, names, values)
+    if found is not None:
+        return by_factors(found)
+    return by_links(fitting.masses(fitting.priors(links.licensed(*heads), *names), *values, found=links.groups(*heads)))
 
 
 def ipf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fitting.weights(_masses(spark, sf_dir)).select("hs_from", "hs_to", "weight", "score", "relation")
+    by_links = lambda masses: fitting.weights(masses).select("hs_from", "hs_to", "weight", "score", "relation")
+    return _fitted(spark, sf_dir, factors.weights, by_links)
 
 
 def link_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,12 +163,14 @@ def hs6_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fitted_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What fitted links bring to each code: its margin."""
-    return _masses(spark, sf_dir).groupBy("hs_to").agg(F.round(F.sum("mass"), 2).alias("mass"), F.count("*").alias("n_links"))
+    by_links = lambda masses: masses.groupBy("hs_to").agg(F.sum("mass").alias("mass"), F.count("*").alias("n_links"))
+    return _fitted(spark, sf_dir, factors.targets, by_links).select("hs_to", F.round("mass", 2).alias("mass"), "n_links")
 
 
 def diagonal_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.sum(F.when(F.col("hs_from") == F.col("hs_to"), F.col("mass")).otherwise(0.0))
-    return _masses(spark, sf_dir).agg((own / F.sum("mass")).alias("retention"), F.countDistinct("hs_from").alias("n_sources"))
+    by_links = lambda masses: masses.agg((own / F.sum("mass")).alias("retention"), F.countDistinct("hs_from").alias("n_sources"))
+    return _fitted(spark, sf_dir, factors.retention, by_links)
 
 
 def version_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
